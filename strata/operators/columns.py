@@ -15,7 +15,7 @@ def drop_tolerant(df: DataFrame, cols: list[str]) -> DataFrame:
     present = [c for c in cols if c in df.columns]
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        log.warning("columns not present, not dropped: %s", ", ".join(missing))
+        log.info("columns not present, not dropped: %s", ", ".join(missing))
     return df.drop(*present) if present else df
 
 

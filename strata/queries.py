@@ -277,7 +277,8 @@ def q_delivery_counts(spark, sf):
     root = scratch_path(spark, "deliveries")
     csv_root = scratch_path(spark, "deliveries_csv")
     counts = bronze.write_deliveries(_acc(spark, sf), root, P.KEY, csv_root=csv_root)
-    csv_counts = (read_csv(spark, csv_root, None, infer=False).groupBy(BATCH)
+    csv_schema = T.StructType([*P.ACC_SCHEMA.fields, T.StructField(BATCH, T.StringType())])
+    csv_counts = (read_csv(spark, csv_root, csv_schema).groupBy(BATCH)
                   .agg(F.count(F.lit(1)).alias("csv_rows")))
     return counts.join(csv_counts, BATCH, "full")
 

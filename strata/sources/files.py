@@ -9,13 +9,14 @@ from strata import presets as P
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = P.ACC_SCHEMA,
-             infer: bool = False, **options) -> DataFrame:
+             infer: bool = False, null_value: str = "\\N", **options) -> DataFrame:
     """CSV with a header row.
 
     A declared schema is used by default (no inference pass over the data);
     `infer=True` falls back to Spark's inference, which costs an extra scan.
+    `null_value` matches `write_csv`; pass "" for files using Spark's default.
     """
-    reader = spark.read.option("header", True).options(**options)
+    reader = spark.read.option("header", True).option("nullValue", null_value).options(**options)
     if infer or schema is None:
         reader = reader.option("inferSchema", True)
     else:

@@ -30,8 +30,16 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
-    df.write.mode(mode).option("header", True).options(**options).csv(path)
+# Null marker for CSV files written and read by this library.  Spark's
+# default (the empty string) cannot tell a null from an empty text.
+CSV_NULL = "\\N"
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = CSV_NULL,
+              **options) -> None:
+    """CSV with a header; nulls written as `null_value`, empty text as ``""``."""
+    (df.write.mode(mode).option("header", True).option("nullValue", null_value)
+     .options(**options).csv(path))
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite",
