@@ -26,6 +26,10 @@ DEFAULT_CONF = {
     # this bound; nothing in the library forces a broadcast.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    # Whole-stage code larger than the JVM's JIT limit (8000 bytes of
+    # bytecode) would run interpreted; above it Spark falls back to
+    # per-operator code, which is compiled.  Wide silver projections hit it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

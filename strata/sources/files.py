@@ -24,8 +24,25 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = P.ACC
     return reader.csv(path)
 
 
-def read_parquet(spark: SparkSession, *paths: str, **options) -> DataFrame:
-    return spark.read.options(**options).parquet(*paths)
+def read_parquet(spark: SparkSession, *paths: str, min_partitions: int | None = None,
+                 **options) -> DataFrame:
+    """Parquet scan; see `ensure_parallelism` for `min_partitions`."""
+    df = spark.read.options(**options).parquet(*paths)
+    return ensure_parallelism(df, min_partitions) if min_partitions else df
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a frame over at least `min_partitions` tasks (default: the
+    cluster's default parallelism) when its plan yields fewer.
+
+    A large multi-file input already has many splits and is returned as is
+    (no shuffle); a small input held in one parquet row group, followed by
+    heavy per-row work, would otherwise run as a single task.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
