@@ -120,14 +120,22 @@ MARTS = {
 }
 
 
-def build_all(df: DataFrame, publish=None, marts: dict | None = None) -> list[tuple]:
+FULL_COPY = "gold_final_accidents"
+
+
+def build_all(df: DataFrame, publish=None, marts: dict | None = None,
+              full_copy: str | None = None) -> list[tuple]:
     """Build (and optionally publish) every mart; one failing mart is logged
     and the others still run.  Returns `(mart, status, error)` tuples.
 
     `publish(name, frame)` performs the write (parquet, table or JDBC).
+    `full_copy` also publishes `df` itself under that name; unlike a mart,
+    its failure is raised (the serving layer depends on it).
     """
     marts = MARTS if marts is None else marts
     report = []
+    if full_copy and publish is None:
+        raise ValueError("full_copy needs a publisher")
     for name, fn in marts.items():
         try:
             out = fn(df)
@@ -137,4 +145,7 @@ def build_all(df: DataFrame, publish=None, marts: dict | None = None) -> list[tu
         except Exception as exc:  # noqa: BLE001 - reported per mart, run continues
             log.error("mart %s failed: %s", name, exc)
             report.append((name, "failed", str(exc)[:500]))
+    if full_copy:
+        publish(full_copy, df)
+        report.append((full_copy, "ok", None))
     return report

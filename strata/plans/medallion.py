@@ -34,7 +34,11 @@ log = logging.getLogger(__name__)
 
 def forest_predictions(ml_table: DataFrame, key: str = P.KEY, label: str = P.LABEL,
                        **rf_params) -> tuple[DataFrame, dict]:
-    """Train on the hash-split 80 %, score every row, report test accuracy."""
+    """Train on the hash-split 80 %, score every row, report test accuracy.
+
+    The assembled features stay persisted until the caller has written the
+    predictions (`info["assembled"].unpersist()`).
+    """
     assembled, features = assemble(ml_table, label)
     train, test = train_test_split(assembled, key)
     model = train_forest(train, label, **rf_params)
@@ -84,12 +88,13 @@ def run_medallion(spark: SparkSession, raw: DataFrame, model: str = "forest",
     if materialize_to:
         gold.write.mode("overwrite").parquet(f"{materialize_to}/gold")
         gold = spark.read.parquet(f"{materialize_to}/gold")
-    if "assembled" in out:
+    if materialize_to and "assembled" in out:
+        # predictions are on disk now; otherwise the caller unpersists
         out["assembled"].unpersist()
     out["predictions"] = preds
     out["gold"] = gold
     for name, fn in marts.MARTS.items():
         out[name] = fn(gold)
     if publish is not None:
-        out["publish_report"] = marts.build_all(gold, publish)
+        out["publish_report"] = marts.build_all(gold, publish, full_copy=marts.FULL_COPY)
     return out

@@ -58,3 +58,10 @@ def read_jdbc(spark: SparkSession, table: str, url: str | None = None,
                                lowerBound=lower, upperBound=upper,
                                numPartitions=num_partitions, properties=props)
     return spark.read.jdbc(jdbc_url(url), table, properties=props)
+
+
+def jdbc_publisher(url: str | None = None, properties: dict | None = None, **write_options):
+    """Publisher writing each named frame to the RDBMS table of that name."""
+    def publish(name: str, df: DataFrame) -> None:
+        write_jdbc(df, name, url=url, properties=properties, **write_options)
+    return publish

@@ -60,3 +60,20 @@ def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "o
         n, key = bucket_by
         writer = writer.bucketBy(n, key).sortBy(key)
     writer.saveAsTable(name)
+
+
+def parquet_publisher(root: str, mode: str = "overwrite"):
+    """Publisher writing each named frame to `<root>/<name>` as parquet."""
+    def publish(name: str, df: DataFrame) -> None:
+        df.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}")
+    return publish
+
+
+def table_publisher(database: str | None = None, root: str | None = None,
+                    mode: str = "overwrite"):
+    """Publisher saving each named frame as a catalog table (external at
+    `<root>/<name>` when `root` is given)."""
+    def publish(name: str, df: DataFrame) -> None:
+        table = f"{database}.{name}" if database else name
+        save_table(df, table, path=f"{root.rstrip('/')}/{name}" if root else None, mode=mode)
+    return publish

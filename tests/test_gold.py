@@ -77,3 +77,20 @@ def test_pages_are_stable_and_cover_everything(gold):
     assert rows(page(gold, 3, 2), "ID") == [(seen[3],), (seen[4],)]
     assert [r[0] for r in page_after(gold, seen[9], 3).select("ID").collect()] == seen[10:13]
     assert [r[0] for r in preview(gold, 4).select("ID").collect()] == seen[:4]
+
+
+def test_build_all_publishes_full_copy(gold, tmp):
+    from strata.sources.sinks import parquet_publisher
+    report = marts.build_all(gold, parquet_publisher(tmp),
+                             marts={"by_sev": lambda d: d.groupBy("Severity").count()},
+                             full_copy="gold_copy")
+    assert [(n, s) for n, s, _ in report] == [("by_sev", "ok"), ("gold_copy", "ok")]
+    assert gold.sparkSession.read.parquet(f"{tmp}/gold_copy").count() == 40
+
+
+def test_persisted_scope(gold):
+    from strata.operators.cache import persisted
+    with persisted(gold) as cached:
+        assert cached.is_cached
+        assert cached.count() == 40
+    assert not gold.is_cached
