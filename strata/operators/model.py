@@ -25,12 +25,22 @@ def train_test_split(df: DataFrame, key: str = P.KEY, weights: list[float] | Non
 
 def train_forest(train: DataFrame, label: str = P.LABEL, features: str = "features",
                  num_trees: int = P.RF_NUM_TREES, max_bins: int = P.RF_MAX_BINS,
-                 seed: int = P.SPLIT_SEED, **params) -> RandomForestClassificationModel:
+                 seed: int = P.SPLIT_SEED, max_partitions: int | None = None,
+                 **params) -> RandomForestClassificationModel:
     """Random-forest fit (distributed: per-node histogram aggregates).
 
-    The seed is always set so a re-run grows the same forest.  Extra
-    `params` (maxDepth, subsamplingRate, checkpointInterval, ...) pass through.
+    Every tree level, each input partition emits one histogram set
+    (features x bins x classes) per open node, so the shuffle per level grows
+    with the partition count, not the row count.  Partitions beyond the
+    cluster's cores add that volume without adding parallelism; the input is
+    therefore coalesced (no shuffle) to at most `max_partitions` (default:
+    the default parallelism).  The seed is always set so a re-run grows the
+    same forest.  Extra `params` (maxDepth, subsamplingRate, maxMemoryInMB,
+    cacheNodeIds, checkpointInterval, ...) pass through.
     """
+    cap = max_partitions or train.sparkSession.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() > cap:
+        train = train.coalesce(cap)
     rf = RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=num_trees,
                                 maxBins=max_bins, seed=seed, **params)
     return rf.fit(train)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from strata import presets as P
 from strata.operators.ingest import assign_deliveries, row_audit, stamp
-from strata.sources.batches import latest_date, read_if_exists, snapshot
+from strata.sources.batches import read_if_exists, snapshot
 from strata.sources.sinks import write_csv, write_partitioned
 
 log = logging.getLogger(__name__)
@@ -77,8 +77,9 @@ def accumulate(spark: SparkSession, raw_root: str, bronze_root: str,
     if raw is None:
         return spark.createDataFrame([], REPORT_SCHEMA)
     bronze = read_if_exists(spark, bronze_root)
-    mark = latest_date(bronze, col)
+    # one job over bronze's partition column gives both its dates and the mark
     have = set(_date_counts(bronze, col)) if bronze is not None else set()
+    mark = max(have) if have else None
     counts = _date_counts(raw, col)
     new = sorted(d for d in counts if mark is None or d > mark)
     if new:
