@@ -70,11 +70,22 @@ def assign_deliveries(df: DataFrame, key: str, dates: list[str] | None = None,
     return df.withColumn(col, split_label(key, weights, [date_dir(d) for d in dates]))
 
 
-def repartition_by_key(df: DataFrame, n: int, key: str | None = None) -> DataFrame:
-    """Hash-partition on `key` when present, else round-robin; rows unchanged."""
-    if key and key in df.columns:
-        return df.repartition(n, key)
-    return df.repartition(n)
+def repartition_by_key(df: DataFrame, n: int | None = None, key: str | None = None,
+                       balanced: bool = True) -> DataFrame:
+    """Cluster rows by `key` when present, else spread them; rows unchanged.
+
+    `balanced=True` uses the REBALANCE hint: rows stay clustered by key, but
+    AQE sizes the output partitions from the shuffle statistics and splits a
+    partition holding a hot key (one key with a third of the rows would
+    otherwise become one huge task and file).  `balanced=False` is a plain
+    hash repartition into exactly `n` partitions.
+    """
+    has_key = bool(key) and key in df.columns
+    if balanced:
+        return df.hint("rebalance", key) if has_key else df.hint("rebalance")
+    if has_key:
+        return df.repartition(n, key) if n else df.repartition(key)
+    return df.repartition(n) if n else df
 
 
 def row_audit(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:

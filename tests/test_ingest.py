@@ -47,7 +47,24 @@ def test_stamp_replaces_column(spark):
 def test_repartition_preserves_rows(spark):
     df = _ids(spark)
     assert repartition_by_key(df, 5, "v").count() == 600
-    assert repartition_by_key(df, 5, "missing").rdd.getNumPartitions() == 5
+    assert repartition_by_key(df, 5, "v", balanced=False).rdd.getNumPartitions() == 5
+    assert repartition_by_key(df, 5, "missing", balanced=False).rdd.getNumPartitions() == 5
+
+
+def test_rebalance_splits_a_hot_key_on_write(spark, tmp):
+    import glob
+
+    import pyarrow.parquet as pq
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        df = spark.range(300000).withColumn(
+            "k", F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 50).cast("string")))
+        repartition_by_key(df, key="k").write.parquet(f"{tmp}/bal")
+        sizes = [pq.ParquetFile(f).metadata.num_rows for f in glob.glob(f"{tmp}/bal/*.parquet")]
+        assert sum(sizes) == 300000
+        assert max(sizes) < 100000  # the 100,000 hot rows are not in one file
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
 def test_row_audit_counts_in_same_pass(spark, tmp):
