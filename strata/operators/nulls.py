@@ -118,10 +118,15 @@ def null_profile_long(df: DataFrame) -> DataFrame:
                         "column_name", "missing")
 
 
-def schema_report(df: DataFrame) -> DataFrame:
-    """The schema as data: (position, column_name, data_type, nullable)."""
+def schema_report(df: DataFrame, with_missing: bool = False) -> DataFrame:
+    """The schema as data: (position, column_name, data_type, nullable), one
+    row per column; `with_missing` adds each column's missing count from a
+    single pass over the rows (`null_profile_long`)."""
     spark = df.sparkSession
     rows = [(i, f.name, f.dataType.simpleString(), f.nullable)
             for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(
+    report = spark.createDataFrame(
         rows, "position int, column_name string, data_type string, nullable boolean")
+    if with_missing:
+        report = report.join(null_profile_long(df), "column_name", "left")
+    return report

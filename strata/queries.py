@@ -150,7 +150,7 @@ def q_null_profile_long(spark, sf):
 
 
 def q_schema_report(spark, sf):
-    return schema_report(silver_join(_acc(spark, sf)))
+    return schema_report(silver_join(_acc(spark, sf)), with_missing=True)
 
 
 def q_index_frequency(spark, sf):

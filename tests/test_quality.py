@@ -61,6 +61,8 @@ def test_null_profile_type_aware(spark):
 def test_schema_report(spark):
     df = spark.createDataFrame([("a", 1)], "s string, n int")
     assert rows(schema_report(df), "column_name", "data_type") == [("s", "string"), ("n", "int")]
+    full = schema_report(df, with_missing=True).orderBy("position")
+    assert rows(full, "column_name", "missing") == [("s", 0), ("n", 0)]
 
 
 def test_drop_and_type_selection(spark):
