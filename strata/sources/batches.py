@@ -68,6 +68,15 @@ def dated_directories(spark: SparkSession, root: str,
             .groupBy(P.BATCH_COLUMN).agg(F.count(F.lit(1)).alias("rows")))
 
 
+def dated_sources(spark: SparkSession, root: str, leaf: str = "parquet",
+                  pattern: str = P.BATCH_DIR_PATTERN) -> dict:
+    """`{date: "<root>/<date>/<leaf>"}` for the dated deliveries under `root`
+    (a handful of dates: one small row per delivery reaches the driver)."""
+    dates = dated_directories(spark, root, pattern).select(P.BATCH_COLUMN).collect()
+    base = root.rstrip("/")
+    return {r[0]: f"{base}/{r[0]}/{leaf}" if leaf else f"{base}/{r[0]}" for r in dates}
+
+
 def _escape(text: str) -> str:
     out = []
     for ch in text:

@@ -167,3 +167,23 @@ def test_assign_deliveries_uses_directory_dates(spark):
     out = assign_deliveries(_ids(spark, 50), "ID")
     assert {r[0] for r in out.select(P.BATCH_COLUMN).distinct().collect()} <= {
         "2025_06_15", "2025_06_16", "2025_06_17"}
+
+
+def test_dated_layout_lands_and_single_file_delivery(spark, tmp):
+    import glob
+
+    from strata.sources.batches import dated_sources
+    df = _ids(spark, 60).repartition(3)
+    df.write.parquet(f"{tmp}/temp/2025_06_15/parquet")
+    df.limit(20).write.parquet(f"{tmp}/temp/2025_06_16/parquet")
+    sources = dated_sources(spark, f"{tmp}/temp")
+    assert sorted(sources) == ["2025_06_15", "2025_06_16"]
+    # an extra delivery made from one part file of an existing date
+    part = sorted(glob.glob(f"{tmp}/temp/2025_06_16/parquet/part-*.parquet"))[0]
+    sources["2025_06_20"] = part
+    report = {r[0]: (r[1], r[2]) for r in bronze.land(spark, sources, f"{tmp}/raw").collect()}
+    assert report["2025_06_15"] == (60, "landed") and report["2025_06_16"] == (20, "landed")
+    single = spark.read.parquet(part).count()
+    assert report["2025_06_20"] == (single, "landed")
+    raw = spark.read.parquet(f"{tmp}/raw")
+    assert raw.filter(F.col(P.BATCH_COLUMN) == "2025_06_20").count() == single

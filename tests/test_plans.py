@@ -76,3 +76,18 @@ def test_bucketed_enrichment_needs_no_exchange(spark, tmp):
         assert joined.count() == 1000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+
+
+def test_chain_row_counts(spark):
+    from strata.fixture import accidents
+    from strata.plans.silver import silver_join, silver_ml
+    from tests.conftest import SMOKE
+    raw = accidents(spark, SMOKE)
+    n = raw.count()
+    twilight_missing = raw.filter(" OR ".join(f"{c} IS NULL" for c in
+                                              ["Sunrise_Sunset", "Civil_Twilight",
+                                               "Nautical_Twilight", "Astronomical_Twilight"])).count()
+    assert silver_join(raw).count() == n - twilight_missing
+    ml, _ = silver_ml(raw)
+    assert ml.count() == n and len(ml.columns) == 34
+    assert len(silver_join(raw).columns) == 42
