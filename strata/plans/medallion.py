@@ -62,7 +62,7 @@ def _bucketed(df: DataFrame, root: str, name: str, buckets: int, key: str) -> Da
 
 
 def run_medallion(spark: SparkSession, raw: DataFrame, model: str = "forest",
-                  materialize_to: str | None = None, buckets: int = 64,
+                  materialize_to: str | None = None, buckets: int | None = None,
                   publish=None, **rf_params) -> dict:
     """Run silver, prediction, enrichment and the four marts.
 
@@ -70,6 +70,9 @@ def run_medallion(spark: SparkSession, raw: DataFrame, model: str = "forest",
     majority class (no ML job).  `publish(name, frame)` writes each mart.
     Returns a dict of the frames (and the forest's accuracy when trained).
     """
+    if buckets is None:
+        # the shuffle partition count is what a cluster sizes to its data
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stats = shared_stats(prepare(raw))
     join_table = silver_join(raw, stats)
     ml_table, indexer = silver_ml(raw, stats)

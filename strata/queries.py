@@ -437,13 +437,13 @@ def q_rf_predict(spark, sf):
 
 def q_medallion_gold(spark, sf):
     out = run_medallion(spark, _acc(spark, sf), model="baseline",
-                        materialize_to=scratch_path(spark, "medallion"), buckets=8)
+                        materialize_to=scratch_path(spark, "medallion"))
     return _r6(out["dm_weather_accidents"])
 
 
 def q_medallion_full(spark, sf):
     out = run_medallion(spark, _acc(spark, sf), model="forest",
-                        materialize_to=scratch_path(spark, "medallion_full"), buckets=8)
+                        materialize_to=scratch_path(spark, "medallion_full"))
     return _r6(out["gold"])
 
 

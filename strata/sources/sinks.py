@@ -48,9 +48,15 @@ def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "o
     """Parquet catalog table.
 
     `bucket_by=(n, key)` writes a bucketed, key-sorted table so that a later
-    join on `key` with a table bucketed the same way needs no shuffle.
+    join on `key` with a table bucketed the same way needs no shuffle.  The
+    rows are first hash-partitioned on `key` into exactly `n` partitions
+    (the same hash and modulus that assign buckets), so each write task
+    holds one bucket and writes one file: without it every task would write
+    a file per bucket, tasks x buckets files in all.
     `path` makes it an external table at a chosen (shared) location.
     """
+    if bucket_by:
+        df = df.repartition(bucket_by[0], bucket_by[1])
     writer = df.write.mode(mode).format("parquet")
     if path:
         writer = writer.option("path", path)

@@ -74,6 +74,8 @@ def test_bucketed_enrichment_needs_no_exchange(spark, tmp):
         assert "SortMergeJoin" in text
         assert "Exchange" not in text
         assert joined.count() == 1000
+        import glob
+        assert len(glob.glob(f"{tmp}/l/*.parquet")) == 4  # one file per bucket
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
 
