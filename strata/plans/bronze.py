@@ -12,6 +12,7 @@ partitions instead of duplicating rows.
 from __future__ import annotations
 
 import logging
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,21 +67,26 @@ def land(spark: SparkSession, sources: dict, raw_root: str,
 
 
 def accumulate(spark: SparkSession, raw_root: str, bronze_root: str,
-               col: str = P.BATCH_COLUMN) -> DataFrame:
+               col: str = P.BATCH_COLUMN, pattern: str = P.BATCH_DIR_PATTERN) -> DataFrame:
     """Append raw dates newer than bronze's high-water mark to bronze.
 
     Dates at or below the mark that bronze lacks are late deliveries: they
-    are not ingested (the mark is strict) but are reported as `late`.
-    Returns one report row per raw date: ingested / present / late.
+    are not ingested (the mark is strict) but are reported as `late`.  Values
+    that are not dates (`pattern`) never become the mark and are reported as
+    `invalid`.  Returns one report row per raw value: ingested / present /
+    late / invalid.
     """
     raw = read_if_exists(spark, raw_root)
     if raw is None:
         return spark.createDataFrame([], REPORT_SCHEMA)
     bronze = read_if_exists(spark, bronze_root)
+    is_date = re.compile(pattern).match
     # one job over bronze's partition column gives both its dates and the mark
-    have = set(_date_counts(bronze, col)) if bronze is not None else set()
+    have = {d for d in (_date_counts(bronze, col) if bronze is not None else {})
+            if d is not None and is_date(str(d))}
     mark = max(have) if have else None
-    counts = _date_counts(raw, col)
+    all_counts = _date_counts(raw, col)
+    counts = {d: n for d, n in all_counts.items() if d is not None and is_date(str(d))}
     new = sorted(d for d in counts if mark is None or d > mark)
     if new:
         batch = raw.filter(F.col(col).isin(new))
@@ -91,6 +97,9 @@ def accumulate(spark: SparkSession, raw_root: str, bronze_root: str,
         if status == "late":
             log.warning("late delivery %s (<= high-water mark %s) not ingested", d, mark)
         report.append((d, counts[d], status))
+    for d in sorted((k for k in all_counts if k not in counts), key=str):
+        log.warning("raw partition value %r is not a batch date; ignored", d)
+        report.append((None if d is None else str(d), all_counts[d], "invalid"))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 

@@ -44,7 +44,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str
 
 def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite",
                bucket_by: tuple[int, str] | None = None,
-               partition_by: list[str] | None = None) -> None:
+               partition_by: list[str] | None = None,
+               max_records_per_file: int | None = None) -> None:
     """Parquet catalog table.
 
     `bucket_by=(n, key)` writes a bucketed, key-sorted table so that a later
@@ -58,6 +59,8 @@ def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "o
     if bucket_by:
         df = df.repartition(bucket_by[0], bucket_by[1])
     writer = df.write.mode(mode).format("parquet")
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     if path:
         writer = writer.option("path", path)
     if partition_by:

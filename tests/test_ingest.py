@@ -187,3 +187,26 @@ def test_dated_layout_lands_and_single_file_delivery(spark, tmp):
     assert report["2025_06_20"] == (single, "landed")
     raw = spark.read.parquet(f"{tmp}/raw")
     assert raw.filter(F.col(P.BATCH_COLUMN) == "2025_06_20").count() == single
+
+
+def test_non_date_partition_never_becomes_the_mark(spark, tmp):
+    raw, counts = _landed(spark, tmp)
+    stray = _ids(spark, 5).withColumn(P.BATCH_COLUMN, F.lit("zz_manual"))
+    write_partitioned(stray, raw)
+    report = {r[0]: r[2] for r in bronze.accumulate(spark, raw, f"{tmp}/bz").collect()}
+    assert report["zz_manual"] == "invalid"
+    assert {report[d] for d in counts} == {"ingested"}
+    late = _ids(spark, 7).withColumn(P.BATCH_COLUMN, F.lit("2025_06_18"))
+    write_partitioned(late, raw)
+    again = {r[0]: r[2] for r in bronze.accumulate(spark, raw, f"{tmp}/bz").collect()}
+    assert again["2025_06_18"] == "ingested"
+
+
+def test_table_file_size_cap(spark, tmp):
+    import glob
+
+    from strata.sources.sinks import save_table
+    save_table(_ids(spark, 100).coalesce(1), "capped", path=f"{tmp}/capped",
+               max_records_per_file=30)
+    assert len(glob.glob(f"{tmp}/capped/*.parquet")) == 4
+    assert spark.table("capped").count() == 100
