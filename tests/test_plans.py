@@ -93,3 +93,33 @@ def test_chain_row_counts(spark):
     ml, _ = silver_ml(raw)
     assert ml.count() == n and len(ml.columns) == 34
     assert len(silver_join(raw).columns) == 42
+
+
+def test_hot_key_enrichment_is_split_by_aqe(spark):
+    """One ID holding a third of the left rows: AQE splits its partition.
+    Thresholds are scaled down to the test size (defaults: 256 MB, 5x)."""
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.shuffle.partitions": "16",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        ids = F.concat(F.lit("A-"), F.col("id").cast("string"))
+        left = spark.range(300000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(ids).alias("ID"), "id")
+        right = spark.range(300000).select(ids.alias("ID"), (F.col("id") % 4).alias("p")) \
+            .union(spark.createDataFrame([("HOT", 9)], "ID string, p long"))
+        joined = enrich(left, right, "ID", ["p"])
+        assert joined.count() == 300000
+        joined.collect()
+        final = plan(joined).split("== Initial Plan ==")[0]
+        assert "SortMergeJoin(skew=true)" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
