@@ -87,7 +87,11 @@ def run_medallion(spark: SparkSession, raw: DataFrame, model: str = "forest",
     if materialize_to:
         join_table = _bucketed(join_table, materialize_to, "silver_join", buckets, P.KEY)
         right = _bucketed(right, materialize_to, "predictions", buckets, P.KEY)
-    gold = enrich(join_table, right, P.KEY, [P.PREDICTION_CLASS])
+    # On the bucketed table the uniqueness check is an aggregate without an
+    # exchange (rows are already clustered by key); unique keys are also what
+    # keeps the exchange-free join free of skew.
+    gold = enrich(join_table, right, P.KEY, [P.PREDICTION_CLASS],
+                  check_unique=bool(materialize_to))
     if materialize_to:
         gold.write.mode("overwrite").parquet(f"{materialize_to}/gold")
         gold = spark.read.parquet(f"{materialize_to}/gold")
