@@ -89,8 +89,3 @@ def read_tables(spark: SparkSession, sf_dir: str, names=SOURCE_TABLES) -> dict:
 def accidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 46-column raw accident frame over `sf_dir`'s tables."""
     return spark.sql(view_sql("spark"), **read_tables(spark, sf_dir))
-
-
-def with_acc(select_sql: str) -> str:
-    """Wrap an oracle query so that it can read the view as `acc`."""
-    return f"WITH acc AS ({view_sql('duckdb')})\n{select_sql}"

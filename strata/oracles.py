@@ -164,10 +164,6 @@ SILVER = (ACC, CONV, STATS)
 GOLD_CTES = (ACC, CONV, STATS, SJ, ML, MAJ, GOLD)
 
 
-def _r6_select(cols_sql: list[str]) -> str:
-    return ", ".join(cols_sql)
-
-
 def _hash_date(key: str, dates=P.DELIVERY_DATES, weights=P.DELIVERY_WEIGHTS) -> str:
     from itertools import accumulate
     total = float(sum(weights))

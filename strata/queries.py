@@ -9,12 +9,12 @@ round beyond what the pipeline specifies.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import presets as P
-from strata.fixture import BATCH_OF_EVENT, accidents, read_tables
+from strata.fixture import BATCH_OF_EVENT, accidents
 from strata.functions import (bool_to_int, clean_wind, convert_all, convert_units,
                               add_durations, daynight_to_int, default_text)
 from strata.operators import marts
@@ -35,7 +35,7 @@ from strata.plans.silver import prepare, shared_stats, silver_join, silver_ml
 from strata.session import scratch_path, unique_name
 from strata.sources.batches import batch_dates as _batch_dates, latest_date, snapshot
 from strata.sources.files import read_csv, read_parquet
-from strata.sources.sinks import save_table, write_csv
+from strata.sources.sinks import save_table, write_csv, write_partitioned
 from strata.streaming import run_bronze_stream
 
 BATCH = P.BATCH_COLUMN
@@ -269,7 +269,7 @@ def _deliver(spark, sf):
 def _deliver_and_accumulate(spark, sf):
     raw_root = _deliver(spark, sf)
     bronze_root = scratch_path(spark, "bronze")
-    bronze.accumulate(spark, raw_root, bronze_root).collect()
+    bronze.accumulate(spark, raw_root, bronze_root)
     return raw_root, bronze_root
 
 
@@ -311,26 +311,27 @@ def q_bronze_incremental(spark, sf):
                                            "2025-06-14"], [0.3, 0.3, 0.3, 0.1])
     first = dated.filter(F.col(BATCH).isin("2025_06_15", "2025_06_16"))
     later = dated.filter(~F.col(BATCH).isin("2025_06_15", "2025_06_16"))
-    from strata.sources.sinks import write_partitioned
     write_partitioned(first, raw_root)
     r1 = bronze.accumulate(spark, raw_root, bronze_root).withColumn("run", F.lit(1))
-    r1 = spark.createDataFrame(r1.collect(), r1.schema)
     write_partitioned(later, raw_root)
     r2 = bronze.accumulate(spark, raw_root, bronze_root).withColumn("run", F.lit(2))
-    r2 = spark.createDataFrame(r2.collect(), r2.schema)
     sizes = bronze.snapshot_sizes(spark.read.parquet(bronze_root))
     report = r1.unionByName(r2)
     return report.join(sizes.select(BATCH, F.col("snapshot_rows")), BATCH, "left")
 
 
 def q_bronze_rewrite_idempotent(spark, sf):
-    raw_root, bronze_root = _deliver_and_accumulate(spark, sf)
-    raw = spark.read.parquet(raw_root)
-    # land date 2 again, run the accumulation twice more: nothing may change
-    from strata.sources.sinks import write_partitioned
-    write_partitioned(raw.filter(F.col(BATCH) == SNAPSHOT_DATE), raw_root)
-    bronze.accumulate(spark, raw_root, bronze_root).collect()
-    bronze.accumulate(spark, raw_root, bronze_root).collect()
+    """Deliver, land, accumulate; then land date 2 again from its delivery
+    and accumulate twice more: nothing may change."""
+    deliveries = _deliver(spark, sf)
+    sources = {d: f"{deliveries}/{BATCH}={d}" for d in BATCH_OF_EVENT}
+    raw_root = scratch_path(spark, "landed")
+    bronze_root = scratch_path(spark, "bronze")
+    bronze.land(spark, sources, raw_root)
+    bronze.accumulate(spark, raw_root, bronze_root)
+    bronze.land(spark, {SNAPSHOT_DATE: sources[SNAPSHOT_DATE]}, raw_root)
+    bronze.accumulate(spark, raw_root, bronze_root)
+    bronze.accumulate(spark, raw_root, bronze_root)
     return bronze.snapshot_sizes(spark.read.parquet(bronze_root))
 
 
