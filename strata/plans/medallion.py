@@ -2,7 +2,8 @@
 
 Scale notes
 * One aggregate job computes every imputation statistic for both silver
-  tables; the indexer fit is one more.  Everything else is lazy.
+  tables, the indexer's label frequencies and the class counts
+  (`silver.profile`).  Everything else is lazy.
 * With `materialize_to`, the silver join table and the predictions are
   written as tables bucketed by the key with the same bucket count, so the
   enrichment join reads both sides already partitioned and sorted: a
@@ -25,7 +26,8 @@ from strata.operators.features import assemble
 from strata.operators.joins import enrich
 from strata.operators.model import (accuracy, majority_class, predict_all, predict_constant,
                                     train_forest, train_test_split)
-from strata.plans.silver import prepare, shared_stats, silver_join, silver_ml
+from strata.plans.silver import (indexer_from_labels, majority_from_counts, prepare, profile,
+                                 silver_join, silver_ml)
 from strata.session import unique_name
 from strata.sources.sinks import save_table
 
@@ -48,9 +50,11 @@ def forest_predictions(ml_table: DataFrame, key: str = P.KEY, label: str = P.LAB
     return preds, {"model": model, "assembled": assembled, **metrics}
 
 
-def baseline_predictions(ml_table: DataFrame, label: str = P.LABEL) -> DataFrame:
-    """Predictions from the majority-class model (deterministic stand-in)."""
-    value = majority_class(ml_table, label)
+def baseline_predictions(ml_table: DataFrame, label: str = P.LABEL,
+                         majority=None) -> DataFrame:
+    """Predictions from the majority-class model (deterministic stand-in).
+    `majority` may come from `silver.profile` (saves the counting job)."""
+    value = majority_class(ml_table, label) if majority is None else majority
     return predict_constant(ml_table, value).withColumn(
         P.PREDICTION_CLASS, F.col("prediction").cast("int")).drop("prediction")
 
@@ -73,16 +77,19 @@ def run_medallion(spark: SparkSession, raw: DataFrame, model: str = "forest",
     if buckets is None:
         # the shuffle partition count is what a cluster sizes to its data
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stats = shared_stats(prepare(raw))
+    # one aggregate job: imputation statistics, indexer labels, class counts
+    prof = profile(prepare(raw))
+    stats = prof["stats"]
     join_table = silver_join(raw, stats)
-    ml_table, indexer = silver_ml(raw, stats)
+    ml_table, indexer = silver_ml(raw, stats, indexer_from_labels(prof["labels"]))
     out = {"stats": stats, "indexer": indexer, "silver_join": join_table,
            "silver_ml": ml_table}
     if model == "forest":
         preds, info = forest_predictions(ml_table, **rf_params)
         out.update(info)
     else:
-        preds = baseline_predictions(ml_table)
+        preds = baseline_predictions(ml_table,
+                                     majority=majority_from_counts(prof["class_counts"]))
     right = preds.select(P.KEY, P.PREDICTION_CLASS)
     if materialize_to:
         join_table = _bucketed(join_table, materialize_to, "silver_join", buckets, P.KEY)

@@ -43,10 +43,92 @@ def silver_join(raw: DataFrame, stats: dict | None = None) -> DataFrame:
 
 
 def silver_ml(raw: DataFrame, stats: dict | None = None, indexer=None):
-    """The all-numeric ML table; returns (frame, fitted indexer)."""
+    """The all-numeric ML table; returns (frame, indexer).  Without an
+    `indexer` (e.g. from `indexer_from_labels`) one is fitted."""
     df = prepare(raw)
     df, indexer = index_categoricals(df, model=indexer)
     df = drop_tolerant(df, P.ML_DROP_TEXT)
     df = encode_flags(df)
     df = drop_tolerant(df, P.ML_DROP_GEO)
     return impute(df, stats=stats), indexer
+
+
+# ---------------------------------------------------------------------------
+# One pass for every statistic the silver/ML stages need.
+# ---------------------------------------------------------------------------
+
+_ALL = "__all__"
+
+
+def profile(prepared: DataFrame, mean: list[str] | None = None, median: list[str] | None = None,
+            categorical: list[str] | None = None, fill: dict | None = None,
+            label: str | None = P.LABEL, accuracy: int = P.MEDIAN_ACCURACY) -> dict:
+    """Imputation statistics, categorical label frequencies and class counts
+    from a single aggregate job.
+
+    Each row is fanned out once per "set" (all rows, each categorical column,
+    the label) before a partial aggregate keyed by (set, value): means and
+    medians are taken on the all-rows set only, counts on every set.  The
+    result has one row per distinct categorical value, never per data row.
+    Returns {"stats", "labels", "class_counts"}; `labels[c]` is ordered as
+    the frequency indexer orders them (count desc, then label).
+    """
+    from pyspark.sql import functions as F
+
+    from strata.operators.nulls import _valid
+    mean = [c for c in (P.IMPUTE_MEAN if mean is None else mean) if c in prepared.columns]
+    median = [c for c in (P.IMPUTE_MEDIAN if median is None else median)
+              if c in prepared.columns]
+    categorical = [c for c in (P.INDEX_COLUMNS if categorical is None else categorical)
+                   if c in prepared.columns]
+    fill = P.CATEGORICAL_FILL if fill is None else fill
+    sets = [(_ALL, F.lit(None).cast("string"))]
+    for c in categorical:
+        col = F.col(f"`{c}`")
+        sets.append((c, F.coalesce(col, F.lit(fill[c])) if c in fill else col))
+    if label and label in prepared.columns:
+        sets.append((label, F.col(f"`{label}`").cast("string")))
+    fan = F.explode(F.array(*[F.struct(F.lit(n).alias("s"), e.alias("k")) for n, e in sets]))
+    measures = [*mean, *median]
+    exploded = prepared.select(fan.alias("e"),
+                               *[_valid(prepared, c).alias(c) for c in measures])
+    on_all = F.col("e.s") == _ALL
+    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs += [F.avg(F.when(on_all, F.col(f"`{c}`"))).alias(f"mean::{c}") for c in mean]
+    aggs += [F.percentile_approx(F.when(on_all, F.col(f"`{c}`")), 0.5, accuracy)
+             .alias(f"median::{c}") for c in median]
+    rows = exploded.groupBy(F.col("e.s").alias("s"), F.col("e.k").alias("k")).agg(*aggs).collect()
+    stats, counts = {}, {c: [] for c in categorical}
+    class_counts = {}
+    for r in rows:
+        if r["s"] == _ALL:
+            stats = {k: r[k] for k in r.asDict() if "::" in k}
+        elif label and r["s"] == label:
+            class_counts[r["k"]] = r["n"]
+        elif r["k"] is not None:  # like the fitted indexer: nulls are not labels
+            counts[r["s"]].append((r["k"], r["n"]))
+    # count desc, then label in Java string order (UTF-16 code units)
+    labels = {c: [k for k, _ in sorted(v, key=lambda kv: (-kv[1], _java_order(kv[0])))]
+              for c, v in counts.items()}
+    return {"stats": stats, "labels": labels, "class_counts": class_counts}
+
+
+def _java_order(text):
+    return b"" if text is None else text.encode("utf-16-be")
+
+
+def indexer_from_labels(labels: dict, suffix: str = P.INDEX_SUFFIX, handle_invalid: str = "keep"):
+    """A frequency indexer model built from counted labels (no fitting pass)."""
+    from pyspark.ml.feature import StringIndexerModel
+    cols = list(labels)
+    return StringIndexerModel.from_arrays_of_labels(
+        [labels[c] for c in cols], inputCols=cols, outputCols=[c + suffix for c in cols],
+        handleInvalid=handle_invalid)
+
+
+def majority_from_counts(class_counts: dict, cast=int):
+    """Most frequent class (ties: smallest) from `profile`'s class counts."""
+    if not class_counts:
+        return None
+    best = max(class_counts.items(), key=lambda kv: (kv[1], -cast(kv[0])))
+    return cast(best[0])

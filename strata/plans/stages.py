@@ -28,7 +28,7 @@ from strata.operators.joins import enrich
 from strata.operators.serve import page
 from strata.plans import bronze
 from strata.plans.medallion import baseline_predictions, forest_predictions
-from strata.plans.silver import prepare, shared_stats, silver_join, silver_ml
+from strata.plans.silver import indexer_from_labels, prepare, profile, silver_join, silver_ml
 from strata.sources.batches import latest_date
 from strata.sources.sinks import parquet_publisher
 
@@ -73,9 +73,10 @@ def stage_silver(spark: SparkSession, root: str, date: str | None = None) -> dic
     p = paths(root)
     b = spark.read.parquet(p["bronze"])
     snap = bronze.bronze_snapshot(spark, p["bronze"], date or latest_date(b)).drop(P.BATCH_COLUMN)
-    stats = shared_stats(prepare(snap))
+    prof = profile(prepare(snap))  # statistics + indexer labels in one job
+    stats = prof["stats"]
     silver_join(snap, stats).write.mode("overwrite").parquet(p["silver_join"])
-    ml, _ = silver_ml(snap, stats)
+    ml, _ = silver_ml(snap, stats, indexer_from_labels(prof["labels"]))
     ml.write.mode("overwrite").parquet(p["silver_ml"])
     return stats
 

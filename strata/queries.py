@@ -31,7 +31,8 @@ from strata.operators.nulls import (dropna_subset, fill_constant, impute, null_p
 from strata.operators.serve import page, preview
 from strata.plans import bronze
 from strata.plans.medallion import baseline_predictions, run_medallion
-from strata.plans.silver import prepare, shared_stats, silver_join, silver_ml
+from strata.plans.silver import (indexer_from_labels, majority_from_counts, prepare, profile,
+                                 silver_join, silver_ml)
 from strata.session import scratch_path, unique_name
 from strata.sources.batches import batch_dates as _batch_dates, latest_date, snapshot
 from strata.sources.files import read_csv, read_parquet
@@ -163,18 +164,27 @@ def q_silver_join(spark, sf):
 
 
 def q_silver_ml(spark, sf):
-    df, _ = silver_ml(_acc(spark, sf))
+    raw = _acc(spark, sf)
+    prof = profile(prepare(raw))
+    df, _ = silver_ml(raw, prof["stats"], indexer_from_labels(prof["labels"]))
     return _r6(df)
 
 
 # ---------------------------------------------------------------- gold ops
 
+def _silver_pair(spark, sf):
+    """Both silver tables and the baseline predictions from one profile job."""
+    raw = _acc(spark, sf)
+    prof = profile(prepare(raw))
+    ml, _ = silver_ml(raw, prof["stats"], indexer_from_labels(prof["labels"]))
+    preds = baseline_predictions(ml, majority=majority_from_counts(prof["class_counts"]))
+    return silver_join(raw, prof["stats"]), preds
+
+
 def _gold(spark, sf) -> DataFrame:
     """Silver join table enriched with the baseline predictions."""
-    raw = _acc(spark, sf)
-    stats = shared_stats(raw)
-    ml, _ = silver_ml(raw, stats)
-    return enrich(silver_join(raw, stats), baseline_predictions(ml), P.KEY, [P.PREDICTION_CLASS])
+    sj, preds = _silver_pair(spark, sf)
+    return enrich(sj, preds, P.KEY, [P.PREDICTION_CLASS])
 
 
 def q_mart_city(spark, sf):
@@ -213,10 +223,8 @@ def q_enrich_join(spark, sf):
 
 
 def q_enrich_join_audit(spark, sf):
-    raw = _acc(spark, sf)
-    stats = shared_stats(raw)
-    ml, _ = silver_ml(raw, stats)
-    return join_audit(silver_join(raw, stats), baseline_predictions(ml), P.KEY)
+    sj, preds = _silver_pair(spark, sf)
+    return join_audit(sj, preds, P.KEY)
 
 
 def q_union_by_name(spark, sf):

@@ -57,3 +57,21 @@ def test_accuracy_forms_agree(spark):
     rel = rows(accuracy_frame(scored), "accuracy")[0][0]
     assert abs(rel - accuracy(scored)) < 1e-12
     assert rows(majority_baseline(df), "majority_class")[0][0] == 1
+
+
+def test_profile_indexer_equals_fitted_indexer(spark):
+    from strata.operators.features import fit_indexer
+    from strata.plans.silver import indexer_from_labels, majority_from_counts, profile
+    df = spark.createDataFrame(
+        [(v, w, s, float(i)) for i, (v, w, s) in enumerate(
+            [("c", "x", 1), ("c", None, 2), ("a", "x", 2), ("b", "y", 3), ("", "y", 3),
+             (None, "z", 3)])],
+        "State string, Timezone string, Severity int, `Wind_Chill(C)` double")
+    prof = profile(df, mean=[], median=["Wind_Chill(C)"], categorical=["State", "Timezone"],
+                   fill={"Timezone": "UNKNOWN"})
+    assert prof["labels"]["State"] == ["c", "", "a", "b"]
+    fitted = fit_indexer(df.fillna({"Timezone": "UNKNOWN"}), ["State", "Timezone"]).stages[0]
+    built = indexer_from_labels(prof["labels"])
+    assert built.labelsArray == fitted.labelsArray
+    assert majority_from_counts(prof["class_counts"]) == 3
+    assert prof["stats"]["median::Wind_Chill(C)"] == 2.0
