@@ -118,12 +118,15 @@ def _java_order(text):
 
 
 def indexer_from_labels(labels: dict, suffix: str = P.INDEX_SUFFIX, handle_invalid: str = "keep"):
-    """A frequency indexer model built from counted labels (no fitting pass)."""
+    """A frequency indexer built from counted labels (no fitting pass): one
+    single-column model per column, so each keeps its own label count (the
+    multi-column constructor pads shorter label lists with nulls)."""
+    from pyspark.ml import PipelineModel
     from pyspark.ml.feature import StringIndexerModel
-    cols = list(labels)
-    return StringIndexerModel.from_arrays_of_labels(
-        [labels[c] for c in cols], inputCols=cols, outputCols=[c + suffix for c in cols],
-        handleInvalid=handle_invalid)
+    return PipelineModel(stages=[
+        StringIndexerModel.from_labels(labels[c], inputCol=c, outputCol=c + suffix,
+                                       handleInvalid=handle_invalid)
+        for c in labels])
 
 
 def majority_from_counts(class_counts: dict, cast=int):

@@ -72,6 +72,13 @@ def test_profile_indexer_equals_fitted_indexer(spark):
     assert prof["labels"]["State"] == ["c", "", "a", "b"]
     fitted = fit_indexer(df.fillna({"Timezone": "UNKNOWN"}), ["State", "Timezone"]).stages[0]
     built = indexer_from_labels(prof["labels"])
-    assert built.labelsArray == fitted.labelsArray
+    assert [m.labels for m in built.stages] == fitted.labelsArray
+    # unseen and null go to the per-column "keep" index; metadata has no nulls
+    probe = spark.createDataFrame([("zz", "x"), (None, None)], "State string, Timezone string")
+    out = built.transform(probe)
+    assert [tuple(r) for r in out.select("State_index", "Timezone_index").collect()] == [
+        (4.0, 0.0), (4.0, 4.0)]
+    vals = out.schema["Timezone_index"].metadata["ml_attr"]["vals"]
+    assert None not in vals
     assert majority_from_counts(prof["class_counts"]) == 3
     assert prof["stats"]["median::Wind_Chill(C)"] == 2.0
