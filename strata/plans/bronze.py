@@ -88,9 +88,11 @@ def accumulate(spark: SparkSession, raw_root: str, bronze_root: str,
     all_counts = _date_counts(raw, col)
     counts = {d: n for d, n in all_counts.items() if d is not None and is_date(str(d))}
     new = sorted(d for d in counts if mark is None or d > mark)
-    if new:
-        batch = raw.filter(F.col(col).isin(new))
-        write_partitioned(batch, bronze_root, col, mode="overwrite")
+    # one job per new date, oldest first: the mark (max date in bronze) can
+    # only advance once every earlier date is committed, so an interrupted
+    # run never leaves a gap that a re-run would take for a late delivery
+    for d in new:
+        write_partitioned(raw.filter(F.col(col) == F.lit(d)), bronze_root, col, mode="overwrite")
     report = []
     for d in sorted(counts):
         status = "ingested" if d in new else ("present" if d in have else "late")
