@@ -29,7 +29,6 @@ from strata.operators.serve import page
 from strata.plans import bronze
 from strata.plans.medallion import baseline_predictions, forest_predictions
 from strata.plans.silver import indexer_from_labels, prepare, profile, silver_join, silver_ml
-from strata.sources.batches import latest_date
 from strata.sources.sinks import parquet_publisher
 
 
@@ -71,8 +70,8 @@ def stage_bronze(spark: SparkSession, root: str) -> DataFrame:
 def stage_silver(spark: SparkSession, root: str, date: str | None = None) -> dict:
     """Both silver tables from the bronze snapshot as of `date` (latest)."""
     p = paths(root)
-    b = spark.read.parquet(p["bronze"])
-    snap = bronze.bronze_snapshot(spark, p["bronze"], date or latest_date(b)).drop(P.BATCH_COLUMN)
+    # the latest snapshot is every row: no max-date job, no filter
+    snap = bronze.bronze_snapshot(spark, p["bronze"], date).drop(P.BATCH_COLUMN)
     prof = profile(prepare(snap))  # statistics + indexer labels in one job
     stats = prof["stats"]
     silver_join(snap, stats).write.mode("overwrite").parquet(p["silver_join"])
