@@ -30,7 +30,7 @@ from strata.operators.nulls import (dropna_subset, fill_constant, impute, null_p
                                     null_profile_long, schema_report)
 from strata.operators.serve import page, preview
 from strata.plans import bronze
-from strata.plans.medallion import baseline_predictions, run_medallion
+from strata.plans.medallion import baseline_predictions, fused_gold, run_medallion
 from strata.plans.silver import (indexer_from_labels, majority_from_counts, prepare, profile,
                                  silver_join, silver_ml)
 from strata.session import scratch_path, unique_name
@@ -182,9 +182,12 @@ def _silver_pair(spark, sf):
 
 
 def _gold(spark, sf) -> DataFrame:
-    """Silver join table enriched with the baseline predictions."""
-    sj, preds = _silver_pair(spark, sf)
-    return enrich(sj, preds, P.KEY, [P.PREDICTION_CLASS])
+    """Gold rows: the silver join table with the baseline model's class,
+    scored in place (equal to the enrichment join; see `q_enrich_join`)."""
+    raw = _acc(spark, sf)
+    prof = profile(prepare(raw))
+    return fused_gold(raw, prof["stats"], prof["labels"], None,
+                      majority_from_counts(prof["class_counts"]))
 
 
 def q_mart_city(spark, sf):
@@ -219,7 +222,8 @@ def q_mart_generic(spark, sf):
 
 
 def q_enrich_join(spark, sf):
-    return _r6(_gold(spark, sf))
+    sj, preds = _silver_pair(spark, sf)
+    return _r6(enrich(sj, preds, P.KEY, [P.PREDICTION_CLASS]))
 
 
 def q_enrich_join_audit(spark, sf):
