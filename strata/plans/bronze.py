@@ -31,14 +31,15 @@ def write_deliveries(df: DataFrame, root: str, key: str = P.KEY, dates=None, wei
                      csv_root: str | None = None, col: str = P.BATCH_COLUMN) -> DataFrame:
     """Split `df` into dated deliveries by key hash and write them in one pass.
 
-    The optional CSV copy is produced from the written parquet (a columnar
-    re-read), not by recomputing or caching the input.  Returns per-date row
+    The optional CSV copy (one directory per date) is produced from the
+    written parquet (a columnar re-read), not by recomputing or caching the
+    input.  Returns per-date row
     counts read from the written partitions.
     """
     write_partitioned(assign_deliveries(df, key, dates, weights, col), root, col)
     written = df.sparkSession.read.parquet(root)
     if csv_root:
-        write_csv(written, csv_root)
+        write_csv(written, csv_root, partition_by=col)  # one CSV directory per date
     return written.groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
 
 

@@ -36,10 +36,15 @@ CSV_NULL = "\\N"
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = CSV_NULL,
-              **options) -> None:
-    """CSV with a header; nulls written as `null_value`, empty text as ``""``."""
-    (df.write.mode(mode).option("header", True).option("nullValue", null_value)
-     .options(**options).csv(path))
+              partition_by: str | list | None = None, **options) -> None:
+    """CSV with a header; nulls written as `null_value`, empty text as ``""``;
+    optionally one directory per value of `partition_by`."""
+    writer = (df.write.mode(mode).option("header", True).option("nullValue", null_value)
+              .options(**options))
+    if partition_by:
+        writer = writer.partitionBy(*([partition_by] if isinstance(partition_by, str)
+                                      else partition_by))
+    writer.csv(path)
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite",
