@@ -210,3 +210,11 @@ def test_table_file_size_cap(spark, tmp):
                max_records_per_file=30)
     assert len(glob.glob(f"{tmp}/capped/*.parquet")) == 4
     assert spark.table("capped").count() == 100
+
+
+def test_csv_copy_has_one_directory_per_date(spark, tmp):
+    counts = bronze.write_deliveries(_ids(spark), f"{tmp}/d", "ID", csv_root=f"{tmp}/c")
+    dirs = sorted(d for d in os.listdir(f"{tmp}/c") if d.startswith("batch_date="))
+    assert dirs == ["batch_date=2025_06_15", "batch_date=2025_06_16", "batch_date=2025_06_17"]
+    back = read_csv(spark, f"{tmp}/c", None, infer=False)
+    assert back.count() == 600 and sum(r[1] for r in counts.collect()) == 600
