@@ -164,10 +164,7 @@ def q_silver_join(spark, sf):
 
 
 def q_silver_ml(spark, sf):
-    raw = _acc(spark, sf)
-    prof = profile(prepare(raw))
-    df, _ = silver_ml(raw, prof["stats"], indexer_from_labels(prof["labels"]))
-    return _r6(df)
+    return _r6(_ml_table(spark, sf))
 
 
 # ---------------------------------------------------------------- gold ops
@@ -400,7 +397,10 @@ def q_row_audit(spark, sf):
 # ---------------------------------------------------------------- ML ops
 
 def _ml_table(spark, sf):
-    ml, _ = silver_ml(_acc(spark, sf))
+    """The ML table, its statistics and indexer labels from one profile job."""
+    raw = _acc(spark, sf)
+    prof = profile(prepare(raw))
+    ml, _ = silver_ml(raw, prof["stats"], indexer_from_labels(prof["labels"]))
     return ml
 
 
