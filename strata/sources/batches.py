@@ -10,11 +10,14 @@ Two layouts are understood:
 
 from __future__ import annotations
 
+import os
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import presets as P
+from strata.session import local_path
 
 
 def read_if_exists(spark: SparkSession, path: str, **options) -> DataFrame | None:
@@ -23,6 +26,8 @@ def read_if_exists(spark: SparkSession, path: str, **options) -> DataFrame | Non
     Any other failure (corrupt footer, permissions) is raised: silently
     starting a new history from an unreadable one would lose data.
     """
+    if _is_local(path) and not os.path.exists(local_path(path)):
+        return None  # known absent: no failing query (keeps listeners quiet)
     try:
         return spark.read.options(**options).parquet(path)
     except AnalysisException as exc:
@@ -32,6 +37,10 @@ def read_if_exists(spark: SparkSession, path: str, **options) -> DataFrame | Non
         raise
 
 
+def _is_local(path: str) -> bool:
+    return "://" not in path or path.startswith("file:")
+
+
 def batch_dates(df: DataFrame, col: str = P.BATCH_COLUMN) -> DataFrame:
     """Distinct batch dates of a partitioned table, one row each."""
     return df.select(col).distinct()
