@@ -46,9 +46,14 @@ def start_bronze_stream(spark: SparkSession, raw_root: str, bronze_root: str, ch
 
 
 def run_bronze_stream(spark: SparkSession, raw_root: str, bronze_root: str, checkpoint: str,
-                      col: str = P.BATCH_COLUMN, timeout_s: int = 600) -> DataFrame:
-    """Run the ingestion to completion and return the bronze dataset."""
-    query = start_bronze_stream(spark, raw_root, bronze_root, checkpoint, col)
+                      col: str = P.BATCH_COLUMN, timeout_s: int = 600,
+                      max_files_per_trigger: int | None = None) -> DataFrame:
+    """Run the ingestion to completion and return the bronze dataset.
+
+    `max_files_per_trigger` bounds each micro-batch when a large backlog has
+    landed (availableNow still drains all of it, batch by batch)."""
+    query = start_bronze_stream(spark, raw_root, bronze_root, checkpoint, col,
+                                max_files_per_trigger=max_files_per_trigger)
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()

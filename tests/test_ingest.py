@@ -218,3 +218,9 @@ def test_csv_copy_has_one_directory_per_date(spark, tmp):
     assert dirs == ["batch_date=2025_06_15", "batch_date=2025_06_16", "batch_date=2025_06_17"]
     back = read_csv(spark, f"{tmp}/c", None, infer=False)
     assert back.count() == 600 and sum(r[1] for r in counts.collect()) == 600
+
+
+def test_stream_in_bounded_micro_batches(spark, tmp):
+    raw, counts = _landed(spark, tmp)
+    out = run_bronze_stream(spark, raw, f"{tmp}/bz", f"{tmp}/ck", max_files_per_trigger=1)
+    assert out.count() == 600

@@ -93,3 +93,12 @@ def test_medallion_strategies_agree(spark, tmp):
                              for name in ("dm_accidents_by_city", "dm_weather_accidents",
                                           "dm_accidents_by_infra", "dm_grave_accidents_weather")}
     assert results["fused"] == results["bucketed"] == results["join"]
+
+
+def test_cli_arguments():
+    args = parse_args(["page", "--root", "/lake", "--offset", "5", "--limit", "2",
+                       "--conf", "spark.sql.shuffle.partitions=64"])
+    assert (args.stage, args.root, args.offset, args.limit) == ("page", "/lake", 5, 2)
+    assert dict(c.split("=", 1) for c in args.conf) == {"spark.sql.shuffle.partitions": "64"}
+    defaults = parse_args(["page", "--root", "/lake"])
+    assert (defaults.offset, defaults.limit, defaults.model) == (0, 1, "forest")
