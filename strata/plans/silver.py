@@ -135,3 +135,59 @@ def majority_from_counts(class_counts: dict, cast=int):
         return None
     best = max(class_counts.items(), key=lambda kv: (kv[1], -cast(kv[0])))
     return cast(best[0])
+
+
+# ---------------------------------------------------------------------------
+# Both silver tables as one physical table (one write pass).
+# ---------------------------------------------------------------------------
+
+TWILIGHT_COMPLETE = "__twilight_complete"
+
+
+def silver_wide(raw: DataFrame, stats: dict, labels: dict) -> tuple[DataFrame, list, list]:
+    """One frame holding both silver tables' columns, and their column lists.
+
+    The two tables share the converted and imputed measures; the ML-only
+    columns (indices over null-filled copies of the categorical columns,
+    `_num` encodings) are added next to the join table's columns, whose text
+    defaults are applied in place afterwards.  A flag marks the rows that
+    belong to the join table (all twilight values present).  Returns
+    (wide, join_columns, ml_columns).
+    """
+    from pyspark.sql import functions as F
+
+    from strata.functions import bool_as_int, daynight_as_int
+    join_columns = silver_join(raw, stats).columns
+    ml_columns = silver_ml(raw, stats, indexer_from_labels(labels))[0].columns
+    df = impute(prepare(raw), stats=stats)
+    tmp = {c: f"__cat_{c}" for c in labels if c in df.columns}
+    df = df.withColumns({t: F.coalesce(F.col(c), F.lit(P.CATEGORICAL_FILL[c]))
+                         for c, t in tmp.items()})
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import StringIndexerModel
+    df = PipelineModel(stages=[
+        StringIndexerModel.from_labels(labels[c], inputCol=t, outputCol=c + P.INDEX_SUFFIX,
+                                       handleInvalid="keep")
+        for c, t in tmp.items()]).transform(df)
+    flags = {c + P.FLAG_SUFFIX: bool_as_int(F.col(c)) for c in P.BOOL_FLAGS if c in df.columns}
+    flags.update({c + P.FLAG_SUFFIX: daynight_as_int(F.col(c))
+                  for c in P.DAYNIGHT_COLUMNS if c in df.columns})
+    complete = None
+    for c in P.TWILIGHT_REQUIRED:
+        if c in df.columns:
+            cond = F.col(c).isNotNull()
+            complete = cond if complete is None else complete & cond
+    flags[TWILIGHT_COMPLETE] = complete if complete is not None else F.lit(True)
+    df = default_text(df.withColumns(flags))
+    keep = list(dict.fromkeys([*join_columns, *ml_columns, TWILIGHT_COMPLETE]))
+    return df.select(*[F.col(f"`{c}`") for c in keep]), join_columns, ml_columns
+
+
+def join_view(wide: DataFrame, join_columns: list) -> DataFrame:
+    from pyspark.sql import functions as F
+    return wide.filter(F.col(TWILIGHT_COMPLETE)).select(*[F.col(f"`{c}`") for c in join_columns])
+
+
+def ml_view(wide: DataFrame, ml_columns: list) -> DataFrame:
+    from pyspark.sql import functions as F
+    return wide.select(*[F.col(f"`{c}`") for c in ml_columns])

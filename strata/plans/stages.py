@@ -6,8 +6,9 @@ an object-store prefix):
     deliveries/   dated deliveries (batch_date partitions) [+ deliveries_csv/]
     raw/          landed raw batches (batch_date partitions)
     bronze/       append-only accumulation (batch_date partitions)
-    silver/join/  silver table for the enrichment join
-    silver/ml/    all-numeric ML table
+    silver/wide/  both silver tables in one physical table (one write pass);
+                  the join table and the ML table are a filter/projection of it
+    silver/columns/  their column lists (one row)
     gold/predictions/  ID + prediction_classe
     gold/final/   enriched table (marts and serving read it)
     marts/<name>/ published marts (+ the full copy)
@@ -28,7 +29,7 @@ from strata.operators.joins import enrich
 from strata.operators.serve import page
 from strata.plans import bronze
 from strata.plans.medallion import baseline_predictions, forest_predictions
-from strata.plans.silver import indexer_from_labels, prepare, profile, silver_join, silver_ml
+from strata.plans.silver import join_view, ml_view, prepare, profile, silver_wide
 from strata.sources.sinks import parquet_publisher
 
 
@@ -37,7 +38,7 @@ def paths(root: str) -> dict:
     return {
         "deliveries": f"{r}/deliveries", "deliveries_csv": f"{r}/deliveries_csv",
         "raw": f"{r}/raw", "bronze": f"{r}/bronze",
-        "silver_join": f"{r}/silver/join", "silver_ml": f"{r}/silver/ml",
+        "silver_wide": f"{r}/silver/wide", "silver_columns": f"{r}/silver/columns",
         "predictions": f"{r}/gold/predictions", "gold": f"{r}/gold/final",
         "marts": f"{r}/marts",
     }
@@ -68,22 +69,41 @@ def stage_bronze(spark: SparkSession, root: str) -> DataFrame:
 
 
 def stage_silver(spark: SparkSession, root: str, date: str | None = None) -> dict:
-    """Both silver tables from the bronze snapshot as of `date` (latest)."""
+    """Both silver tables from the bronze snapshot as of `date` (latest).
+
+    One statistics job (`profile`) and one write: the two tables share the
+    converted and imputed measures, so they are stored as one wide table and
+    read back as a filter (join table) or a projection (ML table); parquet
+    column pruning then reads only each table's columns.
+    """
     p = paths(root)
     # the latest snapshot is every row: no max-date job, no filter
     snap = bronze.bronze_snapshot(spark, p["bronze"], date).drop(P.BATCH_COLUMN)
     prof = profile(prepare(snap))  # statistics + indexer labels in one job
-    stats = prof["stats"]
-    silver_join(snap, stats).write.mode("overwrite").parquet(p["silver_join"])
-    ml, _ = silver_ml(snap, stats, indexer_from_labels(prof["labels"]))
-    ml.write.mode("overwrite").parquet(p["silver_ml"])
-    return stats
+    wide, join_cols, ml_cols = silver_wide(snap, prof["stats"], prof["labels"])
+    wide.write.mode("overwrite").parquet(p["silver_wide"])
+    spark.createDataFrame([(join_cols, ml_cols)],
+                          "join_columns array<string>, ml_columns array<string>") \
+        .write.mode("overwrite").parquet(p["silver_columns"])
+    return prof["stats"]
+
+
+def read_silver(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The silver `"join"` or `"ml"` table of a lake root."""
+    p = paths(root)
+    cols = spark.read.parquet(p["silver_columns"]).first()
+    wide = spark.read.parquet(p["silver_wide"])
+    if table == "join":
+        return join_view(wide, list(cols["join_columns"]))
+    if table == "ml":
+        return ml_view(wide, list(cols["ml_columns"]))
+    raise ValueError(f"unknown silver table {table!r}")
 
 
 def stage_predict(spark: SparkSession, root: str, model: str = "forest", **rf_params) -> dict:
     """Score every ML row (forest, or the majority-class baseline)."""
     p = paths(root)
-    ml = spark.read.parquet(p["silver_ml"])
+    ml = read_silver(spark, root, "ml")
     info: dict = {}
     if model == "forest":
         preds, info = forest_predictions(ml, **rf_params)
@@ -98,7 +118,7 @@ def stage_predict(spark: SparkSession, root: str, model: str = "forest", **rf_pa
 def stage_enrich(spark: SparkSession, root: str, check_unique: bool = True) -> None:
     """Join the predicted class onto the silver join table; write gold."""
     p = paths(root)
-    gold = enrich(spark.read.parquet(p["silver_join"]), spark.read.parquet(p["predictions"]),
+    gold = enrich(read_silver(spark, root, "join"), spark.read.parquet(p["predictions"]),
                   P.KEY, [P.PREDICTION_CLASS], check_unique=check_unique)
     gold.write.mode("overwrite").parquet(p["gold"])
 

@@ -102,3 +102,17 @@ def test_cli_arguments():
     assert dict(c.split("=", 1) for c in args.conf) == {"spark.sql.shuffle.partitions": "64"}
     defaults = parse_args(["page", "--root", "/lake"])
     assert (defaults.offset, defaults.limit, defaults.model) == (0, 1, "forest")
+
+
+def test_wide_silver_views_equal_the_two_tables(spark):
+    from strata.plans.silver import (indexer_from_labels, join_view, ml_view, prepare, profile,
+                                     silver_join, silver_ml, silver_wide)
+    raw = accidents(spark, SMOKE)
+    prof = profile(prepare(raw))
+    wide, jc, mc = silver_wide(raw, prof["stats"], prof["labels"])
+    sj = silver_join(raw, prof["stats"])
+    ml, _ = silver_ml(raw, prof["stats"], indexer_from_labels(prof["labels"]))
+    a, b = join_view(wide, jc), ml_view(wide, mc)
+    assert a.columns == sj.columns and b.columns == ml.columns
+    assert sorted(rows(a), key=str) == sorted(rows(sj), key=str)
+    assert sorted(rows(b), key=str) == sorted(rows(ml), key=str)
