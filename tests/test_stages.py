@@ -116,3 +116,17 @@ def test_wide_silver_views_equal_the_two_tables(spark):
     assert a.columns == sj.columns and b.columns == ml.columns
     assert sorted(rows(a), key=str) == sorted(rows(sj), key=str)
     assert sorted(rows(b), key=str) == sorted(rows(ml), key=str)
+
+
+def test_ml_view_keeps_nominal_metadata_through_parquet(spark, tmp):
+    root = f"{tmp}/lake"
+    stages.stage_deliver(spark, accidents(spark, SMOKE), root, csv_copy=False)
+    stages.stage_land(spark, root)
+    stages.stage_bronze(spark, root)
+    stages.stage_silver(spark, root)
+    ml = stages.read_silver(spark, root, "ml")
+    for c in P.INDEX_COLUMNS:
+        attr = ml.schema[c + P.INDEX_SUFFIX].metadata["ml_attr"]
+        assert attr["type"] == "nominal" and None not in attr["vals"]
+    assert len(ml.columns) == 34
+    assert stages.read_silver(spark, root, "join").count() == 981
