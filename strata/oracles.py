@@ -324,6 +324,9 @@ def build() -> dict[str, str]:
         + " FROM ml"))
     o["silver_join"] = with_ctes(*SILVER, SJ, select=f"SELECT {_sj_r6()} FROM sj")
     o["silver_ml"] = with_ctes(*SILVER, ML, select=f"SELECT {_ml_r6()} FROM ml")
+    # the stage's wide-table storage must give the same two tables
+    o["silver_stage_join"] = o["silver_join"]
+    o["silver_stage_ml"] = o["silver_ml"]
 
     from strata.operators import marts as M
     from strata.queries import GENERIC_SPEC

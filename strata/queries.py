@@ -31,8 +31,8 @@ from strata.operators.nulls import (dropna_subset, fill_constant, impute, null_p
 from strata.operators.serve import page, preview
 from strata.plans import bronze
 from strata.plans.medallion import baseline_predictions, fused_gold, run_medallion
-from strata.plans.silver import (indexer_from_labels, majority_from_counts, prepare, profile,
-                                 silver_join, silver_ml)
+from strata.plans.silver import (indexer_from_labels, join_view, majority_from_counts, ml_view,
+                                 prepare, profile, silver_join, silver_ml, silver_wide)
 from strata.session import scratch_path, unique_name
 from strata.sources.batches import batch_dates as _batch_dates, latest_date, snapshot
 from strata.sources.files import read_csv, read_parquet
@@ -167,6 +167,27 @@ def q_silver_ml(spark, sf):
     return _r6(_ml_table(spark, sf))
 
 
+def _silver_stage(spark, sf):
+    """The silver stage's storage path: both tables written once as a wide
+    parquet table (shared scratch folder), read back as views."""
+    raw = _acc(spark, sf)
+    prof = profile(prepare(raw))
+    wide, join_cols, ml_cols = silver_wide(raw, prof["stats"], prof["labels"])
+    path = scratch_path(spark, "silver_wide")
+    wide.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), join_cols, ml_cols
+
+
+def q_silver_stage_join(spark, sf):
+    wide, join_cols, _ = _silver_stage(spark, sf)
+    return _r6(join_view(wide, join_cols))
+
+
+def q_silver_stage_ml(spark, sf):
+    wide, _, ml_cols = _silver_stage(spark, sf)
+    return _r6(ml_view(wide, ml_cols))
+
+
 # ---------------------------------------------------------------- gold ops
 
 def _silver_pair(spark, sf):
@@ -483,6 +504,8 @@ QUERIES = {
     "index_frequency": q_index_frequency,
     "silver_join": q_silver_join,
     "silver_ml": q_silver_ml,
+    "silver_stage_join": q_silver_stage_join,
+    "silver_stage_ml": q_silver_stage_ml,
     # gold
     "mart_city": q_mart_city,
     "mart_weather": q_mart_weather,
