@@ -31,7 +31,8 @@ COORDS = 64           # min-hash values of a set
 SHINGLE = 5           # words of a window
 THRESHOLD = 0.8       # least Jaccard similarity of a link
 RUNS = 8              # runs of the recursion
-LIMIT = 200           # sets of a bucket that is brute-forced without blocks
+LIMIT = 200           # sets of a bucket that is not split further
+BLOCK = 800           # sets of a block of a bucket that cannot be split
 DEPTH = 4             # deepest split
 ALIKE = 0.25          # agreement on a sampled coordinate that stops splitting
 BROADCAST_ROWS = 2_000_000  # 64-bit ids that may be broadcast (16 MB)
@@ -107,7 +108,7 @@ def _split(level: DataFrame, reps: DataFrame, limit: int, depth: int) -> DataFra
         if not big.take(1):
             break
         heavy = level.join(big, "key")
-        as_blocks = F.ceil(F.col("n") / F.lit(limit)).cast("int").alias("blocks")
+        as_blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks")
         if d == depth:
             done = done.unionByName(heavy.select("set_id", "key", as_blocks))
             break
