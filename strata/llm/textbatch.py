@@ -93,6 +93,28 @@ class Texts:
             self._hashes = hash_spans(self.data, self.starts, self.ends)
         return self._hashes
 
+    def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Byte starts and ends of all \\n-separated lines, and per text the
+        first line (texts without a byte have one empty line)."""
+        newline = np.flatnonzero(self.data == 0x0A)
+        text = np.searchsorted(self.offsets, newline, "right") - 1
+        per = np.bincount(text, minlength=self.n) + 1
+        first = np.concatenate(([0], np.cumsum(per)))
+        starts, ends = np.empty(first[-1], np.int64), np.empty(first[-1], np.int64)
+        starts[first[:-1]], ends[first[1:] - 1] = self.offsets[:-1], self.offsets[1:]
+        inner = np.ones(first[-1], dtype=bool)
+        inner[first[:-1]] = False
+        starts[inner] = newline + 1
+        inner[:] = True
+        inner[first[1:] - 1] = False
+        ends[inner] = newline
+        return starts, ends, first
+
+    def totals(self, mark: np.ndarray) -> np.ndarray:
+        """Per text the number of marked bytes."""
+        run = np.concatenate(([0], np.cumsum(mark, dtype=np.int64)))
+        return run[self.offsets[1:]] - run[self.offsets[:-1]]
+
     @property
     def n_words(self) -> np.ndarray:
         return np.diff(self.first)
@@ -143,8 +165,13 @@ def combine(parts: list[np.ndarray]) -> np.ndarray:
 
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = _SLICE) -> Iterator[tuple[int, int, Texts]]:
-    """(from, to, texts) over the rows of a batch; a null text counts as empty."""
-    col = batch.column(batch.schema.get_field_index(column)).cast(pa.large_string()).fill_null("")
+    """(from, to, texts) over the rows of a batch."""
+    yield from slices_of(batch.column(batch.schema.get_field_index(column)), max_bytes)
+
+
+def slices_of(col: pa.Array, max_bytes: int = _SLICE) -> Iterator[tuple[int, int, Texts]]:
+    """(from, to, texts) over a string column; a null text counts as empty."""
+    col = col.cast(pa.large_string()).fill_null("")
     n = len(col)
     if not n:
         return
