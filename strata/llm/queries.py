@@ -7,17 +7,43 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.llm import decontam, line_dedup, mixing, ngram_join, quality_mcd
 from strata.llm.common import table
-from strata.llm.ngram_join import jaccard_join
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document with its near-duplicate class and link counts."""
-    return jaccard_join(table(spark, sf_dir, "documents"))
+    return ngram_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
+def op2_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: base counts, base rules and the robust verdict."""
+    return quality_mcd.quality_report(table(spark, sf_dir, "documents"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its text without duplicate lines, and their number."""
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines_removed", "n_near_removed", "text")
+
+
+def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per use of a document in the mixture."""
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and benchmark item that leaks into it."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
+        .drop("mark").distinct()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_quality_mcd": op2_quality_mcd,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_temperature_mixing": op7_temperature_mixing,
+    "op10_template_decontamination": op10_template_decontamination,
 }
 
 ORACLES: dict[str, str] = {}
