@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm import textbatch as tb
 from strata.llm.common import broadcast_if_small, materialize, own
@@ -151,7 +152,7 @@ def _within_one(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.bool_())
 
 
-_within_one_udf = F.arrow_udf(_within_one, "boolean")
+_within_one_udf = F.arrow_udf(_within_one, T.BooleanType())
 
 
 def _removed(lines: DataFrame, slim: DataFrame, near_words: int) -> DataFrame:
@@ -214,7 +215,7 @@ def _cut_lines(text: pa.Array, drop: pa.Array) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-_cut_lines_udf = F.arrow_udf(_cut_lines, "string")
+_cut_lines_udf = F.arrow_udf(_cut_lines, T.StringType())
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm import textbatch as tb
 from strata.llm.common import clashes, materialize, own
@@ -112,7 +113,7 @@ def _repeat_words(t: tb.Texts) -> np.ndarray:
     return run[t.first[1:]] - run[t.first[:-1]]
 
 
-_counts_udf = F.arrow_udf(text_counts, "struct<" + ",".join(f"{c}:long" for c in COUNTS) + ">")
+_counts_udf = F.arrow_udf(text_counts, T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
 
 
 def _share(a: str, b: str) -> F.Column:
