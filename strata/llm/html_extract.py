@@ -160,10 +160,8 @@ def blocks(page: str):
                     at = body.start()
                 else:
                     endless.add(name)
-                if close or body:
-                    pass
-                elif name in ("script", "style", "textarea", "title"):
-                    at = n
+                    if name in ("script", "style", "textarea", "title"):
+                        at = n
         else:
             flush()
             in_link = 0
