@@ -7,9 +7,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import decontam, line_dedup, mixing, ngram_join, quality_mcd
+from strata.llm import (chat_windows, decontam, html_extract, line_dedup, mixing, ngram_join, oracles, pii,
+                        quality_mcd, secret_scan, token_counts)
 from strata.llm.common import table
 
+TOKENIZER = "byte_bpe_50k.json"
+
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document with its near-duplicate class and link counts."""
@@ -21,6 +24,22 @@ def op2_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mcd.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: secrets by kind and position."""
+    return secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: bytes and tokens."""
+    import public_tokenizers
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per page: its main text."""
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: its text without duplicate lines, and their number."""
     return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select(
@@ -32,6 +51,17 @@ def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: personal data by kind and position."""
+    return pii.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per conversation, read back from its formatted windows."""
+    return chat_windows.read_back(chat_windows.windows(
+        chat_windows.with_probe(table(spark, sf_dir, "conversations"))))
+
+
 def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and benchmark item that leaks into it."""
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
@@ -39,11 +69,12 @@ def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
-    "op2_quality_mcd": op2_quality_mcd,
-    "op6_line_dedup": op6_line_dedup,
-    "op7_temperature_mixing": op7_temperature_mixing,
-    "op10_template_decontamination": op10_template_decontamination,
+    f.__name__: f for f in (
+        op1_ngram_jaccard_join, op2_quality_mcd, op3_secret_scan, op4_token_counts, op5_html_extract,
+        op6_line_dedup, op7_temperature_mixing, op8_pii, op9_chat_windows, op10_template_decontamination)
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_temperature_mixing": oracles.MIXING,
+    "op9_chat_windows": oracles.CHAT,
+}
