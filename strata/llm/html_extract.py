@@ -180,7 +180,10 @@ def blocks(page: str):
             if name in CLOSES_ITSELF and stack[-1].name == name:
                 stack.pop()
             if not m[3].endswith("/"):
-                stack.append(_Node(name, stack[-1], _bonus(name, m[3])))
+                own = _bonus(name, m[3])
+                if name == "header" and own == ELEMENT["header"] and stack[-1].good >= ELEMENT["main"]:
+                    own = 0.0  # an article's own header holds its title
+                stack.append(_Node(name, stack[-1], own))
     flush()
     return out
 
