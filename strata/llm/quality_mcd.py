@@ -165,7 +165,9 @@ def _bin(d):
 
 def _cuts(scored: DataFrame, share: float) -> DataFrame:
     """(grp, cut): the histogram bin that holds the given share of a group."""
-    hist = scored.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("c"))
+    # stored first: counted by (group, bin), so that a group's tasks' counts do
+    # not meet in the one task that then cuts its short histogram
+    hist = materialize(scored.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("c")), "op2-histogram")
     w = Window.partitionBy("grp")
     upto = w.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     return (hist.select("grp", "bin", F.sum("c").over(upto).alias("below"), F.sum("c").over(w).alias("n"))
