@@ -175,8 +175,8 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     A null source is a source; null and empty texts have no token and go where
     their block goes.  Rows that repeat an id lie in one block and are used row
     by row; rows alike in id, source and tokens share one fate.  An empty
-    table, or one without tokens, gives no row.  Other columns of the input
-    are not read.
+    table gives no row; in a table without tokens every row is used once, as it
+    costs nothing.  Other columns of the input are not read.
     """
     seed = options.get("seed", SEED)
     slim = materialize(_slim(docs, id_col, source_col, text_col), "op7-tokens")
