@@ -1,8 +1,11 @@
 """HTML extraction by minimum-cut labelling.
 
-A page becomes a row of text blocks.  A linear classifier over each block's
-own text, links and the names of the elements around it gives log odds of
-content against boilerplate; they are the capacities from source and to sink.
+A page becomes a row of text blocks.  A logistic classifier of each block's
+text and links, and fixed odds for the names of the elements around it, give
+log odds of content against boilerplate; they are the capacities from source
+and to sink.  The classifier is trained on blocks of a bounded sample of the
+pages at hand whose surroundings leave no doubt (see `weak_label`); it matters
+where the names say nothing.
 Edges join neighbours in page order and neighbours under one parent, heavier
 the nearer the blocks are in the element tree.  The minimum cut labels all
 blocks of the page at once, so short paragraphs follow the article they stand
@@ -20,10 +23,14 @@ import re
 from collections import deque
 
 import pyarrow as pa
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.llm.common import materialize
+
 # Element classes of HTML.
 SKIPPED = frozenset("script style noscript template svg math iframe object canvas head title select "
                     "textarea button".split())
@@ -33,8 +40,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote figcaption".split())
 CLOSES_ITSELF = frozenset("li dt dd tr td th option".split())
 
-# Classifier weights (log odds), by name of an element or a word of its class,
-# id or role.
+# Fixed log odds of a name: of an element, or a word of its class, id or role.
 ELEMENT = {"article": 5.0, "main": 4.0, "nav": -7.0, "footer": -7.0, "aside": -6.0, "header": -4.0,
            "form": -7.0, "menu": -6.0, "dialog": -6.0, "fieldset": -5.0, "address": -2.0}
 WORD = dict(
@@ -46,7 +52,12 @@ WORD = dict(
                            "subscribe subscription newsletter signup login register search form pagination pager "
                            "toolbar copyright legal masthead topbar skip widget tags").split()]
     + [("header", -4.0), ("hidden", -3.0), ("complementary", -6.0), ("contentinfo", -6.0)])
-BIAS, PER_DOUBLING, LINKS, SENTENCE, HEADING = -1.0, 0.55, -6.0, 0.8, 0.5
+# Classifier weights (bias, then the features of `describe`) before training,
+# and how far the trained ones may go: a sample whose boilerplate is all of one
+# kind must not outweigh the names.
+UNTRAINED = (-1.0, 0.55, -6.0, 0.8, 0.5)
+MOST = 6.0
+TRAIN_PAGES = 2000  # pages of the training sample (by hash of their html)
 INNER, OUTER_BAD, OUTER_GOOD = 1.0, 0.9, 0.4
 NEXT, SIBLING, DECAY = 1.2, 1.6, 0.5
 
@@ -210,12 +221,24 @@ def _leaf(page: str, at: int, name: str, own: float, stack: list, out: list, hea
     return at
 
 
-def log_odds(text: str, linked: int, node: _Node, heading: bool) -> float:
+def describe(text: str, linked: int, heading: bool) -> tuple[float, float, float, float]:
+    """Doublings of the word count, share of link text, whether it ends like a
+    sentence, whether it is a heading."""
     words = text.count(" ") + 1
-    odds = BIAS + PER_DOUBLING * min(math.log2(words + 1), 8) + LINKS * linked / len(text)
-    if words > 3 and text[-1] in ".!?…\"”»)":
-        odds += SENTENCE
-    return odds + HEADING * heading + node.odds()
+    return (min(math.log2(words + 1), 8.0), linked / len(text),
+            float(words > 3 and text[-1] in ".!?…\"”»)"), float(heading))
+
+
+def log_odds(text: str, linked: int, node: _Node, heading: bool, weights: tuple = UNTRAINED) -> float:
+    return weights[0] + sum(w * x for w, x in zip(weights[1:], describe(text, linked, heading))) + node.odds()
+
+
+def weak_label(node: _Node) -> int | None:
+    """1 in an article and nothing else telling, 0 in boilerplate and nothing
+    else telling, None in between."""
+    if node.good >= 4 and node.bad == 0:
+        return 1
+    return 0 if node.bad <= -4 and node.good == 0 else None
 
 
 def edges(items: list) -> list[tuple[int, int, float]]:
@@ -312,20 +335,45 @@ def _max_flow(nodes: list[int], score: list[float], near: list[dict[int, float]]
             j = i
 
 
-def main_text(page: str) -> str:
+def main_text(page: str, weights: tuple = UNTRAINED) -> str:
     """The page's content blocks, joined by newlines."""
     items = blocks(page)
     if not items:
         return ""
-    keep = min_cut([log_odds(*x) for x in items], edges(items))
+    keep = min_cut([log_odds(*x, weights) for x in items], edges(items))
     return "\n".join(x[0] for x, k in zip(items, keep) if k)
 
 
-def _extract(col: pa.Array) -> pa.Array:
-    return pa.array([main_text(x) if x else "" for x in col.to_pylist()], pa.string())
+def _labelled(batches):
+    for batch in batches:
+        found = []
+        for page in batch.column(0).to_pylist():
+            for text, linked, node, heading in blocks(page or ""):
+                label = weak_label(node)
+                if label is not None:
+                    found.append((list(describe(text, linked, heading)), float(label)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x for x, _ in found], pa.list_(pa.float64())), pa.array([y for _, y in found], pa.float64())],
+            names=["x", "label"])
+
+
+def train(pages: DataFrame, html_col: str = "html", sample: int = TRAIN_PAGES) -> tuple:
+    """Classifier weights from at most `sample` pages, those whose html has the
+    least hashes; `UNTRAINED` where the sample lacks content or boilerplate."""
+    some = pages.select(html_col).filter(F.col(html_col).isNotNull()).orderBy(F.xxhash64(html_col), html_col) \
+        .limit(sample)
+    rows = materialize(some.mapInArrow(_labelled, "x array<double>, label double"), "op5-train")
+    if rows.select("label").distinct().count() < 2:
+        return UNTRAINED
+    model = LogisticRegression(regParam=0.01, maxIter=25, standardization=True).fit(
+        rows.select(array_to_vector("x").alias("features"), "label"))
+    return tuple(max(-MOST, min(MOST, float(w))) for w in (model.intercept, *model.coefficients))
 
 
-_extract_udf = F.arrow_udf(_extract, T.StringType())
+def _extractor(weights: tuple):
+    def extract(col: pa.Array) -> pa.Array:
+        return pa.array([main_text(x, weights) if x else "" for x in col.to_pylist()], pa.string())
+    return F.arrow_udf(extract, T.StringType())
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -338,5 +386,6 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     comments run to the end.  Repeated rows are extracted row by row.  Other
     columns are not read.
     """
-    out = pages.select(F.col(id_col), F.col(url_col), _extract_udf(F.col(html_col)).alias("text"))
+    extract = _extractor(train(pages, html_col))
+    out = pages.select(F.col(id_col), F.col(url_col), extract(F.col(html_col)).alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
