@@ -7,7 +7,7 @@ that share its value share a bucket.  A bucket over `limit` sets is split
 again on further sampled coordinates, two branches at a time, unless its sets
 agree so widely that they are one group of near copies, where splitting does
 not help.  Final buckets are brute-forced, large ones in blocks that separate
-tasks take; `runs` repeats give the target recall (see `expected_recall`).  A
+tasks take; there are as many runs as the target recall needs (`runs_for`).  A
 pair met in several buckets belongs to the smallest bucket key that both sets
 hold, so counts need no list of pairs.  Candidates pass a coarse filter on
 eight-bit min-hashes, and an exact Jaccard test on the whole sets decides.
@@ -30,7 +30,7 @@ from strata.llm.common import broadcast_if_small, materialize, own
 COORDS = 64           # min-hash values of a set
 SHINGLE = 5           # words of a window
 THRESHOLD = 0.8       # least Jaccard similarity of a link
-RUNS = 8              # runs of the recursion
+RECALL = 0.9999       # least chance that a linked pair is found
 LIMIT = 200           # sets of a bucket that is not split further
 BLOCK = 800           # sets of a block of a bucket that cannot be split
 DEPTH = 4             # deepest split
@@ -41,7 +41,7 @@ _A = tb.odd_constants(COORDS, 0xA1)
 _B = tb.odd_constants(COORDS, 0xB2)
 
 
-def expected_recall(similarity: float = THRESHOLD, runs: int = RUNS, depth: int = DEPTH) -> float:
+def expected_recall(similarity: float, runs: int, depth: int = DEPTH) -> float:
     """Chance that a pair of this similarity meets in some bucket, if every
     split goes to the full depth (pairs in small buckets fare better)."""
     below = 1.0
@@ -50,6 +50,14 @@ def expected_recall(similarity: float = THRESHOLD, runs: int = RUNS, depth: int
     return 1 - (1 - similarity * below) ** runs
 
 
+def runs_for(recall: float = RECALL, similarity: float = THRESHOLD, depth: int = DEPTH) -> int:
+    """The least number of runs with this recall at the threshold."""
+    runs = 1
+    while expected_recall(similarity, runs, depth) < recall:
+        runs += 1
+    return runs
+
+
 # ---------------------------------------------------------------- sketches
 
 def _shingled(batches, id_col: str, text_col: str, size: int):
@@ -308,7 +316,7 @@ def components(edges: DataFrame, a: str = "set_id", b: str = "other") -> DataFra
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  threshold: float = THRESHOLD, size: int = SHINGLE,
-                 runs: int = RUNS, limit: int = LIMIT, depth: int = DEPTH) -> DataFrame:
+                 recall: float = RECALL, limit: int = LIMIT, depth: int = DEPTH) -> DataFrame:
     """One row per input row: (id_col, set_size, class_id, class_docs, n_links,
     n_set_links).
 
@@ -337,7 +345,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select("set_id", "rep", "n_docs", "size", "sig", "coarse").dropDuplicates(["set_id"]), "op1-reps")
 
     first = reps.select("set_id", F.explode(F.array(
-        *[F.xxhash64(F.lit(r), F.element_at("sig", r + 1)) for r in range(runs)])).alias("key"))
+        *[F.xxhash64(F.lit(r), F.element_at("sig", r + 1)) for r in range(runs_for(recall, threshold, depth))])).alias("key"))
     buckets = materialize(_split(first, reps, limit, depth), "op1-buckets")
     held = buckets.groupBy("set_id").agg(F.array_sort(F.collect_set("key")).alias("keys"),
                                          F.collect_set(F.struct("key", "blocks")).alias("held"))

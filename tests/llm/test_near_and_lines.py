@@ -49,8 +49,9 @@ def test_classes_and_links_equal_brute_force(spark, corpus):
             == {corpus[i][0]: v for i, v in want.items()}
 
 
-def test_expected_recall():
-    assert ngram_join.expected_recall() > 0.9999
+def test_runs_meet_the_recall():
+    n = ngram_join.runs_for(0.9999)
+    assert ngram_join.expected_recall(0.8, n) >= 0.9999 > ngram_join.expected_recall(0.8, n - 1)
 
 
 def test_keep_one_row_per_class(spark, corpus):
