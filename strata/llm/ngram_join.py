@@ -397,13 +397,17 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input columns of one row per class: the row with the class's least
-    id.  Rows that repeat that id (the same document read twice) count once;
-    documents without a window are all kept, and so are rows without an id."""
-    found = jaccard_join(docs, id_col, text_col, **options)
+    id.  Rows that repeat that id (the same document read twice) count once.
+    Texts without a word are copies of each other here, and the one with the
+    least id stays; rows without an id all stay."""
+    found = materialize(jaccard_join(docs, id_col, text_col, **options)
+                        .select(id_col, "class_id", "set_size"), "op1-found")
+    wordless = found.filter("set_size = 0").agg(F.min(id_col).alias("least")).first()["least"]
+    first = F.when(F.col("set_size") == 0, F.lit(wordless)).otherwise(F.col("class_id"))
     mark, times = own("id"), own("times")
     # per id: whether some row of it stands for its class, and how many rows it has
     ids = found.groupBy(F.col(id_col).alias(mark)).agg(
-        F.max(F.coalesce(F.col("class_id") == F.col(id_col), F.lit(True))).alias("stays"),
+        F.max(F.coalesce(first == F.col(id_col), F.lit(True))).alias("stays"),
         F.count(F.lit(1)).alias(times)).filter("stays").drop("stays")
     ids = materialize(ids, "op1-kept")
     ids = broadcast_if_small(ids, ids.count(), BROADCAST_ROWS)
