@@ -6,9 +6,10 @@ deleted or replaced turns one into the other.  A line goes when an earlier
 line (by document id, then line number) is its duplicate.
 
 1. Equal lines meet in a count per line hash; the earliest is kept.
-2. Lines one edit apart share their first or last half (cut by the shorter
-   line's length), so only distinct lines with such a half in common are
-   candidates.
+2. Lines one edit apart share their first or their last k words, where k is at
+   most half of the shorter line, so only distinct lines with such an end in
+   common are candidates.  k doubles with the length, so it is at least about a
+   quarter of a line.
 3. Each candidate emits the hashes of all variants with at most one word
    deleted.  Equal variants join: two lines that drop the word at the same
    place differ in that word, and a line equal to another's variant lacks one
@@ -67,8 +68,15 @@ class _Spans:
         return tb.mix(self.raw(a, b) ^ tb.mix((b - a).astype(np.uint64) * _H[0]))
 
 
+def _end_keys(spans: _Spans, a: np.ndarray, b: np.ndarray, k: np.ndarray) -> list[np.ndarray]:
+    """Hashes of the first and last k words, told apart by side."""
+    return [tb.mix(spans.hash(a, a + k) ^ _H[2]), tb.mix(spans.hash(b - k, b) ^ _H[3])]
+
+
 def _line_rows(near_words: int, min_words: int):
-    """Per line: document key, number, word count, hash and the half keys."""
+    """Per line: document key, number, hash and the keys of its ends."""
+    least = max(1, near_words // 2)
+
     def run(batches):
         for batch in batches:
             ids, marks = batch.column(0), batch.column(1)
@@ -78,21 +86,23 @@ def _line_rows(near_words: int, min_words: int):
                     continue
                 spans = _Spans(t.words)
                 n = b - a
-                keys = np.empty((len(n), 4), dtype=np.uint64)
-                for k, short in enumerate((n, n - 1)):
-                    half = short // 2
-                    # tagged by side and by the shorter line's length
-                    tag = tb.mix(short.astype(np.uint64) * _H[1])
-                    keys[:, 2 * k] = tb.mix(spans.hash(a, a + half) ^ tag ^ _H[2])
-                    keys[:, 2 * k + 1] = tb.mix(spans.hash(b - (short - half), b) ^ tag ^ _H[3])
-                near = n >= near_words
-                offsets = np.concatenate(([0], np.cumsum(np.where(near, 4, 0))))
+                near = n >= max(near_words, 2)
+                # the greatest k = least * 2^i with 2k <= n, for the line itself
+                # and, where it differs, for a partner one word shorter
+                k = least << np.floor(np.log2(np.maximum(n, 2 * least) / (2 * least)) + 1e-9).astype(np.int64)
+                own = np.flatnonzero(near)
+                shorter = np.flatnonzero(near & (n == 2 * k) & (k > least))
+                line = np.concatenate((own, own, shorter, shorter))
+                keys = np.concatenate(_end_keys(spans, a[own], b[own], k[own])
+                                      + _end_keys(spans, a[shorter], b[shorter], k[shorter] // 2))
+                order = np.argsort(line, kind="stable")
+                offsets = np.searchsorted(line[order], np.arange(len(n) + 1))
                 take = pa.array(text + i)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(take), marks.take(take), pa.array(number, pa.int32()), pa.array(n, pa.int32()),
+                    [ids.take(take), marks.take(take), pa.array(number, pa.int32()),
                      pa.array(tb.as_long(spans.hash(a, b)), pa.int64()),
-                     tb.list_array(tb.as_long(keys[near].ravel()), offsets, pa.int64())],
-                    names=["id", "mark", "line", "n", "h", "halves"])
+                     tb.list_array(tb.as_long(keys[order]), offsets, pa.int64())],
+                    names=["id", "mark", "line", "h", "ends"])
     return run
 
 
@@ -114,9 +124,9 @@ def _word_rows(near_words: int):
 
 
 def _variants(batches):
-    """(h, v, place): the line itself (place -1) and each one-word deletion."""
+    """(rank, v, place): the line itself (place -1) and each one-word deletion."""
     for batch in batches:
-        h = batch.column(0).to_numpy()
+        rank = batch.column(0).to_numpy()
         lists = batch.column(1)
         words = lists.flatten().to_numpy().view(np.uint64)
         off = lists.offsets.to_numpy() - lists.offsets[0].as_py()
@@ -132,10 +142,10 @@ def _variants(batches):
         gone = tb.mix(joined ^ tb.mix((b - a - 1).astype(np.uint64) * _H[0]))
         full = spans.hash(off[:-1], off[1:])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate((h, h[line])), pa.int64()),
+            [pa.array(np.concatenate((rank, rank[line])), pa.int64()),
              pa.array(tb.as_long(np.concatenate((full, gone))), pa.int64()),
              pa.array(np.concatenate((np.full(len(n), -1), at - a)), pa.int32())],
-            names=["h", "v", "place"])
+            names=["rank", "v", "place"])
 
 
 def _within_one(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -156,22 +166,23 @@ _within_one_udf = F.arrow_udf(_within_one, T.BooleanType())
 
 
 def _removed(lines: DataFrame, slim: DataFrame, near_words: int) -> DataFrame:
-    """(h, why): hashes of lines with an earlier near duplicate."""
-    first = F.min(F.struct("id", "line", "mark")).alias("first")
+    """(h, first, times, near): the distinct lines, where each stands first, how
+    often it occurs, and whether an earlier line is its near duplicate."""
     distinct = materialize(
-        lines.groupBy("h").agg(first, F.count(F.lit(1)).alias("times")), "op6-distinct")
-    halves = (lines.filter(F.size("halves") > 0).select("h", F.explode("halves").alias("key"))
-              .groupBy("key").agg(F.min("h").alias("a"), F.max("h").alias("b"))
-              .filter("a <> b").select("key"))
-    halves = materialize(halves, "op6-halves")
-    n_halves = halves.count()
-    if not n_halves:
-        return distinct.select("h", "first", F.lit(False).alias("near"), "times")
-    shared = broadcast_if_small(halves, n_halves, BROADCAST_LINES)
-    flagged = materialize(
-        lines.filter(F.size("halves") > 0).select("h", F.explode("halves").alias("key"))
-        .join(shared, "key", "left_semi").select("h").distinct()
-        .join(distinct, "h").select("h", "first"), "op6-flagged")
+        lines.groupBy("h").agg(F.min(F.struct("id", "line", "mark")).alias("first"),
+                               F.count(F.lit(1)).alias("times"), F.first("ends").alias("ends")), "op6-distinct")
+    ends = distinct.select("h", "first", F.explode("ends").alias("key"))
+    shared = materialize(ends.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"),
+                         "op6-shared")
+    n_shared = shared.count()
+    whole = distinct.select("h", "first", "times")
+    if not n_shared:
+        return whole.withColumn("near", F.lit(False))
+    flagged = ends.join(broadcast_if_small(shared, n_shared, BROADCAST_LINES), "key", "left_semi") \
+        .drop("key").dropDuplicates(["h"])
+    # one ascending number per candidate line, in the order that decides
+    flagged = materialize(flagged.orderBy("first.id", "first.line", "first.mark", "h")
+                          .withColumn("rank", F.monotonically_increasing_id()), "op6-flagged")
     n_flagged = flagged.count()
 
     # words of the flagged lines, from the documents that hold them first
@@ -180,12 +191,13 @@ def _removed(lines: DataFrame, slim: DataFrame, near_words: int) -> DataFrame:
                                  & F.col("t.mark").eqNullSafe(F.col("d.mark")), "left_semi")
     words = materialize(
         texts.mapInArrow(_word_rows(near_words), "h long, words array<long>")
-        .join(broadcast_if_small(flagged, n_flagged, BROADCAST_LINES), "h")
-        .dropDuplicates(["h"]), "op6-words")
-    ranked = F.struct(F.col("first.id"), F.col("first.line"), F.col("first.mark"), F.col("h"))
-    variants = materialize(
-        words.select("h", "words").mapInArrow(_variants, "h long, v long, place int")
-        .join(words.select("h", "first"), "h").select("h", "v", "place", ranked.alias("rank")), "op6-variants")
+        .join(broadcast_if_small(flagged.select("h", "rank"), n_flagged, BROADCAST_LINES), "h")
+        .dropDuplicates(["rank"]), "op6-words")
+    variants = words.select("rank", "words").mapInArrow(_variants, "rank long, v long, place int")
+    met = materialize(variants.groupBy("v").agg(F.min("rank").alias("a"), F.max("rank").alias("b"))
+                      .filter("a < b").select("v"), "op6-met")
+    variants = materialize(variants.join(broadcast_if_small(met, met.count(), BROADCAST_LINES), "v", "left_semi"),
+                           "op6-variants")
     # earliest line per variant and place; place -1 meets every place
     by_place = variants.groupBy("v", "place").agg(F.min("rank").alias("best"))
     by_variant = by_place.groupBy("v").agg(
@@ -195,13 +207,11 @@ def _removed(lines: DataFrame, slim: DataFrame, near_words: int) -> DataFrame:
            .select("v", "place", F.when(F.col("place") >= 0, F.least("best", "whole"))
                    .otherwise(F.least("best", "cut")).alias("best"))
            .join(variants, ["v", "place"]).filter(F.col("best") < F.col("rank")))
-    partner = met.groupBy("h").agg(F.min("best.h").alias("low"), F.min("best").alias("best"))
-    pairs = (partner.select("h", F.col("best.h").alias("p"))
-             .join(words.select("h", F.col("words").alias("x")), "h")
-             .join(words.select(F.col("h").alias("p"), F.col("words").alias("y")), "p"))
+    partner = met.groupBy("rank").agg(F.min("best").alias("p"))
+    pairs = (partner.join(words.select("rank", "h", F.col("words").alias("x")), "rank")
+             .join(words.select(F.col("rank").alias("p"), F.col("words").alias("y")), "p"))
     near = pairs.filter(_within_one_udf(F.col("x"), F.col("y"))).select("h", F.lit(True).alias("near"))
-    return distinct.join(near, "h", "left").select(
-        "h", "first", F.coalesce("near", F.lit(False)).alias("near"), "times")
+    return whole.join(near, "h", "left").withColumn("near", F.coalesce("near", F.lit(False)))
 
 
 def _cut_lines(text: pa.Array, drop: pa.Array) -> pa.Array:
@@ -235,8 +245,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = docs.schema[id_col].dataType.simpleString()
     lines = materialize(
         slim.mapInArrow(_line_rows(near_words, min_words),
-                        f"id {kind}, mark long, line int, n int, h long, halves array<long>"), "op6-lines")
-    plan = _removed(lines.select("id", "mark", "line", "h", "halves"), slim, near_words)
+                        f"id {kind}, mark long, line int, h long, ends array<long>"), "op6-lines")
+    plan = _removed(lines, slim, near_words)
     plan = materialize(plan.filter("near or times > 1"), "op6-plan")
     plan = broadcast_if_small(plan, plan.count(), BROADCAST_LINES // 4)
     here = F.struct("id", "line", "mark")
