@@ -10,40 +10,43 @@ from pyspark.sql import functions as F
 from strata import presets as P
 
 
-def hash_bucket(key: str, buckets: int = 100) -> Column:
-    """Stable bucket in [0, buckets) from md5 of the key's text.
+HASH_RANGE = 1 << 28  # the first 7 hex digits of an md5
+
+
+def hash_value(key: str, row: list[str] | None = None) -> Column:
+    """Stable value in [0, 2^28) from md5 of the key's text.
 
     It depends only on the key, never on partitioning or task order, so a
-    re-run (or a lost executor's retried task) assigns every row the same
-    bucket.  The first 7 hex digits keep the value within a positive int.
+    re-run (or a lost executor's retried task) gives every row the same value.
+    Rows without a key take their value from the columns of `row`, so they
+    spread over all parts like any others; without `row` they share one value.
     """
-    digest = F.substring(F.md5(F.col(key).cast("string")), 1, 7)
-    return (F.conv(digest, 16, 10).cast("bigint") % buckets).cast("int")
+    text = F.col(f"`{key}`").cast("string")
+    other = F.to_json(F.struct(*[F.col(f"`{c}`") for c in row])) if row else F.lit("")
+    digest = F.substring(F.md5(F.coalesce(text, other)), 1, 7)
+    return F.conv(digest, 16, 10).cast("bigint")
 
 
-def _cut_points(weights: list[float], buckets: int) -> list[int]:
+def _cut_points(weights: list[float]) -> list[int]:
+    """Upper ends of the parts; the last part takes what rounding leaves."""
     total = float(sum(weights))
-    cuts = [round(buckets * w / total) for w in accumulate(weights)]
-    cuts[-1] = buckets
-    return cuts
+    return [round(HASH_RANGE * w / total) for w in accumulate(weights)][:-1] + [HASH_RANGE]
 
 
-def split_label(key: str, weights: list[float], labels: list, buckets: int = 100) -> Column:
-    """Label of the weighted hash split a row falls into."""
-    b = hash_bucket(key, buckets)
-    cuts = _cut_points(weights, buckets)
-    expr = None
-    for cut, label in zip(cuts, labels):
-        expr = F.when(b < cut, F.lit(label)) if expr is None else expr.when(b < cut, F.lit(label))
-    return expr
+def split_label(key: str, weights: list[float], labels: list, row: list[str] | None = None) -> Column:
+    """Label of the weighted hash split a row falls into; never null."""
+    v = hash_value(key, row)
+    expr = F
+    for cut, label in list(zip(_cut_points(weights), labels))[:-1]:
+        expr = expr.when(v < cut, F.lit(label))
+    return F.lit(labels[-1]) if expr is F else expr.otherwise(F.lit(labels[-1]))
 
 
-def split_hash(df: DataFrame, key: str, weights: list[float],
-               buckets: int = 100) -> list[DataFrame]:
+def split_hash(df: DataFrame, key: str, weights: list[float]) -> list[DataFrame]:
     """Disjoint, exhaustive weighted split by key hash; stable across runs."""
-    b = hash_bucket(key, buckets)
-    cuts = [0, *_cut_points(weights, buckets)]
-    return [df.filter((b >= lo) & (b < hi)) for lo, hi in zip(cuts, cuts[1:])]
+    v = hash_value(key, df.columns)
+    cuts = [0, *_cut_points(weights)]
+    return [df.filter((v >= lo) & (v < hi)) for lo, hi in zip(cuts, cuts[1:])]
 
 
 def split_random(df: DataFrame, weights: list[float], seed: int = P.SPLIT_SEED) -> list[DataFrame]:
@@ -67,7 +70,7 @@ def assign_deliveries(df: DataFrame, key: str, dates: list[str] | None = None,
     """Give each row the delivery date of its hash-split part (one pass)."""
     dates = P.DELIVERY_DATES if dates is None else dates
     weights = P.DELIVERY_WEIGHTS if weights is None else weights
-    return df.withColumn(col, split_label(key, weights, [date_dir(d) for d in dates]))
+    return df.withColumn(col, split_label(key, weights, [date_dir(d) for d in dates], df.columns))
 
 
 def repartition_by_key(df: DataFrame, n: int | None = None, key: str | None = None,
@@ -77,12 +80,12 @@ def repartition_by_key(df: DataFrame, n: int | None = None, key: str | None = No
     `balanced=True` uses the REBALANCE hint: rows stay clustered by key, but
     AQE sizes the output partitions from the shuffle statistics and splits a
     partition holding a hot key (one key with a third of the rows would
-    otherwise become one huge task and file).  `balanced=False` is a plain
-    hash repartition into exactly `n` partitions.
+    otherwise become one huge task and file); `n` is the count it starts from.
+    `balanced=False` is a plain hash repartition into exactly `n` partitions.
     """
     has_key = bool(key) and key in df.columns
     if balanced:
-        return df.hint("rebalance", key) if has_key else df.hint("rebalance")
+        return df.hint("rebalance", *([n] if n else []), *([F.col(key)] if has_key else []))
     if has_key:
         return df.repartition(n, key) if n else df.repartition(key)
     return df.repartition(n) if n else df

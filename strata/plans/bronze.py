@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from strata import presets as P
 from strata.operators.ingest import assign_deliveries, row_audit, stamp
-from strata.sources.batches import read_if_exists, snapshot
+from strata.sources.batches import partition_values, snapshot
 from strata.sources.sinks import write_csv, write_partitioned
 
 log = logging.getLogger(__name__)
@@ -43,11 +43,6 @@ def write_deliveries(df: DataFrame, root: str, key: str = P.KEY, dates=None, wei
     return written.groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _date_counts(df: DataFrame, col: str) -> dict:
-    """Rows per date (one small row per delivery reaches the driver)."""
-    return {r[0]: r[1] for r in df.groupBy(col).agg(F.count(F.lit(1))).collect()}
-
-
 def land(spark: SparkSession, sources: dict, raw_root: str,
          col: str = P.BATCH_COLUMN) -> DataFrame:
     """Land each delivery `{date: path}` into the raw table, isolating failures.
@@ -67,42 +62,53 @@ def land(spark: SparkSession, sources: dict, raw_root: str,
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
+def ingestion_plan(landed: list, ingested: list, pattern: str = P.BATCH_DIR_PATTERN) -> dict:
+    """{landed value: status} against the dates bronze has: `new` dates lie
+    above the high-water mark (bronze's greatest date), `present` ones are in
+    bronze, `late` ones are neither, and values that are no dates are
+    `invalid`; those never count towards the mark."""
+    is_date = re.compile(pattern).match
+    have = {d for d in ingested if d is not None and is_date(d)}
+    mark = max(have, default=None)
+
+    def status(d):
+        if d is None or not is_date(d):
+            return "invalid"
+        if mark is None or d > mark:
+            return "new"
+        return "present" if d in have else "late"
+    return {d: status(d) for d in landed}
+
+
 def accumulate(spark: SparkSession, raw_root: str, bronze_root: str,
                col: str = P.BATCH_COLUMN, pattern: str = P.BATCH_DIR_PATTERN) -> DataFrame:
     """Append raw dates newer than bronze's high-water mark to bronze.
 
     Dates at or below the mark that bronze lacks are late deliveries: they
     are not ingested (the mark is strict) but are reported as `late`.  Values
-    that are not dates (`pattern`) never become the mark and are reported as
-    `invalid`.  Returns one report row per raw value: ingested / present /
-    late / invalid.
+    that are not dates (`pattern`) are reported as `invalid`.  Returns one
+    report row per raw value: ingested / present / late / invalid, with the
+    rows written for ingested dates (null for the others).
+
+    Dates come from the two partition listings and rows are counted in the
+    write itself, so a run opens the files of its new dates and no others.
     """
-    raw = read_if_exists(spark, raw_root)
-    if raw is None:
-        return spark.createDataFrame([], REPORT_SCHEMA)
-    bronze = read_if_exists(spark, bronze_root)
-    is_date = re.compile(pattern).match
-    # one job over bronze's partition column gives both its dates and the mark
-    have = {d for d in (_date_counts(bronze, col) if bronze is not None else {})
-            if d is not None and is_date(str(d))}
-    mark = max(have) if have else None
-    all_counts = _date_counts(raw, col)
-    counts = {d: n for d, n in all_counts.items() if d is not None and is_date(str(d))}
-    new = sorted(d for d in counts if mark is None or d > mark)
+    plan = ingestion_plan(partition_values(spark, raw_root, col),
+                          partition_values(spark, bronze_root, col), pattern)
+    report = []
     # one job per new date, oldest first: the mark (max date in bronze) can
     # only advance once every earlier date is committed, so an interrupted
     # run never leaves a gap that a re-run would take for a late delivery
-    for d in new:
-        write_partitioned(raw.filter(F.col(col) == F.lit(d)), bronze_root, col, mode="overwrite")
-    report = []
-    for d in sorted(counts):
-        status = "ingested" if d in new else ("present" if d in have else "late")
-        if status == "late":
-            log.warning("late delivery %s (<= high-water mark %s) not ingested", d, mark)
-        report.append((d, counts[d], status))
-    for d in sorted((k for k in all_counts if k not in counts), key=str):
-        log.warning("raw partition value %r is not a batch date; ignored", d)
-        report.append((None if d is None else str(d), all_counts[d], "invalid"))
+    for d, status in plan.items():
+        rows = None
+        if status == "new":
+            batch = spark.read.parquet(f"{raw_root.rstrip('/')}/{col}={d}")
+            df, obs = row_audit(stamp(batch, d, col))
+            write_partitioned(df, bronze_root, col, mode="overwrite")
+            rows, status = obs.get.get("rows", 0), "ingested"
+        elif status != "present":
+            log.warning("raw partition %r not ingested: %s", d, status)
+        report.append((d, rows, status))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 

@@ -54,19 +54,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by `spark.checkpoint.dir`.
 
     On a cluster the setting points at shared storage and is only read here.
-    When it is unset (local runs, tests) a folder of our own is created and
-    registered, so lineage cuts and scratch tables still have a home.
+    When it is unset on a local master (tests) a folder of our own is created
+    and registered, so lineage cuts and scratch tables still have a home; on a
+    cluster that would be a folder of one machine, so it is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    base = configured or tempfile.mkdtemp(prefix="strata-ckpt-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not _is_local_master(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir() or base
 
 
+def _is_local_master(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
+def remove_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch folders once nothing reads them any more; all of this
+    library's under the checkpoint folder when no path is given."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths or (f"{checkpoint_dir(spark).rstrip('/')}/strata",):
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location under the shared checkpoint folder."""
     root = checkpoint_dir(spark).rstrip("/")
@@ -75,12 +92,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def unique_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a `file:` scheme so plain-Python checks can read a local path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -10,35 +10,43 @@ Two layouts are understood:
 
 from __future__ import annotations
 
-import os
+import re
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import presets as P
-from strata.session import local_path
 
 
 def read_if_exists(spark: SparkSession, path: str, **options) -> DataFrame | None:
     """`spark.read.parquet(path)`, or None when nothing exists there yet.
 
-    Any other failure (corrupt footer, permissions) is raised: silently
-    starting a new history from an unreadable one would lose data.
+    A path that exists and cannot be read (corrupt footer, permissions) raises:
+    silently starting a new history from an unreadable one would lose data.
     """
-    if _is_local(path) and not os.path.exists(local_path(path)):
-        return None  # known absent: no failing query (keeps listeners quiet)
-    try:
-        return spark.read.options(**options).parquet(path)
-    except AnalysisException as exc:
-        if getattr(exc, "getCondition", lambda: None)() == "PATH_NOT_FOUND" \
-                or "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return None
-        raise
+    fs, target = _file_system(spark, path)
+    return spark.read.options(**options).parquet(path) if fs.exists(target) else None
 
 
-def _is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def _file_system(spark: SparkSession, path: str):
+    """The path's own file system (`fs.defaultFS` without a scheme)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def partition_values(spark: SparkSession, root: str, col: str = P.BATCH_COLUMN) -> list[str | None]:
+    """Values of the first partition column of a table, sorted, None for its
+    null partition; empty when nothing is there.  One directory listing on the
+    path's own file system: no data file is opened, so the cost is the number
+    of dates, whatever they hold."""
+    fs, path = _file_system(spark, root)
+    if not fs.exists(path):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory()]
+    values = [unquote(n.split("=", 1)[1]) for n in names if n.startswith(f"{col}=")]
+    return sorted((None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values),
+                  key=lambda v: (v is not None, v))
 
 
 def batch_dates(df: DataFrame, col: str = P.BATCH_COLUMN) -> DataFrame:
@@ -46,11 +54,6 @@ def batch_dates(df: DataFrame, col: str = P.BATCH_COLUMN) -> DataFrame:
     return df.select(col).distinct()
 
 
-def sorted_batch_dates(df: DataFrame, col: str = P.BATCH_COLUMN) -> list[str]:
-    """Small driver-side list of dates (one value per delivery, not per row)."""
-    return sorted(r[0] for r in batch_dates(df, col).collect() if r[0] is not None)
-
-
 def latest_date(df: DataFrame | None, col: str = P.BATCH_COLUMN) -> str | None:
     """Lexical maximum of the batch column (None for no table / no rows)."""
     if df is None:
@@ -70,7 +73,7 @@ def dated_directories(spark: SparkSession, root: str,
     """Dates of `<root>/<date>/...` parquet deliveries, with their row counts."""
     files = (spark.read.option("recursiveFileLookup", "true").parquet(root)
              .select(F.col("_metadata.file_path").alias("p")))
-    rel = F.regexp_replace(F.col("p"), r"^.*?" + _escape(root.rstrip("/")) + "/", "")
+    rel = F.regexp_replace(F.col("p"), r"^.*?" + re.escape(root.rstrip("/")) + "/", "")
     name = F.split(rel, "/").getItem(0)
     return (files.select(name.alias(P.BATCH_COLUMN))
             .filter(F.col(P.BATCH_COLUMN).rlike(pattern))
@@ -84,10 +87,3 @@ def dated_sources(spark: SparkSession, root: str, leaf: str = "parquet",
     dates = dated_directories(spark, root, pattern).select(P.BATCH_COLUMN).collect()
     base = root.rstrip("/")
     return {r[0]: f"{base}/{r[0]}/{leaf}" if leaf else f"{base}/{r[0]}" for r in dates}
-
-
-def _escape(text: str) -> str:
-    out = []
-    for ch in text:
-        out.append("\\" + ch if ch in r".^$*+?()[]{}|\\" else ch)
-    return "".join(out)

@@ -34,16 +34,18 @@ def jdbc_url(url: str | None = None) -> str:
 
 
 def write_jdbc(df: DataFrame, table: str, url: str | None = None, properties: dict | None = None,
-               mode: str = "overwrite", num_partitions: int = 8, batch_size: int = 10000,
+               mode: str = "overwrite", num_partitions: int | None = None, batch_size: int = 10000,
                truncate: bool = True) -> None:
     """Publish `df` to an RDBMS table.
 
-    `truncate=True` keeps the target's definition on overwrite; at most
-    `num_partitions` concurrent connections insert `batch_size` rows per batch.
+    `truncate=True` keeps the target's definition on overwrite; each partition
+    inserts `batch_size` rows per batch.  `num_partitions` caps the concurrent
+    connections (Spark folds the frame to that many tasks); None leaves it whole.
     """
     props = dict(properties or connection_properties())
-    props.update({"numPartitions": str(num_partitions), "batchsize": str(batch_size),
-                  "truncate": "true" if truncate else "false"})
+    props.update({"batchsize": str(batch_size), "truncate": "true" if truncate else "false"})
+    if num_partitions:
+        props["numPartitions"] = str(num_partitions)
     df.write.jdbc(jdbc_url(url), table, mode=mode, properties=props)
 
 

@@ -26,10 +26,6 @@ def write_partitioned(df: DataFrame, path: str, partition_by: str | list = P.BAT
     writer.partitionBy(*cols).parquet(path)
 
 
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).parquet(path)
-
-
 # Null marker for CSV files written and read by this library.  Spark's
 # default (the empty string) cannot tell a null from an empty text.
 CSV_NULL = "\\N"
@@ -81,13 +77,3 @@ def parquet_publisher(root: str, mode: str = "overwrite"):
     def publish(name: str, df: DataFrame) -> None:
         df.write.mode(mode).parquet(f"{root.rstrip('/')}/{name}")
     return publish
-
-
-def table_publisher(database: str | None = None, root: str | None = None,
-                    mode: str = "overwrite"):
-    """Publisher saving each named frame as a catalog table (external at
-    `<root>/<name>` when `root` is given)."""
-    def publish(name: str, df: DataFrame) -> None:
-        table = f"{database}.{name}" if database else name
-        save_table(df, table, path=f"{root.rstrip('/')}/{name}" if root else None, mode=mode)
-    return publish

@@ -7,6 +7,11 @@ commit log makes every micro-batch exactly-once even when tasks or
 executors are lost.  `availableNow` processes what is there and stops, so
 the same job serves scheduled batch runs.  No state is kept: the operator is
 stateless, so no watermark is needed.
+
+The mark belongs to a run, not to a start: it is written next to the
+checkpoint before the first micro-batch, and a run that was interrupted
+resumes with the mark it began with.  Bronze half-written by that run can
+therefore never turn its remaining dates into late ones.
 """
 
 from __future__ import annotations
@@ -16,7 +21,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata import presets as P
-from strata.sources.batches import latest_date, read_if_exists
+from strata.plans.bronze import ingestion_plan
+from strata.sources.batches import partition_values, read_if_exists
+
+RUN_SCHEMA = "ingested array<string>, open boolean"
 
 
 def raw_schema(spark: SparkSession, raw_root: str) -> T.StructType:
@@ -24,18 +32,43 @@ def raw_schema(spark: SparkSession, raw_root: str) -> T.StructType:
     return spark.read.parquet(raw_root).schema
 
 
+def _run_file(checkpoint: str) -> str:
+    return checkpoint.rstrip("/") + "-run"
+
+
+def begin_run(spark: SparkSession, bronze_root: str, checkpoint: str,
+              col: str = P.BATCH_COLUMN) -> list:
+    """The dates bronze had when the current run began: those on record if an
+    earlier start left the run open, else (a new run) those listed now."""
+    record = read_if_exists(spark, _run_file(checkpoint))
+    last = record.first() if record is not None else None
+    if last is not None and last["open"]:
+        return list(last["ingested"])
+    have = [d for d in partition_values(spark, bronze_root, col) if d is not None]
+    _record(spark, checkpoint, have, True)
+    return have
+
+
+def _record(spark: SparkSession, checkpoint: str, have: list, is_open: bool) -> None:
+    spark.createDataFrame([(have, is_open)], RUN_SCHEMA).write.mode("overwrite").parquet(_run_file(checkpoint))
+
+
 def start_bronze_stream(spark: SparkSession, raw_root: str, bronze_root: str, checkpoint: str,
                         col: str = P.BATCH_COLUMN, schema: T.StructType | None = None,
-                        max_files_per_trigger: int | None = None):
-    """Start the availableNow ingestion; returns the StreamingQuery."""
+                        max_files_per_trigger: int | None = None, pattern: str = P.BATCH_DIR_PATTERN):
+    """Start (or resume) the availableNow ingestion; returns the StreamingQuery.
+
+    Rows whose batch value is no date, or lies at or below the run's mark, are
+    passed over; `run_bronze_stream` reports their dates."""
     schema = schema or raw_schema(spark, raw_root)
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.parquet(raw_root)
-    mark = latest_date(read_if_exists(spark, bronze_root), col)
-    if mark is not None:
-        stream = stream.filter(F.col(col) > F.lit(mark))
+    dated = [d for d, status in ingestion_plan(begin_run(spark, bronze_root, checkpoint, col), [], pattern).items()
+             if status == "new"]
+    stream = reader.parquet(raw_root).filter(F.col(col).rlike(pattern))
+    if dated:
+        stream = stream.filter(F.col(col) > F.lit(max(dated)))
     return (stream.writeStream.format("parquet")
             .option("path", bronze_root)
             .option("checkpointLocation", checkpoint)
@@ -47,11 +80,14 @@ def start_bronze_stream(spark: SparkSession, raw_root: str, bronze_root: str, ch
 
 def run_bronze_stream(spark: SparkSession, raw_root: str, bronze_root: str, checkpoint: str,
                       col: str = P.BATCH_COLUMN, timeout_s: int = 600,
-                      max_files_per_trigger: int | None = None) -> DataFrame:
-    """Run the ingestion to completion and return the bronze dataset.
+                      max_files_per_trigger: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Run the ingestion to completion; returns the bronze dataset and a report
+    (batch_date, status) with a row per landed value: ingested / present /
+    late / invalid.
 
     `max_files_per_trigger` bounds each micro-batch when a large backlog has
     landed (availableNow still drains all of it, batch by batch)."""
+    have = begin_run(spark, bronze_root, checkpoint, col)
     query = start_bronze_stream(spark, raw_root, bronze_root, checkpoint, col,
                                 max_files_per_trigger=max_files_per_trigger)
     query.awaitTermination(timeout_s)
@@ -60,4 +96,8 @@ def run_bronze_stream(spark: SparkSession, raw_root: str, bronze_root: str, chec
         raise TimeoutError(f"bronze stream did not finish within {timeout_s}s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return spark.read.parquet(bronze_root)
+    _record(spark, checkpoint, have, False)
+    plan = ingestion_plan(partition_values(spark, raw_root, col), have)
+    report = [(d, "ingested" if status == "new" else status) for d, status in plan.items()]
+    return (spark.read.parquet(bronze_root),
+            spark.createDataFrame(report, f"{col} string, status string"))

@@ -222,5 +222,104 @@ def test_csv_copy_has_one_directory_per_date(spark, tmp):
 
 def test_stream_in_bounded_micro_batches(spark, tmp):
     raw, counts = _landed(spark, tmp)
-    out = run_bronze_stream(spark, raw, f"{tmp}/bz", f"{tmp}/ck", max_files_per_trigger=1)
-    assert out.count() == 600
+    out, report = run_bronze_stream(spark, raw, f"{tmp}/bz", f"{tmp}/ck", max_files_per_trigger=1)
+    assert out.count() == 600 and {r[1] for r in rows(report)} == {"ingested"}
+
+
+def test_stream_stopped_after_a_batch_resumes_without_loss(spark, tmp):
+    import time
+
+    from strata.streaming.bronze_stream import start_bronze_stream
+    raw, bz, ck = f"{tmp}/raw", f"{tmp}/bz", f"{tmp}/ck"
+    # the newest date is written first, so a stream that reads file by file
+    # may meet it first and would take the others for late ones
+    for d in ("2025_06_17", "2025_06_16", "2025_06_15"):
+        write_partitioned(_ids(spark, 100).coalesce(1).withColumn(P.BATCH_COLUMN, F.lit(d)), raw)
+    query = start_bronze_stream(spark, raw, bz, ck, max_files_per_trigger=1)
+    while query.isActive and not query.recentProgress:
+        time.sleep(0.05)
+    query.stop()
+    table, report = run_bronze_stream(spark, raw, bz, ck, max_files_per_trigger=1)
+    assert table.count() == 300
+    assert sorted(rows(report)) == [(d, "ingested") for d in ("2025_06_15", "2025_06_16", "2025_06_17")]
+
+
+def test_stream_reports_late_and_invalid_dates(spark, tmp):
+    raw, counts = _landed(spark, tmp)
+    run_bronze_stream(spark, raw, f"{tmp}/bz", f"{tmp}/ck")
+    for d in ("2025_06_14", "zz_manual", "2025_06_18"):
+        write_partitioned(_ids(spark, 5).withColumn(P.BATCH_COLUMN, F.lit(d)), raw)
+    table, report = run_bronze_stream(spark, raw, f"{tmp}/bz", f"{tmp}/ck")
+    assert dict(rows(report)) == {**{d: "present" for d in counts}, "2025_06_14": "late",
+                                  "zz_manual": "invalid", "2025_06_18": "ingested"}
+    assert table.count() == 605
+
+
+def test_accumulate_opens_new_dates_only(spark, tmp):
+    import glob
+    raw, counts = _landed(spark, tmp)
+    bz = f"{tmp}/bz"
+    bronze.accumulate(spark, raw, bz).collect()
+    for root in (raw, bz):
+        for f in glob.glob(f"{root}/batch_date=2025_06_1[56]/*.parquet"):
+            with open(f, "wb") as fh:
+                fh.write(b"broken")
+    write_partitioned(_ids(spark, 9).withColumn(P.BATCH_COLUMN, F.lit("2025_06_18")), raw)
+    report = {r[0]: (r[1], r[2]) for r in bronze.accumulate(spark, raw, bz).collect()}
+    assert report["2025_06_18"] == (9, "ingested") and report["2025_06_15"] == (None, "present")
+
+
+def test_paths_without_scheme_live_on_the_default_file_system(spark, tmp):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    os.makedirs(f"{tmp}/store")
+    conf.set("fs.viewfs.mounttable.lake.link./data", f"file://{tmp}/store")
+    conf.set("fs.defaultFS", "viewfs://lake/")
+    try:
+        raw, bz = "/data/raw", "/data/bronze"
+        write_partitioned(_ids(spark, 10).withColumn(P.BATCH_COLUMN, F.lit("2025_06_15")), raw)
+        assert not os.path.exists(raw)
+        assert [tuple(r) for r in bronze.accumulate(spark, raw, bz).collect()] == [("2025_06_15", 10, "ingested")]
+        assert [tuple(r) for r in bronze.accumulate(spark, raw, bz).collect()] == [("2025_06_15", None, "present")]
+        assert read_if_exists(spark, bz).count() == 10
+    finally:
+        conf.set("fs.defaultFS", before)
+
+
+def test_splits_keep_null_keys_and_small_weights(spark):
+    df = spark.range(20000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"), "id")
+    a, b = split_hash(df, "k", [0.996, 0.004])
+    n = b.count()
+    assert 30 <= n <= 140 and a.count() + n == 20000
+    assert b.filter("k IS NULL").count() > 0
+    dated = assign_deliveries(df, "k")
+    assert dated.filter(F.col(P.BATCH_COLUMN).isNull()).count() == 0
+    spread = {r[0]: r[1] for r in dated.filter("k IS NULL").groupBy(P.BATCH_COLUMN).count().collect()}
+    assert len(spread) == 3 and min(spread.values()) > 1500
+
+
+def test_rebalance_takes_the_count(spark):
+    text = repartition_by_key(_ids(spark), 10, "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in text and "10" in text.splitlines()[0]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from strata import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+    with pytest.raises(ValueError):
+        session.checkpoint_dir(Session())

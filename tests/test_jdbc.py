@@ -23,7 +23,7 @@ def test_write_options_and_env_credentials(spark, monkeypatch):
     assert props == {"user": "etl", "password": "from-env", "driver": "org.postgresql.Driver",
                      "numPartitions": "4", "batchsize": "500", "truncate": "true"}
     jdbc.jdbc_publisher()("gold_final_accidents", df)
-    assert calls[1][1] == "gold_final_accidents"
+    assert calls[1][1] == "gold_final_accidents" and "numPartitions" not in calls[1][3]
 
 
 def test_missing_url_is_an_error(spark, monkeypatch):
