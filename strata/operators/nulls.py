@@ -1,8 +1,7 @@
 """Null handling and data-quality profiles.
 
-All statistics needed by one imputation are computed in a single aggregate
-job (partial aggregation per task, one exchange of a single row per task),
-and applied in a single projection.
+All means needed by one imputation are computed in a single aggregate job,
+medians by counting per bucket; all fills are applied in a single projection.
 """
 
 from __future__ import annotations
@@ -33,22 +32,49 @@ def fill_constant(df: DataFrame, values: dict) -> DataFrame:
     return df.na.fill(present) if present else df
 
 
-def imputation_stats(df: DataFrame, mean: list[str] = (), median: list[str] = (),
-                     accuracy: int = P.MEDIAN_ACCURACY) -> dict:
-    """Mean and approximate median per column, from one aggregate job.
+MEDIAN_BUCKETS = 4096
 
-    Like `avg`/`percentile_approx` these ignore nulls.  NaN would poison an
-    average, so (as the fill below treats NaN as missing) it is excluded too.
+
+def imputation_stats(df: DataFrame, mean: list[str] = (), median: list[str] = ()) -> dict:
+    """Mean and exact median per column.
+
+    Nulls are ignored; NaN would poison an average, so (as the fill below
+    treats NaN as missing) it is excluded too.  One aggregate job gives the
+    means and the range of the median columns; `_narrow` then finds each
+    median by counting, in jobs of a plain hash aggregate.
     """
-    exprs = []
-    for c in mean:
-        exprs.append(F.avg(_valid(df, c)).alias(f"mean::{c}"))
+    exprs = [F.avg(_valid(df, c)).alias(f"mean::{c}") for c in mean]
     for c in median:
-        exprs.append(F.percentile_approx(_valid(df, c), 0.5, accuracy).alias(f"median::{c}"))
+        v = _valid(df, c)
+        exprs += [F.count(v).alias(f"n::{c}"), F.min(v).alias(f"min::{c}"), F.max(v).alias(f"max::{c}")]
     if not exprs:
         return {}
     row = df.agg(*exprs).first()
-    return {k: row[k] for k in row.asDict()}
+    stats = {f"mean::{c}": row[f"mean::{c}"] for c in mean}
+    for c in median:
+        stats[f"median::{c}"] = _narrow(df, _valid(df, c), row[f"n::{c}"], row[f"min::{c}"], row[f"max::{c}"])
+    return stats
+
+
+def _narrow(df: DataFrame, value: Column, n: int, low, high):
+    """The least value with at least half of the values at or below it.
+
+    Each pass counts values per bucket of [low, high] (at most MEDIAN_BUCKETS
+    rows, split over many keys) and goes on with the bucket that holds the
+    middle, until a bucket holds a single value."""
+    rank = (n + 1) // 2
+    while low is not None and low < high:
+        at = F.floor((value - F.lit(low)) / F.lit((high - low) / MEDIAN_BUCKETS))
+        rows = (df.filter((value >= F.lit(low)) & (value <= F.lit(high)))
+                .groupBy(F.least(at, F.lit(MEDIAN_BUCKETS - 1)).alias("b"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
+                .orderBy("b").collect())
+        for r in rows:
+            if r["n"] >= rank:
+                break
+            rank -= r["n"]
+        low, high = r["lo"], r["hi"]
+    return low
 
 
 def _valid(df: DataFrame, c: str) -> Column:
@@ -60,7 +86,7 @@ def _valid(df: DataFrame, c: str) -> Column:
 
 def impute(df: DataFrame, mean: list[str] | None = None, zero: list[str] | None = None,
            median: list[str] | None = None, decimals: int = 2,
-           accuracy: int = P.MEDIAN_ACCURACY, stats: dict | None = None) -> DataFrame:
+           stats: dict | None = None) -> DataFrame:
     """Fill nulls/NaN with the column mean, 0.0 or median, then round every
     imputed column to `decimals` (the whole column, not just filled cells).
 
@@ -78,7 +104,7 @@ def impute(df: DataFrame, mean: list[str] | None = None, zero: list[str] | None
         log.warning("imputation skipped for absent columns: %s", ", ".join(missing))
     mean_c, zero_c, median_c = present(mean), present(zero), present(median)
     if stats is None:
-        stats = imputation_stats(df, mean_c, median_c, accuracy)
+        stats = imputation_stats(df, mean_c, median_c)
     fills: dict[str, float] = {c: 0.0 for c in zero_c}
     for c in mean_c:
         fills[c] = stats.get(f"mean::{c}")

@@ -22,30 +22,21 @@ def prepare(raw: DataFrame) -> DataFrame:
     return clean_wind(convert_all(raw))
 
 
-def shared_stats(raw_or_prepared: DataFrame, accuracy: int = P.MEDIAN_ACCURACY) -> dict:
-    """Imputation statistics for both chains (means and medians, one job)."""
-    df = raw_or_prepared
-    if "Distance_km" not in df.columns and "Distance(mi)" in df.columns:
-        df = prepare(df)
-    mean = [c for c in P.IMPUTE_MEAN if c in df.columns]
-    median = [c for c in P.IMPUTE_MEDIAN if c in df.columns]
-    return imputation_stats(df, mean, median, accuracy)
-
-
-def silver_join(raw: DataFrame, stats: dict | None = None) -> DataFrame:
+def silver_join(raw: DataFrame, stats: dict | None = None, prepared: bool = False) -> DataFrame:
     """The table joined with predictions: readable text, imputed measures,
-    rows without all twilight values dropped (after the statistics)."""
-    df = prepare(raw)
+    rows without all twilight values dropped (after the statistics).  With
+    `prepared` the input is `prepare`'s output already."""
+    df = raw if prepared else prepare(raw)
     df = drop_tolerant(df, P.JOIN_DROP)
     df = impute(df, stats=stats)
     df = dropna_subset(df, P.TWILIGHT_REQUIRED)
     return default_text(df)
 
 
-def silver_ml(raw: DataFrame, stats: dict | None = None, indexer=None):
+def silver_ml(raw: DataFrame, stats: dict | None = None, indexer=None, prepared: bool = False):
     """The all-numeric ML table; returns (frame, indexer).  Without an
     `indexer` (e.g. from `indexer_from_labels`) one is fitted."""
-    df = prepare(raw)
+    df = raw if prepared else prepare(raw)
     df, indexer = index_categoricals(df, model=indexer)
     df = drop_tolerant(df, P.ML_DROP_TEXT)
     df = encode_flags(df)
@@ -54,63 +45,59 @@ def silver_ml(raw: DataFrame, stats: dict | None = None, indexer=None):
 
 
 # ---------------------------------------------------------------------------
-# One pass for every statistic the silver/ML stages need.
+# Every statistic the silver/ML stages need.
 # ---------------------------------------------------------------------------
 
-_ALL = "__all__"
+# Distinct labels of one column that may reach the driver (the forest's
+# maxBins, 400, bounds them much lower); more is an error, never a cut.
+MAX_LABELS = 100_000
 
 
 def profile(prepared: DataFrame, mean: list[str] | None = None, median: list[str] | None = None,
             categorical: list[str] | None = None, fill: dict | None = None,
-            label: str | None = P.LABEL, accuracy: int = P.MEDIAN_ACCURACY) -> dict:
-    """Imputation statistics, categorical label frequencies and class counts
-    from a single aggregate job.
-
-    Each row is fanned out once per "set" (all rows, each categorical column,
-    the label) before a partial aggregate keyed by (set, value): means and
-    medians are taken on the all-rows set only, counts on every set.  The
-    result has one row per distinct categorical value, never per data row.
-    Returns {"stats", "labels", "class_counts"}; `labels[c]` is ordered as
-    the frequency indexer orders them (count desc, then label).
+            label: str | None = P.LABEL, max_labels: int = MAX_LABELS) -> dict:
+    """Imputation statistics, categorical label frequencies and class counts.
+
+    One global aggregate gives the means, plain hash aggregates the medians
+    (`imputation_stats`), and one count over grouping sets the labels of all
+    columns: rows carry the few label columns only, and a hot label costs one
+    row per task.  Returns {"stats", "labels", "class_counts"}; `labels[c]` is
+    ordered as the frequency indexer orders them (count desc, then label);
+    nulls are no labels and no class.
     """
     from pyspark.sql import functions as F
 
-    from strata.operators.nulls import _valid
     mean = [c for c in (P.IMPUTE_MEAN if mean is None else mean) if c in prepared.columns]
     median = [c for c in (P.IMPUTE_MEDIAN if median is None else median)
               if c in prepared.columns]
     categorical = [c for c in (P.INDEX_COLUMNS if categorical is None else categorical)
                    if c in prepared.columns]
     fill = P.CATEGORICAL_FILL if fill is None else fill
-    sets = [(_ALL, F.lit(None).cast("string"))]
-    for c in categorical:
-        col = F.col(f"`{c}`")
-        sets.append((c, F.coalesce(col, F.lit(fill[c])) if c in fill else col))
+    sets = [(c, F.coalesce(F.col(f"`{c}`"), F.lit(fill[c])) if c in fill else F.col(f"`{c}`"))
+            for c in categorical]
     if label and label in prepared.columns:
         sets.append((label, F.col(f"`{label}`").cast("string")))
-    fan = F.explode(F.array(*[F.struct(F.lit(n).alias("s"), e.alias("k")) for n, e in sets]))
-    measures = [*mean, *median]
-    exploded = prepared.select(fan.alias("e"),
-                               *[_valid(prepared, c).alias(c) for c in measures])
-    on_all = F.col("e.s") == _ALL
-    aggs = [F.count(F.lit(1)).alias("n")]
-    aggs += [F.avg(F.when(on_all, F.col(f"`{c}`"))).alias(f"mean::{c}") for c in mean]
-    aggs += [F.percentile_approx(F.when(on_all, F.col(f"`{c}`")), 0.5, accuracy)
-             .alias(f"median::{c}") for c in median]
-    rows = exploded.groupBy(F.col("e.s").alias("s"), F.col("e.k").alias("k")).agg(*aggs).collect()
-    stats, counts = {}, {c: [] for c in categorical}
-    class_counts = {}
-    for r in rows:
-        if r["s"] == _ALL:
-            stats = {k: r[k] for k in r.asDict() if "::" in k}
-        elif label and r["s"] == label:
-            class_counts[r["k"]] = r["n"]
-        elif r["k"] is not None:  # like the fitted indexer: nulls are not labels
-            counts[r["s"]].append((r["k"], r["n"]))
+    counts = {c: [] for c, _ in sets}
+    if sets:
+        keys = [f"k{i}" for i in range(len(sets))]
+        slim = prepared.select(*[e.alias(k) for k, (_, e) in zip(keys, sets)])
+        grouped = (slim.groupingSets([[F.col(k)] for k in keys], *[F.col(k) for k in keys])
+                   .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("g")))
+        # the grouping id of a set has a zero bit at its own column
+        which = {(1 << len(keys)) - 1 - (1 << (len(keys) - 1 - i)): i for i in range(len(keys))}
+        rows = grouped.limit(max_labels * len(sets) + 1).collect()
+        for r in rows:
+            i = which[r["g"]]
+            if r[keys[i]] is not None:  # like the fitted indexer: nulls are not labels
+                counts[sets[i][0]].append((r[keys[i]], r["n"]))
+        wide = [c for c, v in counts.items() if len(v) > max_labels]
+        if wide or len(rows) > max_labels * len(sets):
+            raise ValueError(f"more than {max_labels} distinct labels in one of {wide or list(counts)}")
+    class_counts = dict(counts.pop(label)) if label in counts else {}
     # count desc, then label in Java string order (UTF-16 code units)
     labels = {c: [k for k, _ in sorted(v, key=lambda kv: (-kv[1], _java_order(kv[0])))]
               for c, v in counts.items()}
-    return {"stats": stats, "labels": labels, "class_counts": class_counts}
+    return {"stats": imputation_stats(prepared, mean, median), "labels": labels, "class_counts": class_counts}
 
 
 def _java_order(text):
@@ -144,7 +131,8 @@ def majority_from_counts(class_counts: dict, cast=int):
 TWILIGHT_COMPLETE = "__twilight_complete"
 
 
-def silver_wide(raw: DataFrame, stats: dict, labels: dict) -> tuple[DataFrame, list, list]:
+def silver_wide(raw: DataFrame, stats: dict, labels: dict,
+                prepared: bool = False) -> tuple[DataFrame, list, list]:
     """One frame holding both silver tables' columns, and their column lists.
 
     The two tables share the converted and imputed measures; the ML-only
@@ -157,9 +145,9 @@ def silver_wide(raw: DataFrame, stats: dict, labels: dict) -> tuple[DataFrame, l
     from pyspark.sql import functions as F
 
     from strata.functions import bool_as_int, daynight_as_int
-    join_columns = silver_join(raw, stats).columns
-    ml_columns = silver_ml(raw, stats, indexer_from_labels(labels))[0].columns
-    df = impute(prepare(raw), stats=stats)
+    join_columns = silver_join(raw, stats, prepared).columns
+    ml_columns = silver_ml(raw, stats, indexer_from_labels(labels), prepared)[0].columns
+    df = impute(raw if prepared else prepare(raw), stats=stats)
     tmp = {c: f"__cat_{c}" for c in labels if c in df.columns}
     df = df.withColumns({t: F.coalesce(F.col(c), F.lit(P.CATEGORICAL_FILL[c]))
                          for c, t in tmp.items()})

@@ -66,7 +66,6 @@ IMPUTE_MEAN = ["Temperature(C)", "Humidity(%)", "Pressure(in)", "Wind_Speed_kmh"
                "Visibility_km"]
 IMPUTE_ZERO = ["Precipitation(cm)", "duration_minutes_record_weather"]
 IMPUTE_MEDIAN = ["Wind_Chill(C)"]
-MEDIAN_ACCURACY = 10000  # percentile_approx default accuracy
 
 # Columns dropped on the way to the ML table (after indexing, before flags).
 ML_DROP_TEXT = ["Description", "situation_date", "Airport_Code", "Source", "Street",
