@@ -72,18 +72,10 @@ def view_sql(dialect: str) -> str:
     raise ValueError(f"unknown dialect {dialect!r}")
 
 
-# The fact table of the view; it is spread over the cluster's cores when its
-# files yield fewer splits (the dimension tables stay as read).
-FACT_TABLE = "events"
-
-
 def read_tables(spark: SparkSession, sf_dir: str, names=SOURCE_TABLES) -> dict:
     from strata.sources.files import read_parquet
     root = sf_dir.rstrip("/")
-    return {n: read_parquet(spark, f"{root}/{n}.parquet",
-                            min_partitions=(spark.sparkContext.defaultParallelism
-                                            if n == FACT_TABLE else None))
-            for n in names}
+    return {n: read_parquet(spark, f"{root}/{n}.parquet") for n in names}
 
 
 def accidents(spark: SparkSession, sf_dir: str) -> DataFrame:

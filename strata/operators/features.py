@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
@@ -10,7 +9,6 @@ from pyspark.sql import DataFrame
 from strata import presets as P
 from strata.operators.columns import numeric_columns
 from strata.operators.nulls import fill_constant
-from strata.sources.files import ensure_parallelism
 
 
 def fit_indexer(df: DataFrame, cols: list[str] | None = None,
@@ -46,21 +44,10 @@ def feature_columns(df: DataFrame, label: str = P.LABEL) -> list[str]:
 
 
 def assemble(df: DataFrame, label: str = P.LABEL, features: list[str] | None = None,
-             out: str = "features", persist: bool = True,
-             min_partitions: int | None = None) -> tuple[DataFrame, list[str]]:
-    """Drop rows with a missing feature or label, assemble the feature vector.
-
-    The result is persisted (memory, spilling to disk) because the forest
-    makes many passes over it; the caller unpersists.  A persisted frame is
-    first spread over at least `min_partitions` tasks (default parallelism),
-    since every forest level is a pass over it.
-    """
+             out: str = "features") -> tuple[DataFrame, list[str]]:
+    """Drop rows with a missing feature or label, assemble the feature vector."""
     features = feature_columns(df, label) if features is None else features
     clean = df.na.drop(how="any", subset=[*features, label])
-    if persist:
-        clean = ensure_parallelism(clean, min_partitions)
     assembled = VectorAssembler(inputCols=features, outputCol=out,
                                 handleInvalid="error").transform(clean)
-    if persist:
-        assembled = assembled.persist(StorageLevel.MEMORY_AND_DISK)
     return assembled, features

@@ -29,7 +29,7 @@ def assert_unique(df: DataFrame, key: str) -> None:
 
 def enrich(left: DataFrame, right: DataFrame, key: str = P.KEY,
            cols: list[str] | None = None, how: str = "inner",
-           check_unique: bool = False) -> DataFrame:
+           check_unique: bool = True) -> DataFrame:
     """Attach `cols` of `right` to `left` on `key` (USING-style: key once, first).
 
     The right side is projected to key + cols before the join so only those
@@ -38,7 +38,7 @@ def enrich(left: DataFrame, right: DataFrame, key: str = P.KEY,
     `key`), a broadcast hash join only when the right side's measured size is
     under the session's broadcast bound; AQE splits skewed key partitions.
     `check_unique` verifies the right key is unique first (a re-fed batch
-    would otherwise multiply left rows).
+    would otherwise multiply left rows) and raises `DuplicateKeyError` if not.
     """
     cols = [c for c in right.columns if c != key] if cols is None else cols
     require_columns(left, [key], "left side")

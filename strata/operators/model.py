@@ -25,27 +25,29 @@ def train_test_split(df: DataFrame, key: str = P.KEY, weights: list[float] | Non
 
 def train_forest(train: DataFrame, label: str = P.LABEL, features: str = "features",
                  num_trees: int = P.RF_NUM_TREES, max_bins: int = P.RF_MAX_BINS,
-                 seed: int = P.SPLIT_SEED, max_partitions: int | None = None,
-                 **params) -> RandomForestClassificationModel:
+                 seed: int = P.SPLIT_SEED, **params) -> RandomForestClassificationModel:
     """Random-forest fit (distributed: per-node histogram aggregates).
 
-    Every tree level, each input partition emits one histogram set
-    (features x bins x classes) per open node, so the shuffle per level grows
-    with the partition count, not the row count.  Partitions beyond the
-    cluster's cores add that volume without adding parallelism; the input is
-    therefore coalesced (no shuffle) to at most `max_partitions` (default:
-    the default parallelism).  The seed is always set so a re-run grows the
-    same forest.  Extra `params` (maxDepth, subsamplingRate, maxMemoryInMB,
-    cacheNodeIds, checkpointInterval, ...) pass through.
+    Each tree samples rows partition by partition, so the forest depends on
+    the layout of `train` and the seed: a frame laid out by `lay_out` gives the
+    same forest on any number of cores.  Extra `params` (maxDepth,
+    subsamplingRate, maxMemoryInMB, cacheNodeIds, checkpointInterval, ...) pass
+    through.
     """
-    cap = max_partitions or train.sparkSession.sparkContext.defaultParallelism
-    if train.rdd.getNumPartitions() > cap:
-        train = train.coalesce(cap)
     rf = RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=num_trees,
                                 maxBins=max_bins, seed=seed, **params)
     return rf.fit(train)
 
 
+def lay_out(df: DataFrame, partitions: int | None = None, key: str = P.KEY) -> DataFrame:
+    """Rows hashed by key into an explicit number of partitions and sorted
+    within them: the layout follows the keys and that number alone.  The
+    default is the session's shuffle partition count, which a cluster sizes to
+    its data."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key).sortWithinPartitions(key)
+
+
 def predict_all(model, assembled: DataFrame, keep: list[str],
                 out: str = P.PREDICTION_CLASS) -> DataFrame:
     """Score every row; keep the given original columns plus the int class."""
@@ -54,6 +56,15 @@ def predict_all(model, assembled: DataFrame, keep: list[str],
                          F.col("prediction").cast("int").alias(out))
 
 
+def save_model(model: RandomForestClassificationModel, path: str) -> None:
+    """Store a fitted forest, replacing an earlier one."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> RandomForestClassificationModel:
+    return RandomForestClassificationModel.load(path)
+
+
 def accuracy(scored: DataFrame, label: str = P.LABEL, prediction: str = "prediction") -> float:
     """Share of rows whose prediction equals the label (Spark ML evaluator)."""
     ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol=prediction,

@@ -1,66 +1,60 @@
 """The whole medallion run: silver -> (forest) -> enrichment -> gold marts.
 
 Scale notes
-* One aggregate job computes every imputation statistic for both silver
-  tables, the indexer's label frequencies and the class counts
-  (`silver.profile`).  Everything else is lazy.
+* Raw is read once, into the converted table; statistics, both silver tables
+  and everything after read that table or the wide silver table, each written
+  once below `materialize_to`.  The writes also cut the lineage in the shared
+  folder, so a lost executor only re-runs the stage it was in.
+* One rule for keys: a key that occurs twice in raw raises `DuplicateKeyError`
+  before anything is scored, whatever the strategy.
 * Enrichment strategies:
-  - "fused" (default): the silver join table and the ML table are both
-    derived row by row from the same raw rows (unique key), sharing the same
-    converted and imputed measures, so the gold rows are scored in place:
-    the ML features are computed as extra columns of the join-table rows and
-    the model scores them there.  No join, no shuffle.  Rows the ML table
-    would not score (missing feature or label) are dropped, as the inner
+  - "fused" (default): both silver tables are columns of one wide table, so
+    the gold rows are scored in place.  No join, no shuffle.  Rows the ML
+    table would not score (missing feature or label) are dropped, as the inner
     join drops them.
   - "bucketed": silver join table and predictions are written as tables
     bucketed by the key (same bucket count); the sort-merge join then has no
     exchange (the shuffle happens once, at write time, and every later join
     of those tables is free of it).
   - "join": the plain enrichment join; AQE picks the strategy.
-* With `materialize_to` the gold table is written once and the marts read
-  it, instead of re-deriving it per mart.  The write also cuts the lineage
-  in the shared checkpoint folder, so a lost executor only re-runs the stage
-  it was in.
 """
 
 from __future__ import annotations
 
-import logging
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import presets as P
 from strata.operators import marts
-from strata.functions import bool_as_int, daynight_as_int, default_text
-from strata.operators.columns import drop_tolerant
+from strata.operators.cache import persisted
 from strata.operators.features import assemble
-from strata.operators.nulls import dropna_subset, impute
-from strata.operators.joins import enrich
-from strata.operators.model import (accuracy, majority_class, predict_all, predict_constant,
+from strata.operators.joins import assert_unique, enrich
+from strata.operators.model import (accuracy, lay_out, majority_class, predict_all, predict_constant,
                                     train_forest, train_test_split)
-from strata.plans.silver import (indexer_from_labels, majority_from_counts, prepare, profile,
-                                 silver_join, silver_ml)
+from strata.plans.silver import (TWILIGHT_COMPLETE, join_view, majority_from_counts, ml_view, prepare,
+                                 profile, silver_wide)
 from strata.session import unique_name
 from strata.sources.sinks import save_table
 
-log = logging.getLogger(__name__)
-
 
-def forest_predictions(ml_table: DataFrame, key: str = P.KEY, label: str = P.LABEL,
-                       **rf_params) -> tuple[DataFrame, dict]:
-    """Train on the hash-split 80 %, score every row, report test accuracy.
+def fit_forest(ml_table: DataFrame, key: str = P.KEY, label: str = P.LABEL,
+               partitions: int | None = None, **rf_params) -> dict:
+    """Train on the hash-split 80 % and measure on the rest: {"model",
+    "accuracy", "features", "feature_names"}.
 
-    The assembled features stay persisted until the caller has written the
-    predictions (`info["assembled"].unpersist()`).
-    """
+    The features are laid out by key (see `lay_out`), so the forest is the same
+    on any number of cores, and stay persisted only while the fit runs."""
     assembled, features = assemble(ml_table, label)
-    train, test = train_test_split(assembled, key)
-    model = train_forest(train, label, **rf_params)
-    preds = predict_all(model, assembled, ml_table.columns)
-    metrics = {"accuracy": accuracy(model.transform(test), label),
-               "features": len(features), "feature_names": features}
-    return preds, {"model": model, "assembled": assembled, **metrics}
+    with persisted(lay_out(assembled, partitions, key)) as rows:
+        train, test = train_test_split(rows, key)
+        model = train_forest(train, label, **rf_params)
+        measured = accuracy(model.transform(test), label)
+    return {"model": model, "accuracy": measured, "features": len(features), "feature_names": features}
+
+
+def forest_predictions(ml_table: DataFrame, model, features: list[str], label: str = P.LABEL) -> DataFrame:
+    """Every scorable row's original columns and predicted class."""
+    return predict_all(model, assemble(ml_table, label, features)[0], ml_table.columns)
 
 
 def baseline_predictions(ml_table: DataFrame, label: str = P.LABEL,
@@ -72,49 +66,20 @@ def baseline_predictions(ml_table: DataFrame, label: str = P.LABEL,
         P.PREDICTION_CLASS, F.col("prediction").cast("int")).drop("prediction")
 
 
-def fused_gold(raw: DataFrame, stats: dict, labels: dict, model=None, majority=None,
+def score_wide(wide: DataFrame, join_columns: list[str], model=None, majority=None,
                features: list[str] | None = None, label: str = P.LABEL) -> DataFrame:
     """Gold rows (silver join table + predicted class) scored in place.
 
-    Equal to `enrich(silver_join(raw), predictions(silver_ml(raw)))` when the
-    key is unique, without the join: the ML features are added as extra
-    columns (indexer over null-filled copies of the categorical columns,
-    flag encodings next to the originals), the model scores them, and the
-    join-table steps then run on the same rows.  `model=None` scores with the
-    constant `majority` class instead.
+    Equal to `enrich(join_view, predictions(ml_view))`, without the join: the
+    ML columns stand in the same rows of the wide table.  `model=None` scores
+    with the constant `majority` class instead.
     """
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.feature import StringIndexerModel, VectorAssembler
-
-    from strata.plans.silver import prepare
-    join_columns = silver_join(raw, stats).columns
-    df = impute(prepare(raw), stats=stats)
-    if model is not None:
-        tmp = {c: f"__cat_{c}" for c in labels if c in df.columns}
-        df = df.withColumns({t: F.coalesce(F.col(c), F.lit(P.CATEGORICAL_FILL[c]))
-                             for c, t in tmp.items()})
-        df = PipelineModel(stages=[
-            StringIndexerModel.from_labels(labels[c], inputCol=t, outputCol=c + P.INDEX_SUFFIX,
-                                           handleInvalid="keep")
-            for c, t in tmp.items()]).transform(df)
-        flags = {c + P.FLAG_SUFFIX: bool_as_int(F.col(c)) for c in P.BOOL_FLAGS if c in df.columns}
-        flags.update({c + P.FLAG_SUFFIX: daynight_as_int(F.col(c))
-                      for c in P.DAYNIGHT_COLUMNS if c in df.columns})
-        df = df.withColumns(flags)
-        # rows the ML table drops before scoring are not in the inner join
-        df = df.na.drop(how="any", subset=[*features, label])
-        df = VectorAssembler(inputCols=features, outputCol="__features",
-                             handleInvalid="error").transform(df)
-        scorer = model.copy().setFeaturesCol("__features").setPredictionCol("__prediction") \
-            .setRawPredictionCol("__raw").setProbabilityCol("__probability")
-        df = scorer.transform(df)
-        predicted = F.col("__prediction").cast("int")
+    if model is None:
+        scored = wide.withColumn(P.PREDICTION_CLASS, F.lit(majority).cast("int"))
     else:
-        predicted = F.lit(majority).cast("int")
-    df = df.withColumn(P.PREDICTION_CLASS, predicted)
-    df = dropna_subset(drop_tolerant(df, P.JOIN_DROP), P.TWILIGHT_REQUIRED)
-    df = default_text(df)
-    return df.select(*[F.col(f"`{c}`") for c in join_columns], F.col(P.PREDICTION_CLASS))
+        scored = predict_all(model, assemble(wide, label, features)[0], wide.columns)
+    return scored.filter(F.col(TWILIGHT_COMPLETE)).select(
+        *[F.col(f"`{c}`") for c in join_columns], F.col(P.PREDICTION_CLASS))
 
 
 def _bucketed(df: DataFrame, root: str, name: str, buckets: int, key: str) -> DataFrame:
@@ -123,61 +88,53 @@ def _bucketed(df: DataFrame, root: str, name: str, buckets: int, key: str) -> Da
     return df.sparkSession.table(table)
 
 
-def run_medallion(spark: SparkSession, raw: DataFrame, model: str = "forest",
-                  strategy: str = "fused", materialize_to: str | None = None,
-                  buckets: int | None = None, publish=None, **rf_params) -> dict:
-    """Run silver, prediction, enrichment and the four marts.
+def run_medallion(spark: SparkSession, raw: DataFrame, materialize_to: str, model: str = "forest",
+                  strategy: str = "fused", buckets: int | None = None, publish=None,
+                  **rf_params) -> dict:
+    """Run silver, prediction, enrichment and the four marts below the folder
+    `materialize_to`.
 
     `model="forest"` trains the random forest; `"baseline"` scores with the
-    majority class (no ML job).  `strategy` is "fused", "bucketed" (needs
-    `materialize_to`) or "join" (see the module notes).  `publish(name,
-    frame)` writes each mart.  Returns a dict of the frames (and the
-    forest's accuracy when trained).
+    majority class (no ML job).  `strategy` is "fused", "bucketed" or "join"
+    (see the module notes).  `publish(name, frame)` writes each mart.  Returns
+    a dict of the frames (and the forest's accuracy when trained).
     """
     if strategy not in ("fused", "bucketed", "join"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy == "bucketed" and not materialize_to:
-        raise ValueError("the bucketed strategy writes tables: give materialize_to")
     if buckets is None:
         # the shuffle partition count is what a cluster sizes to its data
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # one aggregate job: imputation statistics, indexer labels, class counts
-    prof = profile(prepare(raw))
-    stats = prof["stats"]
-    join_table = silver_join(raw, stats)
-    ml_table, indexer = silver_ml(raw, stats, indexer_from_labels(prof["labels"]))
-    out = {"stats": stats, "indexer": indexer, "silver_join": join_table,
-           "silver_ml": ml_table}
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{materialize_to}/{name}")
+        return spark.read.parquet(f"{materialize_to}/{name}")
+    converted = stored(prepare(raw), "converted")
+    assert_unique(converted, P.KEY)
+    prof = profile(converted)
+    wide, join_columns, ml_columns = silver_wide(converted, prof["stats"], prof["labels"], prepared=True)
+    wide = stored(wide, "silver_wide")
+    join_table, ml_table = join_view(wide, join_columns), ml_view(wide, ml_columns)
+    out = {"stats": prof["stats"], "silver_join": join_table, "silver_ml": ml_table}
     majority = None
     if model == "forest":
-        preds, info = forest_predictions(ml_table, **rf_params)
-        out.update(info)
+        out.update(fit_forest(ml_table, **rf_params))
+        preds = forest_predictions(ml_table, out["model"], out["feature_names"])
     else:
         majority = majority_from_counts(prof["class_counts"])
         preds = baseline_predictions(ml_table, majority=majority)
     if strategy == "fused":
-        gold = fused_gold(raw, stats, prof["labels"], out.get("model"), majority,
-                          out.get("feature_names"))
+        gold = score_wide(wide, join_columns, out.get("model"), majority, out.get("feature_names"))
     else:
         right = preds.select(P.KEY, P.PREDICTION_CLASS)
         if strategy == "bucketed":
             join_table = _bucketed(join_table, materialize_to, "silver_join", buckets, P.KEY)
             right = _bucketed(right, materialize_to, "predictions", buckets, P.KEY)
-        # On the bucketed table the uniqueness check is an aggregate without
-        # an exchange (rows are already clustered by key); unique keys are also
-        # what keeps the exchange-free join free of skew.
-        gold = enrich(join_table, right, P.KEY, [P.PREDICTION_CLASS],
-                      check_unique=strategy == "bucketed")
-    if materialize_to:
-        gold.write.mode("overwrite").parquet(f"{materialize_to}/gold")
-        gold = spark.read.parquet(f"{materialize_to}/gold")
-    if materialize_to and "assembled" in out:
-        # predictions are on disk now; otherwise the caller unpersists
-        out["assembled"].unpersist()
+        # raw's keys are known to be unique, and so are those derived from them
+        gold = enrich(join_table, right, P.KEY, [P.PREDICTION_CLASS], check_unique=False)
+    out["gold"] = stored(gold, "gold")
     out["predictions"] = preds
-    out["gold"] = gold
     for name, fn in marts.MARTS.items():
-        out[name] = fn(gold)
+        out[name] = fn(out["gold"])
     if publish is not None:
-        out["publish_report"] = marts.build_all(gold, publish, full_copy=marts.FULL_COPY)
+        out["publish_report"] = marts.build_all(out["gold"], publish, full_copy=marts.FULL_COPY)
     return out

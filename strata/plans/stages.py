@@ -9,6 +9,7 @@ an object-store prefix):
     silver/wide/  both silver tables in one physical table (one write pass);
                   the join table and the ML table are a filter/projection of it
     silver/columns/  their column lists (one row)
+    model/forest/ the fitted forest, and model/features/ its columns
     gold/predictions/  ID + prediction_classe
     gold/final/   enriched table (marts and serving read it)
     marts/<name>/ published marts (+ the full copy)
@@ -26,10 +27,12 @@ from pyspark.sql import functions as F
 from strata import presets as P
 from strata.operators import marts
 from strata.operators.joins import enrich
+from strata.operators.model import load_model, save_model
 from strata.operators.serve import page
 from strata.plans import bronze
-from strata.plans.medallion import baseline_predictions, forest_predictions
+from strata.plans.medallion import baseline_predictions, fit_forest, forest_predictions
 from strata.plans.silver import join_view, ml_view, prepare, profile, silver_wide
+from strata.sources.batches import partition_values
 from strata.sources.sinks import parquet_publisher
 
 
@@ -39,6 +42,7 @@ def paths(root: str) -> dict:
         "deliveries": f"{r}/deliveries", "deliveries_csv": f"{r}/deliveries_csv",
         "raw": f"{r}/raw", "bronze": f"{r}/bronze",
         "silver_wide": f"{r}/silver/wide", "silver_columns": f"{r}/silver/columns",
+        "model": f"{r}/model/forest", "features": f"{r}/model/features",
         "predictions": f"{r}/gold/predictions", "gold": f"{r}/gold/final",
         "marts": f"{r}/marts",
     }
@@ -53,11 +57,12 @@ def stage_deliver(spark: SparkSession, source: DataFrame, root: str, key: str =
 
 
 def stage_land(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
-    """Land each delivery date into raw; a failing date is reported, not fatal."""
+    """Land the delivery dates that raw lacks (or the given `dates`, again);
+    a failing date is reported, not fatal."""
     p = paths(root)
     if dates is None:
-        from strata.sources.batches import sorted_batch_dates
-        dates = sorted_batch_dates(spark.read.parquet(p["deliveries"]))
+        landed = set(partition_values(spark, p["raw"]))
+        dates = [d for d in partition_values(spark, p["deliveries"]) if d is not None and d not in landed]
     sources = {d: f"{p['deliveries']}/{P.BATCH_COLUMN}={d}" for d in dates}
     return bronze.land(spark, sources, p["raw"])
 
@@ -101,17 +106,24 @@ def read_silver(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def stage_predict(spark: SparkSession, root: str, model: str = "forest", **rf_params) -> dict:
-    """Score every ML row (forest, or the majority-class baseline)."""
+    """Score every ML row: `"forest"` fits and stores a forest, `"stored"`
+    scores with the stored one (a new batch without a refit), `"baseline"` is
+    the majority class."""
     p = paths(root)
     ml = read_silver(spark, root, "ml")
     info: dict = {}
     if model == "forest":
-        preds, info = forest_predictions(ml, **rf_params)
+        info = fit_forest(ml, **rf_params)
+        save_model(info["model"], p["model"])
+        spark.createDataFrame([(info["feature_names"],)], "names array<string>") \
+            .write.mode("overwrite").parquet(p["features"])
+        preds = forest_predictions(ml, info["model"], info["feature_names"])
+    elif model == "stored":
+        features = list(spark.read.parquet(p["features"]).first()["names"])
+        preds = forest_predictions(ml, load_model(p["model"]), features)
     else:
         preds = baseline_predictions(ml)
     preds.write.mode("overwrite").parquet(p["predictions"])
-    if "assembled" in info:
-        info.pop("assembled").unpersist()
     return info
 
 

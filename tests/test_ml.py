@@ -34,7 +34,6 @@ def test_assemble_drops_incomplete_rows(spark):
     assembled, feats = assemble(df)
     assert feats == ["a", "b", "c"]
     assert assembled.count() == 400
-    assembled.unpersist()
 
 
 def test_forest_learns_and_scores_every_row(spark):
@@ -48,7 +47,6 @@ def test_forest_learns_and_scores_every_row(spark):
     acc = accuracy(model.transform(test))
     base = rows(majority_baseline(df), "majority_share")[0][0]
     assert acc >= base
-    assembled.unpersist()
 
 
 def test_accuracy_forms_agree(spark):
@@ -82,3 +80,72 @@ def test_profile_indexer_equals_fitted_indexer(spark):
     assert None not in vals
     assert majority_from_counts(prof["class_counts"]) == 3
     assert prof["stats"]["median::Wind_Chill(C)"] == 2.0
+
+
+def test_laid_out_forest_is_the_same_on_any_core_count(tmp):
+    """The layout follows keys and partition count alone, so sessions with
+    other core counts and input splits grow the same forest."""
+    import json
+    import os
+    import subprocess
+    import sys
+    code = """
+import json, sys
+from strata.session import build_session
+from strata.operators.features import assemble
+from strata.operators.model import lay_out, predict_all, train_forest
+n = int(sys.argv[1])
+spark = build_session(master=f"local[{n}]", conf={"spark.sql.shuffle.partitions": "6", "spark.default.parallelism": str(n)})
+rows = [(f"A-{i}", 1 + (i * 7 % 11 > 5) + (i % 7 == 0), float(i * 13 % 17), float(i * 5 % 23), i % 3) for i in range(600)]
+df = spark.createDataFrame(rows, "ID string, Severity int, a double, b double, c int").repartition(n + 1)
+made, _ = assemble(df)
+model = train_forest(lay_out(made), num_trees=5, max_bins=32)
+out = sorted((r.ID, r.prediction_classe) for r in predict_all(model, made, ["ID"]).collect())
+print("OUT", json.dumps(out))
+"""
+    got = set()
+    for n in (2, 4, 8):
+        run = subprocess.run([sys.executable, "-c", code, str(n)], capture_output=True, text=True, timeout=300,
+                             cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        got.add(next(x for x in run.stdout.splitlines() if x.startswith("OUT")))
+    assert len(got) == 1 and len(json.loads(got.pop()[4:])) == 600
+
+
+def test_profile_with_many_labels(spark):
+    import pytest
+
+    from strata.plans.silver import profile
+    df = spark.range(3000).selectExpr("concat('l', id % 300) AS State", "cast(id % 4 AS int) AS Severity")
+    prof = profile(df, categorical=["State"], fill={})
+    assert len(prof["labels"]["State"]) == 300
+    with pytest.raises(ValueError):
+        profile(df, categorical=["State"], fill={}, max_labels=200)
+
+
+def test_null_class_is_no_class(spark):
+    from strata.plans.silver import majority_from_counts, profile
+    df = spark.createDataFrame([(None,), (None,), (2,)], "Severity int")
+    assert majority_from_counts(profile(df, mean=[], median=[], categorical=[])["class_counts"]) == 2
+
+
+def test_median_of_many_values_is_exact(spark):
+    import random
+    import statistics
+
+    from strata.operators.nulls import imputation_stats
+    rng = random.Random(7)
+    for n in (1, 2, 9, 5000, 20001):
+        values = [rng.gauss(0, 1) * 10 ** rng.randrange(-3, 6) for _ in range(n)] + [3.0] * (n // 3)
+        df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x double")
+        assert imputation_stats(df, [], ["x"])["median::x"] == statistics.median_low(values)
+    assert imputation_stats(spark.createDataFrame([(None,)], "x double"), [], ["x"])["median::x"] is None
+
+
+def test_stored_model_scores_alike(spark, tmp):
+    from strata.operators.model import load_model, save_model
+    made, _ = assemble(_frame(spark))
+    model = train_forest(made, num_trees=3, max_bins=32)
+    save_model(model, f"{tmp}/m")
+    save_model(model, f"{tmp}/m")  # replaces
+    a, b = (sorted(rows(predict_all(m, made, ["ID"]))) for m in (model, load_model(f"{tmp}/m")))
+    assert a == b

@@ -70,7 +70,7 @@ def test_indexed_columns_reach_the_forest_as_categorical(spark):
     df = spark.createDataFrame([(f"A-{i}", 1 + i % 2, ["x", "y", "z"][i % 3], float(i))
                                 for i in range(30)], "ID string, Severity int, State string, v double")
     indexed, _ = index_categoricals(df, ["State"])
-    assembled, feats = assemble(indexed, persist=False)
+    assembled, feats = assemble(indexed)
     meta = assembled.schema["features"].metadata["ml_attr"]["attrs"]
     nominal = [a["name"] for a in meta.get("nominal", [])]
     assert nominal == ["State_index"] and "v" in [a["name"] for a in meta["numeric"]]
