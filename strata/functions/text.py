@@ -1,4 +1,4 @@
-"""Text defaults and value mapping."""
+"""Text defaults."""
 
 from __future__ import annotations
 
@@ -22,12 +22,3 @@ def default_text(df: DataFrame, rules: list | None = None) -> DataFrame:
             if c in df.columns:
                 added[c] = blank_to(F.col(c), value)
     return df.withColumns(added) if added else df
-
-
-def map_values(c: Column, mapping: dict, default: Column | None = None) -> Column:
-    """Replace values found in `mapping`; others keep `default` (the input if None)."""
-    out = None
-    for k, v in mapping.items():
-        out = F.when(c == k, F.lit(v)) if out is None else out.when(c == k, F.lit(v))
-    fallback = c if default is None else default
-    return fallback if out is None else out.otherwise(fallback)

@@ -12,11 +12,10 @@ log = logging.getLogger(__name__)
 
 def drop_tolerant(df: DataFrame, cols: list[str]) -> DataFrame:
     """Drop the listed columns that exist; absent names are reported, not fatal."""
-    present = [c for c in cols if c in df.columns]
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        log.info("columns not present, not dropped: %s", ", ".join(missing))
-    return df.drop(*present) if present else df
+    unknown = set(cols).difference(df.columns)
+    if unknown:
+        log.info("nothing to drop for: %s", sorted(unknown))
+    return df.drop(*cols)  # Spark passes over names it does not know
 
 
 def numeric_columns(df: DataFrame, exclude: list[str] | tuple = ()) -> list[str]:
@@ -25,10 +24,6 @@ def numeric_columns(df: DataFrame, exclude: list[str] | tuple = ()) -> list[str]
             if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
 
 
-def columns_of_type(df: DataFrame, types: tuple) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, types)]
-
-
 def require_columns(df: DataFrame, cols: list[str], what: str = "input") -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:

@@ -38,7 +38,7 @@ def build_mart(df: DataFrame, keys: list[str], measures: dict,
     return df.groupBy(*keys).agg(*aggs)
 
 
-# Mart specifications (aliases are the published column names).
+# Mart specifications; names and aliases are the published ones.
 CITY_MART = (["City", "State"], {
     "total_accidents": ("count", "*"),
     "avg_severity": ("avg", "Severity"),
@@ -96,22 +96,7 @@ def mart_infrastructure(df: DataFrame, flags: list[str] | None = None,
     return wide.select(F.inline(per_flag))
 
 
-def mart_infrastructure_union(df: DataFrame, flags: list[str] | None = None,
-                              label: str = P.LABEL) -> DataFrame:
-    """The n-scan form (one filtered global aggregate per flag, unioned by name).
-
-    Kept as the reference semantics for tests; `mart_infrastructure` is the
-    single-scan equivalent to use.
-    """
-    from strata.operators.joins import union_by_name
-    flags = P.INFRA_FLAGS if flags is None else flags
-    parts = [df.filter(F.col(f) == F.lit(True))
-             .agg(F.count(F.lit(1)).alias("total_accidents"),
-                  F.avg(F.col(label)).alias("avg_severity"))
-             .withColumn("infrastructure", F.lit(f)) for f in flags]
-    return union_by_name(parts)
-
-
+# Published names of the marts and of the full copy.
 MARTS = {
     "dm_accidents_by_city": mart_city,
     "dm_weather_accidents": mart_weather,

@@ -14,13 +14,12 @@ def preview(df: DataFrame, n: int = 10, key: str = P.KEY) -> DataFrame:
 
 
 def page(df: DataFrame, offset: int = 0, limit: int = 1, key: str = P.KEY) -> DataFrame:
-    """Rows `offset .. offset+limit-1` in `key` order (stable across calls)."""
-    return df.orderBy(F.col(key)).offset(offset).limit(limit)
-
+    """Rows `offset .. offset+limit-1` in `key` order (stable across calls).
 
-def page_number(df: DataFrame, number: int = 0, size: int = 10, key: str = P.KEY) -> DataFrame:
-    """Page `number` of `size` rows."""
-    return page(df, number * size, size, key)
+    Spark keeps `offset + limit` rows to find the page, so this is for the
+    first pages; `page_after` reads deep ones from the last key seen.
+    """
+    return df.orderBy(F.col(key)).offset(offset).limit(limit)
 
 
 def page_after(df: DataFrame, last_key, limit: int = 10, key: str = P.KEY) -> DataFrame:

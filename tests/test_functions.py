@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from strata import presets as P
 from strata.functions import (add_durations, bool_to_int, clean_wind, convert_units,
-                              daynight_to_int, default_text, map_values)
+                              daynight_to_int, default_text)
 from tests.conftest import rows
 
 
@@ -92,9 +92,3 @@ def test_blank_defaults(spark):
     out = default_text(df).orderBy("i")
     assert rows(out, "City", "Description") == [("Other", "No_description"),
                                                 ("Other", "No_description"), (" ", "x")]
-
-
-def test_map_values_keeps_unmapped_and_null(spark):
-    df = spark.createDataFrame([("a",), ("b",), (None,)], "x string")
-    out = df.select(map_values(F.col("x"), {"a": "A"}).alias("y"))
-    assert [r[0] for r in out.collect()] == ["A", "b", None]

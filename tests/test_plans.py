@@ -32,9 +32,7 @@ def parquet_gold(spark, tmp):
 
 def test_infrastructure_mart_scans_once(parquet_gold):
     single = plan(marts.mart_infrastructure(parquet_gold, ["Amenity", "Junction"]))
-    union = plan(marts.mart_infrastructure_union(parquet_gold, ["Amenity", "Junction"]))
     assert single.count("FileScan parquet") == 1
-    assert union.count("FileScan parquet") == 2
 
 
 def test_severe_filter_reaches_scan_and_prunes_columns(parquet_gold):
@@ -123,3 +121,27 @@ def test_hot_key_enrichment_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_profile_uses_plain_hash_aggregates(spark):
+    """No object aggregate, no fan-out of whole rows, and no added exchange in
+    the fixture."""
+    from strata.fixture import accidents
+    from strata.operators import nulls
+    from strata.plans import silver
+    seen = []
+    frame = type(spark.range(0))
+    collect = frame.collect
+
+    def spy(self):
+        seen.append(plan(self))
+        return collect(self)
+    frame.collect = spy
+    try:
+        raw = accidents(spark, "/root/testdata/sf0.001")
+        silver.profile(silver.prepare(raw))
+    finally:
+        frame.collect = collect
+    assert seen and all("ObjectHashAggregate" not in p and "Generate" not in p for p in seen)
+    assert "RoundRobin" not in plan(raw) and "REPARTITION" not in plan(raw)
+    assert nulls.MEDIAN_BUCKETS > 1
