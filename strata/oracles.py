@@ -9,10 +9,71 @@ in Python so that each oracle stays one SQL statement.  Rounding rules:
 
 from __future__ import annotations
 
-from strata import presets as P
+from itertools import accumulate
+
 from strata.fixture import view_sql
 
 
+class P:
+    """Fixed values of the oracles, written out here: nothing is taken from the
+    presets or operators under test."""
+
+    UNIT_CONVERSIONS = {
+        "Distance(mi)": ("Distance_km", "mi_to_km"), "Temperature(F)": ("Temperature(C)", "f_to_c"),
+        "Wind_Chill(F)": ("Wind_Chill(C)", "f_to_c"), "Visibility(mi)": ("Visibility_km", "mi_to_km"),
+        "Wind_Speed(mph)": ("Wind_Speed_kmh", "mi_to_km"), "Precipitation(in)": ("Precipitation(cm)", "in_to_cm"),
+    }
+    DURATIONS = {
+        "duration_minutes_accident": ("Start_Time", "End_Time"),
+        "duration_minutes_record_weather": ("Start_Time", "Weather_Timestamp"),
+    }
+    TIME_COLUMNS = ["Start_Time", "End_Time", "Weather_Timestamp"]
+    COMPASS = {"N": 0.0, "NNE": 22.5, "NE": 45.0, "ENE": 67.5, "E": 90.0, "ESE": 112.5, "SE": 135.0, "SSE": 157.5,
+               "S": 180.0, "SSW": 202.5, "SW": 225.0, "WSW": 247.5, "W": 270.0, "WNW": 292.5, "NW": 315.0,
+               "NNW": 337.5}
+    BOOL_FLAGS = ["Amenity", "Bump", "Crossing", "Give_Way", "Junction", "No_Exit", "Railway", "Roundabout",
+                  "Station", "Stop", "Traffic_Calming", "Traffic_Signal", "Turning_Loop"]
+    DAYNIGHT_COLUMNS = ["Sunrise_Sunset", "Civil_Twilight", "Nautical_Twilight", "Astronomical_Twilight"]
+    FLAG_SUFFIX = "_num"
+    CATEGORICAL_FILL = {"Timezone": "UNKNOWN", "State": "UNKNOWN", "Weather_Condition": "UNKNOWN"}
+    INDEX_COLUMNS = ["Timezone", "State", "Weather_Condition"]
+    INDEX_SUFFIX = "_index"
+    IMPUTE_MEAN = ["Temperature(C)", "Humidity(%)", "Pressure(in)", "Wind_Speed_kmh", "Visibility_km"]
+    IMPUTE_ZERO = ["Precipitation(cm)", "duration_minutes_record_weather"]
+    IMPUTE_MEDIAN = ["Wind_Chill(C)"]
+    ML_DROP_TEXT = ["Description", "situation_date", "Airport_Code", "Source", "Street", "City", "Country",
+                    "County", "Wind_Direction", "wind_angle", "Wind_Direction_clean"]
+    ML_DROP_GEO = ["Start_Lat", "Start_Lng", "End_Lat", "End_Lng", "Start_Time", "End_Time", "Zipcode"]
+    JOIN_DROP = ["situation_date", "Source", "Country", "Wind_Direction", "wind_angle", "County",
+                 "wind_dir_sin", "wind_dir_cos"]
+    TWILIGHT_REQUIRED = ["Sunrise_Sunset", "Civil_Twilight", "Nautical_Twilight", "Astronomical_Twilight"]
+    DEFAULT_TEXT = [(["Zipcode", "Timezone", "Airport_Code", "Street", "City"], "Other"),
+                    (["Description"], "No_description"), (["Weather_Condition"], "Other")]
+    INFRA_FLAGS = ["Amenity", "Bump", "Railway", "Stop", "Junction", "Traffic_Signal"]
+    DELIVERY_DATES = ["2025-06-15", "2025-06-16", "2025-06-17"]
+    DELIVERY_WEIGHTS = [0.33, 0.33, 0.34]
+    LATE_DATES = ["2025-06-15", "2025-06-16", "2025-06-17", "2025-06-14"]
+    LATE_WEIGHTS = [0.3, 0.3, 0.3, 0.1]
+    DROPPED = ["Description", "Street", "Country", "County", "Zipcode"]
+    CITY_MART = (["City", "State"], {
+        "total_accidents": ("count", "*"), "avg_severity": ("avg", "Severity"),
+        "avg_distance": ("avg", "Distance_km"), "avg_duration": ("avg", "duration_minutes_accident")})
+    WEATHER_MART = (["Weather_Condition"], {
+        "total_accidents": ("count", "*"), "avg_severity": ("avg", "Severity"), "avg_temp": ("avg", "Temperature(C)"),
+        "avg_precip": ("avg", "Precipitation(cm)"), "avg_visibility": ("avg", "Visibility_km")})
+    SEVERE_WEATHER_MART = (["Weather_Condition"], {
+        "nb_grave_accidents": ("count", "*"), "avg_temp": ("avg", "Temperature(C)"),
+        "avg_wind": ("avg", "Wind_Speed_kmh"), "avg_humidity": ("avg", "Humidity(%)")})
+    TIMEZONE_MART = (["Timezone"], {
+        "accidents": ("count", "*"), "avg_wind_chill": ("avg", "Wind_Chill(C)"), "max_visibility": ("max", "Visibility_km"),
+        "min_pressure": ("min", "Pressure(in)"), "total_precip": ("sum", "Precipitation(cm)")})
+    ACC_TEXTS = ["ID", "Source", "Description", "Street", "City", "County", "State", "Zipcode", "Country", "Timezone",
+                 "Airport_Code", "Wind_Direction", "Weather_Condition", *DAYNIGHT_COLUMNS]
+    ACC_DOUBLES = ["Start_Lat", "Start_Lng", "End_Lat", "End_Lng", "Distance(mi)", "Temperature(F)", "Wind_Chill(F)",
+                   "Humidity(%)", "Pressure(in)", "Visibility(mi)", "Wind_Speed(mph)", "Precipitation(in)"]
+    TREES = 50
+
+
 def q(name: str) -> str:
     return '"' + name.replace('"', '""') + '"'
 
@@ -29,8 +90,13 @@ def R12(expr: str) -> str:
     return f"round(CAST({expr} AS DECIMAL(38,16)), 12)::DOUBLE"
 
 
-def md5_bucket(key: str) -> str:
-    return f"CAST(('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 7))::BIGINT % 100 AS INTEGER)"
+def md5_value(key: str) -> str:
+    """A value below 2^28."""
+    return f"('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 7))::BIGINT"
+
+
+def cuts(weights: list[float]) -> list[int]:
+    return [round(268435456 * w / sum(weights)) for w in accumulate(weights)]
 
 
 ACC = f"acc AS ({view_sql('duckdb')})"
@@ -59,7 +125,7 @@ WIND_CLEAN = (f"CASE WHEN {WIND_NORM} IN ('CALM', 'VARIABLE', 'VAR', 'NULL') THE
               f"WHEN {WIND_NORM} = 'NORTH' THEN 'N' WHEN {WIND_NORM} = 'SOUTH' THEN 'S' "
               f"ELSE {WIND_NORM} END")
 WIND_ANGLE = ("CASE \"Wind_Direction_clean\" " + " ".join(
-    f"WHEN '{p}' THEN {i * P.COMPASS_STEP_DEG}E0" for i, p in enumerate(P.COMPASS_POINTS))
+    f"WHEN '{p}' THEN {a}E0" for p, a in P.COMPASS.items())
     + " ELSE NULL END")
 
 _RAW_CONVERTED = [*P.UNIT_CONVERSIONS, *P.TIME_COLUMNS]
@@ -165,23 +231,15 @@ GOLD_CTES = (ACC, CONV, STATS, SJ, ML, MAJ, GOLD)
 
 
 def _hash_date(key: str, dates=P.DELIVERY_DATES, weights=P.DELIVERY_WEIGHTS) -> str:
-    from itertools import accumulate
-    total = float(sum(weights))
-    cuts = [round(100 * w / total) for w in accumulate(weights)]
-    cuts[-1] = 100
-    b = md5_bucket(key)
-    return "CASE " + " ".join(f"WHEN {b} < {c} THEN '{d.replace('-', '_')}'"
-                              for c, d in zip(cuts, dates)) + " END"
-
-
-ACC_DOUBLES = ["Start_Lat", "Start_Lng", "End_Lat", "End_Lng", "Distance(mi)", "Temperature(F)",
-               "Wind_Chill(F)", "Humidity(%)", "Pressure(in)", "Visibility(mi)",
-               "Wind_Speed(mph)", "Precipitation(in)"]
+    v = md5_value(key)
+    return "CASE " + " ".join(f"WHEN {v} < {c} THEN '{d.replace('-', '_')}'"
+                              for c, d in list(zip(cuts(weights), dates))[:-1]) \
+        + f" ELSE '{dates[-1].replace('-', '_')}' END"
 
 
 def _acc_r6(extra: str = "", exclude=()) -> str:
     """Every accident column, doubles in comparison rounding."""
-    dbl = [c for c in ACC_DOUBLES if c not in exclude]
+    dbl = [c for c in P.ACC_DOUBLES if c not in exclude]
     ex = ", ".join(q(c) for c in [*dbl, *exclude])
     return (f"* EXCLUDE ({ex}), " + ", ".join(f"{R6(q(c))} AS {q(c)}" for c in dbl)
             + (", " + extra if extra else ""))
@@ -195,24 +253,35 @@ def _sj_r6() -> str:
             + ", ".join(f"{R6(q(c))} AS {q(c)}" for c in dbl))
 
 
+_ML_DOUBLES = ["Humidity(%)", "Pressure(in)", "Distance_km", "Temperature(C)", "Wind_Chill(C)",
+               "Visibility_km", "Wind_Speed_kmh", "Precipitation(cm)", "duration_minutes_accident",
+               "duration_minutes_record_weather", "wind_dir_sin", "wind_dir_cos"]
+
+
 def _ml_r6() -> str:
-    dbl = ["Humidity(%)", "Pressure(in)", "Distance_km", "Temperature(C)", "Wind_Chill(C)",
-           "Visibility_km", "Wind_Speed_kmh", "Precipitation(cm)", "duration_minutes_accident",
-           "duration_minutes_record_weather", "wind_dir_sin", "wind_dir_cos"]
-    return (f"* EXCLUDE ({', '.join(q(c) for c in dbl)}), "
-            + ", ".join(f"{R6(q(c))} AS {q(c)}" for c in dbl))
+    return (f"* EXCLUDE ({', '.join(q(c) for c in _ML_DOUBLES)}), "
+            + ", ".join(f"{R6(q(c))} AS {q(c)}" for c in _ML_DOUBLES))
 
 
-def _null_counts() -> list[str]:
-    from strata.presets import ACC_SCHEMA
-    from pyspark.sql import types as T
-    out = []
-    for f in ACC_SCHEMA.fields:
-        cond = f"{q(f.name)} IS NULL"
-        if isinstance(f.dataType, T.DoubleType):
-            cond += f" OR isnan({q(f.name)})"
-        out.append((f.name, f"count(*) FILTER (WHERE {cond})"))
-    return out
+# The join table's columns, types and nullability.
+_JOIN_SCHEMA = [
+    ("ID", "string", True), ("Severity", "int", False),
+    *((c, "double", True) for c in ("Start_Lat", "Start_Lng", "End_Lat", "End_Lng")),
+    *((c, "string", True) for c in ("Description", "Street", "City", "State", "Zipcode", "Timezone", "Airport_Code")),
+    ("Humidity(%)", "double", True), ("Pressure(in)", "double", True), ("Weather_Condition", "string", True),
+    *((c, "boolean", c != "Turning_Loop") for c in P.BOOL_FLAGS),
+    *((c, "string", True) for c in P.DAYNIGHT_COLUMNS),
+    *((c, "double", True) for c in ("Distance_km", "Temperature(C)", "Wind_Chill(C)", "Visibility_km",
+                                    "Wind_Speed_kmh", "Precipitation(cm)", "duration_minutes_accident",
+                                    "duration_minutes_record_weather")),
+    ("Wind_Direction_clean", "string", True),
+]
+
+
+def _null_counts() -> list[tuple[str, str]]:
+    names = [*P.ACC_TEXTS, "Severity", *P.TIME_COLUMNS, *P.BOOL_FLAGS]
+    return [(n, f"count(*) FILTER (WHERE {q(n)} IS NULL)") for n in names] \
+        + [(n, f"count(*) FILTER (WHERE {q(n)} IS NULL OR isnan({q(n)}))") for n in P.ACC_DOUBLES]
 
 
 def _mart(keys: list[str], measures: dict, where: str = "") -> str:
@@ -246,18 +315,21 @@ def _sizes(src: str) -> str:
             f"GROUP BY batch_date)")
 
 
+def _late() -> tuple[str, str]:
+    bz = f"bz AS (SELECT {_hash_date(q('ID'), P.LATE_DATES, P.LATE_WEIGHTS)} AS batch_date FROM acc)"
+    return bz, "cnt AS (SELECT batch_date, count(*) AS rows FROM bz GROUP BY batch_date)"
+
+
 def _incremental() -> str:
-    dates = ["2025-06-15", "2025-06-16", "2025-06-17", "2025-06-14"]
-    bz = f"bz AS (SELECT batch_date FROM (SELECT {_hash_date(q('ID'), dates, [0.3, 0.3, 0.3, 0.1])} AS batch_date FROM acc))"
-    counts = "cnt AS (SELECT batch_date, count(*) AS rows FROM bz GROUP BY batch_date)"
     run1 = ("SELECT batch_date, rows, 'ingested' AS status, 1 AS run FROM cnt "
             "WHERE batch_date IN ('2025_06_15', '2025_06_16')")
-    run2 = ("SELECT batch_date, rows, CASE WHEN batch_date = '2025_06_17' THEN 'ingested' "
+    run2 = ("SELECT batch_date, CASE WHEN batch_date = '2025_06_17' THEN rows END AS rows, "
+            "CASE WHEN batch_date = '2025_06_17' THEN 'ingested' "
             "WHEN batch_date = '2025_06_14' THEN 'late' ELSE 'present' END AS status, 2 AS run "
             "FROM cnt")
     sizes = ("sz AS (SELECT batch_date, CAST(sum(rows) OVER (ORDER BY batch_date) AS BIGINT) "
              "AS snapshot_rows FROM cnt WHERE batch_date <> '2025_06_14')")
-    return with_ctes(ACC, bz, counts, sizes, select=(
+    return with_ctes(ACC, *_late(), sizes, select=(
         f"SELECT r.batch_date, r.rows, r.status, r.run, sz.snapshot_rows FROM ({run1} UNION ALL "
         f"{run2}) r LEFT JOIN sz ON sz.batch_date = r.batch_date"))
 
@@ -294,12 +366,10 @@ def build() -> dict[str, str]:
     o["dropna_subset"] = with_ctes(ACC, select=(
         "SELECT \"ID\", " + ", ".join(q(c) for c in P.TWILIGHT_REQUIRED) + " FROM acc WHERE "
         + " AND ".join(f"{q(c)} IS NOT NULL" for c in P.TWILIGHT_REQUIRED)))
-    from strata.queries import DROP_LIST
-    dropped = [c for c in DROP_LIST if c != "Not_A_Column"]
     o["drop_tolerant"] = with_ctes(ACC, select=(
-        "SELECT " + _acc_r6().replace("* EXCLUDE (", "* EXCLUDE (" + ", ".join(q(c) for c in dropped) + ", ", 1)
+        "SELECT " + _acc_r6().replace("* EXCLUDE (", "* EXCLUDE (" + ", ".join(q(c) for c in P.DROPPED) + ", ", 1)
         + " FROM acc"))
-    nums = [c for c in ["Severity", *ACC_DOUBLES] if c != "Severity"]
+    nums = [c for c in ["Severity", *P.ACC_DOUBLES] if c != "Severity"]
     o["numeric_columns"] = with_ctes(ACC, select=(
         "SELECT " + ", ".join(f"count({q(c)}) AS {q(c)}" for c in nums) + " FROM acc"))
 
@@ -314,6 +384,10 @@ def build() -> dict[str, str]:
     o["impute_zero"] = imputed(zero=P.IMPUTE_ZERO)
     o["impute_median"] = imputed(median=P.IMPUTE_MEDIAN)
     o["impute_all"] = imputed(P.IMPUTE_MEAN, P.IMPUTE_ZERO, P.IMPUTE_MEDIAN)
+    o["impute_many_valued"] = (
+        "WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 7 <> 0 THEN l_extendedprice::DOUBLE END "
+        "AS price FROM lineitem) SELECT l_orderkey, l_linenumber, "
+        + R2("coalesce(price, (SELECT quantile_disc(price, 0.5) FROM l))") + " AS price FROM l")
     nc = _null_counts()
     o["null_profile"] = with_ctes(ACC, select=(
         "SELECT " + ", ".join(f"{e} AS {q(n)}" for n, e in nc) + " FROM acc"))
@@ -328,14 +402,12 @@ def build() -> dict[str, str]:
     o["silver_stage_join"] = o["silver_join"]
     o["silver_stage_ml"] = o["silver_ml"]
 
-    from strata.operators import marts as M
-    from strata.queries import GENERIC_SPEC
-    o["mart_city"] = with_ctes(*GOLD_CTES, select=_mart(*M.CITY_MART))
-    o["mart_weather"] = with_ctes(*GOLD_CTES, select=_mart(*M.WEATHER_MART))
+    o["mart_city"] = with_ctes(*GOLD_CTES, select=_mart(*P.CITY_MART))
+    o["mart_weather"] = with_ctes(*GOLD_CTES, select=_mart(*P.WEATHER_MART))
     o["mart_severe_weather"] = with_ctes(*GOLD_CTES, select=_mart(
-        *M.SEVERE_WEATHER_MART, where="\"Severity\" = 4"))
+        *P.SEVERE_WEATHER_MART, where="\"Severity\" = 4"))
     o["mart_infra"] = with_ctes(*GOLD_CTES, select=_infra())
-    o["mart_generic"] = with_ctes(*GOLD_CTES, select=_mart(*GENERIC_SPEC, where="\"Severity\" >= 3"))
+    o["mart_generic"] = with_ctes(*GOLD_CTES, select=_mart(*P.TIMEZONE_MART, where="\"Severity\" >= 3"))
     o["enrich_join"] = with_ctes(*GOLD_CTES, select=f"SELECT {_sj_r6()} FROM gold")
     o["enrich_join_audit"] = with_ctes(*SILVER, SJ, ML, select=(
         "SELECT (SELECT count(*) FROM sj) AS left_rows, (SELECT count(*) FROM ml) AS right_rows, "
@@ -347,8 +419,21 @@ def build() -> dict[str, str]:
     o["page_rows"] = with_ctes(*GOLD_CTES, select=(
         f"SELECT {_sj_r6()} FROM gold ORDER BY \"ID\" LIMIT 20 OFFSET 25"))
 
-    o["scan_parquet"] = (f"SELECT event_id, user_id, {R6('value')} AS value FROM events "
-                         "WHERE event_type = 'click'")
+    o["page_after"] = with_ctes(*GOLD_CTES, select=(
+        f"SELECT {_sj_r6()} FROM gold WHERE \"ID\" > 'A-200' ORDER BY \"ID\" LIMIT 20"))
+    o["gold_full_copy"] = o["enrich_join"]
+    groups = {"dm_accidents_by_city": "SELECT DISTINCT \"City\", \"State\" FROM gold",
+              "dm_weather_accidents": "SELECT DISTINCT \"Weather_Condition\" FROM gold",
+              "dm_accidents_by_infra": f"SELECT unnest(range({len(P.INFRA_FLAGS)}))",
+              "dm_grave_accidents_weather": "SELECT DISTINCT \"Weather_Condition\" FROM gold WHERE \"Severity\" = 4",
+              "gold_final_accidents": "SELECT 1 FROM gold"}
+    o["publish_report"] = with_ctes(*GOLD_CTES, select=" UNION ALL ".join(
+        f"SELECT '{n}' AS mart, 'ok' AS status, NULL::VARCHAR AS error, (SELECT count(*) FROM ({t})) AS rows"
+        for n, t in groups.items()))
+
+    o["scan_parquet"] = f"SELECT * REPLACE ({R6('value')} AS value) FROM events"
+    o["scan_pushdown"] = (f"SELECT event_id, user_id, {R6('value')} AS value FROM events "
+                          "WHERE event_type = 'click'")
     o["scan_csv_roundtrip"] = _csv_roundtrip()
     o["table_roundtrip"] = with_ctes(ACC, select=f"SELECT {_acc_r6()} FROM acc")
     bz = _bronze_rows()
@@ -361,15 +446,22 @@ def build() -> dict[str, str]:
     o["bronze_incremental"] = _incremental()
     o["bronze_rewrite_idempotent"] = with_ctes(ACC, bz, select=_sizes("bz"))
     o["bronze_stream"] = with_ctes(ACC, bz, select=_sizes("bz"))
+    o["bronze_stream_late"] = with_ctes(ACC, *_late(), select=(
+        "SELECT batch_date, CASE batch_date WHEN '2025_06_17' THEN 'ingested' WHEN '2025_06_14' THEN 'late' "
+        "ELSE 'present' END AS status, CASE WHEN batch_date <> '2025_06_14' THEN rows END AS rows FROM cnt"))
     o["land_report"] = with_ctes(ACC, bz, select=(
         "SELECT batch_date, count(*) AS rows, 'landed' AS status FROM bz GROUP BY batch_date"))
     o["split_hash"] = with_ctes(ACC, select=(
-        "SELECT \"ID\", CASE WHEN b < 33 THEN 0 WHEN b < 66 THEN 1 WHEN b < 100 THEN 2 END AS part "
-        f"FROM (SELECT \"ID\", {md5_bucket(q('ID'))} AS b FROM acc)"))
+        "SELECT \"ID\", CASE WHEN v < 88583700 THEN 0 WHEN v < 177167401 THEN 1 ELSE 2 END AS part "
+        f"FROM (SELECT \"ID\", {md5_value(q('ID'))} AS v FROM acc)"))
+    o["split_random"] = with_ctes(ACC, select=(
+        "SELECT count(*) AS rows, count(DISTINCT \"ID\") AS ids, 3::BIGINT AS parts FROM acc"))
     o["stamp_batch"] = with_ctes(ACC, select=(
         f"SELECT {_acc_r6(extra=chr(39) + P.DELIVERY_DATES[0] + chr(39) + ' AS situation_date')} FROM acc"))
     o["repartition_by_key"] = with_ctes(ACC, select=(
         "SELECT \"State\", count(*) AS rows FROM acc GROUP BY \"State\""))
+    o["repartition_exact"] = with_ctes(ACC, select=(
+        "SELECT \"State\", count(*) AS rows, 1::BIGINT AS partitions, true AS within_ten FROM acc GROUP BY \"State\""))
     o["row_audit"] = with_ctes(*SILVER, SJ, select=(
         "SELECT 'raw' AS step, (SELECT count(*) FROM acc) AS rows UNION ALL "
         "SELECT 'silver_join', (SELECT count(*) FROM sj) UNION ALL "
@@ -380,20 +472,29 @@ def build() -> dict[str, str]:
         "max(n) AS majority_rows, CAST(sum(n) AS BIGINT) AS rows, "
         f"{R6('max(n) / sum(n)')} AS majority_share "
         "FROM (SELECT \"Severity\", count(*) AS n FROM ml GROUP BY \"Severity\")"))
-    split = f"{md5_bucket(q('ID'))} < 80"
+    split = f"{md5_value(q('ID'))} < 214748365"
     o["accuracy_metric"] = with_ctes(*SILVER, ML, select=(
         "SELECT count(*) AS rows, count(*) FILTER (WHERE \"Severity\" = m.c) AS correct, "
         f"{R6('avg(CASE WHEN \"Severity\" = m.c THEN 1.0E0 ELSE 0.0E0 END)')} AS accuracy "
         f"FROM ml, (SELECT \"Severity\" AS c FROM ml WHERE {split} GROUP BY \"Severity\" "
         "ORDER BY count(*) DESC, \"Severity\" LIMIT 1) m "
         f"WHERE NOT ({split})"))
-    o["medallion_gold"] = with_ctes(*GOLD_CTES, select=_mart(*M.WEATHER_MART))
+    o["rf_train_metrics"] = with_ctes(*SILVER, ML, select=(
+        f"SELECT count(*) AS rows, {P.TREES} AS trees, true AS beats_majority FROM ml WHERE NOT ({split})"))
+    o["rf_predict"] = with_ctes(*SILVER, ML, select=f"SELECT {_ml_r6()}, true AS known_class FROM ml")
+    o["rf_saved_model"] = with_ctes(*SILVER, ML, select="SELECT true AS same, count(*) AS rows FROM ml")
+    numbers = [*(c + P.INDEX_SUFFIX for c in P.INDEX_COLUMNS), *(c + P.FLAG_SUFFIX for c in P.BOOL_FLAGS),
+               *(c + P.FLAG_SUFFIX for c in P.DAYNIGHT_COLUMNS), *_ML_DOUBLES]
+    o["assemble_features"] = with_ctes(*SILVER, ML, select=(
+        f"SELECT \"ID\", {len(numbers)} AS n_features, round(CAST("
+        + " + ".join(f"round(CAST({q(c)} AS DECIMAL(38,12)), 6)" for c in numbers) + " AS DECIMAL(38,12)), 4)::DOUBLE AS total FROM ml"))
+    o["medallion_full"] = with_ctes(*GOLD_CTES, select=(
+        f"SELECT {_sj_r6().replace('* EXCLUDE (', '* EXCLUDE (prediction_classe, ', 1)}, true AS known_class FROM gold"))
+    o["schema_report"] = with_ctes(*SILVER, SJ, select=" UNION ALL ".join(
+        f"SELECT {i} AS position, '{n}' AS column_name, '{t}' AS data_type, {b} AS nullable, "
+        f"count(*) FILTER (WHERE {q(n)} IS NULL) AS missing FROM sj" for i, (n, t, b) in enumerate(_JOIN_SCHEMA)))
+    o["medallion_gold"] = with_ctes(*GOLD_CTES, select=_mart(*P.WEATHER_MART))
     return o
 
 
 ORACLES = build()
-
-# Queries checked on row counts only: their values depend on a trained
-# model, a seeded random split, or Spark's own types (vectors, schema text).
-ROWS_ONLY = {"schema_report", "split_random", "assemble_features", "rf_train_metrics",
-             "rf_predict", "medallion_full"}

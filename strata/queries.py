@@ -9,6 +9,7 @@ round beyond what the pipeline specifies.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,20 +24,20 @@ from strata.operators.features import assemble, index_categoricals
 from strata.operators.ingest import (assign_deliveries, repartition_by_key, row_audit,
                                      split_hash, split_label, split_random, stamp)
 from strata.operators.joins import enrich, join_audit, union_by_name
-from strata.operators.model import (accuracy_frame, majority_baseline, majority_class,
-                                    predict_all, predict_constant, train_forest,
-                                    train_test_split)
+from strata.operators.model import (accuracy_frame, load_model, majority_baseline, majority_class,
+                                    predict_constant, save_model, train_test_split)
 from strata.operators.nulls import (dropna_subset, fill_constant, impute, null_profile,
                                     null_profile_long, schema_report)
-from strata.operators.serve import page, preview
+from strata.operators.serve import page, page_after, preview
 from strata.plans import bronze
-from strata.plans.medallion import baseline_predictions, fused_gold, run_medallion
+from strata.plans.medallion import (baseline_predictions, fit_forest, forest_predictions, run_medallion,
+                                    score_wide)
 from strata.plans.silver import (indexer_from_labels, join_view, majority_from_counts, ml_view,
                                  prepare, profile, silver_join, silver_ml, silver_wide)
 from strata.session import scratch_path, unique_name
 from strata.sources.batches import batch_dates as _batch_dates, latest_date, snapshot
 from strata.sources.files import read_csv, read_parquet
-from strata.sources.sinks import save_table, write_csv, write_partitioned
+from strata.sources.sinks import parquet_publisher, save_table, write_csv, write_partitioned
 from strata.streaming import run_bronze_stream
 
 BATCH = P.BATCH_COLUMN
@@ -142,6 +143,13 @@ def q_impute_all(spark, sf):
     return _imputed(spark, sf, P.IMPUTE_MEAN, P.IMPUTE_ZERO, P.IMPUTE_MEDIAN)
 
 
+def q_impute_many_valued(spark, sf):
+    """Median imputation of a column with about as many values as rows."""
+    price = F.when(F.col("l_orderkey") % 7 != 0, F.col("l_extendedprice")).cast("double")
+    df = read_parquet(spark, f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", price.alias("price"))
+    return _r6(impute(df, mean=[], zero=[], median=["price"]))
+
+
 def q_null_profile(spark, sf):
     return null_profile(_acc(spark, sf))
 
@@ -204,8 +212,8 @@ def _gold(spark, sf) -> DataFrame:
     scored in place (equal to the enrichment join; see `q_enrich_join`)."""
     raw = _acc(spark, sf)
     prof = profile(prepare(raw))
-    return fused_gold(raw, prof["stats"], prof["labels"], None,
-                      majority_from_counts(prof["class_counts"]))
+    wide, join_cols, _ = silver_wide(raw, prof["stats"], prof["labels"])
+    return score_wide(wide, join_cols, majority=majority_from_counts(prof["class_counts"]))
 
 
 def q_mart_city(spark, sf):
@@ -264,9 +272,22 @@ def q_page_rows(spark, sf):
     return _r6(page(_gold(spark, sf), offset=25, limit=20))
 
 
+def q_page_after(spark, sf):
+    """The 20 gold rows after a key: the predicate reaches the scan."""
+    return _r6(page_after(_gold(spark, sf), PAGE_KEY, 20))
+
+
+PAGE_KEY = "A-200"
+
+
 # ---------------------------------------------------------------- sources/sinks
 
 def q_scan_parquet(spark, sf):
+    return _r6(read_parquet(spark, f"{sf}/events.parquet"))
+
+
+def q_scan_pushdown(spark, sf):
+    """A pruned, filtered scan: the filter and the three columns reach parquet."""
     ev = read_parquet(spark, f"{sf}/events.parquet")
     return _r6(ev.filter(F.col("event_type") == "click").select("event_id", "user_id", "value"))
 
@@ -325,6 +346,7 @@ def q_latest_snapshot(spark, sf):
 
 
 SNAPSHOT_DATE = "2025_06_16"
+LATE_DELIVERIES = (["2025-06-15", "2025-06-16", "2025-06-17", "2025-06-14"], [0.3, 0.3, 0.3, 0.1])
 
 
 def q_bronze_snapshot(spark, sf):
@@ -337,8 +359,7 @@ def q_bronze_incremental(spark, sf):
     acc = _acc(spark, sf)
     raw_root = scratch_path(spark, "raw")
     bronze_root = scratch_path(spark, "bronze")
-    dated = assign_deliveries(acc, P.KEY, ["2025-06-15", "2025-06-16", "2025-06-17",
-                                           "2025-06-14"], [0.3, 0.3, 0.3, 0.1])
+    dated = assign_deliveries(acc, P.KEY, *LATE_DELIVERIES)
     first = dated.filter(F.col(BATCH).isin("2025_06_15", "2025_06_16"))
     later = dated.filter(~F.col(BATCH).isin("2025_06_15", "2025_06_16"))
     write_partitioned(first, raw_root)
@@ -370,8 +391,22 @@ def q_bronze_stream(spark, sf):
     bronze_root = scratch_path(spark, "bronze_stream")
     ckpt = scratch_path(spark, "bronze_stream_ckpt")
     run_bronze_stream(spark, raw_root, bronze_root, ckpt)
-    run_bronze_stream(spark, raw_root, bronze_root, ckpt)  # second run: nothing new
-    return bronze.snapshot_sizes(spark.read.parquet(bronze_root))
+    table, _ = run_bronze_stream(spark, raw_root, bronze_root, ckpt)  # second run: nothing new
+    return bronze.snapshot_sizes(table)
+
+
+def q_bronze_stream_late(spark, sf):
+    """Two stream runs: dates 1-2, then date 3 plus a late delivery; the second
+    report with bronze's rows per date."""
+    raw_root, bronze_root = scratch_path(spark, "raw"), scratch_path(spark, "bronze_stream")
+    ckpt = scratch_path(spark, "bronze_stream_ckpt")
+    dated = assign_deliveries(_acc(spark, sf), P.KEY, *LATE_DELIVERIES)
+    early = F.col(BATCH).isin("2025_06_15", "2025_06_16")
+    write_partitioned(dated.filter(early), raw_root)
+    run_bronze_stream(spark, raw_root, bronze_root, ckpt)
+    write_partitioned(dated.filter(~early), raw_root)
+    table, report = run_bronze_stream(spark, raw_root, bronze_root, ckpt, max_files_per_trigger=1)
+    return report.join(table.groupBy(BATCH).agg(F.count(F.lit(1)).alias("rows")), BATCH, "left")
 
 
 def q_land_report(spark, sf):
@@ -388,7 +423,9 @@ def q_split_hash(spark, sf):
 
 def q_split_random(spark, sf):
     parts = split_random(_acc(spark, sf).select("ID"), P.DELIVERY_WEIGHTS, P.SPLIT_SEED)
-    return union_by_name([p.withColumn("part", F.lit(i)) for i, p in enumerate(parts)])
+    whole = union_by_name([p.withColumn("part", F.lit(i)) for i, p in enumerate(parts)])
+    return whole.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("ID").alias("ids"),
+                     F.count_distinct("part").alias("parts"))
 
 
 def q_stamp_batch(spark, sf):
@@ -400,6 +437,15 @@ def q_repartition_by_key(spark, sf):
     return df.groupBy("State").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def q_repartition_exact(spark, sf):
+    """Exactly ten partitions by key: rows per state, and the partitions that
+    hold them (one a state)."""
+    df = repartition_by_key(_acc(spark, sf), 10, "State", balanced=False)
+    return df.withColumn("p", F.spark_partition_id()).groupBy("State").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("p").alias("partitions"),
+        (F.max("p") < 10).alias("within_ten"))
+
+
 def q_row_audit(spark, sf):
     """Rows entering the join table and the weather mart, counted in the
     same passes that write them (no extra count jobs)."""
@@ -437,48 +483,85 @@ def q_accuracy_metric(spark, sf):
 
 
 def q_assemble_features(spark, sf):
-    assembled, features = assemble(_ml_table(spark, sf), persist=False)
-    return assembled.select("ID", "features")
+    assembled, _ = assemble(_ml_table(spark, sf))
+    values = vector_to_array("features")
+    return assembled.select("ID", F.size(values).alias("n_features"), F.round(F.aggregate(
+        values, F.lit(0.0), lambda a, x: a + F.round(x, 6)), 4).alias("total"))
 
 
-def _forest(spark, sf):
-    ml = _ml_table(spark, sf)
-    assembled, features = assemble(ml)
-    train, test = train_test_split(assembled, P.KEY)
-    model = train_forest(train)
-    return ml, assembled, train, test, model
+def _stored_ml(spark, sf):
+    """The ML table, written once so that fit and scoring read the same rows."""
+    path = scratch_path(spark, "ml")
+    _ml_table(spark, sf).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _known(df: DataFrame) -> DataFrame:
+    """Double columns in comparison form; the class only as whether it is one."""
+    flag = F.col(P.PREDICTION_CLASS).between(1, 4).alias("known_class")
+    return _r6(df.select(*[F.col(f"`{c}`") for c in df.columns if c != P.PREDICTION_CLASS], flag))
 
 
 def q_rf_train_metrics(spark, sf):
-    ml, assembled, train, test, model = _forest(spark, sf)
-    scored = model.transform(test)
-    out = accuracy_frame(scored).withColumn("trees", F.lit(model.getNumTrees))
-    res = spark.createDataFrame(out.collect(), out.schema)
-    assembled.unpersist()
-    return res
+    """Rows of the test part, trees, and whether the forest is at least as
+    accurate there as the majority class of the training part."""
+    ml = _stored_ml(spark, sf)
+    info = fit_forest(ml)
+    train, test = train_test_split(ml, P.KEY)
+    base = accuracy_frame(predict_constant(test, majority_class(train)))
+    return base.select("rows", F.lit(info["model"].getNumTrees).alias("trees"),
+                       (F.lit(info["accuracy"]) >= F.col("accuracy") - 1e-9).alias("beats_majority"))
 
 
 def q_rf_predict(spark, sf):
-    ml, assembled, train, test, model = _forest(spark, sf)
-    preds = predict_all(model, assembled, ml.columns)
-    path = scratch_path(spark, "predictions")
-    preds.write.mode("overwrite").parquet(path)
-    assembled.unpersist()
-    return spark.read.parquet(path)
+    ml = _stored_ml(spark, sf)
+    info = fit_forest(ml)
+    return _known(forest_predictions(ml, info["model"], info["feature_names"]))
+
+
+def q_rf_saved_model(spark, sf):
+    """A stored forest scores as the one that was fitted: rows by agreement."""
+    ml = _stored_ml(spark, sf)
+    info = fit_forest(ml, num_trees=10)
+    path = scratch_path(spark, "model")
+    save_model(info["model"], path)
+    direct = forest_predictions(ml, info["model"], info["feature_names"])
+    again = forest_predictions(ml, load_model(path), info["feature_names"])
+    pairs = direct.select("ID", F.col(P.PREDICTION_CLASS).alias("a")).join(
+        again.select("ID", F.col(P.PREDICTION_CLASS).alias("b")), "ID")
+    return pairs.groupBy((F.col("a") == F.col("b")).alias("same")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 # ---------------------------------------------------------------- whole run
 
 def q_medallion_gold(spark, sf):
-    out = run_medallion(spark, _acc(spark, sf), model="baseline",
-                        materialize_to=scratch_path(spark, "medallion"))
+    out = run_medallion(spark, _acc(spark, sf), scratch_path(spark, "medallion"), model="baseline")
     return _r6(out["dm_weather_accidents"])
 
 
 def q_medallion_full(spark, sf):
-    out = run_medallion(spark, _acc(spark, sf), model="forest",
-                        materialize_to=scratch_path(spark, "medallion_full"))
-    return _r6(out["gold"])
+    out = run_medallion(spark, _acc(spark, sf), scratch_path(spark, "medallion_full"), model="forest")
+    return _known(out["gold"])
+
+
+def _published(spark, sf):
+    """Every mart and the full copy through the parquet publisher."""
+    root, path = scratch_path(spark, "marts"), scratch_path(spark, "gold")
+    _gold(spark, sf).write.parquet(path)
+    report = marts.build_all(spark.read.parquet(path), parquet_publisher(root), full_copy=marts.FULL_COPY)
+    return root, report
+
+
+def q_gold_full_copy(spark, sf):
+    root, _ = _published(spark, sf)
+    return _r6(spark.read.parquet(f"{root}/{marts.FULL_COPY}"))
+
+
+def q_publish_report(spark, sf):
+    """The report of the published marts, with the rows each holds."""
+    root, report = _published(spark, sf)
+    rows = [(name, status, error, spark.read.parquet(f"{root}/{name}").count()) for name, status, error in report]
+    return spark.createDataFrame(rows, "mart string, status string, error string, rows bigint")
 
 
 QUERIES = {
@@ -498,6 +581,7 @@ QUERIES = {
     "impute_zero": q_impute_zero,
     "impute_median": q_impute_median,
     "impute_all": q_impute_all,
+    "impute_many_valued": q_impute_many_valued,
     "null_profile": q_null_profile,
     "null_profile_long": q_null_profile_long,
     "schema_report": q_schema_report,
@@ -517,8 +601,12 @@ QUERIES = {
     "union_by_name": q_union_by_name,
     "preview_topn": q_preview_topn,
     "page_rows": q_page_rows,
+    "page_after": q_page_after,
+    "gold_full_copy": q_gold_full_copy,
+    "publish_report": q_publish_report,
     # sources, sinks, ingestion
     "scan_parquet": q_scan_parquet,
+    "scan_pushdown": q_scan_pushdown,
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
     "table_roundtrip": q_table_roundtrip,
     "delivery_counts": q_delivery_counts,
@@ -528,11 +616,13 @@ QUERIES = {
     "bronze_incremental": q_bronze_incremental,
     "bronze_rewrite_idempotent": q_bronze_rewrite_idempotent,
     "bronze_stream": q_bronze_stream,
+    "bronze_stream_late": q_bronze_stream_late,
     "land_report": q_land_report,
     "split_hash": q_split_hash,
     "split_random": q_split_random,
     "stamp_batch": q_stamp_batch,
     "repartition_by_key": q_repartition_by_key,
+    "repartition_exact": q_repartition_exact,
     "row_audit": q_row_audit,
     # ML
     "majority_baseline": q_majority_baseline,
@@ -540,6 +630,7 @@ QUERIES = {
     "assemble_features": q_assemble_features,
     "rf_train_metrics": q_rf_train_metrics,
     "rf_predict": q_rf_predict,
+    "rf_saved_model": q_rf_saved_model,
     # whole run
     "medallion_gold": q_medallion_gold,
     "medallion_full": q_medallion_full,
