@@ -33,7 +33,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--csv")
     ap.add_argument("--csv-null", default="", help="CSV null marker of the source")
     ap.add_argument("--parquet")
-    ap.add_argument("--model", default="forest", choices=["forest", "baseline"])
+    ap.add_argument("--model", default="forest", choices=["forest", "stored", "baseline"])
     ap.add_argument("--date", help="bronze snapshot date for silver (default latest)")
     ap.add_argument("--offset", type=int, default=0)
     ap.add_argument("--limit", type=int, default=1)
