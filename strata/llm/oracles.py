@@ -93,3 +93,60 @@ SELECT doc_id, source, n AS n_tokens, epoch::BIGINT AS epoch,
   ('0x' || substr(md5('mix-block:' || epoch || ':' || skey || ':' || block), 1, 15))::BIGINT AS block_order
 FROM (SELECT *, unnest(range(copies::BIGINT)) AS epoch FROM v)
 """
+
+JACCARD = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS sid FROM s GROUP BY doc_id
+), p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), l AS (
+  SELECT x, y, nx.sid AS sx, ny.sid AS sy FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 5 * c >= 4 * (nx.n + ny.n - c)
+), r AS (
+  SELECT doc_id, doc_id AS root FROM n UNION SELECT l.y, r.root FROM r JOIN l ON l.x = r.doc_id
+), c AS (
+  SELECT doc_id, min(root) AS class_id, count(*) AS class_docs FROM r GROUP BY doc_id
+), k AS (
+  SELECT x, count(*) AS n_links, count(DISTINCT CASE WHEN sx <> sy THEN sy END) AS n_set_links FROM l GROUP BY x
+)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS set_size, coalesce(c.class_id, w.doc_id) AS class_id,
+  coalesce(c.class_docs, 1)::BIGINT AS class_docs, coalesce(k.n_links, 0)::BIGINT AS n_links,
+  coalesce(k.n_set_links, 0)::BIGINT AS n_set_links
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN k ON k.x = w.doc_id
+"""
+
+LINES = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS s,
+    generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(s, '[^\x20\x09-\x0D]+') AS w FROM l
+), e AS (
+  SELECT *, CASE WHEN len(w) >= 4 THEN array_to_string(w, ' ') END AS k, doc_id * 1000000 + line AS rank FROM w
+), f AS (
+  SELECT k, min(rank) AS rank, any_value(w) AS w FROM e WHERE k IS NOT NULL GROUP BY k
+), v AS (
+  SELECT k, rank, -1 AS p, k AS v FROM f WHERE len(w) >= 10
+  UNION ALL
+  SELECT k, rank, p, array_to_string(list_concat(w[1:p], w[p + 2:]), ' ')
+  FROM (SELECT *, unnest(range(len(w))) AS p FROM f WHERE len(w) >= 10)
+), near AS (
+  SELECT DISTINCT a.k FROM v a JOIN v b ON a.v = b.v AND b.rank < a.rank AND (a.p = b.p OR a.p = -1 OR b.p = -1)
+), g AS (
+  SELECT e.doc_id, e.line, e.s, f.rank = e.rank AS is_first, near.k IS NOT NULL AS near,
+    e.k IS NOT NULL AND (f.rank <> e.rank OR near.k IS NOT NULL) AS gone
+  FROM e LEFT JOIN f ON f.k = e.k LEFT JOIN near ON near.k = e.k
+), d AS (
+  SELECT doc_id, count(*) FILTER (gone) AS gone, count(*) FILTER (near AND is_first) AS near,
+    coalesce(string_agg(s, chr(10) ORDER BY line) FILTER (NOT gone), '') AS text FROM g GROUP BY doc_id
+)
+SELECT o.doc_id, coalesce(d.gone, 0)::BIGINT AS n_lines_removed, coalesce(d.near, 0)::BIGINT AS n_near_removed,
+  CASE WHEN o.text IS NOT NULL THEN d.text END AS text
+FROM documents o LEFT JOIN d ON d.doc_id = o.doc_id
+"""

@@ -75,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_ngram_jaccard_join": oracles.JACCARD,
+    "op6_line_dedup": oracles.LINES,
     "op7_temperature_mixing": oracles.MIXING,
     "op9_chat_windows": oracles.CHAT,
 }
