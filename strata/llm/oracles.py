@@ -150,3 +150,57 @@ SELECT o.doc_id, coalesce(d.gone, 0)::BIGINT AS n_lines_removed, coalesce(d.near
   CASE WHEN o.text IS NOT NULL THEN d.text END AS text
 FROM documents o LEFT JOIN d ON d.doc_id = o.doc_id
 """
+
+# Unit words and symbols.
+UNITS = ("mm cm m km in ft yd mi mile miles meter meters metre metres mg g kg lb lbs oz gram grams ton tons "
+         "ml l liter liters litre litres gal gallon gallons s sec second seconds min minute minutes h hr hour "
+         "hours day days week weeks month months year years % percent dollar dollars euro euros cent cents "
+         "pound pounds usd eur gbp mph kmh km/h kwh kw w v hz khz mhz ghz kb mb gb tb").split()
+
+# Windows of eight words; the benchmark's items have at least as many.
+TEMPLATES = r"""
+WITH t AS (
+  SELECT 'd' AS src, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+), l AS (
+  SELECT src, id, unnest(string_split(text, chr(10))) AS s,
+    generate_subscripts(string_split(text, chr(10)), 1) AS ln FROM t
+), w AS (
+  SELECT src, id, ln, unnest(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) AS w,
+    generate_subscripts(regexp_extract_all(s, '[^\x20\x09-\x0D]+'), 1) AS i FROM l
+), o AS (
+  SELECT *, lag(w) OVER (PARTITION BY src, id, ln ORDER BY i) AS before,
+    regexp_replace(w, '^[!-$&-/:-@\[-`{-~]+|[!-$&-/:-@\[-`{-~]+$', '', 'g') AS core FROM w
+), k AS (
+  SELECT src, id, lower(core) AS v, row_number() OVER (PARTITION BY src, id ORDER BY ln, i) AS pos,
+    CASE WHEN regexp_matches(core, '[0-9]') THEN 1 WHEN lower(core) IN (@UNITS) THEN 3
+      WHEN regexp_matches(core, '^[A-ZÀ-ÖØ-Þ]') AND before IS NOT NULL AND NOT regexp_matches(before, '[.!?:;]$')
+      THEN 2 ELSE 0 END AS kind
+  FROM o WHERE core <> ''
+), x AS (
+  SELECT src, id, pos, count(*) OVER z AS n, count(*) FILTER (kind = 0) OVER z AS literals,
+    list(CASE kind WHEN 0 THEN v ELSE '<' || kind || '>' END) OVER z AS h,
+    list(CASE WHEN kind <> 0 THEN v END) OVER z AS slots
+  FROM k WINDOW z AS (PARTITION BY src, id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
+), y AS (
+  SELECT src, id, pos, array_to_string(h, ' ') AS h, list_filter(slots, lambda s: s IS NOT NULL) AS slots
+  FROM x WHERE n = 8 AND literals >= 5
+), m AS (
+  SELECT d.id AS doc, b.id AS item, d.pos - b.pos AS shift, b.pos, b.slots AS a, d.slots AS c
+  FROM y d JOIN y b ON d.h = b.h AND d.src = 'd' AND b.src = 'b'
+), g AS (
+  SELECT doc, item, shift, list(DISTINCT pos) AS pos, list(DISTINCT pos) FILTER (len(a) = 0) AS plain,
+    list_distinct(flatten(list(list_zip(a, c)))) AS map FROM m GROUP BY doc, item, shift
+), q AS (
+  SELECT *, len(list_distinct(list_transform(map, lambda p: p[1]))) = len(map)
+    AND len(list_distinct(list_transform(map, lambda p: p[2]))) = len(map) AS fits FROM g
+), f AS (
+  SELECT doc, item, len(list_distinct(flatten(list(CASE WHEN fits THEN pos ELSE coalesce(plain, []) END)))) AS found,
+    min(CASE WHEN fits THEN len(list_filter(map, lambda p: p[1] <> p[2])) ELSE 0 END) AS changed
+  FROM q GROUP BY doc, item
+), n AS (
+  SELECT id AS item, count(DISTINCT pos) AS windows FROM y WHERE src = 'b' GROUP BY id
+)
+SELECT doc AS doc_id, item AS item_id, windows::BIGINT AS item_windows, found::BIGINT AS found,
+  changed::BIGINT AS changed_slots
+FROM f JOIN n USING (item) WHERE found > 0 AND found >= 0.5 * windows
+""".replace("@UNITS", ", ".join(f"'{u}'" for u in UNITS))

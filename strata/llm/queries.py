@@ -79,4 +79,5 @@ ORACLES: dict[str, str] = {
     "op6_line_dedup": oracles.LINES,
     "op7_temperature_mixing": oracles.MIXING,
     "op9_chat_windows": oracles.CHAT,
+    "op10_template_decontamination": oracles.TEMPLATES,
 }
