@@ -57,7 +57,7 @@ WORD = dict(
 # kind must not outweigh the names.
 UNTRAINED = (-1.0, 0.55, -6.0, 0.8, 0.5)
 MOST = 6.0
-TRAIN_PAGES = 2000  # pages of the training sample (by hash of their html)
+TRAIN_PAGES = 2000  # pages of the training sample, on average
 INNER, OUTER_BAD, OUTER_GOOD = 1.0, 0.9, 0.4
 NEXT, SIBLING, DECAY = 1.2, 1.6, 0.5
 
@@ -357,12 +357,15 @@ def _labelled(batches):
             names=["x", "label"])
 
 
-def train(pages: DataFrame, html_col: str = "html", sample: int = TRAIN_PAGES) -> tuple:
-    """Classifier weights from at most `sample` pages, those whose html has the
-    least hashes; `UNTRAINED` where the sample lacks content or boilerplate."""
-    some = pages.select(html_col).filter(F.col(html_col).isNotNull()).orderBy(F.xxhash64(html_col), html_col) \
-        .limit(sample)
-    rows = materialize(some.mapInArrow(_labelled, "x array<double>, label double"), "op5-train")
+def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",
+          sample: int = TRAIN_PAGES) -> tuple:
+    """Classifier weights from about `sample` pages, drawn by a hash of id and
+    html where they are read (nothing meets in one task); `UNTRAINED` where the
+    sample lacks content or boilerplate."""
+    share = min(1.0, sample / max(1, pages.count()))
+    drawn = F.pmod(F.xxhash64(id_col, html_col), F.lit(1 << 30)) < int(share * (1 << 30))
+    rows = materialize(pages.filter(drawn).select(html_col).mapInArrow(
+        _labelled, "x array<double>, label double"), "op5-train")
     if rows.select("label").distinct().count() < 2:
         return UNTRAINED
     model = LogisticRegression(regParam=0.01, maxIter=25, standardization=True).fit(
@@ -386,6 +389,6 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     comments run to the end.  Repeated rows are extracted row by row.  Other
     columns are not read.
     """
-    extract = _extractor(train(pages, html_col))
+    extract = _extractor(train(pages, id_col, html_col))
     out = pages.select(F.col(id_col), F.col(url_col), extract(F.col(html_col)).alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))
