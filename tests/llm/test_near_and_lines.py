@@ -1,7 +1,6 @@
 """Operators 1, 6: similarity join and line dedup against brute force."""
 
 import random
-import tempfile
 
 import numpy as np
 import pytest
