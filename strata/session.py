@@ -6,7 +6,6 @@ one.  `build_session` only gathers the settings the pipeline relies on.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
