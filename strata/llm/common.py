@@ -28,6 +28,15 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts reach Python tasks in Arrow batches of 4 MB: Spark's default of
+    64 MB is held several times over by a task (rows, buffers, Python).  A
+    caller's own setting stands."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == "67108864b":
+        spark.conf.set(key, "4m")
+
+
 def own(name: str) -> str:
     """A column name that cannot clash with one the caller brought."""
     return f"__{name}_{uuid.uuid4().hex[:8]}"

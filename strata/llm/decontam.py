@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textbatch as tb
-from strata.llm.common import broadcast_if_small, materialize, own
+from strata.llm.common import bounded_batches, broadcast_if_small, materialize, own
 
 WINDOW = 8        # canonical words of a window; shorter items use their length
 LITERALS = 5      # least words of a window that are not slots
@@ -173,6 +173,7 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
     for.  Items that repeat an id count as one item with all their windows.
     Other columns of the inputs are not read.
     """
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     items = materialize(_bench_windows(
         bench.select(F.col(item_col).alias("id"), F.col(item_text).alias("text")), size)

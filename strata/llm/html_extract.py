@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import materialize
+from strata.llm.common import bounded_batches, materialize
 
 # Element classes of HTML.
 SKIPPED = frozenset("script style noscript template svg math iframe object canvas head title select "
@@ -389,6 +389,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     comments run to the end.  Repeated rows are extracted row by row.  Other
     columns are not read.
     """
+    bounded_batches(pages.sparkSession)
     extract = _extractor(train(pages, id_col, html_col))
     out = pages.select(F.col(id_col), F.col(url_col), extract(F.col(html_col)).alias("text"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm import textbatch as tb
-from strata.llm.common import broadcast_if_small, materialize, own
+from strata.llm.common import bounded_batches, broadcast_if_small, materialize, own
 
 MIN_WORDS = 4               # shorter lines are left alone
 NEAR_WORDS = 10             # shorter lines have equal duplicates only
@@ -238,6 +238,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and text are one document: all keep the same lines.  Rows with one id and
     different texts are ordered by a hash of the text.  Null ids come first.
     """
+    bounded_batches(docs.sparkSession)
     i, m, removed, near = own("id"), own("mark"), "n_lines_removed", "n_near_removed"
     base = docs.drop(removed, near)
     mark = F.xxhash64(F.col(text_col))

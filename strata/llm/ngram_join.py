@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textbatch as tb
-from strata.llm.common import broadcast_if_small, materialize, own
+from strata.llm.common import bounded_batches, broadcast_if_small, materialize, own
 
 COORDS = 64           # min-hash values of a set
 SHINGLE = 5           # words of a window
@@ -330,6 +330,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if the whole class has no id.  Other columns of the input are not read.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sketch = materialize(slim.mapInArrow(

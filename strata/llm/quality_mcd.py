@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm import textbatch as tb
-from strata.llm.common import clashes, materialize, own
+from strata.llm.common import bounded_batches, clashes, materialize, own
 
 MIN_WORDS = 50        # base rule: fewer words fail
 MAX_REPEAT = 50       # base rule: per cent of words in repeated 3-word windows
@@ -138,6 +138,7 @@ def _base_failed():
 
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs plus the five counts of the contract, base_failed and the vector v."""
+    bounded_batches(docs.sparkSession)
     got = own("counts")
     df = clashes(docs, *COUNTS, "base_failed", "v").withColumn(got, _counts_udf(F.col(text_col)))
     df = df.select("*", *[F.col(got)[c].alias(c) for c in COUNTS]).drop(got)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textbatch as tb
+from strata.llm.common import bounded_batches
 
 THRESHOLD = 4.0
 KINDS = ("assign", "access", "hex", "literal")
@@ -230,6 +231,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Null and empty texts have no span.  Repeated rows are scanned row by row.
     An empty table gives no row.  Other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return slim.mapInArrow(_scan, f"id {kind}, n_assign long, n_access long, n_hex long, "

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm import textbatch as tb
+from strata.llm.common import bounded_batches
 
 LIMIT = 1024                # tokens beyond which over_limit is true
 BATCH_BYTES = 1 << 18       # bytes handed to the library at once
@@ -107,6 +108,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     Null and empty texts have no byte and no token.  Repeated rows are counted
     row by row.  An empty table gives no row.  Other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return slim.mapInArrow(_counting(path), f"id {kind}, n_bytes long, n_tokens long").select(
