@@ -29,12 +29,12 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Texts reach Python tasks in Arrow batches of 4 MB: Spark's default of
+    """Texts reach Python tasks in Arrow batches of 2 MB: Spark's default of
     64 MB is held several times over by a task (rows, buffers, Python).  A
     caller's own setting stands."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) == "67108864b":
-        spark.conf.set(key, "4m")
+        spark.conf.set(key, "2m")
 
 
 def own(name: str) -> str:

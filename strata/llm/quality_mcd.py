@@ -113,7 +113,10 @@ def _repeat_words(t: tb.Texts) -> np.ndarray:
     return run[t.first[1:]] - run[t.first[:-1]]
 
 
-_counts_udf = F.arrow_udf(text_counts, T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
+# Marked so that the planner evaluates it once per row: it would otherwise copy
+# it into the filter on its own result, at the price of a second Python worker.
+_counts_udf = F.arrow_udf(text_counts, T.StructType(
+    [T.StructField(c, T.LongType()) for c in COUNTS])).asNondeterministic()
 
 
 def _share(a: str, b: str) -> F.Column:

@@ -3,7 +3,7 @@
 Text stays in the Arrow buffer as UTF-8 bytes.  Word hashes are differences of
 a running polynomial over the bytes (odd base, modulo 2^64, then mixed), so a
 batch needs a few numpy passes and no Python object per word.  Work goes in
-slices of about a megabyte; a longer text is a slice of its own.
+slices of about a quarter of a megabyte; a longer text is a slice of its own.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ import pyarrow as pa
 
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15)
-_SLICE = 1 << 20
-_CHUNK = 1 << 22
+_SLICE = 1 << 18
+_CHUNK = 1 << 20
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
