@@ -2,19 +2,26 @@
 
 Each text gives a vector of transformed statistics.  For every language and
 source the minimum-covariance-determinant estimate (the centre and scatter of
-the three quarters of rows with the least scatter) is found by concentration
-steps from a median start, and a row is rejected when its Mahalanobis distance
-under that estimate is beyond a chi-square cut.
+the half of the rows with the least scatter) is found by concentration steps
+from three starts, of which the least determinant is kept; it is then refined
+by all rows near it.  A row is rejected when its Mahalanobis distance under the
+refined estimate is beyond a chi-square cut.  Resting on half of the rows, the
+estimate withstands junk of one kind in up to almost half of a group.
 
-Every step runs over all rows: medians and counts per group are aggregates,
+The starts are fixed by the data: the medians and quartiles, the shortest half
+of each statistic, and the shortest halves along the principal axes of the
+directions from that centre.
+
+Every step runs over all rows: quantiles and counts per group are aggregates,
 the subset of a step is a cut in a histogram of distances (so no group is
-sorted or collected), and only one small row of sums per group reaches Python
+sorted or collected), and only one small row per group and start reaches Python
 to be inverted.
 """
 
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -28,7 +35,9 @@ from strata.llm.common import bounded_batches, clashes, materialize, own
 
 MIN_WORDS = 50        # base rule: fewer words fail
 MAX_REPEAT = 50       # base rule: per cent of words in repeated 3-word windows
-SUPPORT = 0.75        # share of a group's rows that an estimate rests on
+SUPPORT = 0.5         # share of a group's rows that an estimate rests on
+REFINE = 0.975        # share of clean rows that the refined estimate rests on
+GRID = 40             # quantile steps of a start, a multiple of 4
 MIN_GROUP = 200       # smaller groups are pooled by language, then altogether
 STEPS = 5             # concentration steps
 CUT_Z = 3.4           # normal deviate of the chi-square cut
@@ -186,21 +195,35 @@ def _moments(kept: DataFrame) -> DataFrame:
     return kept.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), *sums, *prods)
 
 
-def _estimates(frames):
-    """Centre and whitening matrix of each group's moments, floors applied."""
+def _products(r: dict) -> np.ndarray:
+    """The mean products of a row of moments."""
+    out = np.empty((DIM, DIM))
+    for i in range(DIM):
+        for j in range(i + 1):
+            out[i, j] = out[j, i] = r[f"p{i}_{j}"] / r["n"]
+    return out
+
+
+def _estimator(share: float):
+    def run(frames):
+        """Centre and whitening matrix of each group's moments, floors applied."""
+        for pdf in frames:
+            out = []
+            for r in pdf.to_dict("records"):
+                mean = np.array([r[f"s{i}"] for i in range(DIM)]) / r["n"]
+                # the subset of the least distances understates the spread
+                cov = (_products(r) - np.outer(mean, mean)) * _consistency(share)
+                out.append((r["grp"], mean.tolist(), _whiten(cov)))
+            yield pd.DataFrame(out, columns=["grp", "centre", "whiten"])
+    return run
+
+
+_estimates = _estimator(SUPPORT)
+
+
+def _whiten(cov: np.ndarray) -> list[float]:
     floor = np.array(list(FEATURES.values())) ** 2
-    for pdf in frames:
-        out = []
-        for r in pdf.to_dict("records"):
-            mean = np.array([r[f"s{i}"] for i in range(DIM)]) / r["n"]
-            cov = np.empty((DIM, DIM))
-            for i in range(DIM):
-                for j in range(i + 1):
-                    cov[i, j] = cov[j, i] = r[f"p{i}_{j}"] / r["n"] - mean[i] * mean[j]
-            # the subset of the least distances understates the spread
-            cov = cov * _consistency(SUPPORT) + np.diag(floor)
-            out.append((r["grp"], mean.tolist(), _rows(np.linalg.inv(np.linalg.cholesky(cov)))))
-        yield pd.DataFrame(out, columns=["grp", "centre", "whiten"])
+    return _rows(np.linalg.inv(np.linalg.cholesky(cov + np.diag(floor))))
 
 
 def _rows(w: np.ndarray) -> list[float]:
@@ -214,12 +237,82 @@ def _chi2(p: int, z: float) -> float:
 
 def _consistency(share: float) -> float:
     """share / P(chi2_{p+2} <= q) with q the chi2_p quantile of the share."""
-    z = {0.75: 0.6744897501960817}.get(share, 0.6744897501960817)
-    q, p = _chi2(DIM, z), DIM + 2
+    q, p = _chi2(DIM, NormalDist().inv_cdf(share)), DIM + 2
     t = ((q / p) ** (1 / 3) - (1 - 2 / (9 * p))) / math.sqrt(2 / (9 * p))
     return share / (0.5 * (1 + math.erf(t / math.sqrt(2))))
 
 
+# ------------------------------------------------------------------ starts
+
+_EST = "grp string, centre array<double>, whiten array<double>"
+_DIAGONAL = [i * (i + 3) // 2 for i in range(DIM)]
+
+
+def _quantiles(rows: DataFrame, axes: list) -> DataFrame:
+    steps = [k / GRID for k in range(GRID + 1)]
+    return rows.groupBy("grp").agg(*[F.percentile_approx(c, steps, 1000).alias(f"q{i}") for i, c in enumerate(axes)])
+
+
+def _shortest_half(q: np.ndarray) -> tuple[float, float]:
+    """Centre and spread of the shortest interval between quantiles that holds
+    half of the rows; of equal ones the middle one."""
+    half = GRID // 2
+    width = q[half:] - q[:-half]
+    k = np.flatnonzero(width <= width.min() + 1e-12)
+    k = int(k[len(k) // 2])
+    return float(q[k + half // 2]), float(width[k]) / 1.349
+
+
+def _axis_starts(frames):
+    """Starts 0 (medians and quartiles) and 1 (shortest halves) of each group;
+    the start's number and a colon come before the group."""
+    for pdf in frames:
+        out = []
+        for r in pdf.to_dict("records"):
+            q = [np.array(r[f"q{i}"], dtype=float) for i in range(DIM)]
+            middle = [(x[GRID // 2], (x[3 * GRID // 4] - x[GRID // 4]) / 1.349) for x in q]
+            for k, pairs in enumerate((middle, [_shortest_half(x) for x in q])):
+                centre, spread = map(np.array, zip(*pairs))
+                out.append((f"{k}:{r['grp']}", centre.tolist(), _whiten(np.diag(spread ** 2))))
+        yield pd.DataFrame(out, columns=["grp", "centre", "whiten"])
+
+
+def _axes(frames):
+    """Principal axes of each group's directions, by rows."""
+    for pdf in frames:
+        yield pd.DataFrame([(r["grp"], np.linalg.eigh(_products(r))[1].T.ravel().tolist())
+                            for r in pdf.to_dict("records")], columns=["grp", "axes"])
+
+
+def _turned_start(frames):
+    """Start 2 of each group: shortest halves along its axes."""
+    for pdf in frames:
+        out = []
+        for r in pdf.to_dict("records"):
+            centre, spread = map(np.array, zip(*[_shortest_half(np.array(r[f"q{i}"], dtype=float))
+                                                 for i in range(DIM)]))
+            scale = 1 / np.array(r["whiten"])[_DIAGONAL]
+            turn = scale[:, None] * np.array(r["axes"]).reshape(DIM, DIM).T
+            out.append((f"2:{r['grp']}", (np.array(r["centre"]) + turn @ centre).tolist(),
+                        _whiten(turn @ np.diag(spread ** 2) @ turn.T)))
+        yield pd.DataFrame(out, columns=["grp", "centre", "whiten"])
+
+
+def _starts(rows: DataFrame) -> DataFrame:
+    """(grp, centre, whiten) of each group's starts."""
+    v = [F.col("v")[i] for i in range(DIM)]
+    by_axis = materialize(_quantiles(rows, v).mapInPandas(_axis_starts, _EST), "op2-starts")
+    halves = by_axis.filter(F.col("grp").startswith("1:")).withColumn("grp", F.expr("substring(grp, 3)"))
+    z = rows.join(halves, "grp").select("grp", F.array(*[
+        F.col("whiten")[k] * (x - F.col("centre")[i]) for i, (k, x) in enumerate(zip(_DIAGONAL, v))]).alias("v"))
+    length = F.sqrt(F.greatest(sum((x * x for x in v), F.lit(0.0)), F.lit(1e-12)))
+    signs = z.select("grp", F.array(*[x / length for x in v]).alias("v"))
+    axes = materialize(_moments(signs).mapInPandas(_axes, "grp string, axes array<double>"), "op2-axes")
+    along = [sum((F.col("axes")[k * DIM + i] * v[i] for i in range(DIM)), F.lit(0.0)) for k in range(DIM)]
+    turned = _quantiles(z.join(axes, "grp"), along).join(halves, "grp").join(axes, "grp")
+    return by_axis.unionByName(turned.mapInPandas(_turned_start, _EST))
+
+
 def _group(lang: str, source: str):
     """Text keys of a row's three pools, null-safe."""
     return (F.to_json(F.struct(F.col(lang).alias("l"), F.col(source).alias("s"))),
@@ -240,20 +333,21 @@ def fit(stats: DataFrame, lang_col: str = "lang", source_col: str = "source") ->
                                       .alias("grp")), "op2-pools")
     rows = rows.join(pools, "g1").select("grp", "v")
 
-    quartiles = [F.percentile_approx(F.col("v")[i], [0.25, 0.5, 0.75], 1000).alias(f"q{i}")
-                 for i in range(DIM)]
-    floors = list(FEATURES.values())
-    start = rows.groupBy("grp").agg(*quartiles)
-    spread = [F.sqrt(((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349) ** 2 + floors[i] ** 2)
-              for i in range(DIM)]
-    diag = [1 / spread[i] if i == j else F.lit(0.0) for i in range(DIM) for j in range(i + 1)]
-    est = materialize(start.select("grp", F.array(*[F.col(f"q{i}")[1] for i in range(DIM)]).alias("centre"),
-                                   F.array(*diag).alias("whiten")), "op2-start")
+    est = materialize(_starts(rows), "op2-start")
+    rows = rows.withColumnRenamed("grp", "pool")
     for step in range(STEPS):
-        scored = rows.join(est, "grp").select("grp", "v", _bin(_distance()).alias("bin"))
+        keyed = est.withColumn("pool", F.expr("substring(grp, 3)"))
+        scored = rows.join(keyed, "pool").select("grp", "v", _bin(_distance()).alias("bin"))
         kept = scored.join(_cuts(scored, SUPPORT), "grp").filter("bin <= cut")
-        est = materialize(_moments(kept).mapInPandas(
-            _estimates, "grp string, centre array<double>, whiten array<double>"), f"op2-step{step}")
+        est = materialize(_moments(kept).mapInPandas(_estimates, _EST), f"op2-step{step}")
+    # the least determinant is the greatest product of the whitening diagonal
+    size = sum((F.log(F.col("whiten")[k]) for k in _DIAGONAL), F.lit(0.0))
+    best = est.groupBy(F.expr("substring(grp, 3)").alias("pool")).agg(
+        F.max_by(F.struct("centre", "whiten"), F.struct(F.round(size, 9), "grp")).alias("e"))
+    best = materialize(best.select("pool", "e.centre", "e.whiten"), "op2-best")
+    near = rows.join(best, "pool").filter(_distance() <= _chi2(DIM, NormalDist().inv_cdf(REFINE)))
+    est = materialize(_moments(near.select(F.col("pool").alias("grp"), "v"))
+                      .mapInPandas(_estimator(REFINE), _EST), "op2-refined")
     return pools.join(est, "grp")
 
 

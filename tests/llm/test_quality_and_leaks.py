@@ -52,6 +52,18 @@ def test_outliers_go_and_clean_texts_stay(spark, mixed):
     assert good.columns == df.columns and {r.doc_id for r in good.collect()} == kept
 
 
+@pytest.mark.parametrize("junk", [lambda t: " ".join(f"{w}###" for w in t.split()), str.upper])
+def test_junk_in_two_fifths_of_a_group_goes(spark, junk):
+    rng = random.Random(8)
+    rows = []
+    for i in range(500):
+        text = "\n".join(sentence(rng, rng.randrange(20, 40)) for _ in range(5))
+        rows.append((i, junk(text) if i % 5 < 2 else text, "en", "hot"))
+    kept = {r.doc_id for r in quality_mcd.quality_report(H.docs(spark, rows)).filter("kept").collect()}
+    assert not [i for i in kept if i % 5 < 2]
+    assert len(kept) >= 0.98 * 300
+
+
 def test_empty_and_tiny_tables(spark):
     assert quality_mcd.quality_report(H.docs(spark, [])).count() == 0
     assert quality_mcd.keep_good(H.docs(spark, [])).count() == 0
