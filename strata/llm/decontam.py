@@ -5,8 +5,10 @@ words are lower-cased without outer punctuation.  Windows of the canonical
 words of every benchmark item are hash-joined with those of every document, so
 an item whose values were exchanged still meets its template.  On the matches
 of one item in one document at one offset, slot values must map one to one;
-where they do not, only windows without a slot count.  A document is
-contaminated by an item when enough of the item's windows are found.
+where they do not, only windows without a slot count.  Item windows with too few
+literals for a template are looked for word by word, so a verbatim copy meets
+whatever it holds.  A document is contaminated by an item when enough of the
+item's windows are found, or enough of those that are templates.
 
 Before the join, document windows are tested against a bitmap of the
 benchmark's window hashes.  The bitmap has a fixed size whatever the tables
@@ -24,7 +26,7 @@ from strata.llm import textbatch as tb
 from strata.llm.common import bounded_batches, broadcast_if_small, materialize, own
 
 WINDOW = 8        # canonical words of a window; shorter items use their length
-LITERALS = 5      # least words of a window that are not slots
+LITERALS = 5      # least words of a template that are not slots; shorter items are not looked for
 SHARE = 0.5       # share of an item's windows that makes a leak
 BITS = 23         # log2 of the bitmap's bits (1 MB)
 BROADCAST_ROWS = 1_000_000
@@ -35,6 +37,7 @@ UNITS = ("mm cm m km in ft yd mi mile miles meter meters metre metres mg g kg lb
          "hours day days week weeks month months year years % percent dollar dollars euro euros cent cents "
          "pound pounds usd eur gbp mph kmh km/h kwh kw w v hz khz mhz ghz kb mb gb tb").split()
 NUMBER, NAME, UNIT, LITERAL = 1, 2, 3, 0
+TEMPLATE, RICH, EXACT = "template", "rich", "exact"
 
 _PUNCT = np.zeros(256, dtype=bool)
 _PUNCT[[c for c in range(0x21, 0x7F) if not chr(c).isalnum()]] = True
@@ -46,6 +49,7 @@ _LOWER[0x41:0x5B] += 0x20
 _END = np.zeros(256, dtype=bool)
 _END[list(b".!?:;")] = True
 _SLOT = tb.odd_constants(4, 0x77)
+_EXACT = tb.odd_constants(1, 0x78)[0]
 
 
 def _word_hash(words: list[str]) -> np.ndarray:
@@ -92,28 +96,33 @@ def canonical(t: tb.Texts):
     return t.text_of_word[word], value, kind.astype(np.int8)
 
 
-def template_windows(t: tb.Texts, size: int):
-    """(text, first canonical word in its text, window hash, values, kinds) of
-    the windows with enough literals; values and kinds are those of all words."""
+def template_windows(t: tb.Texts, size: int, form: str = TEMPLATE):
+    """(text, first canonical word in its text, window hash, word, values, kinds)
+    of the windows with enough literals (TEMPLATE), or by their values instead
+    of slots of those with too few (RICH) or of all (EXACT); values and kinds
+    are those of all words."""
     text, value, kind = canonical(t)
     first = np.searchsorted(text, np.arange(t.n))
-    token = np.where(kind == LITERAL, value, _SLOT[kind])
+    token = np.where(kind == LITERAL, value, _SLOT[kind]) if form == TEMPLATE else value
     at = np.arange(max(0, len(text) - size + 1))
     at = at[text[at] == text[at + size - 1]] if len(at) else at
     literal = np.concatenate(([0], np.cumsum(kind == LITERAL)))
-    at = at[literal[at + size] - literal[at] >= min(LITERALS, size)]
+    if form != EXACT:
+        at = at[(literal[at + size] - literal[at] >= min(LITERALS, size)) == (form == TEMPLATE)]
     hashes = tb.combine([token[at + k] for k in range(size)]) if len(at) else np.empty(0, np.uint64)
+    if form != TEMPLATE:
+        hashes = tb.mix(hashes ^ _EXACT)
     return text[at], at - first[text[at]], hashes, at, value, kind
 
 
-def _rows(size: int, bitmap: np.ndarray | None, sizes: tuple[int, ...]):
-    """Rows (id, mark, size, at, h, slots) of the windows of each length."""
+def _rows(bitmap: np.ndarray | None, forms: tuple[tuple[int, str], ...]):
+    """Rows (id, mark, size, at, h, slots) of the windows of each length and form."""
     def run(batches):
         for batch in batches:
             ids, marks = batch.column(0), batch.column(1)
             for i, _, t in tb.slices(batch, "text"):
-                for n in sizes:
-                    text, at, h, pos, value, kind = template_windows(t, n)
+                for n, form in forms:
+                    text, at, h, pos, value, kind = template_windows(t, n, form)
                     if bitmap is not None and len(h):
                         bit = h & np.uint64((1 << BITS) - 1)
                         hit = (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
@@ -144,7 +153,7 @@ def _bench_windows(bench: DataFrame, size: int) -> DataFrame:
                 for _, _, t in tb.slices(one, "text"):
                     n = min(size, len(canonical(t)[0]))
                     if n >= LITERALS:
-                        yield from _rows(size, None, (n,))([one])
+                        yield from _rows(None, ((n, TEMPLATE), (n, RICH)))([one])
     return bench.select("id", F.lit(0).cast("long").alias("mark"), "text").mapInArrow(per_item, schema)
 
 
@@ -170,7 +179,10 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
     mark is a hash of the text: rows that repeat id and text give one row, rows
     with one id and different texts are told apart.  Null and empty texts and
     items leak nothing, and items of fewer than LITERALS words are not looked
-    for.  Items that repeat an id count as one item with all their windows.
+    for.  Windows of an item with too few literals for a template count when
+    they are found word by word.  Where values were exchanged these are not
+    found, so an item leaks too when found holds a share of its templates.
+    Items that repeat an id count as one item with all their windows.
     Other columns of the inputs are not read.
     """
     bounded_batches(docs.sparkSession)
@@ -178,32 +190,39 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
     items = materialize(_bench_windows(
         bench.select(F.col(item_col).alias("id"), F.col(item_text).alias("text")), size)
         .select(F.col("id").alias("item"), "size", F.col("at").alias("item_at"), "h",
-                F.col("slots").alias("item_slots")), "op10-items")
-    sizes = tuple(sorted(r[0] for r in items.select("size").distinct().collect()))  # at most `size` values
+                F.col("slots").alias("item_slots"), (F.size("slots") > F.col("size") - LITERALS).alias("rich")),
+        "op10-items")
+    forms = tuple(sorted((r[0], EXACT if r[1] else TEMPLATE)  # at most two a length
+                         for r in items.select("size", "rich").distinct().collect()))
     slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("mark"),
                        F.col(text_col).alias("text"))
     schema = f"id {kind}, mark long, size int, at int, h long, slots array<long>"
-    hits = materialize(slim.mapInArrow(_rows(size, _bitmap(items), sizes), schema), "op10-hits")
+    hits = materialize(slim.mapInArrow(_rows(_bitmap(items), forms), schema), "op10-hits")
     n_items = items.count()
     met = hits.join(broadcast_if_small(items, n_items, BROADCAST_ROWS), ["h", "size"])
     # one instance: an item in a document at one offset
     pairs = F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     inst = (met.groupBy("id", "mark", "item", (F.col("at") - F.col("item_at")).alias("offset"))
-            .agg(F.array_distinct(F.flatten(F.collect_set(pairs))).alias("map"),
-                 F.collect_set(F.when(F.size("slots") == 0, F.col("item_at"))).alias("plain"),
-                 F.collect_set("item_at").alias("all")))
+            .agg(F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("rich"), pairs)))).alias("map"),
+                 F.collect_set(F.when(~F.col("rich") & (F.size("slots") == 0), F.col("item_at"))).alias("plain"),
+                 F.collect_set(F.when(~F.col("rich"), F.col("item_at"))).alias("all"),
+                 F.collect_set(F.when(F.col("rich"), F.col("item_at"))).alias("exact")))
     n = F.size("map")
     one_to_one = (F.size(F.array_distinct(F.transform("map", lambda p: p.a))) == n) \
         & (F.size(F.array_distinct(F.transform("map", lambda p: p.b))) == n)
     changed = F.size(F.filter("map", lambda p: p.a != p.b))
-    inst = inst.select("id", "mark", "item", F.when(one_to_one, F.col("all")).otherwise(F.col("plain")).alias("at"),
+    inst = inst.select("id", "mark", "item", F.when(one_to_one, F.col("all")).otherwise(F.col("plain")).alias("at"), "exact",
                        F.when(one_to_one, changed).otherwise(F.lit(0)).alias("changed"))
     found = inst.groupBy("id", "mark", "item").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("found"),
+        F.size(F.array_distinct(F.flatten(F.collect_list(F.concat("at", "exact"))))).alias("found"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("found_templates"),
         F.min("changed").alias("changed"))
-    total = items.groupBy("item").agg(F.count_distinct("item_at").alias("windows"))
-    leaks = found.join(total, "item") \
-        .filter((F.col("found") > 0) & (F.col("found") >= F.col("windows") * share))
+    total = items.groupBy("item").agg(
+        F.count_distinct("item_at").alias("windows"),
+        F.count_distinct(F.when(~F.col("rich"), F.col("item_at"))).alias("templates"))
+    leaks = found.join(total, "item").filter(
+        ((F.col("found") > 0) & (F.col("found") >= F.col("windows") * share))
+        | ((F.col("found_templates") > 0) & (F.col("found_templates") >= F.col("templates") * share)))
     return leaks.select(F.col("id").alias(id_col), "mark", F.col("item").alias(item_col),
                         F.col("windows").cast("long").alias("item_windows"),
                         F.col("found").cast("long").alias("found"),

@@ -114,6 +114,21 @@ def test_inconsistent_slots_do_not_count(spark, bench):
     assert not plain or all(r.changed_slots == 0 for r in plain.values())
 
 
+def test_items_full_of_slots_are_found_verbatim(spark):
+    sums = "12 plus 30 is 42 and 7 times 6 is 42 or 84 by 2"
+    names = "the list holds Anna Bela Carl Dora Emil Frau Gerd Hans Ines"
+    tail = " ".join(str(k) for k in range(100, 130))
+    half = "the farmer walked slowly along 3 roads to find his lost sheep " + tail
+    bench = spark.createDataFrame([(1, sums), (2, names), (3, half)], "item_id long, text string")
+    got = leaks(spark, bench, [
+        (10, "some text before " + sums + " and after"), (11, "some text before " + names + " and after"),
+        (12, "some text before " + sums.replace("12", "13").replace("6", "9") + " and after"),
+        (13, "so " + half), (14, "so " + half.replace(" 3 ", " 9 ").replace(tail, " ".join(tail[::-1].split())))])
+    assert set(got) == {(10, 1), (11, 2), (13, 3), (14, 3)}
+    assert got[(10, 1)].item_windows == got[(10, 1)].found == 8
+    assert all((r.changed_slots > 0) == (k == (14, 3)) for k, r in got.items())
+
+
 def test_drop_contaminated(spark, bench):
     df = H.docs(spark, [(1, ITEM), (1, ITEM), (2, "clean text"), (3, None), (None, "clean"), (1, "same id but clean")])
     got = decontam.drop_contaminated(df, bench)
