@@ -8,7 +8,8 @@ of one item in one document at one offset, slot values must map one to one;
 where they do not, only windows without a slot count.  Item windows with too few
 literals for a template are looked for word by word, so a verbatim copy meets
 whatever it holds.  A document is contaminated by an item when enough of the
-item's windows are found, or enough of those that are templates.
+item's windows are found, or enough of those that are templates, or so many in
+a row that a long passage of it is there, whatever the passage's share.
 
 Before the join, document windows are tested against a bitmap of the
 benchmark's window hashes.  The bitmap has a fixed size whatever the tables
@@ -28,6 +29,7 @@ from strata.llm.common import bounded_batches, broadcast_if_small, materialize,
 WINDOW = 8        # canonical words of a window; shorter items use their length
 LITERALS = 5      # least words of a template that are not slots; shorter items are not looked for
 SHARE = 0.5       # share of an item's windows that makes a leak
+RUN = 50          # canonical words of a passage that makes a leak by itself
 BITS = 23         # log2 of the bitmap's bits (1 MB)
 BROADCAST_ROWS = 1_000_000
 
@@ -181,7 +183,8 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
     items leak nothing, and items of fewer than LITERALS words are not looked
     for.  Windows of an item with too few literals for a template count when
     they are found word by word.  Where values were exchanged these are not
-    found, so an item leaks too when found holds a share of its templates.
+    found, so an item leaks too when found holds a share of its templates, and
+    when it holds the windows of RUN words in a row at one place of a document.
     Items that repeat an id count as one item with all their windows.
     Other columns of the inputs are not read.
     """
@@ -211,9 +214,15 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
     one_to_one = (F.size(F.array_distinct(F.transform("map", lambda p: p.a))) == n) \
         & (F.size(F.array_distinct(F.transform("map", lambda p: p.b))) == n)
     changed = F.size(F.filter("map", lambda p: p.a != p.b))
+    in_row = max(1, RUN - size + 1)
     inst = inst.select("id", "mark", "item", F.when(one_to_one, F.col("all")).otherwise(F.col("plain")).alias("at"), "exact",
                        F.when(one_to_one, changed).otherwise(F.lit(0)).alias("changed"))
+    # windows in a row end in_row - 1 places further, in the item and in the list
+    inst = inst.withColumn("here", F.array_sort(F.array_union("at", "exact")))
+    inst = inst.withColumn("passage", F.exists(F.transform("here", lambda x, i: F.coalesce(
+        F.get("here", i + (in_row - 1)) - x == in_row - 1, F.lit(False))), lambda x: x))
     found = inst.groupBy("id", "mark", "item").agg(
+        F.max("passage").alias("passage"),
         F.size(F.array_distinct(F.flatten(F.collect_list(F.concat("at", "exact"))))).alias("found"),
         F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("found_templates"),
         F.min("changed").alias("changed"))
@@ -222,7 +231,8 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
         F.count_distinct(F.when(~F.col("rich"), F.col("item_at"))).alias("templates"))
     leaks = found.join(total, "item").filter(
         ((F.col("found") > 0) & (F.col("found") >= F.col("windows") * share))
-        | ((F.col("found_templates") > 0) & (F.col("found_templates") >= F.col("templates") * share)))
+        | ((F.col("found_templates") > 0) & (F.col("found_templates") >= F.col("templates") * share))
+        | F.col("passage"))
     return leaks.select(F.col("id").alias(id_col), "mark", F.col("item").alias(item_col),
                         F.col("windows").cast("long").alias("item_windows"),
                         F.col("found").cast("long").alias("found"),

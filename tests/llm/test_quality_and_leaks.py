@@ -129,6 +129,19 @@ def test_items_full_of_slots_are_found_verbatim(spark):
     assert all((r.changed_slots > 0) == (k == (14, 3)) for k, r in got.items())
 
 
+def test_long_passage_of_a_longer_item_is_found(spark):
+    w = [f"{a}{b}ing" for a in "bcdfghklmnprstvw" for b in ("a", "e", "i", "o", "u", "ai", "ei", "ou", "au", "ee",
+                                                           "oa", "ia", "io", "eo", "ui", "ue")][:250]
+    bench = spark.createDataFrame([(1, " ".join(w))], "item_id long, text string")
+    got = leaks(spark, bench, [
+        (10, "before it " + " ".join(w[60:160]) + " after it"), (11, "before it " + " ".join(w[60:110]) + " after it"),
+        (12, "before it " + " ".join(w[60:109]) + " after it"),
+        # many short pieces are no passage
+        (13, " between ".join(" ".join(w[k:k + 20]) for k in range(0, 100, 25)))])
+    assert set(got) == {(10, 1), (11, 1)}
+    assert (got[(10, 1)].found, got[(11, 1)].found, got[(10, 1)].item_windows) == (93, 43, 243)
+
+
 def test_drop_contaminated(spark, bench):
     df = H.docs(spark, [(1, ITEM), (1, ITEM), (2, "clean text"), (3, None), (None, "clean"), (1, "same id but clean")])
     got = decontam.drop_contaminated(df, bench)
