@@ -204,3 +204,119 @@ SELECT doc AS doc_id, item AS item_id, windows::BIGINT AS item_windows, found::B
   changed::BIGINT AS changed_slots
 FROM f JOIN n USING (item) WHERE found > 0 AND found >= 0.5 * windows
 """.replace("@UNITS", ", ".join(f"'{u}'" for u in UNITS))
+
+
+# crc32 (reversed polynomial 0xEDB88320) as a lookup list, and over a list of bytes
+_CRC_TABLE = """crc AS MATERIALIZED (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, 3988292384 * (a & 1))) ORDER BY i) AS t
+  FROM range(256) AS r(i)
+)"""
+_CRC = ("xor(list_reduce(list_prepend(4294967295, {bytes}), lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8)), "
+        "4294967295)")
+_BYTES = ("list_transform(range(0, strlen({word})), lambda i: "
+          "16 * (instr('0123456789ABCDEF', substr(hex(encode({word})), (2 * i + 1)::INTEGER, 1)) - 1) + "
+          "instr('0123456789ABCDEF', substr(hex(encode({word})), (2 * i + 2)::INTEGER, 1)) - 1)")
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _crc32(word: str) -> str:
+    return _CRC.format(bytes=_BYTES.format(word=word))
+
+
+def _runs(name: str, below: str, key: str) -> str:
+    """Nodes of the next level: the text of each run of 16 and its digest."""
+    return f"""{name} AS MATERIALIZED (
+  SELECT {key}, pos // 16 AS pos, string_agg(d, '' ORDER BY pos) AS run, sha256(string_agg(d, '' ORDER BY pos)) AS d,
+         (any_value(n) + 15) // 16 AS n
+  FROM {below} WHERE n > 1 GROUP BY ALL
+)"""
+
+
+def _merkle(levels: int = 5, upper: int = 3) -> str:
+    """Trees of up to 16^levels rows a source and 16^upper sources."""
+    field = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+    leaf = lambda text: "sha256(" + " || ".join(map(field, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+    ctes = [_CRC_TABLE, f"""leaves AS MATERIALIZED (
+  SELECT doc_id, source, {leaf("text")} AS d, CASE WHEN {_crc32("doc_id::VARCHAR")} % 5 = 0
+         THEN {leaf(f"translate(text, '{_UPPER}', '{_LOWER}')")} ELSE {leaf("text")} END AS shown
+  FROM documents, crc
+)""", """s0 AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, d) - 1 AS pos,
+         count(*) OVER (PARTITION BY source) AS n FROM leaves
+)"""]
+    ctes += [_runs(f"s{k}", f"s{k - 1}", "source") for k in range(1, levels + 1)]
+    tops = " UNION ALL ".join(f"SELECT source, d FROM s{k} WHERE n = 1" for k in range(levels + 1))
+    ctes.append(f"""u0 AS MATERIALIZED (
+  SELECT source, d, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM ({tops})
+)""")
+    ctes += [_runs(f"u{k}", f"u{k - 1}", "0 AS whole") for k in range(1, upper + 1)]
+    root = " UNION ALL ".join(f"SELECT d FROM u{k} WHERE n = 1" for k in range(upper + 1))
+
+    def path(table: str, first: str, match: str, height: int, proof: str, folded: str, name: str) -> list[str]:
+        steps = []
+        for k in range(1, height + 1):
+            last = first if k == 1 else f"{name}{k - 1}"
+            at = f"64 * ((p.leaf_at // {16 ** (k - 1)}) % 16)"
+            steps.append(f"""{name}{k} AS MATERIALIZED (
+  SELECT p.* REPLACE (
+    {proof} || CASE WHEN t.run IS NULL THEN '' ELSE left(t.run, {at}) || substr(t.run, {at} + 65) END AS proof,
+    CASE WHEN t.run IS NULL THEN {folded} ELSE sha256(left(t.run, {at}) || {folded} || substr(t.run, {at} + 65)) END
+      AS folded)
+  FROM {last} p LEFT JOIN {table}{k} t ON {match} AND t.pos = p.leaf_at // {16 ** k}
+)""")
+        return steps
+
+    ctes.append("a0 AS MATERIALIZED (SELECT doc_id, source, d AS leaf, pos AS leaf_at, '' AS proof, shown AS folded FROM s0)")
+    ctes += path("s", "a0", "t.source IS NOT DISTINCT FROM p.source", levels, "p.proof", "p.folded", "a")
+    ctes.append(f"""b0 AS MATERIALIZED (
+  SELECT a.* REPLACE (u.pos AS leaf_at), u.d AS subroot FROM a{levels} a JOIN u0 u ON u.source IS NOT DISTINCT FROM a.source
+)""")
+    ctes += path("u", "b0", "true", upper, "p.proof", "p.folded", "b")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT b.doc_id, b.leaf, b.subroot, r.d AS root, sha256(b.proof) AS proof_sha256, b.folded AS folded_root,
+       b.folded = r.d AS verified
+FROM b{upper} b, ({root}) r"""
+
+
+MERKLE = _merkle()
+
+RESAMPLING = f"""
+WITH {_CRC_TABLE},
+words AS MATERIALIZED (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+                                           '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word FROM documents
+),
+wanted AS MATERIALIZED (
+  SELECT unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+                                   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word FROM benchmark
+),
+coded AS MATERIALIZED (
+  SELECT word, {_crc32("word")} % 10000 AS bucket
+  FROM (SELECT word FROM words UNION SELECT word FROM wanted), crc
+),
+have AS (SELECT bucket, count(*) AS s FROM words JOIN coded USING (word) GROUP BY 1),
+want AS (SELECT bucket, count(*) AS t FROM wanted JOIN coded USING (word) GROUP BY 1),
+gain AS MATERIALIZED (
+  SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000)) /
+                                 ((coalesce(s, 0) + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS g
+  FROM (SELECT DISTINCT bucket FROM coded) LEFT JOIN have USING (bucket) LEFT JOIN want USING (bucket),
+       (SELECT count(*) AS all_s FROM words), (SELECT count(*) AS all_t FROM wanted)
+),
+weights AS (
+  SELECT doc_id, count(*) AS n, sum(g)::BIGINT AS total
+  FROM words JOIN coded USING (word) JOIN gain USING (bucket) GROUP BY 1
+),
+scored AS (
+  SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM (SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_features,
+               coalesce(total // n - CASE WHEN total % n < 0 THEN 1 ELSE 0 END, 0)::BIGINT AS weight,
+               ('0x' || left(sha256('2024:' || d.doc_id), 8))::BIGINT AS h
+        FROM documents d LEFT JOIN weights w ON w.doc_id = d.doc_id)
+),
+placed AS (
+  SELECT *, n_features >= 20 AS fits, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS r,
+         count_if(n_features >= 20) OVER () AS n
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN fits AND r <= 10 * n // 100 THEN r END AS rank FROM placed
+"""

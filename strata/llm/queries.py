@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: thin applications with
+"""The registered queries of the operators: thin applications with
 production parameters to whole tables."""
 
 from __future__ import annotations
@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.llm import (chat_windows, decontam, html_extract, line_dedup, mixing, ngram_join, oracles, pii,
-                        quality_mcd, secret_scan, token_counts)
+from strata.llm import (chat_windows, decontam, html_extract, language_mixture, line_dedup, merkle, mixing,
+                        ngram_join, oracles, pii, quality_mcd, resampling, secret_scan, token_counts)
 from strata.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -68,10 +68,27 @@ def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         .drop("mark").distinct()
 
 
+def op11_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: its main language and the mixture it is part of."""
+    return language_mixture.identify(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: leaf, roots, proof and its verification, with a
+    fifth of the texts tampered with."""
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.tampered_fifth())
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: weight, score and rank in the draw."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_ngram_jaccard_join, op2_quality_mcd, op3_secret_scan, op4_token_counts, op5_html_extract,
-        op6_line_dedup, op7_temperature_mixing, op8_pii, op9_chat_windows, op10_template_decontamination)
+        op6_line_dedup, op7_temperature_mixing, op8_pii, op9_chat_windows, op10_template_decontamination,
+        op11_language_mixture, op12_merkle_manifest, op13_importance_resampling)
 }
 
 ORACLES: dict[str, str] = {
@@ -80,4 +97,6 @@ ORACLES: dict[str, str] = {
     "op7_temperature_mixing": oracles.MIXING,
     "op9_chat_windows": oracles.CHAT,
     "op10_template_decontamination": oracles.TEMPLATES,
+    "op12_merkle_manifest": oracles.MERKLE,
+    "op13_importance_resampling": oracles.RESAMPLING,
 }
