@@ -446,6 +446,9 @@ def build() -> dict[str, str]:
     o["bronze_incremental"] = _incremental()
     o["bronze_rewrite_idempotent"] = with_ctes(ACC, bz, select=_sizes("bz"))
     o["bronze_stream"] = with_ctes(ACC, bz, select=_sizes("bz"))
+    o["bronze_mixed"] = with_ctes(ACC, bz, select=(
+        "SELECT *, CASE batch_date WHEN '2025_06_16' THEN 'batch' ELSE 'stream' END AS writer "
+        f"FROM ({_sizes('bz')})"))
     o["bronze_stream_late"] = with_ctes(ACC, *_late(), select=(
         "SELECT batch_date, CASE batch_date WHEN '2025_06_17' THEN 'ingested' WHEN '2025_06_14' THEN 'late' "
         "ELSE 'present' END AS status, CASE WHEN batch_date <> '2025_06_14' THEN rows END AS rows FROM cnt"))

@@ -1,7 +1,8 @@
 """Bronze layer: deliveries, landing and incremental accumulation.
 
 Layout: every layer is one parquet dataset partitioned by `batch_date`
-(`<root>/batch_date=YYYY_MM_DD/`).  Bronze is append-only: each new date is
+(`<root>/batch_date=YYYY_MM_DD/`; bronze further by the part that wrote the
+rows, see `bronze_table`).  Bronze is append-only: each new date is
 written once into its own partition, and the snapshot as of a date is a
 partition-pruned filter, so an ingestion run costs the size of the new
 batches, not of the whole history.  Writes use dynamic partition overwrite,
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from strata import presets as P
 from strata.operators.ingest import assign_deliveries, row_audit, stamp
+from strata.plans.bronze_table import BATCH_PART, check_layout, read_bronze, settle, write_part
 from strata.sources.batches import partition_values, snapshot
 from strata.sources.sinks import write_csv, write_partitioned
 
@@ -92,9 +94,11 @@ def accumulate(spark: SparkSession, raw_root: str, bronze_root: str,
 
     Dates come from the two partition listings and rows are counted in the
     write itself, so a run opens the files of its new dates and no others.
+    Dates that a stream run began and did not end are ingested anew, whole.
     """
-    plan = ingestion_plan(partition_values(spark, raw_root, col),
-                          partition_values(spark, bronze_root, col), pattern)
+    check_layout(spark, bronze_root, col)
+    landed = partition_values(spark, raw_root, col)
+    plan = ingestion_plan(landed, settle(spark, bronze_root, landed, col=col), pattern)
     report = []
     # one job per new date, oldest first: the mark (max date in bronze) can
     # only advance once every earlier date is committed, so an interrupted
@@ -104,7 +108,7 @@ def accumulate(spark: SparkSession, raw_root: str, bronze_root: str,
         if status == "new":
             batch = spark.read.parquet(f"{raw_root.rstrip('/')}/{col}={d}")
             df, obs = row_audit(stamp(batch, d, col))
-            write_partitioned(df, bronze_root, col, mode="overwrite")
+            write_part(df, bronze_root, BATCH_PART, col)
             rows, status = obs.get.get("rows", 0), "ingested"
         elif status != "present":
             log.warning("raw partition %r not ingested: %s", d, status)
@@ -115,7 +119,7 @@ def accumulate(spark: SparkSession, raw_root: str, bronze_root: str,
 def bronze_snapshot(spark: SparkSession, bronze_root: str, date: str | None = None,
                     col: str = P.BATCH_COLUMN) -> DataFrame:
     """Rows delivered up to `date` (latest when None), partition-pruned."""
-    return snapshot(spark.read.parquet(bronze_root), date, col)
+    return snapshot(read_bronze(spark, bronze_root), date, col)
 
 
 def snapshot_sizes(bronze: DataFrame, col: str = P.BATCH_COLUMN) -> DataFrame:

@@ -30,12 +30,13 @@ from strata.operators.nulls import (dropna_subset, fill_constant, impute, null_p
                                     null_profile_long, schema_report)
 from strata.operators.serve import page, page_after, preview
 from strata.plans import bronze
+from strata.plans.bronze_table import BATCH_PART, PART_COLUMN, read_bronze
 from strata.plans.medallion import (baseline_predictions, fit_forest, forest_predictions, run_medallion,
                                     score_wide)
 from strata.plans.silver import (indexer_from_labels, join_view, majority_from_counts, ml_view,
                                  prepare, profile, silver_join, silver_ml, silver_wide)
 from strata.session import scratch_path, unique_name
-from strata.sources.batches import batch_dates as _batch_dates, latest_date, snapshot
+from strata.sources.batches import latest_listed, listed_dates, snapshot
 from strata.sources.files import read_csv, read_parquet
 from strata.sources.sinks import parquet_publisher, save_table, write_csv, write_partitioned
 from strata.streaming import run_bronze_stream
@@ -336,13 +337,12 @@ def q_delivery_counts(spark, sf):
 
 def q_batch_dates(spark, sf):
     _, bronze_root = _deliver_and_accumulate(spark, sf)
-    return _batch_dates(spark.read.parquet(bronze_root))
+    return listed_dates(spark, bronze_root)
 
 
 def q_latest_snapshot(spark, sf):
     _, bronze_root = _deliver_and_accumulate(spark, sf)
-    b = spark.read.parquet(bronze_root)
-    return _r6(snapshot(b, latest_date(b)))
+    return _r6(snapshot(read_bronze(spark, bronze_root), latest_listed(spark, bronze_root)))
 
 
 SNAPSHOT_DATE = "2025_06_16"
@@ -366,7 +366,7 @@ def q_bronze_incremental(spark, sf):
     r1 = bronze.accumulate(spark, raw_root, bronze_root).withColumn("run", F.lit(1))
     write_partitioned(later, raw_root)
     r2 = bronze.accumulate(spark, raw_root, bronze_root).withColumn("run", F.lit(2))
-    sizes = bronze.snapshot_sizes(spark.read.parquet(bronze_root))
+    sizes = bronze.snapshot_sizes(read_bronze(spark, bronze_root))
     report = r1.unionByName(r2)
     return report.join(sizes.select(BATCH, F.col("snapshot_rows")), BATCH, "left")
 
@@ -383,7 +383,7 @@ def q_bronze_rewrite_idempotent(spark, sf):
     bronze.land(spark, {SNAPSHOT_DATE: sources[SNAPSHOT_DATE]}, raw_root)
     bronze.accumulate(spark, raw_root, bronze_root)
     bronze.accumulate(spark, raw_root, bronze_root)
-    return bronze.snapshot_sizes(spark.read.parquet(bronze_root))
+    return bronze.snapshot_sizes(read_bronze(spark, bronze_root))
 
 
 def q_bronze_stream(spark, sf):
@@ -409,6 +409,23 @@ def q_bronze_stream_late(spark, sf):
     return report.join(table.groupBy(BATCH).agg(F.count(F.lit(1)).alias("rows")), BATCH, "left")
 
 
+def q_bronze_mixed(spark, sf):
+    """Stream, batch and stream again on one bronze root, a date each: rows per
+    date, of the snapshot up to it, and which writer wrote them."""
+    raw_root, bronze_root = scratch_path(spark, "raw"), scratch_path(spark, "bronze_mixed")
+    ckpt = scratch_path(spark, "bronze_mixed_ckpt")
+    dated = assign_deliveries(_acc(spark, sf), P.KEY)
+    runs = [lambda: run_bronze_stream(spark, raw_root, bronze_root, ckpt, max_files_per_trigger=1),
+            lambda: bronze.accumulate(spark, raw_root, bronze_root)]
+    for k, date in enumerate(BATCH_OF_EVENT):
+        write_partitioned(dated.filter(F.col(BATCH) == date), raw_root)
+        runs[k % 2]()
+    table = read_bronze(spark, bronze_root, parts=True)
+    writers = table.groupBy(BATCH).agg(
+        F.when(F.min(PART_COLUMN) == BATCH_PART, F.lit("batch")).otherwise(F.lit("stream")).alias("writer"))
+    return bronze.snapshot_sizes(table).join(writers, BATCH)
+
+
 def q_land_report(spark, sf):
     root = _deliver(spark, sf)
     raw_root = scratch_path(spark, "landed")
@@ -617,6 +634,7 @@ QUERIES = {
     "bronze_rewrite_idempotent": q_bronze_rewrite_idempotent,
     "bronze_stream": q_bronze_stream,
     "bronze_stream_late": q_bronze_stream_late,
+    "bronze_mixed": q_bronze_mixed,
     "land_report": q_land_report,
     "split_hash": q_split_hash,
     "split_random": q_split_random,

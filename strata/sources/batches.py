@@ -1,11 +1,10 @@
 """Batch discovery over dated deliveries.
 
 Two layouts are understood:
-* a table partitioned by `batch_date` (what this library writes): dates come
-  from the partition column, a query that reads no data columns;
-* dated directories `<root>/<YYYY_MM_DD>/...` (hand-made deliveries): dates
-  come from the file paths Spark lists, filtered by the date pattern so a
-  stray directory (`_tmp`, `.staging`) can never become a high-water mark.
+* a table partitioned by `batch_date` (what this library writes);
+* dated directories `<root>/<YYYY_MM_DD>/...` (hand-made deliveries).
+Dates come from one directory listing, filtered by the date pattern, so a stray
+directory (`_tmp`, `.staging`) can never become a high-water mark.
 """
 
 from __future__ import annotations
@@ -35,6 +34,24 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def child_names(spark: SparkSession, pattern: str, keep=lambda name: True) -> list[str]:
+    """Names of what lies directly in the folders that match `pattern` (a glob);
+    empty when there are none."""
+    fs, target = _file_system(spark, f"{pattern.rstrip('/')}/*")
+    return [name for name in (f.getPath().getName() for f in fs.globStatus(target) or []) if keep(name)]
+
+
+def delete_paths(spark: SparkSession, *paths: str) -> None:
+    for path in paths:
+        fs, target = _file_system(spark, path)
+        fs.delete(target, True)
+
+
 def partition_values(spark: SparkSession, root: str, col: str = P.BATCH_COLUMN) -> list[str | None]:
     """Values of the first partition column of a table, sorted, None for its
     null partition; empty when nothing is there.  One directory listing on the
@@ -49,13 +66,37 @@ def partition_values(spark: SparkSession, root: str, col: str = P.BATCH_COLUMN)
                   key=lambda v: (v is not None, v))
 
 
+def list_dates(spark: SparkSession, root: str, pattern: str = P.BATCH_DIR_PATTERN,
+               col: str = P.BATCH_COLUMN) -> list[str]:
+    """Dates of a dated root, ascending, from one directory listing: those of
+    `<col>=<date>` partitions and of hand-made `<date>` directories.  Names that
+    are no dates do not count and no data file is opened, so neither a stray
+    directory nor an unreadable old file can change the answer."""
+    names = {n.split("=", 1)[1] if n.startswith(f"{col}=") else n for n in child_names(spark, root)}
+    return sorted(d for d in map(unquote, names) if re.match(pattern, d))
+
+
+def listed_dates(spark: SparkSession, root: str, pattern: str = P.BATCH_DIR_PATTERN,
+                 col: str = P.BATCH_COLUMN) -> DataFrame:
+    """`list_dates` as rows."""
+    return spark.createDataFrame([(d,) for d in list_dates(spark, root, pattern, col)], f"{col} string")
+
+
+def latest_listed(spark: SparkSession, root: str, pattern: str = P.BATCH_DIR_PATTERN,
+                  col: str = P.BATCH_COLUMN) -> str | None:
+    """The latest date of a dated root (None when it has none), from a listing."""
+    return max(list_dates(spark, root, pattern, col), default=None)
+
+
 def batch_dates(df: DataFrame, col: str = P.BATCH_COLUMN) -> DataFrame:
-    """Distinct batch dates of a partitioned table, one row each."""
+    """Distinct values of a batch column; for frames whose root is not known
+    (`listed_dates` opens no file)."""
     return df.select(col).distinct()
 
 
 def latest_date(df: DataFrame | None, col: str = P.BATCH_COLUMN) -> str | None:
-    """Lexical maximum of the batch column (None for no table / no rows)."""
+    """Lexical maximum of the batch column (None for no table / no rows); for
+    frames whose root is not known (`latest_listed` opens no file)."""
     if df is None:
         return None
     return df.agg(F.max(col).alias("m")).first()["m"]
@@ -70,7 +111,8 @@ def snapshot(df: DataFrame, date: str | None = None, col: str = P.BATCH_COLUMN)
 
 def dated_directories(spark: SparkSession, root: str,
                       pattern: str = P.BATCH_DIR_PATTERN) -> DataFrame:
-    """Dates of `<root>/<date>/...` parquet deliveries, with their row counts."""
+    """Dates of `<root>/<date>/...` parquet deliveries, with their row counts
+    (read from the files' footers; `listed_dates` has the dates alone)."""
     files = (spark.read.option("recursiveFileLookup", "true").parquet(root)
              .select(F.col("_metadata.file_path").alias("p")))
     rel = F.regexp_replace(F.col("p"), r"^.*?" + re.escape(root.rstrip("/")) + "/", "")
@@ -82,8 +124,7 @@ def dated_directories(spark: SparkSession, root: str,
 
 def dated_sources(spark: SparkSession, root: str, leaf: str = "parquet",
                   pattern: str = P.BATCH_DIR_PATTERN) -> dict:
-    """`{date: "<root>/<date>/<leaf>"}` for the dated deliveries under `root`
-    (a handful of dates: one small row per delivery reaches the driver)."""
-    dates = dated_directories(spark, root, pattern).select(P.BATCH_COLUMN).collect()
+    """`{date: "<root>/<date>/<leaf>"}` for the dated deliveries under `root`,
+    from a listing."""
     base = root.rstrip("/")
-    return {r[0]: f"{base}/{r[0]}/{leaf}" if leaf else f"{base}/{r[0]}" for r in dates}
+    return {d: f"{base}/{d}/{leaf}" if leaf else f"{base}/{d}" for d in list_dates(spark, root, pattern)}
