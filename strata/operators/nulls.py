@@ -1,14 +1,17 @@
 """Null handling and data-quality profiles.
 
 All means needed by one imputation are computed in a single aggregate job,
-medians by counting per bucket; all fills are applied in a single projection.
+medians by counting, in at most five more jobs for all columns; all fills are
+applied in a single projection.
 """
 
 from __future__ import annotations
 
 import logging
+import struct
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,49 +35,102 @@ def fill_constant(df: DataFrame, values: dict) -> DataFrame:
     return df.na.fill(present) if present else df
 
 
-MEDIAN_BUCKETS = 4096
+# 13 bits of the ordered 64-bit integers behind doubles are settled a pass, so
+# five passes find any median, whatever the values and however many columns.
+MEDIAN_BUCKETS = 1 << 13
 
 
 def imputation_stats(df: DataFrame, mean: list[str] = (), median: list[str] = ()) -> dict:
-    """Mean and exact median per column.
+    """Mean and exact median per column, as doubles.
 
     Nulls are ignored; NaN would poison an average, so (as the fill below
-    treats NaN as missing) it is excluded too.  One aggregate job gives the
-    means and the range of the median columns; `_narrow` then finds each
-    median by counting, in jobs of a plain hash aggregate.
+    treats NaN as missing) it is excluded too.  The median is the least value
+    with at least half of the values at or below it; infinities count, -0.0 is
+    0.0.  One aggregate job gives the means and the ends of the median columns;
+    `_medians` then counts, all columns at once.
     """
     exprs = [F.avg(_valid(df, c)).alias(f"mean::{c}") for c in mean]
     for c in median:
-        v = _valid(df, c)
-        exprs += [F.count(v).alias(f"n::{c}"), F.min(v).alias(f"min::{c}"), F.max(v).alias(f"max::{c}")]
+        v = _number(df, c)
+        finite = F.when(F.abs(v) < F.lit(float("inf")), v)
+        exprs += [F.count(v).alias(f"n::{c}"), F.count_if(v == F.lit(float("-inf"))).alias(f"low::{c}"),
+                  F.count(finite).alias(f"finite::{c}"), F.min(finite).alias(f"min::{c}"),
+                  F.max(finite).alias(f"max::{c}")]
     if not exprs:
         return {}
     row = df.agg(*exprs).first()
     stats = {f"mean::{c}": row[f"mean::{c}"] for c in mean}
+    search = {}
     for c in median:
-        stats[f"median::{c}"] = _narrow(df, _valid(df, c), row[f"n::{c}"], row[f"min::{c}"], row[f"max::{c}"])
+        rank = (row[f"n::{c}"] + 1) // 2 - row[f"low::{c}"]  # among the finite values
+        if not row[f"n::{c}"]:
+            stats[f"median::{c}"] = None
+        elif rank <= 0 or rank > row[f"finite::{c}"]:
+            stats[f"median::{c}"] = float("-inf") if rank <= 0 else float("inf")
+        else:
+            search[c] = (rank, row[f"min::{c}"], row[f"max::{c}"])
+    stats.update({f"median::{c}": v for c, v in _medians(df, search).items()})
     return stats
 
 
-def _narrow(df: DataFrame, value: Column, n: int, low, high):
-    """The least value with at least half of the values at or below it.
-
-    Each pass counts values per bucket of [low, high] (at most MEDIAN_BUCKETS
-    rows, split over many keys) and goes on with the bucket that holds the
-    middle, until a bucket holds a single value."""
-    rank = (n + 1) // 2
-    while low is not None and low < high:
-        at = F.floor((value - F.lit(low)) / F.lit((high - low) / MEDIAN_BUCKETS))
-        rows = (df.filter((value >= F.lit(low)) & (value <= F.lit(high)))
-                .groupBy(F.least(at, F.lit(MEDIAN_BUCKETS - 1)).alias("b"))
-                .agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
-                .orderBy("b").collect())
-        for r in rows:
-            if r["n"] >= rank:
-                break
-            rank -= r["n"]
-        low, high = r["lo"], r["hi"]
-    return low
+def _number(df: DataFrame, c: str) -> Column:
+    return _valid(df, c).cast("double") + F.lit(0.0)  # -0.0 + 0.0 is 0.0
+
+
+def _ordered(x: float) -> int:
+    """The place of a finite double in the order of all doubles (0.0 is 0)."""
+    bits = struct.unpack("<q", struct.pack("<d", x))[0]
+    return bits if bits >= 0 else -(bits & 0x7FFFFFFFFFFFFFFF)
+
+
+def _double(place: int) -> float:
+    x = struct.unpack("<d", struct.pack("<q", abs(place)))[0]
+    return x if place >= 0 else -x
+
+
+def _splits(low: float, high: float) -> list[float]:
+    """Ends of at most MEDIAN_BUCKETS buckets over [low, high], each with
+    equally many doubles."""
+    first, last = _ordered(low), _ordered(high)
+    step = -(-(last - first + 1) // MEDIAN_BUCKETS)
+    return [_double(k) for k in range(first, last + 1, step)] + [_double(last + 1)]
+
+
+def _medians(df: DataFrame, search: dict[str, tuple]) -> dict[str, float]:
+    """The value of each column's rank among those in [low, high]; `search` has
+    (rank, low, high) per column.  A pass narrows every column to the bucket
+    that holds its rank, until that bucket holds one value."""
+    found = {}
+    while search:
+        found.update({c: low for c, (_, low, high) in search.items() if low == high})
+        search = {c: s for c, s in search.items() if c not in found}
+        if search:
+            search = _narrow(df, search)
+    return found
+
+
+def _narrow(df: DataFrame, search: dict[str, tuple]) -> dict[str, tuple]:
+    """One pass over the rows for all columns: count the values of each bucket
+    and keep the bucket of the rank.  Tasks count before the shuffle, so at most
+    MEDIAN_BUCKETS rows per column and task leave it, and one row per column
+    reaches the driver."""
+    columns = list(search)
+    values = [F.when(_number(df, c).between(F.lit(low), F.lit(high)), _number(df, c)).alias(f"v{k}")
+              for k, (c, (_, low, high)) in enumerate(search.items())]
+    bucketizer = Bucketizer(
+        inputCols=[f"v{k}" for k in range(len(columns))], outputCols=[f"b{k}" for k in range(len(columns))],
+        splitsArray=[_splits(low, high) for _, low, high in search.values()], handleInvalid="keep")
+    cells = [F.when(F.col(f"v{k}").isNotNull(), F.struct(
+        F.lit(k).alias("c"), F.col(f"b{k}").cast("int").alias("b"), F.col(f"v{k}").alias("v")))
+        for k in range(len(columns))]
+    counts = (bucketizer.transform(df.select(*values))
+              .select(F.inline(F.array_compact(F.array(*cells))))
+              .groupBy("c", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")))
+    upto = F.sum("n").over(Window.partitionBy("c").orderBy("b"))
+    rank = F.element_at(F.array(*[F.lit(rank).cast("long") for rank, _, _ in search.values()]), F.col("c") + 1)
+    rows = (counts.withColumn("before", upto - F.col("n")).withColumn("rank", rank - F.col("before"))
+            .filter(F.col("rank").between(1, F.col("n"))).select("c", "rank", "low", "high").collect())
+    return {columns[r["c"]]: (r["rank"], r["low"], r["high"]) for r in rows}
 
 
 def _valid(df: DataFrame, c: str) -> Column:

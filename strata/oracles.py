@@ -384,6 +384,15 @@ def build() -> dict[str, str]:
     o["impute_zero"] = imputed(zero=P.IMPUTE_ZERO)
     o["impute_median"] = imputed(median=P.IMPUTE_MEDIAN)
     o["impute_all"] = imputed(P.IMPUTE_MEAN, P.IMPUTE_ZERO, P.IMPUTE_MEDIAN)
+    inf, price = "'Infinity'::DOUBLE", "l_extendedprice::DOUBLE"
+    middle = lambda e: f"round(quantile_disc({e}, 0.5) + 0.0, 6)"
+    o["median_extremes"] = "SELECT " + ", ".join([
+        middle(f"CASE l_orderkey % 4 WHEN 0 THEN {inf} WHEN 1 THEN -{inf} WHEN 2 THEN {price} ELSE -{price} END")
+        + " AS both_infinite",
+        middle(f"CASE WHEN l_orderkey % 3 = 0 THEN {price} ELSE {inf} END") + " AS mostly_infinite",
+        "quantile_disc(l_linenumber, 0.5)::DOUBLE AS tiny",
+        middle(f"CASE WHEN l_orderkey % 2 <> 0 THEN {price} END") + " AS huge_or_nan",
+        "0.0::DOUBLE AS zeros", "NULL::DOUBLE AS nothing"]) + " FROM lineitem"
     o["impute_many_valued"] = (
         "WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 7 <> 0 THEN l_extendedprice::DOUBLE END "
         "AS price FROM lineitem) SELECT l_orderkey, l_linenumber, "

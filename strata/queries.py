@@ -26,7 +26,7 @@ from strata.operators.ingest import (assign_deliveries, repartition_by_key, row_
 from strata.operators.joins import enrich, join_audit, union_by_name
 from strata.operators.model import (accuracy_frame, load_model, majority_baseline, majority_class,
                                     predict_constant, save_model, train_test_split)
-from strata.operators.nulls import (dropna_subset, fill_constant, impute, null_profile,
+from strata.operators.nulls import (dropna_subset, fill_constant, imputation_stats, impute, null_profile,
                                     null_profile_long, schema_report)
 from strata.operators.serve import page, page_after, preview
 from strata.plans import bronze
@@ -151,6 +151,30 @@ def q_impute_many_valued(spark, sf):
     return _r6(impute(df, mean=[], zero=[], median=["price"]))
 
 
+EXTREMES = {
+    "both_infinite": "CASE l_orderkey % 4 WHEN 0 THEN CAST('Infinity' AS DOUBLE) WHEN 1 THEN CAST('-Infinity' AS DOUBLE) "
+                     "WHEN 2 THEN CAST(l_extendedprice AS DOUBLE) ELSE -CAST(l_extendedprice AS DOUBLE) END",
+    "mostly_infinite": "CASE WHEN l_orderkey % 3 = 0 THEN CAST(l_extendedprice AS DOUBLE) "
+                       "ELSE CAST('Infinity' AS DOUBLE) END",
+    "tiny": "l_linenumber * CAST('4.9E-324' AS DOUBLE)",
+    "huge_or_nan": "CASE WHEN l_orderkey % 2 = 0 THEN CAST('NaN' AS DOUBLE) "
+                   "ELSE CAST(l_extendedprice AS DOUBLE) * CAST('1E300' AS DOUBLE) END",
+    "zeros": "CASE WHEN l_orderkey % 2 = 0 THEN CAST('-0.0' AS DOUBLE) ELSE CAST('0.0' AS DOUBLE) END",
+    "nothing": "CAST(NULL AS DOUBLE)",
+}
+
+
+def q_median_extremes(spark, sf):
+    """Medians of columns with infinities, denormals, NaN, signed zeros and
+    nothing at all, counted together (tiny and huge ones scaled to compare)."""
+    df = read_parquet(spark, f"{sf}/lineitem.parquet").selectExpr(
+        *[f"{e} AS {c}" for c, e in EXTREMES.items()])
+    stats = imputation_stats(df, median=list(EXTREMES))
+    scale = {"tiny": 5e-324, "huge_or_nan": 1e300}
+    values = [None if (v := stats[f"median::{c}"]) is None else v / scale.get(c, 1.0) for c in EXTREMES]
+    return _r6(spark.createDataFrame([tuple(values)], ", ".join(f"{c} double" for c in EXTREMES)))
+
+
 def q_null_profile(spark, sf):
     return null_profile(_acc(spark, sf))
 
@@ -599,6 +623,7 @@ QUERIES = {
     "impute_median": q_impute_median,
     "impute_all": q_impute_all,
     "impute_many_valued": q_impute_many_valued,
+    "median_extremes": q_median_extremes,
     "null_profile": q_null_profile,
     "null_profile_long": q_null_profile_long,
     "schema_report": q_schema_report,
