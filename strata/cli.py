@@ -1,6 +1,6 @@
 """Command line for the stages: `python -m strata.cli <stage> --root <lake> ...`.
 
-Stages: deliver, land, bronze, silver, predict, enrich, marts, page, all.
+Stages: deliver, land, bronze, silver, predict, enrich, marts, index, page, all.
 `deliver` and `all` read a source table: `--csv <path>` (accident schema,
 header) or `--parquet <path>`.  The session is built with the library's
 defaults; extra `--conf key=value` pairs are passed through.
@@ -28,7 +28,7 @@ def _source(spark, args):
 def parse_args(argv=None) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="strata")
     ap.add_argument("stage", choices=["deliver", "land", "bronze", "silver", "predict",
-                                      "enrich", "marts", "page", "all"])
+                                      "enrich", "marts", "index", "page", "all"])
     ap.add_argument("--root", required=True, help="lake root (shared storage)")
     ap.add_argument("--csv")
     ap.add_argument("--csv-null", default="", help="CSV null marker of the source")
@@ -76,6 +76,8 @@ def run(spark, args):
         return {"ok": True}
     if args.stage == "marts":
         return stages.stage_marts(spark, root)
+    if args.stage == "index":
+        return {"rows": stages.stage_index(spark, root)}
     if args.stage == "page":
         return _rows(stages.stage_page(spark, root, args.offset, args.limit))
     out = stages.run_all(spark, _source(spark, args), root, args.model)

@@ -17,7 +17,8 @@ def fit_indexer(df: DataFrame, cols: list[str] | None = None,
 
     Most frequent label -> 0.0, ties broken alphabetically; with "keep",
     null or unseen labels map to the number of labels.  Label counting is a
-    distributed aggregate; only the (small) label lists reach the driver.
+    distributed aggregate; the label lists reach the driver, so columns of very
+    many labels are for `labels.fit_label_tables`.
     """
     cols = [c for c in (P.INDEX_COLUMNS if cols is None else cols) if c in df.columns]
     indexer = StringIndexer(inputCols=cols, outputCols=[c + suffix for c in cols],

@@ -405,6 +405,13 @@ def build() -> dict[str, str]:
     o["index_frequency"] = with_ctes(*SILVER, ML, select=(
         "SELECT \"ID\", " + ", ".join(q(c + P.INDEX_SUFFIX) for c in P.INDEX_COLUMNS)
         + " FROM ml"))
+    o["index_joined"] = o["index_frequency"]
+    o["index_many_labels"] = (
+        "WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 11 <> 0 "
+        "THEN l_extendedprice::DECIMAL(18,2)::VARCHAR END AS price FROM lineitem), "
+        "k AS (SELECT price, row_number() OVER (ORDER BY count(*) DESC, price) - 1 AS i FROM l "
+        "WHERE price IS NOT NULL GROUP BY price) "
+        "SELECT l.*, coalesce(i, (SELECT count(*) FROM k))::DOUBLE AS price_idx FROM l LEFT JOIN k USING (price)")
     o["silver_join"] = with_ctes(*SILVER, SJ, select=f"SELECT {_sj_r6()} FROM sj")
     o["silver_ml"] = with_ctes(*SILVER, ML, select=f"SELECT {_ml_r6()} FROM ml")
     # the stage's wide-table storage must give the same two tables
@@ -428,6 +435,9 @@ def build() -> dict[str, str]:
     o["page_rows"] = with_ctes(*GOLD_CTES, select=(
         f"SELECT {_sj_r6()} FROM gold ORDER BY \"ID\" LIMIT 20 OFFSET 25"))
 
+    o["page_indexed"] = with_ctes(*GOLD_CTES, select=(
+        f"SELECT *, 0 AS page FROM (SELECT {_sj_r6()} FROM gold ORDER BY \"ID\" LIMIT 20 OFFSET 25) UNION ALL "
+        f"SELECT *, 1 AS page FROM (SELECT {_sj_r6()} FROM gold ORDER BY \"ID\" LIMIT 30 OFFSET 700)"))
     o["page_after"] = with_ctes(*GOLD_CTES, select=(
         f"SELECT {_sj_r6()} FROM gold WHERE \"ID\" > 'A-200' ORDER BY \"ID\" LIMIT 20"))
     o["gold_full_copy"] = o["enrich_join"]

@@ -14,6 +14,7 @@ from strata import presets as P
 from strata.functions import clean_wind, convert_all, default_text, encode_flags
 from strata.operators.columns import drop_tolerant
 from strata.operators.features import index_categoricals
+from strata.operators.labels import LabelIndexer, label_counts, label_table
 from strata.operators.nulls import dropna_subset, impute, imputation_stats
 
 
@@ -48,8 +49,8 @@ def silver_ml(raw: DataFrame, stats: dict | None = None, indexer=None, prepared:
 # Every statistic the silver/ML stages need.
 # ---------------------------------------------------------------------------
 
-# Distinct labels of one column that may reach the driver (the forest's
-# maxBins, 400, bounds them much lower); more is an error, never a cut.
+# Distinct labels of one column that may reach the driver; the labels of a
+# column with more stay in a table and are joined (`operators/labels.py`).
 MAX_LABELS = 100_000
 
 
@@ -62,8 +63,9 @@ def profile(prepared: DataFrame, mean: list[str] | None = None, median: list[str
     (`imputation_stats`), and one count over grouping sets the labels of all
     columns: rows carry the few label columns only, and a hot label costs one
     row per task.  Returns {"stats", "labels", "class_counts"}; `labels[c]` is
-    ordered as the frequency indexer orders them (count desc, then label);
-    nulls are no labels and no class.
+    ordered as the frequency indexer orders them (count desc, then label), or is
+    a label table for a column with more than `max_labels`; nulls are no labels
+    and no class.
     """
     from pyspark.sql import functions as F
 
@@ -90,13 +92,25 @@ def profile(prepared: DataFrame, mean: list[str] | None = None, median: list[str
             i = which[r["g"]]
             if r[keys[i]] is not None:  # like the fitted indexer: nulls are not labels
                 counts[sets[i][0]].append((r[keys[i]], r["n"]))
-        wide = [c for c, v in counts.items() if len(v) > max_labels]
-        if wide or len(rows) > max_labels * len(sets):
-            raise ValueError(f"more than {max_labels} distinct labels in one of {wide or list(counts)}")
-    class_counts = dict(counts.pop(label)) if label in counts else {}
+        if len(rows) > max_labels * len(sets) or any(len(v) > max_labels for v in counts.values()):
+            sizes = {which[r["g"]]: r["count"] for r in grouped.groupBy("g").count().collect()}
+            tables = {i: e for i, (_, e) in enumerate(sets) if sizes.get(i, 0) > max_labels}
+            few = [g for g, i in which.items() if i not in tables]
+            counts = {c: [] for c, _ in sets}
+            for r in grouped.filter(F.col("g").isin(few)).collect():
+                i = which[r["g"]]
+                if r[keys[i]] is not None:
+                    counts[sets[i][0]].append((r[keys[i]], r["n"]))
+            for i, e in tables.items():
+                counts[sets[i][0]] = label_table(label_counts(prepared, e))
+    class_counts = counts.pop(label, [])
+    if isinstance(class_counts, DataFrame):
+        raise ValueError(f"more than {max_labels} classes in {label}")
     # count desc, then label in Java string order (UTF-16 code units)
-    labels = {c: [k for k, _ in sorted(v, key=lambda kv: (-kv[1], _java_order(kv[0])))]
+    labels = {c: v if isinstance(v, DataFrame) else
+              [k for k, _ in sorted(v, key=lambda kv: (-kv[1], _java_order(kv[0])))]
               for c, v in counts.items()}
+    class_counts = dict(class_counts)
     return {"stats": imputation_stats(prepared, mean, median), "labels": labels, "class_counts": class_counts}
 
 
@@ -107,7 +121,10 @@ def _java_order(text):
 def indexer_from_labels(labels: dict, suffix: str = P.INDEX_SUFFIX, handle_invalid: str = "keep"):
     """A frequency indexer built from counted labels (no fitting pass): one
     single-column model per column, so each keeps its own label count (the
-    multi-column constructor pads shorter label lists with nulls)."""
+    multi-column constructor pads shorter label lists with nulls).  Columns that
+    have a label table are indexed by a join."""
+    if any(isinstance(v, DataFrame) for v in labels.values()):
+        return LabelIndexer(labels, suffix, handle_invalid)
     from pyspark.ml import PipelineModel
     from pyspark.ml.feature import StringIndexerModel
     return PipelineModel(stages=[
@@ -151,12 +168,7 @@ def silver_wide(raw: DataFrame, stats: dict, labels: dict,
     tmp = {c: f"__cat_{c}" for c in labels if c in df.columns}
     df = df.withColumns({t: F.coalesce(F.col(c), F.lit(P.CATEGORICAL_FILL[c]))
                          for c, t in tmp.items()})
-    from pyspark.ml import PipelineModel
-    from pyspark.ml.feature import StringIndexerModel
-    df = PipelineModel(stages=[
-        StringIndexerModel.from_labels(labels[c], inputCol=t, outputCol=c + P.INDEX_SUFFIX,
-                                       handleInvalid="keep")
-        for c, t in tmp.items()]).transform(df)
+    df = LabelIndexer({c: labels[c] for c in tmp}, P.INDEX_SUFFIX).transform(df, tmp)
     flags = {c + P.FLAG_SUFFIX: bool_as_int(F.col(c)) for c in P.BOOL_FLAGS if c in df.columns}
     flags.update({c + P.FLAG_SUFFIX: daynight_as_int(F.col(c))
                   for c in P.DAYNIGHT_COLUMNS if c in df.columns})

@@ -13,6 +13,7 @@ an object-store prefix):
     gold/predictions/  ID + prediction_classe
     gold/final/   enriched table (marts and serving read it)
     marts/<name>/ published marts (+ the full copy)
+    pages/<name>/ position index of the full copy (paged reads)
 
 Every stage reads the previous stage's parquet and writes its own, so a
 stage can be re-run alone; writes are overwrites (per partition for the
@@ -28,11 +29,11 @@ from strata import presets as P
 from strata.operators import marts
 from strata.operators.joins import enrich
 from strata.operators.model import load_model, save_model
-from strata.operators.serve import page
+from strata.operators.serve import PageIndex, build_page_index, page
 from strata.plans import bronze
 from strata.plans.medallion import baseline_predictions, fit_forest, forest_predictions
 from strata.plans.silver import join_view, ml_view, prepare, profile, silver_wide
-from strata.sources.batches import partition_values
+from strata.sources.batches import partition_values, path_exists
 from strata.sources.sinks import parquet_publisher
 
 
@@ -44,7 +45,7 @@ def paths(root: str) -> dict:
         "silver_wide": f"{r}/silver/wide", "silver_columns": f"{r}/silver/columns",
         "model": f"{r}/model/forest", "features": f"{r}/model/features",
         "predictions": f"{r}/gold/predictions", "gold": f"{r}/gold/final",
-        "marts": f"{r}/marts",
+        "marts": f"{r}/marts", "pages": f"{r}/pages",
     }
 
 
@@ -142,10 +143,20 @@ def stage_marts(spark: SparkSession, root: str, publish=None) -> list[tuple]:
     return marts.build_all(spark.read.parquet(p["gold"]), publish, full_copy=marts.FULL_COPY)
 
 
+def stage_index(spark: SparkSession, root: str, table: str = marts.FULL_COPY) -> int:
+    """The position index of a published table; returns its rows."""
+    p = paths(root)
+    return build_page_index(spark.read.parquet(f"{p['marts']}/{table}"), f"{p['pages']}/{table}").size()
+
+
 def stage_page(spark: SparkSession, root: str, offset: int = 0, limit: int = 1,
                table: str = marts.FULL_COPY) -> DataFrame:
-    """A page of the published full copy, in key order."""
-    return page(spark.read.parquet(f"{paths(root)['marts']}/{table}"), offset, limit)
+    """A page of the published full copy, in key order: from its position index
+    if there is one, else by sorting."""
+    p = paths(root)
+    if path_exists(spark, f"{p['pages']}/{table}/starts/_SUCCESS"):
+        return PageIndex(spark, f"{p['pages']}/{table}").page(offset, limit)
+    return page(spark.read.parquet(f"{p['marts']}/{table}"), offset, limit)
 
 
 def run_all(spark: SparkSession, source: DataFrame, root: str, model: str = "forest",
@@ -159,5 +170,6 @@ def run_all(spark: SparkSession, source: DataFrame, root: str, model: str = "for
                       if k != "model"}
     stage_enrich(spark, root)
     out["marts"] = stage_marts(spark, root)
+    out["paged_rows"] = stage_index(spark, root)
     out["gold_rows"] = spark.read.parquet(paths(root)["gold"]).agg(F.count(F.lit(1))).first()[0]
     return out

@@ -28,7 +28,8 @@ from strata.operators.model import (accuracy_frame, load_model, majority_baselin
                                     predict_constant, save_model, train_test_split)
 from strata.operators.nulls import (dropna_subset, fill_constant, imputation_stats, impute, null_profile,
                                     null_profile_long, schema_report)
-from strata.operators.serve import page, page_after, preview
+from strata.operators.labels import fit_label_tables, index_by_table
+from strata.operators.serve import build_page_index, page, page_after, preview
 from strata.plans import bronze
 from strata.plans.bronze_table import BATCH_PART, PART_COLUMN, read_bronze
 from strata.plans.medallion import (baseline_predictions, fit_forest, forest_predictions, run_medallion,
@@ -192,6 +193,22 @@ def q_index_frequency(spark, sf):
     return _cols(df, "ID", *[c + P.INDEX_SUFFIX for c in P.INDEX_COLUMNS])
 
 
+def q_index_joined(spark, sf):
+    """The same indices from label tables: no label reaches the driver."""
+    df = fill_constant(prepare(_acc(spark, sf)), P.CATEGORICAL_FILL)
+    for c, table in fit_label_tables(df, P.INDEX_COLUMNS).items():
+        df = index_by_table(df, c, table, c + P.INDEX_SUFFIX)
+    return _cols(df, "ID", *[c + P.INDEX_SUFFIX for c in P.INDEX_COLUMNS])
+
+
+def q_index_many_labels(spark, sf):
+    """Index of a column with a label per few rows (prices as text, with nulls):
+    labels, ranks and the join are all distributed."""
+    price = F.when(F.col("l_orderkey") % 11 != 0, F.col("l_extendedprice").cast("decimal(18,2)").cast("string"))
+    df = read_parquet(spark, f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", price.alias("price"))
+    return index_by_table(df, "price", fit_label_tables(df, ["price"])["price"], "price_idx")
+
+
 def q_silver_join(spark, sf):
     return _r6(silver_join(_acc(spark, sf)))
 
@@ -305,6 +322,15 @@ def q_page_after(spark, sf):
 PAGE_KEY = "A-200"
 
 
+def q_page_indexed(spark, sf):
+    """Two pages read through the position index: the first of `page_rows` and
+    a deep one."""
+    index = build_page_index(_gold(spark, sf), scratch_path(spark, "pages"))
+    pages = [index.page(offset, limit).withColumn("page", F.lit(k))
+             for k, (offset, limit) in enumerate([(25, 20), (700, 30)])]
+    return _r6(pages[0].unionByName(pages[1]))
+
+
 # ---------------------------------------------------------------- sources/sinks
 
 def q_scan_parquet(spark, sf):
@@ -628,6 +654,8 @@ QUERIES = {
     "null_profile_long": q_null_profile_long,
     "schema_report": q_schema_report,
     "index_frequency": q_index_frequency,
+    "index_joined": q_index_joined,
+    "index_many_labels": q_index_many_labels,
     "silver_join": q_silver_join,
     "silver_ml": q_silver_ml,
     "silver_stage_join": q_silver_stage_join,
@@ -644,6 +672,7 @@ QUERIES = {
     "preview_topn": q_preview_topn,
     "page_rows": q_page_rows,
     "page_after": q_page_after,
+    "page_indexed": q_page_indexed,
     "gold_full_copy": q_gold_full_copy,
     "publish_report": q_publish_report,
     # sources, sinks, ingestion

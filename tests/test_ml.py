@@ -114,12 +114,20 @@ print("OUT", json.dumps(out))
 def test_profile_with_many_labels(spark):
     import pytest
 
-    from strata.plans.silver import profile
-    df = spark.range(3000).selectExpr("concat('l', id % 300) AS State", "cast(id % 4 AS int) AS Severity")
-    prof = profile(df, categorical=["State"], fill={})
+    from strata.plans.silver import indexer_from_labels, profile
+    df = spark.range(3000).selectExpr("concat('l', id % 300) AS State", "concat('c', id % 7) AS City",
+                                      "cast(id % 4 AS int) AS Severity")
+    prof = profile(df, categorical=["State", "City"], fill={})
     assert len(prof["labels"]["State"]) == 300
-    with pytest.raises(ValueError):
-        profile(df, categorical=["State"], fill={}, max_labels=200)
+    # beyond the bound the labels stay in a table and the indices are the same
+    wide = profile(df, categorical=["State", "City"], fill={}, max_labels=200)
+    assert wide["labels"]["State"].count() == 300 and wide["labels"]["City"] == prof["labels"]["City"]
+    assert wide["class_counts"] == prof["class_counts"]
+    both = [sorted(map(tuple, indexer_from_labels(p["labels"]).transform(df).select(
+        "State", "City", "State_index", "City_index").collect())) for p in (prof, wide)]
+    assert both[0] == both[1]
+    with pytest.raises(ValueError, match="classes"):
+        profile(df, categorical=[], fill={}, max_labels=3)
 
 
 def test_null_class_is_no_class(spark):
