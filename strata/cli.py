@@ -34,6 +34,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--csv-null", default="", help="CSV null marker of the source")
     ap.add_argument("--parquet")
     ap.add_argument("--model", default="forest", choices=["forest", "stored", "baseline"])
+    ap.add_argument("--resume", action="store_true", help="all: keep stages that ended over the same input")
     ap.add_argument("--date", help="bronze snapshot date for silver (default latest)")
     ap.add_argument("--offset", type=int, default=0)
     ap.add_argument("--limit", type=int, default=1)
@@ -80,7 +81,7 @@ def run(spark, args):
         return {"rows": stages.stage_index(spark, root)}
     if args.stage == "page":
         return _rows(stages.stage_page(spark, root, args.offset, args.limit))
-    out = stages.run_all(spark, _source(spark, args), root, args.model)
+    out = stages.run_all(spark, _source(spark, args), root, args.model, resume=args.resume)
     return {k: v for k, v in out.items()}
 
 

@@ -515,6 +515,8 @@ def build() -> dict[str, str]:
     o["schema_report"] = with_ctes(*SILVER, SJ, select=" UNION ALL ".join(
         f"SELECT {i} AS position, '{n}' AS column_name, '{t}' AS data_type, {b} AS nullable, "
         f"count(*) FILTER (WHERE {q(n)} IS NULL) AS missing FROM sj" for i, (n, t, b) in enumerate(_JOIN_SCHEMA)))
+    city = _mart(["City", "State"], {"total_accidents": ("count", "*"), "avg_severity": ("avg", "Severity")})
+    o["medallion_resumed"] = with_ctes(*GOLD_CTES, select=f"SELECT *, 0 AS stages_run, 4 AS stages_kept FROM ({city})")
     o["medallion_gold"] = with_ctes(*GOLD_CTES, select=_mart(*P.WEATHER_MART))
     return o
 

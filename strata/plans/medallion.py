@@ -29,8 +29,9 @@ from strata.operators import marts
 from strata.operators.cache import persisted
 from strata.operators.features import assemble
 from strata.operators.joins import assert_unique, enrich
-from strata.operators.model import (accuracy, lay_out, majority_class, predict_all, predict_constant,
-                                    train_forest, train_test_split)
+from strata.operators.model import (accuracy, lay_out, load_model, majority_class, predict_all, predict_constant,
+                                    save_model, train_forest, train_test_split)
+from strata.plans.resume import NoLog, StageLog, fingerprint, stage_key
 from strata.plans.silver import (TWILIGHT_COMPLETE, join_view, majority_from_counts, ml_view, prepare,
                                  profile, silver_wide)
 from strata.session import unique_name
@@ -89,52 +90,93 @@ def _bucketed(df: DataFrame, root: str, name: str, buckets: int, key: str) -> Da
 
 
 def run_medallion(spark: SparkSession, raw: DataFrame, materialize_to: str, model: str = "forest",
-                  strategy: str = "fused", buckets: int | None = None, publish=None,
-                  **rf_params) -> dict:
+                  strategy: str = "fused", buckets: int | None = None, publish=None, resume: bool = False,
+                  source: str | None = None, **rf_params) -> dict:
     """Run silver, prediction, enrichment and the four marts below the folder
     `materialize_to`.
 
     `model="forest"` trains the random forest; `"baseline"` scores with the
     majority class (no ML job).  `strategy` is "fused", "bucketed" or "join"
-    (see the module notes).  `publish(name, frame)` writes each mart.  Returns
-    a dict of the frames (and the forest's accuracy when trained).
+    (see the module notes).  `publish(name, frame)` writes each mart.  With
+    `resume` a run goes on where an earlier one over the same input and
+    parameters ended, stage by stage (see `resume`); `source` names the input's
+    state, by default the fingerprint of raw's files and plan.  Returns a dict
+    of the frames (and the forest's accuracy when trained); with `resume` also
+    the stages that ran and those that were kept.
     """
     if strategy not in ("fused", "bucketed", "join"):
         raise ValueError(f"unknown strategy {strategy!r}")
     if buckets is None:
         # the shuffle partition count is what a cluster sizes to its data
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{materialize_to}/{name}")
-        return spark.read.parquet(f"{materialize_to}/{name}")
-    converted = stored(prepare(raw), "converted")
-    assert_unique(converted, P.KEY)
-    prof = profile(converted)
-    wide, join_columns, ml_columns = silver_wide(converted, prof["stats"], prof["labels"], prepared=True)
-    wide = stored(wide, "silver_wide")
+    log = StageLog(spark, materialize_to) if resume else NoLog()
+    at = lambda name: f"{materialize_to.rstrip('/')}/{name}"
+
+    def stored(name: str, key: str, build, **payload) -> DataFrame:
+        def write():
+            build().write.mode("overwrite").parquet(at(name))
+            return payload
+        log.run(name, key, write)
+        return spark.read.parquet(at(name))
+
+    state = source or (fingerprint(raw) if resume else "")
+    keys = {"converted": stage_key("converted", [state])}
+    converted = stored("converted", keys["converted"], lambda: prepare(raw))
+
+    def measure():
+        assert_unique(converted, P.KEY)
+        prof = profile(converted)
+        for c, labels in prof["labels"].items():
+            if isinstance(labels, DataFrame):  # too many for the driver: kept as a table
+                labels.write.mode("overwrite").parquet(at(f"labels/{c}"))
+                prof["labels"][c] = {"table": at(f"labels/{c}")}
+        return prof
+    keys["profile"] = stage_key("profile", [keys["converted"]])
+    prof = log.run("profile", keys["profile"], measure)
+    labels = {c: spark.read.parquet(v["table"]) if isinstance(v, dict) else v for c, v in prof["labels"].items()}
+
+    keys["silver_wide"] = stage_key("silver_wide", [keys["profile"]])
+    wide, join_columns, ml_columns = silver_wide(converted, prof["stats"], labels, prepared=True)
+    wide = stored("silver_wide", keys["silver_wide"], lambda w=wide: w)
     join_table, ml_table = join_view(wide, join_columns), ml_view(wide, ml_columns)
     out = {"stats": prof["stats"], "silver_join": join_table, "silver_ml": ml_table}
     majority = None
     if model == "forest":
-        out.update(fit_forest(ml_table, **rf_params))
+        keys["model"] = stage_key("forest", [keys["silver_wide"]], **rf_params)
+
+        def fit():
+            info = fit_forest(ml_table, **rf_params)
+            out["model"] = info.pop("model")
+            if resume:
+                save_model(out["model"], at("forest"))
+            return info
+        out.update(log.run("forest", keys["model"], fit))
+        if "model" not in out:
+            out["model"] = load_model(at("forest"))
         preds = forest_predictions(ml_table, out["model"], out["feature_names"])
     else:
         majority = majority_from_counts(prof["class_counts"])
+        keys["model"] = stage_key("baseline", [keys["silver_wide"]], majority=majority)
         preds = baseline_predictions(ml_table, majority=majority)
-    if strategy == "fused":
-        gold = score_wide(wide, join_columns, out.get("model"), majority, out.get("feature_names"))
-    else:
-        right = preds.select(P.KEY, P.PREDICTION_CLASS)
+
+    def enriched() -> DataFrame:
+        if strategy == "fused":
+            return score_wide(wide, join_columns, out.get("model"), majority, out.get("feature_names"))
+        left, right = join_table, preds.select(P.KEY, P.PREDICTION_CLASS)
         if strategy == "bucketed":
-            join_table = _bucketed(join_table, materialize_to, "silver_join", buckets, P.KEY)
+            left = _bucketed(left, materialize_to, "silver_join", buckets, P.KEY)
             right = _bucketed(right, materialize_to, "predictions", buckets, P.KEY)
         # raw's keys are known to be unique, and so are those derived from them
-        gold = enrich(join_table, right, P.KEY, [P.PREDICTION_CLASS], check_unique=False)
-    out["gold"] = stored(gold, "gold")
+        return enrich(left, right, P.KEY, [P.PREDICTION_CLASS], check_unique=False)
+    keys["gold"] = stage_key("gold", [keys["model"]], strategy=strategy)
+    out["gold"] = stored("gold", keys["gold"], enriched)
     out["predictions"] = preds
     for name, fn in marts.MARTS.items():
         out[name] = fn(out["gold"])
     if publish is not None:
-        out["publish_report"] = marts.build_all(out["gold"], publish, full_copy=marts.FULL_COPY)
+        def publish_once(name: str, frame: DataFrame) -> None:
+            log.run(f"publish {name}", stage_key(name, [keys["gold"]]), lambda: publish(name, frame))
+        out["publish_report"] = marts.build_all(out["gold"], publish_once, full_copy=marts.FULL_COPY)
+    if resume:
+        out["stages_run"], out["stages_kept"] = log.ran, log.kept
     return out

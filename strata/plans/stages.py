@@ -17,7 +17,8 @@ an object-store prefix):
 
 Every stage reads the previous stage's parquet and writes its own, so a
 stage can be re-run alone; writes are overwrites (per partition for the
-dated layers), hence idempotent.
+dated layers), hence idempotent.  `run_all(resume=True)` keeps the stages that
+ended over the same input.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from strata.operators.joins import enrich
 from strata.operators.model import load_model, save_model
 from strata.operators.serve import PageIndex, build_page_index, page
 from strata.plans import bronze
+from strata.plans.resume import NoLog, StageLog, fingerprint, stage_key
 from strata.plans.medallion import baseline_predictions, fit_forest, forest_predictions
 from strata.plans.silver import join_view, ml_view, prepare, profile, silver_wide
 from strata.sources.batches import partition_values, path_exists
@@ -159,17 +161,31 @@ def stage_page(spark: SparkSession, root: str, offset: int = 0, limit: int = 1,
     return page(spark.read.parquet(f"{p['marts']}/{table}"), offset, limit)
 
 
-def run_all(spark: SparkSession, source: DataFrame, root: str, model: str = "forest",
-            **rf_params) -> dict:
-    """Every stage in order; returns the reports of each."""
-    out = {"deliveries": stage_deliver(spark, source, root).collect()}
-    out["land"] = stage_land(spark, root).collect()
-    out["bronze"] = stage_bronze(spark, root).collect()
-    out["stats"] = stage_silver(spark, root)
-    out["predict"] = {k: v for k, v in stage_predict(spark, root, model, **rf_params).items()
-                      if k != "model"}
-    stage_enrich(spark, root)
-    out["marts"] = stage_marts(spark, root)
-    out["paged_rows"] = stage_index(spark, root)
-    out["gold_rows"] = spark.read.parquet(paths(root)["gold"]).agg(F.count(F.lit(1))).first()[0]
+def run_all(spark: SparkSession, source: DataFrame, root: str, model: str = "forest", resume: bool = False,
+            state: str | None = None, **rf_params) -> dict:
+    """Every stage in order; returns the reports of each.
+
+    With `resume`, stages that ended over the same input and parameters are
+    kept (landing and bronze add only what is new in any case); `state` names
+    the source's state, by default the fingerprint of its files and plan."""
+    log = StageLog(spark, root) if resume else NoLog()
+    p = paths(root)
+    listed = lambda df: [r.asDict() for r in df.collect()]
+    key = stage_key("deliver", [state or (fingerprint(source) if resume else "")])
+    out = {"deliveries": log.run("deliver", key, lambda: {"rows": listed(stage_deliver(spark, source, root))})["rows"]}
+    out["land"] = listed(stage_land(spark, root))
+    out["bronze"] = listed(stage_bronze(spark, root))
+    key = stage_key("silver", [fingerprint(spark.read.parquet(p["bronze"])) if resume else ""])
+    out["stats"] = log.run("silver", key, lambda: stage_silver(spark, root))
+    key = stage_key("predict", [key], model=model, **rf_params)
+    out["predict"] = log.run("predict", key, lambda: {
+        k: v for k, v in stage_predict(spark, root, model, **rf_params).items() if k != "model"})
+    key = stage_key("enrich", [key])
+    log.run("enrich", key, lambda: stage_enrich(spark, root))
+    key = stage_key("marts", [key])
+    out["marts"] = [tuple(r) for r in log.run("marts", key, lambda: {"report": stage_marts(spark, root)})["report"]]
+    out["paged_rows"] = log.run("index", stage_key("index", [key]), lambda: {"rows": stage_index(spark, root)})["rows"]
+    out["gold_rows"] = spark.read.parquet(p["gold"]).agg(F.count(F.lit(1))).first()[0]
+    if resume:
+        out["stages_run"], out["stages_kept"] = log.ran, log.kept
     return out

@@ -611,6 +611,22 @@ def q_medallion_full(spark, sf):
     return _known(out["gold"])
 
 
+def q_medallion_resumed(spark, sf):
+    """A resumable run, then the same again: the second run writes nothing and
+    its gold is the first one's."""
+    root = scratch_path(spark, "medallion_resumed")
+    acc = _acc(spark, sf)
+    run_medallion(spark, acc, root, model="baseline", resume=True)
+    out = run_medallion(spark, acc, root, model="baseline", resume=True)
+    gold = mart_counts(out["gold"])
+    return gold.withColumn("stages_run", F.lit(len(out["stages_run"]))) \
+        .withColumn("stages_kept", F.lit(len(out["stages_kept"])))
+
+
+def mart_counts(gold):
+    return _r6(marts.mart_city(gold).select("City", "State", "total_accidents", "avg_severity"))
+
+
 def _published(spark, sf):
     """Every mart and the full copy through the parquet publisher."""
     root, path = scratch_path(spark, "marts"), scratch_path(spark, "gold")
@@ -706,4 +722,5 @@ QUERIES = {
     # whole run
     "medallion_gold": q_medallion_gold,
     "medallion_full": q_medallion_full,
+    "medallion_resumed": q_medallion_resumed,
 }
