@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata import presets as P
+from strata.sources.batches import path_exists
 
 
 HASH_RANGE = 1 << 28  # the first 7 hex digits of an md5
@@ -99,3 +100,26 @@ def row_audit(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation
     """
     obs = Observation(name)
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
+def committed_rows(spark: SparkSession, path: str) -> int:
+    """Rows of the committed parquet files under `path` (0 when there are none),
+    from their footers.  Unlike a counter that runs with the write, this cannot
+    count a task or stage twice that was run again."""
+    if not path_exists(spark, path):
+        return 0
+    return spark.read.schema("none int").parquet(path).agg(F.count(F.lit(1))).first()[0]
+
+
+def audited_write(df: DataFrame, path: str, write=None) -> dict:
+    """Write `df` and audit it: {"observed", "committed", "equal"}.
+
+    `observed` counts rows as they are written, `committed` those in the files;
+    the committed count is the one to report.  They differ when work was run
+    again after a lost executor, and when the write dropped or doubled rows.
+    """
+    counted, obs = row_audit(df)
+    write = write or (lambda frame: frame.write.mode("overwrite").parquet(path))
+    write(counted)
+    observed, committed = obs.get.get("rows", 0), committed_rows(df.sparkSession, path)
+    return {"observed": observed, "committed": committed, "equal": observed == committed}

@@ -465,6 +465,19 @@ def build() -> dict[str, str]:
     o["bronze_incremental"] = _incremental()
     o["bronze_rewrite_idempotent"] = with_ctes(ACC, bz, select=_sizes("bz"))
     o["bronze_stream"] = with_ctes(ACC, bz, select=_sizes("bz"))
+    o["scan_csv_quarantine"] = (
+        "SELECT reason, count(*) AS rows, sum(event_id)::BIGINT AS ids FROM (SELECT event_id, CASE event_id % 10 "
+        "WHEN 3 THEN 'value' WHEN 4 THEN 'fields' WHEN 5 THEN 'fields' WHEN 6 THEN 'fields' ELSE 'good' END AS reason "
+        "FROM events) GROUP BY reason")
+    o["row_audit_committed"] = with_ctes(*SILVER, SJ, select=(
+        "SELECT count(*) AS observed, count(*) AS committed, true AS equal FROM sj"))
+    late = f"{_hash_date(q('ID'))} <> '2025_06_16' OR \"Severity\" < 3"
+    o["marts_incremental"] = with_ctes(
+        *GOLD_CTES, f"kept AS (SELECT * FROM gold WHERE {late})",
+        f"w AS ({_mart(*P.WEATHER_MART).replace('FROM gold', 'FROM kept')})",
+        "s AS (SELECT \"Weather_Condition\" AS c, count(*) AS nb_grave_accidents FROM kept WHERE \"Severity\" = 4 "
+        "GROUP BY 1)",
+        select="SELECT w.*, s.nb_grave_accidents FROM w LEFT JOIN s ON s.c IS NOT DISTINCT FROM w.\"Weather_Condition\"")
     o["bronze_mixed"] = with_ctes(ACC, bz, select=(
         "SELECT *, CASE batch_date WHEN '2025_06_16' THEN 'batch' ELSE 'stream' END AS writer "
         f"FROM ({_sizes('bz')})"))

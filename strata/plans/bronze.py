@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import presets as P
-from strata.operators.ingest import assign_deliveries, row_audit, stamp
-from strata.plans.bronze_table import BATCH_PART, check_layout, read_bronze, settle, write_part
+from strata.operators.ingest import assign_deliveries, committed_rows, stamp
+from strata.plans.bronze_table import BATCH_PART, PART_COLUMN, check_layout, read_bronze, settle, write_part
 from strata.sources.batches import partition_values, snapshot
 from strata.sources.sinks import write_csv, write_partitioned
 
@@ -55,9 +55,8 @@ def land(spark: SparkSession, sources: dict, raw_root: str,
     report = []
     for date in sorted(sources):
         try:
-            df, obs = row_audit(stamp(spark.read.parquet(sources[date]), date, col))
-            write_partitioned(df, raw_root, col)
-            report.append((date, obs.get.get("rows", 0), "landed"))
+            write_partitioned(stamp(spark.read.parquet(sources[date]), date, col), raw_root, col)
+            report.append((date, committed_rows(spark, f"{raw_root.rstrip('/')}/{col}={date}"), "landed"))
         except Exception as exc:  # noqa: BLE001 - per-date isolation is the feature
             log.error("landing %s failed: %s", date, exc)
             report.append((date, None, "failed"))
@@ -92,8 +91,9 @@ def accumulate(spark: SparkSession, raw_root: str, bronze_root: str,
     report row per raw value: ingested / present / late / invalid, with the
     rows written for ingested dates (null for the others).
 
-    Dates come from the two partition listings and rows are counted in the
-    write itself, so a run opens the files of its new dates and no others.
+    Dates come from the two partition listings and rows from the footers of
+    the files that were written, so a run opens the files of its new dates and
+    no others, and a job that was run again counts nothing twice.
     Dates that a stream run began and did not end are ingested anew, whole.
     """
     check_layout(spark, bronze_root, col)
@@ -107,9 +107,9 @@ def accumulate(spark: SparkSession, raw_root: str, bronze_root: str,
         rows = None
         if status == "new":
             batch = spark.read.parquet(f"{raw_root.rstrip('/')}/{col}={d}")
-            df, obs = row_audit(stamp(batch, d, col))
-            write_part(df, bronze_root, BATCH_PART, col)
-            rows, status = obs.get.get("rows", 0), "ingested"
+            write_part(stamp(batch, d, col), bronze_root, BATCH_PART, col)
+            rows = committed_rows(spark, f"{bronze_root.rstrip('/')}/{col}={d}/{PART_COLUMN}={BATCH_PART}")
+            status = "ingested"
         elif status != "present":
             log.warning("raw partition %r not ingested: %s", d, status)
         report.append((d, rows, status))

@@ -21,7 +21,7 @@ from strata.functions import (bool_to_int, clean_wind, convert_all, convert_unit
 from strata.operators import marts
 from strata.operators.columns import drop_tolerant, numeric_columns
 from strata.operators.features import assemble, index_categoricals
-from strata.operators.ingest import (assign_deliveries, repartition_by_key, row_audit,
+from strata.operators.ingest import (assign_deliveries, audited_write, repartition_by_key, row_audit,
                                      split_hash, split_label, split_random, stamp)
 from strata.operators.joins import enrich, join_audit, union_by_name
 from strata.operators.model import (accuracy_frame, load_model, majority_baseline, majority_class,
@@ -29,6 +29,7 @@ from strata.operators.model import (accuracy_frame, load_model, majority_baselin
 from strata.operators.nulls import (dropna_subset, fill_constant, imputation_stats, impute, null_profile,
                                     null_profile_long, schema_report)
 from strata.operators.labels import fit_label_tables, index_by_table
+from strata.operators.partial_marts import PartialMarts
 from strata.operators.serve import build_page_index, page, page_after, preview
 from strata.plans import bronze
 from strata.plans.bronze_table import BATCH_PART, PART_COLUMN, read_bronze
@@ -38,7 +39,7 @@ from strata.plans.silver import (indexer_from_labels, join_view, majority_from_c
                                  prepare, profile, silver_join, silver_ml, silver_wide)
 from strata.session import scratch_path, unique_name
 from strata.sources.batches import latest_listed, listed_dates, snapshot
-from strata.sources.files import read_csv, read_parquet
+from strata.sources.files import load_csv, read_csv, read_parquet
 from strata.sources.sinks import parquet_publisher, save_table, write_csv, write_partitioned
 from strata.streaming import run_bronze_stream
 
@@ -355,6 +356,35 @@ def q_scan_csv_roundtrip(spark, sf):
         F.count_if(F.col("Junction")).alias("junctions")))
 
 
+CHECKED = T.StructType([T.StructField("id", T.LongType()), T.StructField("user", T.LongType()),
+                        T.StructField("value", T.DoubleType()), T.StructField("kind", T.StringType())])
+
+
+def q_scan_csv_quarantine(spark, sf):
+    """Event lines with bad numbers, missing and extra fields and broken quotes:
+    good and rejected rows by reason, with the sum of their ids."""
+    line = F.concat_ws(",", F.col("event_id"), F.col("user_id"), F.lit("1.5"), F.col("event_type"))
+    bad = (F.when(F.col("event_id") % 10 == 3, F.regexp_replace(line, ",1[.]5,", ",notanumber,"))
+           .when(F.col("event_id") % 10 == 4, F.concat_ws(",", "event_id", "user_id"))
+           .when(F.col("event_id") % 10 == 5, F.concat(line, F.lit(",more")))
+           .when(F.col("event_id") % 10 == 6, F.regexp_replace(line, "^([0-9]+),", '$1,"'))
+           .otherwise(line))
+    path = scratch_path(spark, "lines")
+    read_parquet(spark, f"{sf}/events.parquet").select(bad).write.text(path)
+    good, rejected = load_csv(spark, path, scratch_path(spark, "checked"), CHECKED, header=False)
+    ids = F.regexp_extract("record", "^([0-9]+)", 1).cast("long")
+    return good.select(F.lit("good").alias("reason"), "id").unionByName(
+        rejected.select("reason", ids.alias("id"))).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("id").alias("ids"))
+
+
+def q_row_audit_committed(spark, sf):
+    """Rows of a written table by the write's own counter and by the footers."""
+    audit = audited_write(silver_join(_acc(spark, sf)), scratch_path(spark, "audited"))
+    return spark.createDataFrame([(audit["observed"], audit["committed"], audit["equal"])],
+                                 "observed bigint, committed bigint, equal boolean")
+
+
 def q_table_roundtrip(spark, sf):
     name = unique_name("acc_table")
     save_table(_acc(spark, sf), name, path=scratch_path(spark, "table"))
@@ -601,6 +631,23 @@ def q_rf_saved_model(spark, sf):
 
 # ---------------------------------------------------------------- whole run
 
+def q_marts_incremental(spark, sf):
+    """Marts from states: three dates in turn, then the second date replaced by
+    its less severe half."""
+    dated = assign_deliveries(_gold(spark, sf), P.KEY)
+    path = scratch_path(spark, "gold_dated")
+    write_partitioned(dated, path)
+    gold = spark.read.parquet(path)
+    kept = PartialMarts(spark, scratch_path(spark, "mart_states"))
+    for date in BATCH_OF_EVENT:
+        kept.update(gold, [date])
+    kept.update(gold.filter(F.col(P.LABEL) < 3), [SNAPSHOT_DATE])
+    weather = kept.mart("dm_weather_accidents")
+    severe = kept.mart("dm_grave_accidents_weather").select(
+        F.col("Weather_Condition").alias("c"), "nb_grave_accidents")
+    return _r6(weather.join(severe, F.col("Weather_Condition").eqNullSafe(F.col("c")), "left").drop("c"))
+
+
 def q_medallion_gold(spark, sf):
     out = run_medallion(spark, _acc(spark, sf), scratch_path(spark, "medallion"), model="baseline")
     return _r6(out["dm_weather_accidents"])
@@ -695,6 +742,7 @@ QUERIES = {
     "scan_parquet": q_scan_parquet,
     "scan_pushdown": q_scan_pushdown,
     "scan_csv_roundtrip": q_scan_csv_roundtrip,
+    "scan_csv_quarantine": q_scan_csv_quarantine,
     "table_roundtrip": q_table_roundtrip,
     "delivery_counts": q_delivery_counts,
     "batch_dates": q_batch_dates,
@@ -712,6 +760,7 @@ QUERIES = {
     "repartition_by_key": q_repartition_by_key,
     "repartition_exact": q_repartition_exact,
     "row_audit": q_row_audit,
+    "row_audit_committed": q_row_audit_committed,
     # ML
     "majority_baseline": q_majority_baseline,
     "accuracy_metric": q_accuracy_metric,
@@ -720,6 +769,7 @@ QUERIES = {
     "rf_predict": q_rf_predict,
     "rf_saved_model": q_rf_saved_model,
     # whole run
+    "marts_incremental": q_marts_incremental,
     "medallion_gold": q_medallion_gold,
     "medallion_full": q_medallion_full,
     "medallion_resumed": q_medallion_resumed,
