@@ -35,7 +35,6 @@ NEAR_WORDS = 10             # shorter lines have equal duplicates only
 BROADCAST_LINES = 1_000_000  # line numbers, hashes or keys that may be broadcast
 
 _H = tb.odd_constants(4, 0x6E)
-_LINE_BASE = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _line_words(t: tb.Texts, min_words: int):
@@ -49,23 +48,48 @@ def _line_words(t: tb.Texts, min_words: int):
     return text[ok], number[ok], a[ok], b[ok]
 
 
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = (np.uint64(0x2545F491), np.uint64(0x5BD1E995))  # below the prime
+
+
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    """The powers 0 .. n of a base modulo the prime, by doubling."""
+    out, step = np.ones(1, np.uint64), base
+    while len(out) <= n:
+        out = np.concatenate((out, out * step % _PRIME))
+        step = step * step % _PRIME
+    return out[:n + 1]
+
+
 class _Spans:
-    """Hashes of word ranges, as differences of a running polynomial."""
+    """Hashes of word ranges, as differences of running polynomials: two, over
+    the two halves of the words' hashes, modulo a prime (modulo a power of two,
+    regular sequences of words would get equal values)."""
 
     def __init__(self, words: np.ndarray) -> None:
-        n = len(words)
-        inverse = np.uint64(pow(int(_LINE_BASE), -1, 1 << 64))
-        self.up = np.full(n + 1, _LINE_BASE)
-        self.down = np.full(n + 1, inverse)
-        self.up[0] = self.down[0] = 1
-        self.up, self.down = np.multiply.accumulate(self.up), np.multiply.accumulate(self.down)
-        self.run = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * self.up[:n])))
-
-    def raw(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return (self.run[b] - self.run[a]) * self.down[a]
+        n, self._sides = len(words), []
+        for half, base in zip((words >> np.uint64(32), words & np.uint64(0xFFFFFFFF)), _BASES):
+            up = _powers(base, n)
+            down = _powers(np.uint64(pow(int(base), -1, int(_PRIME))), n)
+            run = np.concatenate((np.zeros(1, np.uint64), np.cumsum((half + np.uint64(1)) % _PRIME * up[:n] % _PRIME)))
+            self._sides.append((up, down, run))
+
+    def raw(self, a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
+        return [(run[b] - run[a]) % _PRIME * down[a] % _PRIME for _, down, run in self._sides]
+
+    def without(self, a: np.ndarray, at: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Hash of the words from a to b but for the one at `at`."""
+        # words before the gap, then those after it moved down by one place
+        sides = [(x + y * up[at - a]) % _PRIME for x, y, (up, _, _) in zip(
+            self.raw(a, at), self.raw(at + 1, b), self._sides)]
+        return self._mixed(sides, b - a - 1)
 
     def hash(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return tb.mix(self.raw(a, b) ^ tb.mix((b - a).astype(np.uint64) * _H[0]))
+        return self._mixed(self.raw(a, b), b - a)
+
+    @staticmethod
+    def _mixed(sides: list[np.ndarray], n: np.ndarray) -> np.ndarray:
+        return tb.mix((sides[0] << np.uint64(32) | sides[1]) ^ tb.mix(n.astype(np.uint64) * _H[0]))
 
 
 def _end_keys(spans: _Spans, a: np.ndarray, b: np.ndarray, k: np.ndarray) -> list[np.ndarray]:
@@ -100,7 +124,7 @@ def _line_rows(near_words: int, min_words: int):
                 take = pa.array(text + i)
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(take), marks.take(take), pa.array(number, pa.int32()),
-                     pa.array(tb.as_long(spans.hash(a, b)), pa.int64()),
+                     pa.array(tb.as_long(tb.hash_runs(t.words, a, b)), pa.int64()),
                      tb.list_array(tb.as_long(keys[order]), offsets, pa.int64())],
                     names=["id", "mark", "line", "h", "ends"])
     return run
@@ -114,7 +138,7 @@ def _word_rows(near_words: int):
                 _, _, a, b = _line_words(t, near_words)
                 if not len(a):
                     continue
-                h = _Spans(t.words).hash(a, b)
+                h = tb.hash_runs(t.words, a, b)
                 at = np.concatenate([np.arange(x, y) for x, y in zip(a.tolist(), b.tolist())])
                 offsets = np.concatenate(([0], np.cumsum(b - a)))
                 yield pa.RecordBatch.from_arrays(
@@ -137,9 +161,7 @@ def _variants(batches):
         line = np.repeat(np.arange(len(n)), n)
         at = np.arange(len(words))
         a, b = off[:-1][line], off[1:][line]
-        # words before the gap, then those after it moved down by one place
-        joined = spans.raw(a, at) + spans.raw(at + 1, b) * spans.up[at - a]
-        gone = tb.mix(joined ^ tb.mix((b - a - 1).astype(np.uint64) * _H[0]))
+        gone = spans.without(a, at, b)
         full = spans.hash(off[:-1], off[1:])
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate((rank, rank[line])), pa.int64()),

@@ -1,8 +1,9 @@
 """Vectorised words, lines and shingles of an Arrow string column.
 
 Text stays in the Arrow buffer as UTF-8 bytes.  Word hashes are differences of
-a running polynomial over the bytes (odd base, modulo 2^64, then mixed), so a
-batch needs a few numpy passes and no Python object per word.  Work goes in
+a running polynomial over the bytes (odd base, modulo 2^64, then mixed; long
+spans by blocks), so a batch needs a few numpy passes and no Python object per
+word.  Work goes in
 slices of about a quarter of a megabyte; a longer text is a slice of its own.
 """
 
@@ -17,6 +18,7 @@ U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15)
 _SLICE = 1 << 18
 _CHUNK = 1 << 20
+_BLOCK = 64
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -54,7 +56,39 @@ _POWERS = _Powers()
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span; spans ascend and do not overlap."""
+    """64-bit hash of each byte span; spans ascend and do not overlap.
+
+    A polynomial modulo 2^64 tells short spans apart, but gives long regular ones
+    (a Thue-Morse sequence and its complement) the same value for any base.  So
+    longer spans are hashed by blocks, and the blocks' hashes are mixed with
+    their place before they are added up."""
+    blocks = np.maximum(-(-(ends - starts) // _BLOCK), 1)
+    if not len(starts) or blocks.max() == 1:
+        return _polynomials(data, starts, ends)
+    first = np.concatenate(([0], np.cumsum(blocks)))
+    place = np.arange(first[-1]) - np.repeat(first[:-1], blocks)
+    begin = np.repeat(starts, blocks) + _BLOCK * place
+    parts = _polynomials(data, begin, np.minimum(begin + _BLOCK, np.repeat(ends, blocks)))
+    return np.where(blocks == 1, parts[first[:-1]], _placed_sums(parts, place, first))
+
+
+def hash_runs(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each run of values (hashes, none empty); runs ascend and do
+    not overlap.  Every value is mixed with its place in the run."""
+    n = ends - starts
+    first = np.concatenate(([0], np.cumsum(n)))
+    place = np.arange(first[-1]) - np.repeat(first[:-1], n)
+    return _placed_sums(values[np.repeat(starts, n) + place], place, first)
+
+
+def _placed_sums(values: np.ndarray, place: np.ndarray, first: np.ndarray) -> np.ndarray:
+    if not len(values):
+        return np.empty(0, dtype=U)
+    mixed = mix(values + (place.astype(U) + U(1)) * _BASE)
+    return mix(np.add.reduceat(mixed, first[:-1]) ^ np.diff(first).astype(U))
+
+
+def _polynomials(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     out = np.empty(len(starts), dtype=U)
     i = 0
     while i < len(starts):

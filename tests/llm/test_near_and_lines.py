@@ -122,11 +122,12 @@ def test_lines_equal_brute_force(spark, lines):
 
 def test_repeated_rows_keep_the_same_lines(spark):
     text = "one line of several words\none line of several words"
-    got = line_dedup.line_dedup(H.docs(spark, [(1, text), (1, text), (1, "one line of several words"), (None, "x y z w q")]))
-    assert sorted(str(r.text) for r in got.collect() if r.doc_id == 1).count("one line of several words") >= 1
-    assert [r.text for r in got.collect() if r.doc_id is None] == ["x y z w q"]
-    same = [r.text for r in got.collect() if r.doc_id == 1 and r.n_lines_removed >= 1 and "\n" not in r.text]
-    assert same.count(same[0]) >= 2 if same else True
+    other = "one line of several words"
+    got = line_dedup.line_dedup(H.docs(spark, [(1, text), (1, text), (1, other), (None, "x y z w q")])).collect()
+    # of the two texts with one id the line stays in one, and both copies of a text end alike
+    mine = sorted(r.text for r in got if r.doc_id == 1)
+    assert mine in (["", "", other], ["", other, other])
+    assert [r.text for r in got if r.doc_id is None] == ["x y z w q"]
 
 
 def test_one_variant_shared_by_many_lines(spark):
