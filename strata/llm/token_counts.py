@@ -58,7 +58,7 @@ class Counter:
         out, batch, size = [], [], 0
         for t in texts:
             batch.append(t)
-            size += len(t)
+            size += len(t.encode())
             if size >= BATCH_BYTES:
                 out += self._encode(batch)
                 batch, size = [], 0
