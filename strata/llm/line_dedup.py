@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from strata.llm import textbatch as tb
 from strata.llm.common import bounded_batches, broadcast_if_small, materialize, own
 
-MIN_WORDS = 4               # shorter lines are left alone
+MIN_WORDS = 1               # lines without a word are left alone
 NEAR_WORDS = 10             # shorter lines have equal duplicates only
 BROADCAST_LINES = 1_000_000  # line numbers, hashes or keys that may be broadcast
 

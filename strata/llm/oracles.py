@@ -128,7 +128,7 @@ WITH l AS (
 ), w AS (
   SELECT *, regexp_extract_all(s, '[^\x20\x09-\x0D]+') AS w FROM l
 ), e AS (
-  SELECT *, CASE WHEN len(w) >= 4 THEN array_to_string(w, ' ') END AS k, doc_id * 1000000 + line AS rank FROM w
+  SELECT *, CASE WHEN len(w) >= 1 THEN array_to_string(w, ' ') END AS k, doc_id * 1000000 + line AS rank FROM w
 ), f AS (
   SELECT k, min(rank) AS rank, any_value(w) AS w FROM e WHERE k IS NOT NULL GROUP BY k
 ), v AS (

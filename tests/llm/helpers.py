@@ -96,7 +96,7 @@ def within_one(x, y):
     return x[k + 1:] == y[k + 1:] if len(x) == len(y) else x[k:] == y[k + 1:]
 
 
-def dedup_lines(rows, min_words=4, near_words=10):
+def dedup_lines(rows, min_words=1, near_words=10):
     """{doc_id: text} with duplicate lines cut (distinct ids)."""
     first = {}
     for i, t in sorted(rows, key=lambda r: r[0]):
