@@ -120,12 +120,18 @@ def _narrow(df: DataFrame, search: dict[str, tuple]) -> dict[str, tuple]:
     bucketizer = Bucketizer(
         inputCols=[f"v{k}" for k in range(len(columns))], outputCols=[f"b{k}" for k in range(len(columns))],
         splitsArray=[_splits(low, high) for _, low, high in search.values()], handleInvalid="keep")
-    cells = [F.when(F.col(f"v{k}").isNotNull(), F.struct(
-        F.lit(k).alias("c"), F.col(f"b{k}").cast("int").alias("b"), F.col(f"v{k}").alias("v")))
-        for k in range(len(columns))]
+    keys = [f"b{k}" for k in range(len(columns))]
+    # one grouping set a column; a set's grouping id has a zero bit at its own key
+    own = [F.col("g") == (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - k)) for k in range(len(keys))]
+    pick = lambda names: F.coalesce(*[F.when(o, F.col(n)) for o, n in zip(own, names)])
+    ends = [f(f"v{k}").alias(f"{n}{k}") for k in range(len(keys)) for n, f in (("low", F.min), ("high", F.max))]
     counts = (bucketizer.transform(df.select(*values))
-              .select(F.inline(F.array_compact(F.array(*cells))))
-              .groupBy("c", "b").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")))
+              .groupingSets([[F.col(k)] for k in keys], *[F.col(k) for k in keys])
+              .agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("g"), *ends)
+              .select(F.coalesce(*[F.when(o, F.lit(k)) for k, o in enumerate(own)]).alias("c"), pick(keys).alias("b"),
+                      "n", pick([f"low{k}" for k in range(len(keys))]).alias("low"),
+                      pick([f"high{k}" for k in range(len(keys))]).alias("high"))
+              .filter(F.col("low").isNotNull()))  # the group without values is no bucket
     upto = F.sum("n").over(Window.partitionBy("c").orderBy("b"))
     rank = F.element_at(F.array(*[F.lit(rank).cast("long") for rank, _, _ in search.values()]), F.col("c") + 1)
     rows = (counts.withColumn("before", upto - F.col("n")).withColumn("rank", rank - F.col("before"))
