@@ -20,7 +20,8 @@ from __future__ import annotations
 import html as htmllib
 import math
 import re
-from collections import deque
+from bisect import bisect_right
+from collections import Counter, deque
 
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
@@ -40,18 +41,25 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 LEAF = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote figcaption".split())
 CLOSES_ITSELF = frozenset("li dt dd tr td th option".split())
 
-# Fixed log odds of a name: of an element, or a word of its class, id or role.
+# Fixed log odds of an element, and words of a class, id or role (see `_bonus`).
 ELEMENT = {"article": 5.0, "main": 4.0, "nav": -7.0, "footer": -7.0, "aside": -6.0, "header": -4.0,
            "form": -7.0, "menu": -6.0, "dialog": -6.0, "fieldset": -5.0, "address": -2.0}
-WORD = dict(
-    [(w, 4.0) for w in "article content main post entry story body text prose".split()]
-    + [(w, -6.0) for w in ("nav navbar navigation menu breadcrumb breadcrumbs footer sidebar aside ad ads advert "
-                           "adverts advertisement advertising promo promotion sponsor sponsored cookie cookies "
-                           "consent gdpr notice notices alert banner popup modal overlay comment comments respond "
-                           "reply replies disqus share sharing social related recommended recommendations "
-                           "subscribe subscription newsletter signup login register search form pagination pager "
-                           "toolbar copyright legal masthead topbar skip widget tags").split()]
-    + [("header", -4.0), ("hidden", -3.0), ("complementary", -6.0), ("contentinfo", -6.0)])
+GOOD_WORDS = frozenset("article content main post entry story body text prose".split())
+# What names a place beside the article.
+BAD_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs footer sidebar aside ad ads advert "
+                      "adverts advertisement advertising promo promotion sponsor sponsored cookie cookies "
+                      "consent gdpr notice notices banner popup modal comment comments commentlist respond "
+                      "reply replies disqus thread threads related recommended recommendations subscribe "
+                      "subscription newsletter signup pagination pager toolbar copyright masthead topbar "
+                      "complementary contentinfo".split())
+# What names a small tool, and often only decorates the name of something else.
+TOOL_WORDS = frozenset("alert overlay share sharing social login register search form legal skip widget "
+                       "tags".split())
+# A word that takes the next one back, beginnings that say nothing of the
+# element itself (layout switches, topics of a post), an end that does so.
+WITHOUT = frozenset("has no not with without hide show".split())
+TOPICS = frozenset("is js tag category cat".split())
+GOOD, BAD, MIXED, HEADER = 4.0, -6.0, -1.0, -4.0
 # Classifier weights (bias, then the features of `describe`) before training,
 # and how far the trained ones may go: a sample whose boilerplate is all of one
 # kind must not outweigh the names.
@@ -65,11 +73,13 @@ _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>
                       |<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*'|["'])*+)>""", re.S | re.X)
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _HIDDEN = re.compile(r"(?i)(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*.?true|display\s*:\s*none")
+_START = re.compile(r"</?[A-Za-z]")
+_QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 _SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class _Node:
-    __slots__ = ("name", "parent", "depth", "bonus", "good", "bad")
+    __slots__ = ("name", "parent", "depth", "bonus", "good", "bad", "told")
 
     def __init__(self, name: str, parent: "_Node | None", own: float) -> None:
         self.name, self.parent, self.bonus = name, parent, own
@@ -77,34 +87,85 @@ class _Node:
         # the best and worst that stands around the block, nearest first
         self.good = max(own, parent.good if parent else 0.0, 0.0)
         self.bad = min(own, parent.bad if parent else 0.0, 0.0)
+        # the nearest telling element counts in full, outer ones less
+        self.told = parent.told if parent else 0.0
+        if own:
+            self.told = own * INNER + (parent.bad * OUTER_BAD + parent.good * OUTER_GOOD if parent else 0.0)
 
     def odds(self) -> float:
-        """The nearest telling element counts in full, outer ones less."""
-        node = self
-        while node is not None and node.bonus == 0:
-            node = node.parent
-        if node is None:
-            return 0.0
-        outer = node.parent
-        if outer is None:
-            return node.bonus * INNER
-        return node.bonus * INNER + outer.bad * OUTER_BAD + outer.good * OUTER_GOOD
+        return self.told
+
+
+def _name_kind(name: str) -> str:
+    """What one class, id or role says: "good", "bad", "tool", "header" or "".
+
+    "story--no-comments" is a story, "with-sidebar" and "ad-free" say nothing,
+    "post-comments" are comments, "widget-content" is content and
+    "content-search" a tool: a place beside the article rules wherever it
+    stands, between content and tools the last word does.
+    """
+    words = [w.lower() for w in _SPLIT.findall(name.split("--")[0])]
+    if not words or (len(words) > 1 and (words[0] in TOPICS or words[-1] == "free")):
+        return ""
+    kept = [w for i, w in enumerate(words) if w not in WITHOUT and (i == 0 or words[i - 1] not in WITHOUT)]
+    if any(w in BAD_WORDS for w in kept):
+        return "bad"
+    telling = [w for w in kept if w in GOOD_WORDS or w in TOOL_WORDS]
+    if telling and telling[-1] in TOOL_WORDS:
+        return "tool"
+    if "header" in kept:
+        return "" if telling else "header"  # "article-header" names a part of the article
+    return "good" if telling else "bad" if "hidden" in kept else ""
 
 
 def _bonus(name: str, attrs: str) -> float:
+    """Log odds of an element by its own name and its class, id and role: all
+    names are weighed together, none decides against all others."""
     own = ELEMENT.get(name, 0.0)
     if not attrs or name in ("html", "body"):
         return own
-    words = set()
-    for m in _ATTR.finditer(attrs):
-        words.update(w.lower() for w in _SPLIT.findall(m[2] or m[3] or m[4] or ""))
-    found = [WORD[w] for w in words if w in WORD]
+    said = {_name_kind(x) for m in _ATTR.finditer(attrs) for x in (m[2] or m[3] or m[4] or "").split()}
     if _HIDDEN.search(attrs):
-        found.append(-6.0)
-    worst, best = min(found, default=0.0), max(found, default=0.0)
-    # "article-header" names a part of the article, "post-comments" does not
-    said = 0.0 if worst == -4.0 and best > 0 else worst if worst < 0 else best
-    return said if abs(said) > abs(own) or said < 0 else own
+        return min(own, BAD)
+    good = "good" in said
+    if own <= HEADER:
+        return min(own, BAD) if "bad" in said else 0.0 if name == "header" and good else own
+    if "bad" in said:
+        return (MIXED if own >= GOOD else BAD + GOOD / 2) if good else BAD
+    if "tool" in said:
+        return max(own, GOOD) - 2.0 if good or own >= GOOD else BAD
+    if good:
+        return max(own, GOOD)
+    return HEADER if "header" in said and own < GOOD else own
+
+
+class _Tags:
+    """Tags of a page in order, in linear time: a start that no ">" ends is
+    scanned once for all starts that the same quotes leave outside."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last, self.open = page, page.rfind(">"), []
+
+    def search(self, at: int) -> "re.Match | None":
+        page = self.page
+        while (at := page.find("<", at)) >= 0:
+            special = page.startswith(("<!--", "<![CDATA["), at)
+            if special or (at < self.last and not any(self._outside(x, at) for x in self.open)):
+                m = _TAG.match(page, at)
+                if m:
+                    return m
+                if _START.match(page, at):
+                    quoted = [q.span() for q in _QUOTED.finditer(page, at)]
+                    self.open.append((at, [a for a, _ in quoted], [b for _, b in quoted]))
+            at += 1
+        return None
+
+    @staticmethod
+    def _outside(scan: tuple, at: int) -> bool:
+        """Whether a failed scan passed this place outside its quotes."""
+        first, starts, ends = scan
+        k = bisect_right(starts, at) - 1
+        return at > first and (k < 0 or at >= ends[k])
 
 
 def blocks(page: str):
@@ -112,7 +173,19 @@ def blocks(page: str):
     root = _Node("", None, 0.0)
     stack, out = [root], []
     parts, linked, in_link, heading = [], 0, 0, False
-    endless: set[str] = set()  # skipped elements that no end tag follows any more
+    tags = _Tags(page)
+    opened: Counter = Counter()  # names on the stack
+    ahead: dict[str, re.Match | None] = {}  # the next match of a pattern, None: no more
+
+    def following(pattern: str):
+        m = ahead.get(pattern, "new")
+        if m == "new" or (m is not None and m.start() < at):
+            m = ahead[pattern] = re.compile(pattern, re.I).search(page, at, tags.last + 1)
+        return m
+
+    def pop_from(k: int):
+        opened.subtract(x.name for x in stack[k:])
+        del stack[k:]
 
     def flush():
         nonlocal parts, linked
@@ -124,7 +197,7 @@ def blocks(page: str):
 
     at, n = 0, len(page)
     while at < n:
-        m = _TAG.search(page, at)
+        m = tags.search(at)
         end = m.start() if m else n
         if end > at:
             parts.append(page[at:end])
@@ -147,11 +220,11 @@ def blocks(page: str):
             else:
                 flush()
                 heading = False
-                if name not in LEAF:
-                    for k in range(len(stack) - 1, 0, -1):
-                        if stack[k].name == name:
-                            del stack[k:]
-                            break
+                if name not in LEAF and opened[name]:
+                    k = len(stack) - 1
+                    while stack[k].name != name:
+                        k -= 1
+                    pop_from(k)
             continue
         if name == "br":
             parts.append(" ")
@@ -162,17 +235,14 @@ def blocks(page: str):
         elif name in SKIPPED:
             flush()
             if not m[3].endswith("/"):
-                close = None if name in endless else \
-                    re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-                body = re.compile(r"<body\b", re.I).search(page, at) if name == "head" else None
+                close = following(rf"</{re.escape(name)}\b[^>]*>")
+                body = following(r"<body\b") if name == "head" else None
                 if close and (body is None or close.end() <= body.start()):
                     at = close.end()
                 elif body:
                     at = body.start()
-                else:
-                    endless.add(name)
-                    if name in ("script", "style", "textarea", "title"):
-                        at = n
+                elif name in ("script", "style", "textarea", "title"):
+                    at = n
         else:
             flush()
             in_link = 0
@@ -182,28 +252,29 @@ def blocks(page: str):
                 if own:
                     # a telling paragraph: its own node until the next block
                     out_len = len(out)
-                    at = _leaf(page, at, name, own, stack, out, heading)
+                    at = _leaf(page, tags, at, name, own, stack, out, heading)
                     if len(out) > out_len:
                         heading = False
                 continue
             if name in VOID:
                 continue
             if name in CLOSES_ITSELF and stack[-1].name == name:
-                stack.pop()
+                pop_from(len(stack) - 1)
             if not m[3].endswith("/"):
                 own = _bonus(name, m[3])
                 if name == "header" and own == ELEMENT["header"] and stack[-1].good >= ELEMENT["main"]:
                     own = 0.0  # an article's own header holds its title
                 stack.append(_Node(name, stack[-1], own))
+                opened[name] += 1
     flush()
     return out
 
 
-def _leaf(page: str, at: int, name: str, own: float, stack: list, out: list, heading: bool) -> int:
+def _leaf(page: str, tags: _Tags, at: int, name: str, own: float, stack: list, out: list, heading: bool) -> int:
     """Text of a paragraph that has a telling class, up to the next block tag."""
     parts = []
     while True:
-        m = _TAG.search(page, at)
+        m = tags.search(at)
         parts.append(page[at:m.start() if m else len(page)])
         if not m:
             at = len(page)
@@ -314,25 +385,37 @@ def _max_flow(nodes: list[int], score: list[float], near: list[dict[int, float]]
             room[i][t] = -score[i]
             room[t][i] = 0.0
     while True:
-        came = {s: s}
-        todo = deque([s])
-        while todo and t not in came:
+        # levels by breadth-first search; a page takes few rounds
+        level, todo = {s: 0}, deque([s])
+        while todo:
             i = todo.popleft()
             for j, r in room[i].items():
-                if r > 1e-12 and j not in came:
-                    came[j] = i
+                if r > 1e-12 and j not in level:
+                    level[j] = level[i] + 1
                     todo.append(j)
-        if t not in came:
-            return set(came) - {s}
-        push, j = math.inf, t
-        while j != s:
-            push, j = min(push, room[came[j]][j]), came[j]
-        j = t
-        while j != s:
-            i = came[j]
-            room[i][j] -= push
-            room[j][i] = room[j].get(i, 0.0) + push
-            j = i
+        if t not in level:
+            return set(level) - {s}
+        left = {i: iter(list(room[i])) for i in level}  # neighbours not yet given up in this round
+        path = [s]
+        while path:
+            i = path[-1]
+            if i == t:
+                push = min(room[a][b] for a, b in zip(path, path[1:]))
+                full = None
+                for k, (a, b) in enumerate(zip(path, path[1:])):
+                    room[a][b] -= push
+                    room[b][a] = room[b].get(a, 0.0) + push
+                    if full is None and room[a][b] <= 1e-12:
+                        full = k
+                # from the first full edge's start on, its next neighbours are tried
+                del path[full + 1:]
+                continue
+            for j in left[i]:
+                if room[i][j] > 1e-12 and level.get(j) == level[i] + 1:
+                    path.append(j)
+                    break
+            else:
+                path.pop()
 
 
 def main_text(page: str, weights: tuple = UNTRAINED) -> str:

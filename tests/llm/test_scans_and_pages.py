@@ -136,6 +136,48 @@ def test_every_page_of_the_table(spark):
         assert got[r.page_id] == "\n".join(x for x in parts if x)
 
 
+TEXT = "<p>First long paragraph of the text, with words in it.</p><p>Another paragraph that tells more of it.</p>"
+BESIDE = '<div class="sidebar"><p>Latest stories you may like to read today.</p></div>'
+COMMENT = "<p>Great article, thank you for it, really!</p>"
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="content with-sidebar">%s</div>', '<main class="has-sidebar">%s</main>',
+    '<article class="post tag-share social">%s</article>', '<div id="main-content" class="widget-content">%s</div>',
+    '<div class="story--no-comments">%s</div>', '<div class="ad-free article">%s</div>',
+    '<article class="post category-newsletter">%s</article>',
+    '<article>%s</article><div class="c-thread">' + COMMENT + "</div>",
+    '<article>%s</article><article class="comment">' + COMMENT + "</article>",
+    '<article>%s</article><div class="post-comments">' + COMMENT + "</div>",
+    '<article>%s<div class="comment-body">' + COMMENT + "</div></article>",
+])
+def test_compound_names(page):
+    got = html_extract.main_text("<body><nav><a href=x>Home</a></nav>" + page % TEXT + BESIDE + "</body>")
+    assert got == "First long paragraph of the text, with words in it.\nAnother paragraph that tells more of it."
+
+
+@pytest.mark.parametrize("page", [
+    "<div>x" * 40000, "<a " * 200000, "<div>" * 40000 + "</p></x></section>x" * 40000, "<a " * 40000 + '">"',
+    "<svg><script></script" * 20000, "<!x" * 200000, "<p>Some words here and.</p><p><a>link</a> and x</p>" * 8000])
+def test_long_odd_pages_take_linear_time(page):
+    import time
+    began = time.process_time()
+    html_extract.main_text(page)
+    assert time.process_time() - began < 30
+
+
+def test_empty_tables_and_repeated_rows(spark):
+    pages = spark.createDataFrame([(1, "u", PAGE)] * 3, "page_id long, url string, html string")
+    assert len({r.text for r in html_extract.extract_pages(pages).collect()}) == 1
+    assert html_extract.extract_pages(pages).count() == 3
+    assert html_extract.extract_pages(pages.limit(0)).count() == 0
+    docs = H.docs(spark, [(1, "token=abcdefgh1 +1 614 555 8001")] * 3)
+    for find in (secret_scan.scan_secrets, pii.find_personal_data):
+        rows = find(docs).collect()
+        assert len(rows) == 3 and len(set(rows)) == 1
+        assert find(H.docs(spark, [])).count() == 0
+
+
 def cut_value(scores, links, labels):
     return sum(abs(s) for s, k in zip(scores, labels) if (s > 0) != k) + sum(w for i, j, w in links if labels[i] != labels[j])
 
