@@ -4,8 +4,8 @@ Texts that hold an assignment sign are lexed into names, literals and
 operators of common source and configuration syntax (`name = "x"`, `name: x`,
 `"name": "x"`, `export NAME=x`, `--name=x`, `d["name"] = "x"`, `name="x"` in
 tags).  Literals joined by `+` or standing side by side form one value.  A
-name that is assigned another name takes the literals that one was given, so
-sensitivity flows along chains of constants.  A literal's score adds the
+name that is assigned another name takes the literals that one was given,
+before or after, so sensitivity flows along chains of constants.  A literal's score adds the
 weight of the most sensitive name that reaches it to its own look (length,
 variety, character classes), less what placeholders show; from `THRESHOLD` on
 it is a finding of kind `literal`.
@@ -18,6 +18,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -50,15 +52,19 @@ _PLACEHOLDER = re.compile(r"(?i)^(x+|\*+|\.+|change_?me|your.*|example.*|dummy|t
                           r"placeholder|<.*>|\$\{.*\}|\$\(.*\)|\{\{.*\}\}|%\(.*\)s|\$[a-z_]\w*)$")
 
 _LEX = re.compile(r"""
-    (?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)
+    (?P<quote>["'`])
   | (?P<name>-{0,2}[A-Za-z_][A-Za-z0-9_]*(?:[.-][A-Za-z_][A-Za-z0-9_]*)*)
   | (?P<op>:=|=>|->|==|!=|<=|>=|[=:+\[\](){},;<>])
   | (?P<line>\n)
   | (?P<other>[^\s"'`A-Za-z_=:+\[\](){},;<>\n]+)
 """, re.VERBOSE)
+_CLOSED = {'"': re.compile(r'"(?:[^"\\\n]|\\.)*+"'), "'": re.compile(r"'(?:[^'\\\n]|\\.)*+'"),
+           "`": re.compile(r"`[^`\n]*+`")}
 _BARE = re.compile(r"[^\s\"'`,;(){}\[\]<>]+")
+_NEXT_PAIR = re.compile(r"[=&]")
+_IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*")
+_PREFIX = re.compile(r"(?i)(?<![A-Za-z0-9_])[bfru]{1,2}\Z")
 _QUOTED_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*\Z")
-MAX_NAME = 128  # longest quoted text that may be a key
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -69,54 +75,103 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 # ------------------------------------------------------------------ lexing
 
+def _tokens(text: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) of all tokens.  A quote opens a string unless it
+    follows a word (as in "don't") that is no string prefix; one that does not
+    close on its line is skipped, and so are the later ones of its kind there
+    (each is escaped, so none of them closes either)."""
+    out, at, closed_off = [], 0, {}
+    while m := _LEX.search(text, at):
+        kind, a, at = m.lastgroup, m.start(), m.end()
+        if kind == "quote":
+            q = text[a]
+            if a < closed_off.get(q, 0) or (q != "`" and a and (text[a - 1].isalnum() or text[a - 1] == "_")
+                                            and not _PREFIX.search(text, max(0, a - 3), a)):
+                continue
+            m = _CLOSED[q].match(text, a)
+            if not m:
+                end = text.find("\n", a)
+                closed_off[q] = end if end >= 0 else len(text)
+                continue
+            kind, at = "string", m.end()
+        out.append((kind, a, at))
+    return out
+
+
 def assignments(text: str):
-    """(name, value) pairs in order; a value is ("lit", [(start, end), ...]) or
-    ("ref", name)."""
-    toks = [(m.lastgroup, m.start(), m.end()) for m in _LEX.finditer(text)]
-    n, k = len(toks), 0
-    while k < n:
-        kind, a, b = toks[k]
+    """(name, value) pairs in order; a value is ("lit", [(start, end), ...]),
+    ("ref", name, (start, end)) or ("word", name, (start, end)): a word where a
+    configuration file has its values, a literal if no such name is known."""
+    toks = _tokens(text)
+    n, run, taken = len(toks), (0, 0), 0
+    for k, (kind, a, b) in enumerate(toks):
         name = None
         if kind == "name":
             name = text[a:b].lstrip("-")
-        elif kind == "string" and b - a - 2 <= MAX_NAME and _QUOTED_NAME.match(text, a + 1, b - 1):
+        elif kind == "string" and _QUOTED_NAME.match(text, a + 1, b - 1):
             name = text[a + 1:b - 1]
         j = k + 1
         if name and j < n and toks[j][0] == "op" and text[toks[j][1]] == "]":
             j += 1  # d["name"] = ...
         if not name or j >= n or toks[j][0] != "op" or text[toks[j][1]:toks[j][2]] not in ("=", ":", ":=", "=>"):
-            k += 1
             continue
-        yield from _value(text, toks, j, name)
-        k = j + 1
+        sign, after = toks[j], toks[j + 1] if j + 1 < n else ("line", 0, 0)
+        prefixed = (after[0] == "name" and j + 2 < n and toks[j + 2][0] == "string"
+                    and toks[j + 2][1] == after[2])  # r"..."
+        if prefixed or after[0] not in ("name", "other"):
+            value = _strings(text, toks, j + 1 + prefixed)
+            if value:
+                yield name, ("lit", value)
+            continue
+        start = after[1]
+        if start >= run[1]:  # a run of value characters has one end, wherever it is entered
+            m = _BARE.match(text, start)
+            run = (start, m.end()) if m else (start, start)
+        end = run[1]
+        if start < taken:
+            # within another value: pairs of a query string, not "host:port"
+            if text[sign[1]:sign[2]] == ":":
+                continue
+            m = _NEXT_PAIR.search(text, start, end)
+            end = m.start() if m else end
+        else:
+            taken = end
+        while end > start and text[end - 1] in ".:":
+            end -= 1
+        if end == start:
+            continue
+        m = _IDENTIFIER.match(text, start, end) if after[0] == "name" else None
+        if not m or m.end() < end or _mixed(text[start:end]):
+            yield name, ("lit", [(start, end)])
+        else:
+            yield name, ("word" if _is_value(text, a, sign, start, end) else "ref", text[start:end], (start, end))
 
 
-def _value(text: str, toks: list, j: int, name: str):
-    sign = toks[j]
-    parts, ref, k = [], None, j + 1
+def _strings(text: str, toks: list, k: int) -> list[tuple[int, int]]:
+    """The strings from token k on that stand side by side or are joined by +."""
+    parts = []
     while k < len(toks):
         kind, a, b = toks[k]
         if kind == "string":
             if b - a > 2:
                 parts.append((a + 1, b - 1))
-        elif kind == "op" and text[a:b] == "+" and (parts or ref):
-            pass
-        elif not parts and ref is None and kind in ("name", "other") and k == j + 1:
-            m = _BARE.match(text, a)
-            if m and "\n" not in text[sign[2]:a]:
-                word = m[0].rstrip(".:")
-                if kind == "name" and re.fullmatch(r"[A-Za-z_][A-Za-z0-9_.]*", word) and not _mixed(word):
-                    ref = word
-                else:
-                    parts.append((a, a + len(word)))
-            break
-        else:
+        elif not (kind == "op" and parts and text[a:b] == "+"):
             break
         k += 1
-    if parts:
-        yield name, ("lit", parts)
-    elif ref:
-        yield name, ("ref", ref)
+    return parts
+
+
+def _is_value(text: str, name_at: int, sign: tuple, start: int, end: int) -> bool:
+    """Whether a bare word stands as `name=word` before a blank, or as
+    `name: word` alone on its line, and is no name by its form."""
+    word = text[start:end]
+    if "_" in word or "." in word or name_weight(word) or not (end == len(text) or text[end] in " \t\r\n&;"):
+        return False
+    if text[sign[1]:sign[2]] == "=":
+        return sign[2] == start and not text[sign[1] - 1].isspace()
+    before, after = text[max(0, name_at - 64):name_at], text[end:end + 64]
+    return (text[sign[1]:sign[2]] == ":" and before[before.rfind("\n") + 1:].strip(" \t-") == ""
+            and after.split("\n", 1)[0].strip() == "")
 
 
 def _mixed(word: str) -> bool:
@@ -149,23 +204,46 @@ def look(value: str) -> float:
 
 
 def literal_spans(text: str) -> list[tuple[str, int, int]]:
-    """Literals whose score reaches the threshold."""
-    given: dict[str, list] = {}     # literals that reach a name, by its last part
-    best: dict[tuple[int, int], float] = {}
-    for name, (kind, value) in assignments(text):
+    """Literals whose score reaches the threshold.
+
+    A name stands for what it was given last before, or else first after; the
+    chains are followed to their ends, whatever the order of the assignments.
+    """
+    pairs = list(assignments(text))
+    last, first, to = {}, {}, []  # by the last part of a name: number of an assignment
+    for i, (name, value) in enumerate(pairs):
+        to.append(None if value[0] == "lit" else last.get(value[1].rsplit(".", 1)[-1], -1))
         short = name.rsplit(".", 1)[-1]
-        if kind == "ref":
-            value = given.get(value.rsplit(".", 1)[-1], [])
-        given[short] = value
+        last[short] = i
+        first.setdefault(short, i)
+    ends: dict[int, int] = {}
+    for i in range(len(pairs)):
+        path, k = [], i
+        while k not in ends:
+            path.append(k)
+            ends[k] = k  # a ring ends where it is entered
+            if to[k] is None:
+                break
+            k2 = to[k] if to[k] >= 0 else first.get(pairs[k][1][1].rsplit(".", 1)[-1], k)
+            if k2 == k:
+                break
+            k = k2
+        for j in path:
+            ends[j] = ends[k]
+    heaviest: dict[int, float] = {}  # of the names that an end reaches
+    for i, (name, _) in enumerate(pairs):
         weight = name_weight(name)
-        if not weight or not value:
+        if weight:
+            heaviest[ends[i]] = max(weight, heaviest.get(ends[i], 0.0))
+    found = set()
+    for k, weight in heaviest.items():
+        kind, value = pairs[k][1][0], pairs[k][1][-1]
+        if kind == "ref":
             continue
-        whole = "".join(text[a:b] for a, b in value)
-        score = weight + look(whole)
-        if score >= THRESHOLD:
-            for span in value:
-                best[span] = max(score, best.get(span, score))
-    return [("literal", a, b) for a, b in best]
+        value = value if kind == "lit" else [value]
+        if weight + look("".join(text[a:b] for a, b in value)) >= THRESHOLD:
+            found.update(value)
+    return [("literal", a, b) for a, b in sorted(found)]
 
 
 def spans(text: str, lex: bool = True) -> tuple[list, list]:
@@ -173,8 +251,12 @@ def spans(text: str, lex: bool = True) -> tuple[list, list]:
     span is that span's."""
     order = KINDS.index
     base = sorted(base_spans(text), key=lambda s: (s[1], order(s[0])))
-    more = [s for s in (literal_spans(text) if lex else ())
-            if not any(b[1] <= s[1] and s[2] <= b[2] for b in base)]
+    starts, furthest = [s[1] for s in base], list(accumulate((s[2] for s in base), max))
+    more = []
+    for s in literal_spans(text) if lex else ():
+        k = bisect_right(starts, s[1])
+        if not k or furthest[k - 1] < s[2]:
+            more.append(s)
     return base, sorted(base + more, key=lambda s: (s[1], order(s[0]), s[2]))
 
 
@@ -228,7 +310,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id_col, n_assign, n_access, n_hex, base_sha256, spans), one row per
     input row; spans lists kind:start:end in code points, end exclusive.
 
-    Null and empty texts have no span.  Repeated rows are scanned row by row.
+    Null and empty texts have no span; very long ones are lexed whole, in time
+    linear in their length.  Repeated rows are scanned row by row.
     An empty table gives no row.  Other columns are not read.
     """
     bounded_batches(docs.sparkSession)

@@ -82,12 +82,34 @@ def test_secret_base_equals_brute_force(spark, noise):
     ('token_url = "https://a.example/c?d=1234567890"', []),
     ("The password: is something else. Credentials: see below.", []),
     ('title = "a perfectly normal title"', []),
+    ("passphrase=correcthorsebattery", ["correcthorsebattery"]),
+    ("db_pwd: correcthorsebattery\n", ["correcthorsebattery"]),
+    ("the pwd: internationalization is long", []),
+    ("f(pwd=defaultvalue)", []),
+    ("conn_pwd = K2\nK2 = 'Zx81kQ09pLmN'", ["Zx81kQ09pLmN"]),
+    ("conn_pwd = A\nA = B\nB = 'Zx81kQ09pLmN'", ["Zx81kQ09pLmN"]),
+    ("a = b\nb = a\nconn_pwd = a", []),
+    ("don't forget: db_pwd = '" + "Zx81kQ09pLmN'", ["Zx81kQ09pLmN"]),
+    ("db_pwd = r'Zx81kQ09pLmN'", ["Zx81kQ09pLmN"]),
+    ('{"' + "a" * 300 + '_pwd": "Zx81kQ09pLmN"}', ["Zx81kQ09pLmN"]),
+    ("x=1&db_pwd=Sup3rS3cretX9&b=1", ["Sup3rS3cretX9"]),
 ])
 def test_literals(text, literals):
     _, spans = secret_scan.spans(text)
     assert [text[a:b] for k, a, b in spans if k == "literal"] == literals
 
 
+@pytest.mark.parametrize("text", [
+    "a=1&" * 100000, '\\"' * 200000, "token=" * 60000, "pwd:" * 100000, "pwd=a " * 60000,
+    'pwd="' + "x1Y" * 50000 + '"\n' + "secretz=pwd\n" * 40000, 'pwd="x1Yabc09" ' * 60000,
+    "\n".join(f"a{i}=a{i + 1}" for i in range(60000))])
+def test_long_odd_texts_take_linear_time(text):
+    import time
+    began = time.process_time()
+    secret_scan.spans(text)
+    assert time.process_time() - began < 30
+
+
 def test_token_counts_equal_the_library(spark):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(TOKENIZER)
