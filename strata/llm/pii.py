@@ -4,14 +4,20 @@ High-recall patterns propose spans, some of which overlap.  The base kinds
 (email, ip, card, phone) are fixed by the contract: every proposal that passes
 its format check is redacted.  The other proposals (numbers that look like
 telephone or account numbers, written-out addresses) are scored by boosted
-regression trees over format and context features.  Proposals that carry a
-base span are the positive examples and those that fail every check the
-negative ones, so the trees learn from all candidates of the corpus, as
-counts per feature vector: the features are small integers, and the driver
-gets one row per vector that occurs, at most the product of their ranges.
-
-A fifth of the documents (by hash of the text) is held out; the threshold is the least score
-from which on held-out proposals are right often enough.
+regression trees over format and context features.  Positive examples are the
+proposals that carry a base span, and the base spans themselves with their
+telling mark masked ("+" left out, "@" written out), so that the trees learn
+the look and the surroundings of such data and not the mark.  Negative are
+only those that contradict: too few digits, dates, glued to letters, a failed
+check, or words before them that name other things.  All others have no label:
+they neither train nor count as errors, and the score decides on them.  The
+trees learn from all candidates of the corpus, as counts per feature vector:
+the features are small integers, and the driver gets one row per vector that
+occurs, at most the product of their ranges.
+
+A fifth of the documents (by hash of the text) is held out; the threshold is
+the least score, 0 at least, from which on held-out labelled proposals are
+right often enough.
 
 Positions come from the pieces between matches: `split` gives the text
 between, `regexp_extract_all` the matches, and running lengths the offsets.
@@ -56,6 +62,8 @@ NEEDS = {"email": "@", "phone": "\\+[0-9]", "address": "[(\\[]at[)\\]]"}
 
 CONTACT = r"(?i)(?:\btel|phone|mobile|\bcell|\bcall|\bfax|contact|mail|whatsapp)"
 MONEY = r"(?i)(?:card|visa|master|amex|account|iban|payment|\bcvv)"
+# Dates and times of day.
+DATE = r"^(?:[0-9]{4}[./-][0-9]{1,2}[./-][0-9]{1,2}|[0-9]{1,2}[./-][0-9]{1,2}[./-](?:[0-9]{4}|[0-9]{2}))$"
 THINGS = r"(?i)(?:order|invoice|version|isbn|\bref|page|total|\bno\.|ticket|serial|item|release)"
 
 
@@ -143,7 +151,8 @@ def _features(x: Column) -> dict[str, Column]:
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fold, base, more): the base spans as array<struct<s, k, e>>, and the
-    other proposals with features, and whether a base span overlaps them."""
+    other proposals with features, whether a base span overlaps them (hit) and
+    whether their form or context speaks against them (con)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     raw = docs.select(F.col(id_col).alias("id"), F.pmod(F.xxhash64(text), F.lit(5)).cast("int").alias("fold"),
                       *[c for k in (*KINDS, *MORE) for c in _pieces(text, k)])
@@ -156,19 +165,41 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     base = F.array_sort(F.concat(*[base_of(i, k) for i, k in enumerate(KINDS)]))
     named = raw.withColumn("base", base)
 
-    def proposal(i: int, x: Column) -> Column:
-        hit = F.exists(F.col("base"), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+    def proposal(i: int, x: Column, failing: Column, masked: bool) -> Column:
+        hit = F.lit(True) if masked else F.exists(
+            F.col("base"), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+        feats = _features(x)
+        number = feats["at"] == 0
+        con = (failing | (number & (feats["digits"] < 2)) | x["m"].rlike(DATE) | (feats["context"] == 1)
+               | (number & ((feats["left"] == 1) | (feats["right"] == 1))))
         return F.struct(x["s"].alias("s"), F.lit(len(KINDS) + i).alias("k"), x["e"].alias("e"), hit.alias("hit"),
-                        *[f.alias(n) for n, f in _features(x).items()])
+                        con.alias("con"), *[f.alias(n) for n, f in feats.items()])
+
+    def checked(k: str, ok: bool) -> Column:
+        return F.filter(F.col(f"m_{k}"), lambda x: _valid(k, x["m"]) == F.lit(ok))
+
+    def no_card(x: Column) -> Column:
+        return ~x["before"].rlike(MONEY)
+
+    def never(x: Column) -> Column:
+        return F.lit(False)
+
+    def always(x: Column) -> Column:
+        return F.lit(True)
 
-    def failed(k: str) -> Column:
-        return F.filter(F.col(f"m_{k}"), lambda x: ~_valid(k, x["m"]))
-    # base proposals that fail their check are proposals like any other
-    sources = [(i, F.col(f"m_{k}")) for i, k in enumerate(MORE)] + [(1, failed("card")), (0, failed("phone"))]
+    def masked(k: str, mask) -> Column:
+        return F.transform(checked(k, True), lambda x: x.withField("m", mask(x["m"])))
+    # base proposals that fail their check are proposals like any other;
+    # masked ones are examples only, as their base span covers them
+    sources = [(i, F.col(f"m_{k}"), never, False) for i, k in enumerate(MORE)] + [
+        (1, checked("card", False), no_card, False), (0, checked("phone", False), always, False),
+        (0, masked("phone", lambda m: F.substr(m, F.lit(2))), never, True),
+        (2, masked("email", lambda m: F.regexp_replace(F.regexp_replace(m, r"\.(?=[^@]*$)", " [dot] "), "@", " [at] ")),
+         never, True)]
 
-    def proposals(i: int, c: Column) -> Column:
-        return F.transform(c, lambda x: proposal(i, x))
-    more = F.concat(*[proposals(i, c) for i, c in sources])
+    def proposals(i: int, c: Column, failing, is_masked: bool) -> Column:
+        return F.transform(c, lambda x: proposal(i, x, failing(x), is_masked))
+    more = F.concat(*[proposals(*source) for source in sources])
     return named.select("id", "fold", "base", more.alias("more"))
 
 
@@ -238,9 +269,11 @@ def fit(found: DataFrame) -> tuple[Boosted, float]:
     names = list(FEATURES)
     table = (found.filter(F.size("more") > 0).select("fold", F.explode("more").alias("x"))
              .groupBy((F.col("fold") == 0).alias("held"), *[F.col("x")[n].alias(n) for n in names])
-             .agg(F.sum(F.col("x.hit").cast("long")).alias("p"), F.count(F.lit(1)).alias("n"))
+             .agg(F.sum(F.col("x.hit").cast("long")).alias("p"),
+                  F.sum((~F.col("x.hit") & F.col("x.con")).cast("long")).alias("n"))
              .orderBy("held", *names).collect())  # at most two rows per feature vector
-    rows = [(r["held"], tuple(r[n] for n in names), float(r["p"]), float(r["n"] - r["p"])) for r in table]
+    rows = [(r["held"], tuple(r[n] for n in names), float(r["p"]), float(r["n"])) for r in table
+            if r["p"] + r["n"] > 0]  # vectors without a label decide nothing
     model = Boosted([r[1:] for r in rows if not r[0]])
     held = sorted(((model.score(r[1]), r[2], r[3]) for r in rows if r[0]), reverse=True)
     threshold, right, wrong, k = math.inf, 0.0, 0.0, 0
@@ -249,7 +282,7 @@ def fit(found: DataFrame) -> tuple[Boosted, float]:
         while k < len(held) and held[k][0] == s:  # equal scores stand or fall together
             right, wrong, k = right + held[k][1], wrong + held[k][2], k + 1
         if right + wrong >= MIN_HELD_OUT and right >= PRECISION * (right + wrong):
-            threshold = s
+            threshold = max(s, 0.0)
     return model, threshold
 
 
