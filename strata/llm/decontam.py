@@ -7,7 +7,9 @@ an item whose values were exchanged still meets its template.  On the matches
 of one item in one document at one offset, slot values must map one to one;
 where they do not, only windows without a slot count.  Item windows with too few
 literals for a template are looked for word by word, so a verbatim copy meets
-whatever it holds.  A document is contaminated by an item when enough of the
+whatever it holds.  The capital that opens an item says nothing of its first
+word; its first window is looked for in both readings, as a word and as a name,
+since a quotation within a line reads as a name.  A document is contaminated by an item when enough of the
 item's windows are found, or enough of those that are templates, or so many in
 a row that a long passage of it is there, whatever the passage's share.
 
@@ -64,7 +66,8 @@ _UNIT_HASHES = np.sort(_word_hash(UNITS))
 
 
 def canonical(t: tb.Texts):
-    """Canonical words of the texts of a slice: (text, value hash, kind).
+    """Canonical words of the texts of a slice: (text, value hash, kind, whether
+    the word is a literal only because it opens a line or a sentence).
 
     The value is the word in lower case without outer punctuation.  Lower case
     covers ASCII and the Latin-1 letters.  A number is a word with a digit, a
@@ -81,7 +84,7 @@ def canonical(t: tb.Texts):
     ok = b > a
     word = np.flatnonzero(ok)
     if not len(word):
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int8)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int8), np.empty(0, bool)
     start, end = core[a[ok]], core[b[ok] - 1] + 1
     value = tb.hash_spans(lower, start, end)
     digits = np.concatenate(([0], np.cumsum(_DIGIT[data])))
@@ -95,19 +98,25 @@ def canonical(t: tb.Texts):
     opens |= np.isin(word, t.first)
     unit = _UNIT_HASHES[np.minimum(np.searchsorted(_UNIT_HASHES, value), len(_UNIT_HASHES) - 1)] == value
     kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(upper & ~opens, NAME, LITERAL)))
-    return t.text_of_word[word], value, kind.astype(np.int8)
+    return t.text_of_word[word], value, kind.astype(np.int8), (kind == LITERAL) & upper
 
 
-def template_windows(t: tb.Texts, size: int, form: str = TEMPLATE):
+def template_windows(t: tb.Texts, size: int, form: str = TEMPLATE, quoted: bool = False):
     """(text, first canonical word in its text, window hash, word, values, kinds)
     of the windows with enough literals (TEMPLATE), or by their values instead
     of slots of those with too few (RICH) or of all (EXACT); values and kinds
-    are those of all words."""
-    text, value, kind = canonical(t)
+    are those of all words.  quoted: the first windows only, of the texts whose
+    first word would be a name if they were quoted within a line, read so."""
+    text, value, kind, opening = canonical(t)
     first = np.searchsorted(text, np.arange(t.n))
+    if quoted:
+        turned = first[(first < len(text)) & opening[np.minimum(first, max(0, len(text) - 1))]] if len(text) else first[:0]
+        kind[turned] = NAME
     token = np.where(kind == LITERAL, value, _SLOT[kind]) if form == TEMPLATE else value
     at = np.arange(max(0, len(text) - size + 1))
     at = at[text[at] == text[at + size - 1]] if len(at) else at
+    if quoted:
+        at = np.intersect1d(at, turned)
     literal = np.concatenate(([0], np.cumsum(kind == LITERAL)))
     if form != EXACT:
         at = at[(literal[at + size] - literal[at] >= min(LITERALS, size)) == (form == TEMPLATE)]
@@ -117,14 +126,15 @@ def template_windows(t: tb.Texts, size: int, form: str = TEMPLATE):
     return text[at], at - first[text[at]], hashes, at, value, kind
 
 
-def _rows(bitmap: np.ndarray | None, forms: tuple[tuple[int, str], ...]):
-    """Rows (id, mark, size, at, h, slots) of the windows of each length and form."""
+def _rows(bitmap: np.ndarray | None, forms: tuple[tuple, ...]):
+    """Rows (id, mark, size, at, h, slots) of the windows of each length, form
+    and reading."""
     def run(batches):
         for batch in batches:
             ids, marks = batch.column(0), batch.column(1)
             for i, _, t in tb.slices(batch, "text"):
-                for n, form in forms:
-                    text, at, h, pos, value, kind = template_windows(t, n, form)
+                for n, *form in forms:
+                    text, at, h, pos, value, kind = template_windows(t, n, *form)
                     if bitmap is not None and len(h):
                         bit = h & np.uint64((1 << BITS) - 1)
                         hit = (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
@@ -155,7 +165,7 @@ def _bench_windows(bench: DataFrame, size: int) -> DataFrame:
                 for _, _, t in tb.slices(one, "text"):
                     n = min(size, len(canonical(t)[0]))
                     if n >= LITERALS:
-                        yield from _rows(None, ((n, TEMPLATE), (n, RICH)))([one])
+                        yield from _rows(None, ((n, TEMPLATE), (n, RICH), (n, TEMPLATE, True), (n, RICH, True)))([one])
     return bench.select("id", F.lit(0).cast("long").alias("mark"), "text").mapInArrow(per_item, schema)
 
 

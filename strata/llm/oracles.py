@@ -174,13 +174,18 @@ WITH t AS (
   SELECT src, id, lower(core) AS v, row_number() OVER (PARTITION BY src, id ORDER BY ln, i) AS pos,
     CASE WHEN regexp_matches(core, '[0-9]') THEN 1 WHEN lower(core) IN (@UNITS) THEN 3
       WHEN regexp_matches(core, '^[A-ZÀ-ÖØ-Þ]') AND before IS NOT NULL AND NOT regexp_matches(before, '[.!?:;]$')
-      THEN 2 ELSE 0 END AS kind
+      THEN 2 ELSE 0 END AS kind, regexp_matches(core, '^[A-ZÀ-ÖØ-Þ]') AS upper
   FROM o WHERE core <> ''
+), r AS (
+  SELECT src, id, v, pos, kind, false AS quoted FROM k
+  UNION ALL
+  SELECT src, id, v, pos, CASE WHEN pos = 1 THEN 2 ELSE kind END, true
+  FROM k WHERE src = 'b' AND id IN (SELECT id FROM k WHERE src = 'b' AND pos = 1 AND upper AND kind = 0) AND pos <= 8
 ), x AS (
   SELECT src, id, pos, count(*) OVER z AS n, count(*) FILTER (kind = 0) OVER z AS literals,
     list(CASE kind WHEN 0 THEN v ELSE '<' || kind || '>' END) OVER z AS h,
     list(CASE WHEN kind <> 0 THEN v END) OVER z AS slots
-  FROM k WINDOW z AS (PARTITION BY src, id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
+  FROM r WINDOW z AS (PARTITION BY src, id, quoted ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
 ), y AS (
   SELECT src, id, pos, array_to_string(h, ' ') AS h, list_filter(slots, lambda s: s IS NOT NULL) AS slots
   FROM x WHERE n = 8 AND literals >= 5

@@ -107,6 +107,21 @@ def test_verbatim_and_reparameterised_items_are_found(spark, bench):
     assert got[(10, 1)].changed_slots == 0 and got[(11, 1)].changed_slots > 0
 
 
+def test_opening_capital_of_a_quoted_item(spark):
+    bench = spark.createDataFrame([(1, "Which river flows through the old town centre"),
+                                   (2, "Seven of the small grey birds sat on Anna and"),
+                                   (3, "Lines of the tall wall 3 4 5 6")], "item_id long, text string")
+    got = leaks(spark, bench, [
+        (10, "they asked: Which river flows through the old town centre and left"),
+        (11, "they asked Which river flows through the old town centre and left"),
+        (12, "they asked which river flows through the old town centre and left"),
+        (13, "we heard that Seven of the small grey birds sat on Bela and flew"),
+        (14, "they asked Which river flows under the old town centre and left"),
+        (15, "so Lines of the tall wall 3 4 5 6 were set")])
+    assert set(got) == {(10, 1), (11, 1), (12, 1), (13, 2), (15, 3)}
+    assert all((r.changed_slots > 0) == (k == (13, 2)) for k, r in got.items())
+
+
 def test_inconsistent_slots_do_not_count(spark, bench):
     # one name stands for two of the item's, so no renaming explains the text
     mixed = ITEM.replace("Bob", "Paris")
