@@ -1,13 +1,15 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, names and units of a text become typed placeholders (slots); other
-words are lower-cased without outer punctuation.  Windows of the canonical
-words of every benchmark item are hash-joined with those of every document, so
-an item whose values were exchanged still meets its template.  On the matches
-of one item in one document at one offset, slot values must map one to one;
-where they do not, only windows without a slot count.  Item windows with too few
-literals for a template are looked for word by word, so a verbatim copy meets
-whatever it holds.  The capital that opens an item says nothing of its first
+words are lower-cased without outer punctuation.  Names that follow each other
+without punctuation are one slot.  Windows of the canonical words of every
+benchmark item are hash-joined with those of every document, so an item whose
+values were exchanged still meets its template.  On the matches of one item in
+one document at one offset, each value of the item must have one value in the
+document (two may have the same); where that fails, only windows without a slot
+count.  Item windows with too few literals for a template are looked for word by
+word, so a verbatim copy meets whatever it holds.  An item of fewer than
+LITERALS words is looked for as a whole line or sentence with the same words.  The capital that opens an item says nothing of its first
 word; its first window is looked for in both readings, as a word and as a name,
 since a quotation within a line reads as a name.  A document is contaminated by an item when enough of the
 item's windows are found, or enough of those that are templates, or so many in
@@ -29,7 +31,7 @@ from strata.llm import textbatch as tb
 from strata.llm.common import bounded_batches, broadcast_if_small, materialize, own
 
 WINDOW = 8        # canonical words of a window; shorter items use their length
-LITERALS = 5      # least words of a template that are not slots; shorter items are not looked for
+LITERALS = 5      # least words of a template that are not slots; shorter items have to be whole lines or sentences
 SHARE = 0.5       # share of an item's windows that makes a leak
 RUN = 50          # canonical words of a passage that makes a leak by itself
 BITS = 23         # log2 of the bitmap's bits (1 MB)
@@ -67,7 +69,8 @@ _UNIT_HASHES = np.sort(_word_hash(UNITS))
 
 def canonical(t: tb.Texts):
     """Canonical words of the texts of a slice: (text, value hash, kind, whether
-    the word is a literal only because it opens a line or a sentence).
+    the word opens a line or a sentence, whether it has a capital, whether only
+    blanks part it from the canonical word before).
 
     The value is the word in lower case without outer punctuation.  Lower case
     covers ASCII and the Latin-1 letters.  A number is a word with a digit, a
@@ -84,7 +87,8 @@ def canonical(t: tb.Texts):
     ok = b > a
     word = np.flatnonzero(ok)
     if not len(word):
-        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int8), np.empty(0, bool)
+        none = np.empty(0, bool)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int8), none, none, none
     start, end = core[a[ok]], core[b[ok] - 1] + 1
     value = tb.hash_spans(lower, start, end)
     digits = np.concatenate(([0], np.cumsum(_DIGIT[data])))
@@ -98,32 +102,61 @@ def canonical(t: tb.Texts):
     opens |= np.isin(word, t.first)
     unit = _UNIT_HASHES[np.minimum(np.searchsorted(_UNIT_HASHES, value), len(_UNIT_HASHES) - 1)] == value
     kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(upper & ~opens, NAME, LITERAL)))
-    return t.text_of_word[word], value, kind.astype(np.int8), (kind == LITERAL) & upper
+    touch = np.zeros(len(word), dtype=bool)
+    touch[1:] = (np.diff(word) == 1) & (end[:-1] == t.ends[word[:-1]]) & (start[1:] == t.starts[word[1:]])
+    return t.text_of_word[word], value, kind.astype(np.int8), opens, upper, touch
+
+
+def _merged(text: np.ndarray, value: np.ndarray, kind: np.ndarray, touch: np.ndarray):
+    """(text, value, kind) with each run of names as one, and the place of every
+    canonical word among them."""
+    joined = np.zeros(len(text), dtype=bool)
+    joined[1:] = touch[1:] & (kind[1:] == NAME) & (kind[:-1] == NAME) & (text[1:] == text[:-1])
+    head = np.flatnonzero(~joined)
+    n = np.diff(np.append(head, len(text)))
+    out, runs = value[head], np.flatnonzero(n > 1)
+    if len(runs):
+        out[runs] = tb.hash_runs(value, head[runs], head[runs] + n[runs])
+    return text[head], out, kind[head], np.cumsum(~joined) - 1
 
 
 def template_windows(t: tb.Texts, size: int, form: str = TEMPLATE, quoted: bool = False):
-    """(text, first canonical word in its text, window hash, word, values, kinds)
-    of the windows with enough literals (TEMPLATE), or by their values instead
-    of slots of those with too few (RICH) or of all (EXACT); values and kinds
-    are those of all words.  quoted: the first windows only, of the texts whose
-    first word would be a name if they were quoted within a line, read so."""
-    text, value, kind, opening = canonical(t)
+    """(text, place in its text, window hash, word, values, kinds) of the windows
+    with enough literals (TEMPLATE), or by their values instead of slots of those
+    with too few (RICH) or of all (EXACT); values and kinds are those of all
+    words.  Templates see a run of names as one word, the other forms see each
+    word; the place counts a run as one in all forms.  EXACT windows of fewer
+    than LITERALS words are whole lines or sentences.  quoted: the first windows
+    only, of the texts whose first word would be a name if they were quoted
+    within a line, read so."""
+    text, value, kind, opens, upper, touch = canonical(t)
     first = np.searchsorted(text, np.arange(t.n))
+    first = first[np.append(text, -1)[first] == np.arange(t.n)]
     if quoted:
-        turned = first[(first < len(text)) & opening[np.minimum(first, max(0, len(text) - 1))]] if len(text) else first[:0]
-        kind[turned] = NAME
+        first = first[(upper & (kind == LITERAL))[first]]
+        kind[first] = NAME
+    whole = _merged(text, value, kind, touch)
+    place = whole[3]
+    if form == TEMPLATE:
+        text, value, kind = whole[:3]
+        first, place = place[first], np.arange(len(text))
     token = np.where(kind == LITERAL, value, _SLOT[kind]) if form == TEMPLATE else value
     at = np.arange(max(0, len(text) - size + 1))
     at = at[text[at] == text[at + size - 1]] if len(at) else at
     if quoted:
-        at = np.intersect1d(at, turned)
+        at = np.intersect1d(at, first)
+    if form == EXACT and size < LITERALS:
+        edge = np.append(opens, True)
+        edge[np.flatnonzero(np.diff(text)) + 1] = True
+        at = at[edge[at] & edge[at + size]]
     literal = np.concatenate(([0], np.cumsum(kind == LITERAL)))
     if form != EXACT:
-        at = at[(literal[at + size] - literal[at] >= min(LITERALS, size)) == (form == TEMPLATE)]
+        at = at[(literal[at + size] - literal[at] >= LITERALS) == (form == TEMPLATE)]
     hashes = tb.combine([token[at + k] for k in range(size)]) if len(at) else np.empty(0, np.uint64)
     if form != TEMPLATE:
         hashes = tb.mix(hashes ^ _EXACT)
-    return text[at], at - first[text[at]], hashes, at, value, kind
+    start = np.searchsorted(text, text[at])
+    return text[at], place[at] - place[start], hashes, at, value, kind
 
 
 def _rows(bitmap: np.ndarray | None, forms: tuple[tuple, ...]):
@@ -154,7 +187,8 @@ def _rows(bitmap: np.ndarray | None, forms: tuple[tuple, ...]):
 
 
 def _bench_windows(bench: DataFrame, size: int) -> DataFrame:
-    """Item windows, of `size` words or of the whole item where it is shorter."""
+    """Item windows, of `size` words or of the whole item where it is shorter.
+    Items of fewer than LITERALS words have one, of all their words."""
     kind = bench.schema["id"].dataType.simpleString()
     schema = f"id {kind}, mark long, size int, at int, h long, slots array<long>"
 
@@ -163,9 +197,21 @@ def _bench_windows(bench: DataFrame, size: int) -> DataFrame:
             for k in range(batch.num_rows):
                 one = batch.slice(k, 1)
                 for _, _, t in tb.slices(one, "text"):
-                    n = min(size, len(canonical(t)[0]))
-                    if n >= LITERALS:
-                        yield from _rows(None, ((n, TEMPLATE), (n, RICH), (n, TEMPLATE, True), (n, RICH, True)))([one])
+                    text, value, kind, _, upper, touch = canonical(t)
+                    n = min(size, len(text))
+                    if not n:
+                        continue
+                    if n < LITERALS:
+                        yield from _rows(None, ((n, EXACT),))([one])
+                        continue
+                    forms = [(n, RICH), (n, RICH, True)]
+                    for quoted in (False, True):  # the first word may join a run of names
+                        if quoted and kind[0] == LITERAL and upper[0]:
+                            kind[0] = NAME
+                        m = min(size, len(_merged(text, value, kind, touch)[0]))
+                        if m >= LITERALS:
+                            forms.append((m, TEMPLATE, quoted))
+                    yield from _rows(None, tuple(forms))([one])
     return bench.select("id", F.lit(0).cast("long").alias("mark"), "text").mapInArrow(per_item, schema)
 
 
@@ -190,8 +236,9 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
     item's slot values that have another value there (0 for a verbatim copy).
     mark is a hash of the text: rows that repeat id and text give one row, rows
     with one id and different texts are told apart.  Null and empty texts and
-    items leak nothing, and items of fewer than LITERALS words are not looked
-    for.  Windows of an item with too few literals for a template count when
+    items, and items without a word, leak nothing.  Items of fewer than LITERALS
+    words leak where a whole line or sentence (or several together) has their
+    words.  Very long texts are read whole, in one task each.  Windows of an item with too few literals for a template count when
     they are found word by word.  Where values were exchanged these are not
     found, so an item leaks too when found holds a share of its templates, and
     when it holds the windows of RUN words in a row at one place of a document.
@@ -220,22 +267,25 @@ def find_leaks(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
                  F.collect_set(F.when(~F.col("rich") & (F.size("slots") == 0), F.col("item_at"))).alias("plain"),
                  F.collect_set(F.when(~F.col("rich"), F.col("item_at"))).alias("all"),
                  F.collect_set(F.when(F.col("rich"), F.col("item_at"))).alias("exact")))
-    n = F.size("map")
-    one_to_one = (F.size(F.array_distinct(F.transform("map", lambda p: p.a))) == n) \
-        & (F.size(F.array_distinct(F.transform("map", lambda p: p.b))) == n)
+    fits = F.size(F.array_distinct(F.transform("map", lambda p: p.a))) == F.size("map")
     changed = F.size(F.filter("map", lambda p: p.a != p.b))
     in_row = max(1, RUN - size + 1)
-    inst = inst.select("id", "mark", "item", F.when(one_to_one, F.col("all")).otherwise(F.col("plain")).alias("at"), "exact",
-                       F.when(one_to_one, changed).otherwise(F.lit(0)).alias("changed"))
+    inst = inst.select("id", "mark", "item", F.when(fits, F.col("all")).otherwise(F.col("plain")).alias("at"), "exact",
+                       F.when(fits, changed).otherwise(F.lit(0)).alias("changed"))
     # windows in a row end in_row - 1 places further, in the item and in the list
     inst = inst.withColumn("here", F.array_sort(F.array_union("at", "exact")))
     inst = inst.withColumn("passage", F.exists(F.transform("here", lambda x, i: F.coalesce(
         F.get("here", i + (in_row - 1)) - x == in_row - 1, F.lit(False))), lambda x: x))
-    found = inst.groupBy("id", "mark", "item").agg(
-        F.max("passage").alias("passage"),
-        F.size(F.array_distinct(F.flatten(F.collect_list(F.concat("at", "exact"))))).alias("found"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("found_templates"),
-        F.min("changed").alias("changed"))
+    # a window counts once, however many instances hold it
+    window = F.explode_outer(F.transform("here", lambda x: F.struct(
+        x.alias("at"), F.array_contains("at", x).alias("template"))))
+    found = (inst.select("id", "mark", "item", "passage", "changed", window.alias("w"))
+             .groupBy("id", "mark", "item", F.col("w.at").alias("at"))
+             .agg(F.max("w.template").alias("template"), F.max("passage").alias("passage"),
+                  F.min("changed").alias("changed"))
+             .groupBy("id", "mark", "item")
+             .agg(F.count("at").alias("found"), F.count_if("template").alias("found_templates"),
+                  F.max("passage").alias("passage"), F.min("changed").alias("changed")))
     total = items.groupBy("item").agg(
         F.count_distinct("item_at").alias("windows"),
         F.count_distinct(F.when(~F.col("rich"), F.col("item_at"))).alias("templates"))

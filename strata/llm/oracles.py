@@ -171,24 +171,34 @@ WITH t AS (
   SELECT *, lag(w) OVER (PARTITION BY src, id, ln ORDER BY i) AS before,
     regexp_replace(w, '^[!-$&-/:-@\[-`{-~]+|[!-$&-/:-@\[-`{-~]+$', '', 'g') AS core FROM w
 ), k AS (
-  SELECT src, id, lower(core) AS v, row_number() OVER (PARTITION BY src, id ORDER BY ln, i) AS pos,
+  SELECT src, id, lower(core) AS v,
+    before IS NOT NULL AND NOT regexp_matches(before, '[!-$&-/:-@\[-`{-~]$')
+    AND NOT regexp_matches(w, '^[!-$&-/:-@\[-`{-~]') AS touch, row_number() OVER (PARTITION BY src, id ORDER BY ln, i) AS pos,
     CASE WHEN regexp_matches(core, '[0-9]') THEN 1 WHEN lower(core) IN (@UNITS) THEN 3
       WHEN regexp_matches(core, '^[A-ZÀ-ÖØ-Þ]') AND before IS NOT NULL AND NOT regexp_matches(before, '[.!?:;]$')
       THEN 2 ELSE 0 END AS kind, regexp_matches(core, '^[A-ZÀ-ÖØ-Þ]') AS upper
   FROM o WHERE core <> ''
 ), r AS (
-  SELECT src, id, v, pos, kind, false AS quoted FROM k
+  SELECT src, id, v, pos, kind, touch, false AS quoted FROM k
   UNION ALL
-  SELECT src, id, v, pos, CASE WHEN pos = 1 THEN 2 ELSE kind END, true
-  FROM k WHERE src = 'b' AND id IN (SELECT id FROM k WHERE src = 'b' AND pos = 1 AND upper AND kind = 0) AND pos <= 8
+  SELECT src, id, v, pos, CASE WHEN pos = 1 THEN 2 ELSE kind END, touch, true
+  FROM k WHERE src = 'b' AND id IN (SELECT id FROM k WHERE src = 'b' AND pos = 1 AND upper AND kind = 0)
+), j AS (
+  SELECT *, touch AND kind = 2 AND coalesce(lag(kind) OVER z = 2, false) AS joined
+  FROM r WINDOW z AS (PARTITION BY src, id, quoted ORDER BY pos)
+), u AS (
+  SELECT *, count(*) FILTER (NOT joined) OVER (PARTITION BY src, id, quoted ORDER BY pos) AS place FROM j
+), e AS (
+  SELECT src, id, quoted, place AS pos, any_value(kind) AS kind, string_agg(v, ' ' ORDER BY pos) AS v
+  FROM u GROUP BY src, id, quoted, place
 ), x AS (
-  SELECT src, id, pos, count(*) OVER z AS n, count(*) FILTER (kind = 0) OVER z AS literals,
+  SELECT src, id, pos, quoted, count(*) OVER z AS n, count(*) FILTER (kind = 0) OVER z AS literals,
     list(CASE kind WHEN 0 THEN v ELSE '<' || kind || '>' END) OVER z AS h,
     list(CASE WHEN kind <> 0 THEN v END) OVER z AS slots
-  FROM r WINDOW z AS (PARTITION BY src, id, quoted ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
+  FROM e WINDOW z AS (PARTITION BY src, id, quoted ORDER BY pos ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)
 ), y AS (
   SELECT src, id, pos, array_to_string(h, ' ') AS h, list_filter(slots, lambda s: s IS NOT NULL) AS slots
-  FROM x WHERE n = 8 AND literals >= 5
+  FROM x WHERE n = 8 AND literals >= 5 AND (NOT quoted OR pos = 1)
 ), m AS (
   SELECT d.id AS doc, b.id AS item, d.pos - b.pos AS shift, b.pos, b.slots AS a, d.slots AS c
   FROM y d JOIN y b ON d.h = b.h AND d.src = 'd' AND b.src = 'b'
@@ -196,8 +206,7 @@ WITH t AS (
   SELECT doc, item, shift, list(DISTINCT pos) AS pos, list(DISTINCT pos) FILTER (len(a) = 0) AS plain,
     list_distinct(flatten(list(list_zip(a, c)))) AS map FROM m GROUP BY doc, item, shift
 ), q AS (
-  SELECT *, len(list_distinct(list_transform(map, lambda p: p[1]))) = len(map)
-    AND len(list_distinct(list_transform(map, lambda p: p[2]))) = len(map) AS fits FROM g
+  SELECT *, len(list_distinct(list_transform(map, lambda p: p[1]))) = len(map) AS fits FROM g
 ), f AS (
   SELECT doc, item, len(list_distinct(flatten(list(CASE WHEN fits THEN pos ELSE coalesce(plain, []) END)))) AS found,
     min(CASE WHEN fits THEN len(list_filter(map, lambda p: p[1] <> p[2])) ELSE 0 END) AS changed

@@ -122,11 +122,55 @@ def test_opening_capital_of_a_quoted_item(spark):
     assert all((r.changed_slots > 0) == (k == (13, 2)) for k, r in got.items())
 
 
-def test_inconsistent_slots_do_not_count(spark, bench):
-    # one name stands for two of the item's, so no renaming explains the text
-    mixed = ITEM.replace("Bob", "Paris")
-    plain = leaks(spark, bench, [(1, mixed)])
-    assert not plain or all(r.changed_slots == 0 for r in plain.values())
+def test_inconsistent_slots_do_not_count(spark):
+    # a value of the item has two in the text, so no refill explains the text
+    item = "we sold 12 red apples at noon and then 12 green pears in the cold evening rain"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = leaks(spark, bench, [(1, item.replace("12 red", "15 red")), (2, item.replace("12", "15"))])
+    assert {k: r.changed_slots for k, r in got.items() if r.changed_slots} == {(2, 1): 1}
+    assert (1, 1) not in got or got[(1, 1)].found < got[(2, 1)].found
+
+
+def test_two_values_may_become_one(spark):
+    item = "she had 12 small coins and he had 7 large coins so they put them all together"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = leaks(spark, bench, [(1, item.replace("12", "5").replace("7", "5"))])
+    assert got[(1, 1)].changed_slots == 2 and got[(1, 1)].found == got[(1, 1)].item_windows
+
+
+def test_names_of_several_words(spark):
+    item = "On that day Alice went with her brother to see Karl near the old mill"
+    bench = spark.createDataFrame([(1, item), (2, "Mary Ann Smith lost her keys")], "item_id long, text string")
+    got = leaks(spark, bench, [
+        (10, "so " + item.replace("Alice", "Mary Smith").replace("Karl", "Otto van Bern")),
+        (11, "so " + item.replace("Alice", "Mary Smith").replace("Karl", "Otto Bern")),
+        (12, "so " + item.replace("Alice", "Mary, Smith")),
+        (13, "I heard Bob Jones lost her keys"), (14, "we know: Bob found her keys"),
+        (15, "then old Mary Ann Smith lost her keys again")])
+    assert {(11, 1), (15, 2), (10, 1)} <= set(got) and (14, 2) not in got
+    assert got[(11, 1)].changed_slots == 2 and got[(11, 1)].found == got[(11, 1)].item_windows
+    assert got[(15, 2)].changed_slots == 0
+    # with a comma they are two names
+    assert (12, 1) not in got or got[(12, 1)].found < got[(11, 1)].found
+
+
+def test_items_of_a_few_words_are_whole_lines_or_sentences(spark):
+    bench = spark.createDataFrame([(1, "What is gravity?"), (2, "Photosynthesis"), (3, "Yes. It does."), (4, "...")],
+                                  "item_id long, text string")
+    got = leaks(spark, bench, [
+        (10, "They asked: What is gravity? Nobody knew."), (11, "so what is gravity anyway"),
+        (12, "a line\nwhat is gravity\nanother"), (13, "on photosynthesis in plants"), (14, "notes\nPHOTOSYNTHESIS:\nmore"),
+        (15, "Does it? Yes. It does. So."), (16, "Yes. It does not."), (17, "what is gravity"), (18, "... ..."), (19, None)])
+    assert set(got) == {(10, 1), (12, 1), (14, 2), (15, 3), (17, 1)}
+    assert all(r.found == r.item_windows == 1 and r.changed_slots == 0 for r in got.values())
+
+
+def test_one_item_many_times_in_a_text(spark):
+    item = "Alice drove 120 km from there to meet Bob who had waited for 3 hours with his dog"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = leaks(spark, bench, [(1, " and ".join(item.replace("120", str(k)) for k in range(300)))])
+    once = leaks(spark, bench, [(1, item)])[(1, 1)]
+    assert got[(1, 1)].found == once.found == once.item_windows
 
 
 def test_items_full_of_slots_are_found_verbatim(spark):
