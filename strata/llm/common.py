@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.session import scratch_path
 
 # Words are runs without these characters (space, tab, LF, VT, FF, CR).
 BLANKS = "\\x20\\x09-\\x0D"
 
+BROADCAST_BYTES = 32 << 20  # measured size up to which a side is broadcast
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -47,6 +50,33 @@ def clashes(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.lower() in {n.lower() for n in names}])
 
 
+def _width(value: Column, kind: T.DataType) -> Column:
+    """About the bytes that a value takes in a row."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value).cast("long")
+    elif isinstance(kind, T.StructType):
+        size = sum((_width(value[f.name], f.dataType) for f in kind.fields), F.lit(0).cast("long"))
+    elif isinstance(kind, T.ArrayType):
+        size = F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + _width(x, kind.elementType))
+    else:
+        return F.lit(kind.precision // 8 + 8 if isinstance(kind, T.DecimalType) else 8).cast("long")
+    return F.coalesce(size, F.lit(0).cast("long")) + 16
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row, whatever the lengths of its strings and arrays."""
+    return sum((_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(16).cast("long"))
+
+
+def broadcast_if_bounded(df: DataFrame, measured: DataFrame | None = None) -> DataFrame:
+    """Broadcast hint only for a side whose rows take at most BROADCAST_BYTES;
+    beyond it Spark's shuffled joins do the same work.  `measured` is a stored
+    table with at least the same rows, where df itself would be costly to read."""
+    of = df if measured is None else measured
+    total = of.agg(F.sum(row_bytes(of))).first()[0] or 0
+    return F.broadcast(df) if total <= BROADCAST_BYTES else df
+
+
 def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
     """Broadcast hint only for a counted side of at most `limit` rows; beyond
     it Spark's shuffled joins do the same work."""

@@ -28,11 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.llm import textbatch as tb
-from strata.llm.common import bounded_batches, broadcast_if_small, materialize, own
+from strata.llm.common import bounded_batches, broadcast_if_bounded, materialize, own
 
 MIN_WORDS = 1               # lines without a word are left alone
 NEAR_WORDS = 10             # shorter lines have equal duplicates only
-BROADCAST_LINES = 1_000_000  # line numbers, hashes or keys that may be broadcast
 
 _H = tb.odd_constants(4, 0x6E)
 
@@ -196,29 +195,28 @@ def _removed(lines: DataFrame, slim: DataFrame, near_words: int) -> DataFrame:
     ends = distinct.select("h", "first", F.explode("ends").alias("key"))
     shared = materialize(ends.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"),
                          "op6-shared")
-    n_shared = shared.count()
     whole = distinct.select("h", "first", "times")
-    if not n_shared:
+    if shared.isEmpty():
         return whole.withColumn("near", F.lit(False))
-    flagged = ends.join(broadcast_if_small(shared, n_shared, BROADCAST_LINES), "key", "left_semi") \
+    flagged = ends.join(broadcast_if_bounded(shared), "key", "left_semi") \
         .drop("key").dropDuplicates(["h"])
     # one ascending number per candidate line, in the order that decides
     flagged = materialize(flagged.orderBy("first.id", "first.line", "first.mark", "h")
                           .withColumn("rank", F.monotonically_increasing_id()), "op6-flagged")
-    n_flagged = flagged.count()
 
     # words of the flagged lines, from the documents that hold them first
-    docs = broadcast_if_small(flagged.select("first.id", "first.mark").distinct(), n_flagged, BROADCAST_LINES)
+    docs = flagged.select("first.id", "first.mark")
+    docs = broadcast_if_bounded(docs.distinct(), docs)
     texts = slim.alias("t").join(docs.alias("d"), F.col("t.id").eqNullSafe(F.col("d.id"))
                                  & F.col("t.mark").eqNullSafe(F.col("d.mark")), "left_semi")
     words = materialize(
         texts.mapInArrow(_word_rows(near_words), "h long, words array<long>")
-        .join(broadcast_if_small(flagged.select("h", "rank"), n_flagged, BROADCAST_LINES), "h")
+        .join(broadcast_if_bounded(flagged.select("h", "rank")), "h")
         .dropDuplicates(["rank"]), "op6-words")
     variants = words.select("rank", "words").mapInArrow(_variants, "rank long, v long, place int")
     met = materialize(variants.groupBy("v").agg(F.min("rank").alias("a"), F.max("rank").alias("b"))
                       .filter("a < b").select("v"), "op6-met")
-    variants = materialize(variants.join(broadcast_if_small(met, met.count(), BROADCAST_LINES), "v", "left_semi"),
+    variants = materialize(variants.join(broadcast_if_bounded(met), "v", "left_semi"),
                            "op6-variants")
     # earliest line per variant and place; place -1 meets every place
     by_place = variants.groupBy("v", "place").agg(F.min("rank").alias("best"))
@@ -271,7 +269,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         f"id {kind}, mark long, line int, h long, ends array<long>"), "op6-lines")
     plan = _removed(lines, slim, near_words)
     plan = materialize(plan.filter("near or times > 1"), "op6-plan")
-    plan = broadcast_if_small(plan, plan.count(), BROADCAST_LINES // 4)
+    plan = broadcast_if_bounded(plan)
     here = F.struct("id", "line", "mark")
     gone = (lines.select("id", "mark", "line", "h").join(plan, "h")
             .withColumn("is_first", here.eqNullSafe(F.col("first")))
@@ -280,8 +278,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 F.collect_set("line").alias("drop"),
                 F.count_distinct(F.when(F.col("near") & F.col("is_first"), F.col("line"))).alias("n_near")))
     gone = materialize(gone.select(F.col("id").alias(i), F.col("mark").alias(m), "drop", "n_near"), "op6-gone")
-    total = gone.agg(F.sum(F.size("drop"))).first()[0] or 0
-    gone = broadcast_if_small(gone, total, BROADCAST_LINES).withColumnRenamed("drop", d := own("drop")) \
+    gone = broadcast_if_bounded(gone).withColumnRenamed("drop", d := own("drop")) \
         .withColumnRenamed("n_near", c := own("near"))
     joined = base.withColumn(own_mark := own("m"), mark).join(
         gone, F.col(id_col).eqNullSafe(F.col(i)) & F.col(own_mark).eqNullSafe(F.col(m)), "left")

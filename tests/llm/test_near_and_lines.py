@@ -5,7 +5,9 @@ import random
 import numpy as np
 import pytest
 
-from strata.llm import line_dedup, ngram_join
+from pyspark.sql import functions as F
+
+from strata.llm import common, line_dedup, ngram_join
 from tests.llm import helpers as H
 
 
@@ -120,6 +122,27 @@ def test_lines_equal_brute_force(spark, lines):
     assert all((r.n_lines_removed > 0) == (r.text != dict(lines)[r.doc_id]) for r in rows)
 
 
+def test_lines_without_any_broadcast(spark, lines, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    got = line_dedup.line_dedup(H.docs(spark, lines)).collect()
+    assert {r.doc_id: r.text for r in got} == H.dedup_lines(lines)
+
+
+def test_row_bytes_follow_the_values(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "é" * 10, [1, 2, 3], ("ab", [b"xyz", None])), (2, None, None, None)],
+                               "a long, b string, c array<long>, d struct<e: string, f: array<binary>>")
+    sizes = {r.a: r.n for r in df.select("a", common.row_bytes(df).alias("n")).collect()}
+    # every string, binary, array and struct takes 16 bytes and what it holds
+    assert sizes == {1: 16 + 8 + (16 + 20) + (16 + 24) + (16 + (16 + 2) + (16 + (16 + 3) + 16)), 2: 16 + 8 + 16 + 16 + 48}
+    small = df.select("a")
+    for limit, hinted in ((48, True), (47, False)):
+        monkeypatch.setattr(common, "BROADCAST_BYTES", limit)
+        plan = df.join(common.broadcast_if_bounded(small), "a")._jdf.queryExecution().logical().toString()
+        assert ("broadcast" in plan.lower()) == hinted
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    assert common.broadcast_if_bounded(df.filter(F.lit(False))).count() == 0
+
+
 def test_repeated_rows_keep_the_same_lines(spark):
     text = "one line of several words\none line of several words"
     other = "one line of several words"
