@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from strata import presets as P
 from strata.operators.columns import numeric_columns
@@ -52,3 +53,26 @@ def assemble(df: DataFrame, label: str = P.LABEL, features: list[str] | None = N
     assembled = VectorAssembler(inputCols=features, outputCol=out,
                                 handleInvalid="error").transform(clean)
     return assembled, features
+
+
+def _categories(df: DataFrame) -> dict[str, dict]:
+    """The ML attribute of each nominal column that lists its categories."""
+    attrs = {f.name: f.metadata.get("ml_attr", {}) for f in df.schema.fields}
+    return {c: a for c, a in attrs.items() if a.get("type") == "nominal" and "vals" in a}
+
+
+def seen_categories(df: DataFrame) -> tuple[DataFrame, int]:
+    """`df` with the categories of its nominal columns cut after the last one
+    that a row has, and its number of rows (one aggregate over those columns).
+
+    An indexer that keeps unseen labels declares a category for them, which the
+    rows it was fitted on never have.  A forest tries every two-part grouping of
+    a column of few categories against every row: a category without rows
+    doubles their number, each grouping then standing there twice.
+    """
+    nominal = _categories(df)
+    row = df.agg(F.count(F.lit(1)).alias("rows"),
+                 *[F.max(F.when(~F.isnan(f"`{c}`"), F.col(f"`{c}`"))).alias(c) for c in nominal]).first()
+    seen = {c: {**a, "vals": a["vals"][:int(row[c]) + 1]} for c, a in nominal.items() if row[c] is not None}
+    return df.select(*[F.col(f"`{c}`").alias(c, metadata={**df.schema[c].metadata, "ml_attr": seen[c]})
+                       if c in seen else F.col(f"`{c}`") for c in df.columns]), row["rows"]

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import presets as P
 from strata.operators.ingest import split_hash
 
+# Rows a partition should hold at most where a task sorts a whole partition.
+PARTITION_ROWS = 250_000
+
 
 def train_test_split(df: DataFrame, key: str = P.KEY, weights: list[float] | None = None,
                      seed: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -39,6 +42,13 @@ def train_forest(train: DataFrame, label: str = P.LABEL, features: str = "featur
     return rf.fit(train)
 
 
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partitions for `rows` rows: the session's shuffle partition count, or as
+    many more as keep a partition at about `PARTITION_ROWS`, so that a sort's
+    memory does not grow with the input."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // PARTITION_ROWS))
+
+
 def lay_out(df: DataFrame, partitions: int | None = None, key: str = P.KEY) -> DataFrame:
     """Rows hashed by key into an explicit number of partitions and sorted
     within them: the layout follows the keys and that number alone.  The

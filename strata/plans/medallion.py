@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from strata import presets as P
 from strata.operators import marts
 from strata.operators.cache import persisted
-from strata.operators.features import assemble
+from strata.operators.features import assemble, seen_categories
 from strata.operators.joins import assert_unique, enrich
-from strata.operators.model import (accuracy, lay_out, load_model, majority_class, predict_all, predict_constant,
-                                    save_model, train_forest, train_test_split)
+from strata.operators.model import (accuracy, lay_out, load_model, majority_class, partitions_for, predict_all,
+                                    predict_constant, save_model, train_forest, train_test_split)
 from strata.plans.resume import NoLog, StageLog, fingerprint, stage_key
 from strata.plans.silver import (TWILIGHT_COMPLETE, join_view, majority_from_counts, ml_view, prepare,
                                  profile, silver_wide)
@@ -44,9 +44,14 @@ def fit_forest(ml_table: DataFrame, key: str = P.KEY, label: str = P.LABEL,
     "accuracy", "features", "feature_names"}.
 
     The features are laid out by key (see `lay_out`), so the forest is the same
-    on any number of cores, and stay persisted only while the fit runs."""
-    assembled, features = assemble(ml_table, label)
-    with persisted(lay_out(assembled, partitions, key)) as rows:
+    on any number of cores, and stay persisted only while the fit runs.  Only
+    key, label and vector are laid out, in partitions of bounded size, and
+    nominal columns declare the categories that rows have (`seen_categories`)."""
+    table, count = seen_categories(ml_table)
+    assembled, features = assemble(table, label)
+    slim = assembled.select(*[F.col(f"`{c}`") for c in (key, label, "features")])
+    partitions = partitions or partitions_for(ml_table.sparkSession, count)
+    with persisted(lay_out(slim, partitions, key)) as rows:
         train, test = train_test_split(rows, key)
         model = train_forest(train, label, **rf_params)
         measured = accuracy(model.transform(test), label)

@@ -157,3 +157,31 @@ def test_stored_model_scores_alike(spark, tmp):
     save_model(model, f"{tmp}/m")  # replaces
     a, b = (sorted(rows(predict_all(m, made, ["ID"]))) for m in (model, load_model(f"{tmp}/m")))
     assert a == b
+
+
+def test_forest_is_fitted_on_what_it_needs(spark, monkeypatch):
+    """Only key, label and vector are laid out, in partitions of bounded size;
+    a category no row has makes no candidate groupings."""
+    from strata.operators import model
+    from strata.plans import medallion
+    words = ["a", "b", "c", "d"]
+    df = spark.createDataFrame([(f"A-{i}", 1 + (words[i * 7 % 4] in "ac"), words[i * 7 % 4], float(i % 9), "text")
+                                for i in range(400)], "ID string, Severity int, State string, x double, note string")
+    ml, _ = index_categoricals(df, ["State"], fill={})
+    assert len(ml.schema["State_index"].metadata["ml_attr"]["vals"]) == 5  # one for unseen labels
+    given = []
+    monkeypatch.setattr(medallion, "train_forest", lambda train, *a, **k: given.append(train) or train_forest(train, *a, **k))
+    monkeypatch.setattr(model, "PARTITION_ROWS", 40, raising=False)
+    info = medallion.fit_forest(ml, num_trees=5)
+    assert given[0].columns == ["ID", "Severity", "features"]
+    assert given[0].rdd.getNumPartitions() == 10
+    attrs = given[0].schema["features"].metadata["ml_attr"]["attrs"]["nominal"]
+    assert [len(a["vals"]) for a in attrs] == [4]
+    assert info["accuracy"] == 1.0 and info["feature_names"] == ["x", "State_index"]
+    # rows with the category for unseen labels keep it
+    unseen = spark.createDataFrame([("B-1", 2, 4.0, 1.0)], "ID string, Severity int, State_index double, x double")
+    both = ml.select("ID", "Severity", "State_index", "x").union(unseen)
+    medallion.fit_forest(both, num_trees=2)
+    assert [len(a["vals"]) for a in given[1].schema["features"].metadata["ml_attr"]["attrs"]["nominal"]] == [5]
+    scored = medallion.forest_predictions(both, info["model"], ["x", "State_index"])
+    assert scored.count() == 401
