@@ -25,7 +25,7 @@ from strata.operators.ingest import (assign_deliveries, audited_write, repartiti
                                      split_hash, split_label, split_random, stamp)
 from strata.operators.joins import enrich, join_audit, union_by_name
 from strata.operators.model import (accuracy_frame, load_model, majority_baseline, majority_class,
-                                    predict_constant, save_model, train_test_split)
+                                    partitions_for, predict_constant, save_model, train_test_split)
 from strata.operators.nulls import (dropna_subset, fill_constant, imputation_stats, impute, null_profile,
                                     null_profile_long, schema_report)
 from strata.operators.labels import fit_label_tables, index_by_table
@@ -624,8 +624,10 @@ def q_rf_saved_model(spark, sf):
     save_model(info["model"], path)
     direct = forest_predictions(ml, info["model"], info["feature_names"])
     again = forest_predictions(ml, load_model(path), info["feature_names"])
-    pairs = direct.select("ID", F.col(P.PREDICTION_CLASS).alias("a")).join(
-        again.select("ID", F.col(P.PREDICTION_CLASS).alias("b")), "ID")
+    # partitions by rows: left alone, few partitions of small compressed rows are sorted in one task each
+    n = partitions_for(spark, ml.count())
+    pairs = direct.select("ID", F.col(P.PREDICTION_CLASS).alias("a")).repartition(n, "ID").join(
+        again.select("ID", F.col(P.PREDICTION_CLASS).alias("b")).repartition(n, "ID"), "ID")
     return pairs.groupBy((F.col("a") == F.col("b")).alias("same")).agg(F.count(F.lit(1)).alias("rows"))
 
 
